@@ -109,3 +109,206 @@ def q_triplets_combined(spark, sf):
            .select(prefixed_id("s:", F.col("s_suppkey")).alias("id")))
     return lookup.triplets(graphs.star_graph(spark, sf), entity_names=europe_supplier_names(spark, sf),
                            relation_names=["SUPPLIES"], ids=pos)
+
+
+# C1-C7, B13, C9-C11 node reads -----------------------------------------------
+
+NODE_COLS = ["node_table", "id", "name", "label", "file_name", "ref_doc_id", "text"]
+
+TEXT_NODES_SQL = """text_nodes AS (
+  SELECT node_table, id, name, label, CAST(NULL AS VARCHAR) AS file_name, CAST(NULL AS VARCHAR) AS ref_doc_id,
+         CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS file_type FROM text_entities
+  UNION ALL
+  SELECT 'Chunk', id, NULL, label, file_name, ref_doc_id, text, file_type FROM text_chunks
+)"""
+
+_TEXT_BASE = (S.TEXT_CHUNKS, S.TEXT_ENTITIES, TEXT_NODES_SQL)
+
+
+@register("get_all_nodes", S.with_(*_TEXT_BASE) + "SELECT node_table, id, name, label, file_name, ref_doc_id, text FROM text_nodes")
+def q_get_all_nodes(spark, sf):
+    return lookup.get_nodes(graphs.text_graph(spark, sf)).select(*NODE_COLS)
+
+
+def german_node_ids(spark, sf) -> DataFrame:
+    """Chunks of German documents plus the German language entity."""
+    d = read_table(spark, sf, "documents", "doc_id", "lang").filter(F.col("lang") == "de")
+    return d.select(prefixed_id("d:", F.col("doc_id")).alias("id")).unionByName(
+        d.select(prefixed_id("lang:", F.col("lang")).alias("id")))
+
+
+GERMAN_IDS_SQL = """german_ids AS (
+  SELECT 'd:' || CAST(doc_id AS VARCHAR) AS id FROM documents WHERE lang = 'de'
+  UNION SELECT 'lang:' || lang FROM documents WHERE lang = 'de'
+)"""
+
+
+@register("get_nodes_by_id", S.with_(*_TEXT_BASE, GERMAN_IDS_SQL) +
+          "SELECT node_table, id, name, label, file_name, ref_doc_id, text FROM text_nodes "
+          "WHERE id IN (SELECT id FROM german_ids)")
+def q_get_nodes_by_id(spark, sf):
+    return lookup.get_nodes(graphs.text_graph(spark, sf), ids=german_node_ids(spark, sf)).select(*NODE_COLS)
+
+
+@register("classify_nodes", S.with_(*_TEXT_BASE) + """
+SELECT node_table, id,
+       CASE WHEN coalesce(label = 'text_chunk', FALSE) THEN 'chunk' ELSE 'entity' END AS kind,
+       CASE WHEN coalesce(label = 'text_chunk', FALSE) THEN NULL ELSE coalesce(nullif(name, ''), id) END AS name,
+       CASE WHEN coalesce(label = 'text_chunk', FALSE) THEN label ELSE coalesce(nullif(label, ''), 'Chunk') END AS label,
+       CASE WHEN coalesce(label = 'text_chunk', FALSE) THEN text END AS text
+FROM text_nodes""")
+def q_classify_nodes(spark, sf):
+    return lookup.classify_nodes(lookup.get_nodes(graphs.text_graph(spark, sf)))
+
+
+@register("get_nodes_by_property", S.with_(*_TEXT_BASE) +
+          "SELECT node_table, id, name, label, file_name, ref_doc_id, text FROM text_nodes "
+          "WHERE file_name = 'src3' AND file_type = 'text/plain'")
+def q_get_nodes_by_property(spark, sf):
+    g = graphs.text_graph(spark, sf)
+    return lookup.get_nodes(g, properties={"file_name": "src3", "file_type": "text/plain"}).select(*NODE_COLS)
+
+
+@register("label_scan", S.with_(S.STAR_ENTITIES) +
+          "SELECT node_table, id, name, label FROM star_entities WHERE node_table = 'SUPPLIER'")
+def q_label_scan(spark, sf):
+    return lookup.label_scan(graphs.star_graph(spark, sf), "SUPPLIER").select("node_table", "id", "name", "label")
+
+
+@register("get_text_nodes", S.with_(S.TEXT_CHUNKS) +
+          "SELECT id, text, ref_doc_id FROM text_chunks WHERE file_name = 'src7'")
+def q_get_text_nodes(spark, sf):
+    g = graphs.text_graph(spark, sf)
+    ids = (read_table(spark, sf, "documents", "doc_id", "source").filter(F.col("source") == "src7")
+           .select(prefixed_id("d:", F.col("doc_id")).alias("id")))
+    return lookup.get_nodes(g, ids=ids).filter(F.col("node_table") == "Chunk").select("id", "text", "ref_doc_id")
+
+
+@register("triple_get", S.with_(S.CHAIN_LINKS, _segment_ids_sql("building", "BUILDING")) +
+          "SELECT src, predicate, dst FROM chain_links WHERE src IN (SELECT id FROM building)")
+def q_triple_get(spark, sf):
+    return lookup.triple_get(graphs.chain_graph(spark, sf), segment_customer_ids(spark, sf, "BUILDING"))
+
+
+@register("triple_exists", S.with_(S.CHAIN_LINKS) + """,
+cand AS (
+  SELECT 'c:' || CAST(o_custkey AS VARCHAR) AS src, 'PLACED' AS predicate, 'o:' || CAST(o_orderkey AS VARCHAR) AS dst FROM orders
+  UNION ALL
+  SELECT 'o:' || CAST(o_orderkey AS VARCHAR), 'PLACED', 'c:' || CAST(o_custkey AS VARCHAR) FROM orders
+)
+SELECT c.src, c.predicate, c.dst,
+       EXISTS (SELECT 1 FROM chain_links l WHERE l.src = c.src AND l.predicate = c.predicate AND l.dst = c.dst) AS "exists"
+FROM cand c""")
+def q_triple_exists(spark, sf):
+    o = read_table(spark, sf, "orders", "o_custkey", "o_orderkey")
+    c, k = prefixed_id("c:", F.col("o_custkey")), prefixed_id("o:", F.col("o_orderkey"))
+    cand = o.select(c.alias("src"), F.lit("PLACED").alias("predicate"), k.alias("dst")).unionByName(
+        o.select(k.alias("src"), F.lit("PLACED").alias("predicate"), c.alias("dst")))
+    return lookup.triple_exists(graphs.chain_graph(spark, sf), cand)
+
+
+# G1, G2, G4, S1-S6 schema -----------------------------------------------------
+
+from quiver.operators import schema as schema_ops  # noqa: E402
+
+_STAR_TABLES = "star_tables AS (SELECT DISTINCT node_table FROM star_entities UNION SELECT 'Chunk')"
+
+
+ENTITY_PROPS_SQL = """entity_props(pos, property, type) AS (VALUES
+  (0, 'id', 'STRING'), (1, 'name', 'STRING'), (2, 'label', 'STRING'), (3, 'creation_date', 'DATE'),
+  (4, 'last_modified_date', 'DATE'), (5, 'file_name', 'STRING'), (6, 'file_path', 'STRING'),
+  (7, 'file_size', 'INT64'), (8, 'file_type', 'STRING'), (9, 'triplet_source_id', 'STRING'))"""
+
+CHUNK_PROPS_SQL = """chunk_props(pos, property, type) AS (VALUES
+  (0, 'id', 'STRING'), (1, 'text', 'STRING'), (2, 'label', 'STRING'), (3, 'embedding', 'DOUBLE[]'),
+  (4, 'creation_date', 'DATE'), (5, 'last_modified_date', 'DATE'), (6, 'file_name', 'STRING'),
+  (7, 'file_path', 'STRING'), (8, 'file_size', 'INT64'), (9, 'file_type', 'STRING'), (10, 'ref_doc_id', 'STRING'))"""
+
+EDGE_PROPS_SQL = """edge_props(pos, property, type) AS (VALUES (0, 'label', 'STRING'), (1, 'triplet_source_id', 'STRING'))"""
+
+NODE_PROPS_SQL = """node_props AS (
+  SELECT t.node_table, p.pos, p.property, p.type FROM star_tables t, entity_props p WHERE t.node_table <> 'Chunk'
+  UNION ALL
+  SELECT t.node_table, p.pos, p.property, p.type FROM star_tables t, chunk_props p WHERE t.node_table = 'Chunk'
+)"""
+
+REL_PROPS_SQL = """rel_props AS (
+  SELECT l.label, p.pos, p.property, p.type FROM (SELECT DISTINCT label FROM star_edges WHERE label IS NOT NULL) l, edge_props p
+)"""
+
+RELS_SQL = """rels AS (SELECT DISTINCT src_table AS start, label AS type, dst_table AS "end" FROM star_edges WHERE label IS NOT NULL)"""
+
+_SCHEMA_BASE = (S.STAR_ENTITIES, S.STAR_EDGES, _STAR_TABLES, ENTITY_PROPS_SQL, CHUNK_PROPS_SQL,
+                EDGE_PROPS_SQL, NODE_PROPS_SQL, REL_PROPS_SQL, RELS_SQL)
+
+
+@register("schema_node_props", S.with_(*_SCHEMA_BASE) + "SELECT node_table, pos, property, type FROM node_props")
+def q_schema_node_props(spark, sf):
+    return schema_ops.node_props(graphs.star_graph(spark, sf))
+
+
+@register("schema_rel_props", S.with_(*_SCHEMA_BASE) + "SELECT label, pos, property, type FROM rel_props")
+def q_schema_rel_props(spark, sf):
+    return schema_ops.rel_props(graphs.star_graph(spark, sf))
+
+
+@register("schema_relationships", S.with_(*_SCHEMA_BASE) + 'SELECT start, type, "end" FROM rels')
+def q_schema_relationships(spark, sf):
+    return schema_ops.relationships(graphs.star_graph(spark, sf))
+
+
+@register("schema_entities", S.with_(*_SCHEMA_BASE) +
+          'SELECT DISTINCT entity_type FROM (SELECT start AS entity_type FROM rels UNION ALL SELECT "end" FROM rels)')
+def q_schema_entities(spark, sf):
+    return schema_ops.entity_types(schema_ops.relationships(graphs.star_graph(spark, sf)))
+
+
+@register("schema_text", S.with_(*_SCHEMA_BASE) + """,
+node_lines AS (SELECT node_table AS k, node_table || ' {' || string_agg(property || ': ' || type, ', ' ORDER BY pos) || '}' AS s
+               FROM node_props GROUP BY node_table),
+rel_lines AS (SELECT label AS k, label || ' {' || string_agg(property || ': ' || type, ', ' ORDER BY pos) || '}' AS s
+              FROM rel_props GROUP BY label),
+rs_lines AS (SELECT start || chr(1) || type || chr(1) || "end" AS k, '(:' || start || ')-[:' || type || ']->(:' || "end" || ')' AS s FROM rels)
+SELECT concat_ws(chr(10), 'Node properties:', (SELECT string_agg(s, chr(10) ORDER BY k) FROM node_lines),
+       'Relationship properties:', (SELECT string_agg(s, chr(10) ORDER BY k) FROM rel_lines),
+       'The relationships:', (SELECT string_agg(s, chr(10) ORDER BY k) FROM rs_lines)) AS schema""")
+def q_schema_text(spark, sf):
+    return schema_ops.schema_text(graphs.star_graph(spark, sf))
+
+
+@register("count_nodes", S.with_(*_TEXT_BASE) + "SELECT node_table, count(*) AS n FROM text_nodes GROUP BY node_table")
+def q_count_nodes(spark, sf):
+    return graphs.text_graph(spark, sf).nodes().groupBy("node_table").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("distinct_relation_labels", S.with_(S.STAR_EDGES) +
+          "SELECT DISTINCT rel_table, label FROM star_edges")
+def q_distinct_relation_labels(spark, sf):
+    return graphs.star_graph(spark, sf).edges.select("rel_table", "label").distinct()
+
+
+_CHAIN_TYPED = """typed AS (
+  SELECT l.src, s.node_table AS head, l.predicate, l.dst, d.node_table AS tail
+  FROM chain_links l JOIN star_entities s ON s.id = l.src JOIN star_entities d ON d.id = l.dst
+),
+star_schema(head, predicate, tail) AS (VALUES ('CUSTOMER', 'PLACED', 'ORDER'), ('ORDER', 'CONTAINS', 'PART'),
+  ('SUPPLIER', 'SUPPLIES', 'PART'), ('CUSTOMER', 'LIVES_IN', 'NATION'), ('SUPPLIER', 'BASED_IN', 'NATION'),
+  ('NATION', 'IN_REGION', 'REGION'))"""
+
+
+def _typed_chain(spark, sf):
+    return schema_ops.typed_triples(graphs.chain_links(spark, sf), graphs.star_entities(spark, sf))
+
+
+@register("schema_conformance", S.with_(S.STAR_ENTITIES, S.CHAIN_LINKS, _CHAIN_TYPED) + """
+SELECT src, head, predicate, dst, tail FROM typed t
+WHERE EXISTS (SELECT 1 FROM star_schema s WHERE s.head = t.head AND s.predicate = t.predicate AND s.tail = t.tail)""")
+def q_schema_conformance(spark, sf):
+    return schema_ops.conforming(_typed_chain(spark, sf), graphs.STAR_SCHEMA)
+
+
+@register("schema_rejects", S.with_(S.STAR_ENTITIES, S.CHAIN_LINKS, _CHAIN_TYPED) + """
+SELECT src, head, predicate, dst, tail FROM typed t
+WHERE NOT EXISTS (SELECT 1 FROM star_schema s WHERE s.head = t.head AND s.predicate = t.predicate AND s.tail = t.tail)""")
+def q_schema_rejects(spark, sf):
+    return schema_ops.rejects(_typed_chain(spark, sf), graphs.STAR_SCHEMA)
