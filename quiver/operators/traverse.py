@@ -129,40 +129,52 @@ def triple_rel_map_grouped(tg: TripleGraph, subjects: Keys = None, depth: int =
 # ---------------------------------------------------------------- motif match
 
 def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
-    """Match a chain/cycle motif and return one row per binding.
+    """Match a chain or cycle motif; one row per binding, one id column per variable.
 
-    ``pattern`` is a list of edges ``(a, "A_TABLE", "LABEL", b, "B_TABLE")``;
-    a variable named again must bind to the same node (that closes cycles).
-    Variables are output as ``<var>`` (id) columns.  The plan is a chain of
-    equi-joins; Catalyst/AQE pick broadcast or shuffle per join.
+    ``pattern`` is a list of edges ``(a, "A_TABLE", "LABEL", b, "B_TABLE")``; a
+    variable named twice binds the same node, which closes cycles.
+
+    Variables are bound one at a time (first-appearance order).  All pattern
+    edges between the next variable and already-bound ones are joined on that
+    variable first, and the result is joined in on every bound endpoint at
+    once, so a closing constraint filters inside the join instead of after a
+    fan-out (no all-pairs-within-a-group intermediate).
     """
-    bound: dict[str, str] = {}
-    out: DataFrame | None = None
-    for i, (a, a_tab, label, b, b_tab) in enumerate(pattern):
+    if not pattern:
+        raise ValueError("empty pattern")
+
+    def edge_frame(i, a, a_tab, label, b, b_tab):
         e = graph.edges.filter((F.col("src_table") == a_tab) & (F.col("dst_table") == b_tab)
                                & (F.col("label") == label))
-        e = e.select(F.col("src").alias(f"_a{i}"), F.col("dst").alias(f"_b{i}"))
-        if out is None:
-            out = e.select(F.col(f"_a{i}").alias(a), F.col(f"_b{i}").alias(b)) if a != b else \
-                e.filter(F.col(f"_a{i}") == F.col(f"_b{i}")).select(F.col(f"_a{i}").alias(a))
-            bound[a] = a_tab
-            bound[b] = b_tab
+        return e.select(F.col("src").alias(a), F.col("dst").alias(b)).distinct() if a != b else \
+            e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(a)).distinct()
+
+    order: list[str] = []
+    for a, _, _, b, _ in pattern:
+        for v in (a, b):
+            if v not in order:
+                order.append(v)
+    a0, at0, l0, b0, bt0 = pattern[0]
+    out = edge_frame(0, a0, at0, l0, b0, bt0)
+    bound = {a0, b0}
+    used = {0}
+    for v in order:
+        if v in bound:
             continue
-        conds = []
-        if a in bound:
-            conds.append(F.col(a) == F.col(f"_a{i}"))
-        if b in bound:
-            conds.append(F.col(b) == F.col(f"_b{i}"))
-        if not conds:
-            raise ValueError("each pattern edge must share a variable with an earlier one")
-        cond = conds[0] if len(conds) == 1 else conds[0] & conds[1]
-        out = out.join(e, cond)
-        if a not in bound:
-            out = out.withColumnRenamed(f"_a{i}", a)
-            bound[a] = a_tab
-        if b not in bound:
-            out = out.withColumnRenamed(f"_b{i}", b)
-            bound[b] = b_tab
-        out = out.drop(f"_a{i}", f"_b{i}")
-    assert out is not None
-    return out
+        incident = [i for i, (a, _, _, b, _) in enumerate(pattern)
+                    if i not in used and v in (a, b) and ({a, b} - {v}) <= bound]
+        if not incident:
+            raise ValueError(f"variable {v!r} is not connected to the earlier pattern")
+        star = None
+        for i in incident:
+            f = edge_frame(i, *pattern[i])
+            star = f if star is None else star.join(f, v)
+            used.add(i)
+        others = [c for c in star.columns if c != v]
+        out = out.join(star, others)
+        bound.add(v)
+    # edges whose endpoints were both bound before they were reached
+    for i, (a, at, lab, b, bt) in enumerate(pattern):
+        if i not in used:
+            out = out.join(edge_frame(i, a, at, lab, b, bt), sorted({a, b}), "left_semi")
+    return out.select(*order)

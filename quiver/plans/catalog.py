@@ -312,3 +312,156 @@ SELECT src, head, predicate, dst, tail FROM typed t
 WHERE NOT EXISTS (SELECT 1 FROM star_schema s WHERE s.head = t.head AND s.predicate = t.predicate AND s.tail = t.tail)""")
 def q_schema_rejects(spark, sf):
     return schema_ops.rejects(_typed_chain(spark, sf), graphs.STAR_SCHEMA)
+
+
+# D7-D10, D14 traversal -----------------------------------------------------------
+
+def _paths_oracle(seed_sql: str, depth: int, limit: int, edges: str = "star_edges",
+                  edge_filter: str = "label IS NOT NULL AND label <> 'MENTIONS'",
+                  extra: tuple = (S.STAR_ENTITIES, S.STAR_EDGES)) -> str:
+    levels = [f"""p1 AS (SELECT s.start_table, s.start, 1 AS hops, s.start || '|' || e.label || '|' || e.dst AS path,
+       s.start_table || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur,
+       e.src_table AS s1t, e.src AS s1, e.label AS l1, e.dst_table AS d1t, e.dst AS d1
+  FROM seeds s JOIN w e ON e.src_table = s.start_table AND e.src = s.start)"""]
+    hop_cols = ["s1t", "s1", "l1", "d1t", "d1"]
+    for h in range(2, depth + 1):
+        prev_cols = ", ".join(f"p.{c}" for c in hop_cols)
+        levels.append(f"""p{h} AS (SELECT p.start_table, p.start, {h} AS hops, p.path || '|' || e.label || '|' || e.dst AS path,
+       p.path_tables || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur, {prev_cols},
+       e.src_table AS s{h}t, e.src AS s{h}, e.label AS l{h}, e.dst_table AS d{h}t, e.dst AS d{h}
+  FROM p{h - 1} p JOIN w e ON e.src_table = p.cur_table AND e.src = p.cur)""")
+        hop_cols += [f"s{h}t", f"s{h}", f"l{h}", f"d{h}t", f"d{h}"]
+    union = []
+    for h in range(1, depth + 1):
+        cols = []
+        for k in range(1, depth + 1):
+            for c in (f"s{k}t", f"s{k}", f"l{k}", f"d{k}t", f"d{k}"):
+                cols.append(c if k <= h else f"NULL AS {c}")
+        union.append(f"SELECT start_table, start, hops, path, path_tables, {', '.join(cols)} FROM p{h}")
+    body = ",\n".join([f"w AS (SELECT src_table, src, label, dst_table, dst FROM {edges} WHERE {edge_filter})",
+                       seed_sql] + levels)
+    return S.with_(*extra, body) + f""",
+paths AS (SELECT * FROM ({' UNION ALL '.join(union)}) ORDER BY path, path_tables LIMIT {limit})
+"""
+
+
+_BUILDING_SEEDS = """seeds AS (SELECT 'CUSTOMER' AS start_table, 'c:' || CAST(c_custkey AS VARCHAR) AS start
+  FROM customer WHERE c_mktsegment = 'BUILDING')"""
+_ALL_SEEDS = """seeds AS (SELECT node_table AS start_table, id AS start FROM star_entities)"""
+
+
+def _hops_sql(depth: int, ignore: tuple = ()) -> str:
+    parts = []
+    for k in range(1, depth + 1):
+        parts.append(f"SELECT path, {k} AS hop, s{k}t AS src_table, s{k} AS src, l{k} AS label, d{k}t AS dst_table, "
+                     f"d{k} AS dst FROM paths WHERE hops >= {k}")
+    where = ""
+    if ignore:
+        where = " WHERE NOT coalesce(h.label IN (" + ", ".join(f"'{x}'" for x in ignore) + "), FALSE)"
+    return f"""SELECT h.path, h.hop, h.src_table, h.src, sn.name AS src_name, h.label, h.dst_table, h.dst, dn.name AS dst_name
+FROM ({' UNION ALL '.join(parts)}) h
+LEFT JOIN star_entities sn ON sn.node_table = h.src_table AND sn.id = h.src
+LEFT JOIN star_entities dn ON dn.node_table = h.dst_table AND dn.id = h.dst{where}"""
+
+
+PATH_COLS = ["start_table", "start", "hops", "path", "path_tables"]
+
+
+@register("rel_map_paths", _paths_oracle(_BUILDING_SEEDS, 2, 30) +
+          "SELECT start_table, start, hops, path, path_tables FROM paths")
+def q_rel_map_paths(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    return traverse.rel_map_paths(g, segment_customer_ids(spark, sf, "BUILDING"), 2, 30).select(*PATH_COLS)
+
+
+@register("rel_map_triplets", _paths_oracle(_BUILDING_SEEDS, 2, 30) + _hops_sql(2))
+def q_rel_map_triplets(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    return traverse.rel_map(g, segment_customer_ids(spark, sf, "BUILDING"), 2, 30)
+
+
+@register("rel_map_ignore_rels", _paths_oracle(_BUILDING_SEEDS, 2, 30) + _hops_sql(2, ("LIVES_IN",)))
+def q_rel_map_ignore_rels(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    return traverse.rel_map(g, segment_customer_ids(spark, sf, "BUILDING"), 2, 30, ignore_rels=["LIVES_IN"])
+
+
+@register("rel_map_all", _paths_oracle(_ALL_SEEDS, 2, 30) + _hops_sql(2))
+def q_rel_map_all(spark, sf):
+    return traverse.rel_map(graphs.star_graph(spark, sf), None, 2, 30)
+
+
+def _triple_paths_oracle(depth: int, limit: int) -> str:
+    seeds = """seeds AS (SELECT 'n' AS start_table, id AS start FROM chain_nodes
+  WHERE id IN (SELECT 'c:' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'))"""
+    w = "chain_w AS (SELECT 'n' AS src_table, src, predicate AS label, 'n' AS dst_table, dst FROM chain_links)"
+    return _paths_oracle(seeds, depth, limit, edges="chain_w", edge_filter="TRUE",
+                         extra=(S.CHAIN_LINKS, w)) + "SELECT start AS subj, hops, path FROM paths"
+
+
+@register("triple_rel_map", _triple_paths_oracle(2, 30))
+def q_triple_rel_map(spark, sf):
+    return traverse.triple_rel_map(graphs.chain_graph(spark, sf), segment_customer_ids(spark, sf, "BUILDING"), 2, 30)
+
+
+@register("triple_rel_map_depth3", _triple_paths_oracle(3, 30))
+def q_triple_rel_map_depth3(spark, sf):
+    return traverse.triple_rel_map(graphs.chain_graph(spark, sf), segment_customer_ids(spark, sf, "BUILDING"), 3, 30)
+
+
+@register("orphan_nodes", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + """,
+kept AS (SELECT * FROM star_edges WHERE label <> 'IN_REGION')
+SELECT node_table, id, name FROM star_entities n
+WHERE NOT EXISTS (SELECT 1 FROM kept e WHERE (e.src_table = n.node_table AND e.src = n.id)
+                                          OR (e.dst_table = n.node_table AND e.dst = n.id))""")
+def q_orphan_nodes(spark, sf):
+    g = merge.delete(graphs.star_graph(spark, sf), relation_names=["IN_REGION"])
+    return merge.orphan_entities(g).select("node_table", "id", "name")
+
+
+TWO_HOP = [("c", "CUSTOMER", "PLACED", "o", "ORDER"), ("o", "ORDER", "CONTAINS", "p", "PART")]
+
+# a cycle: the customer and the supplier of a part in the customer's order
+# live in the same nation
+LOCAL_SUPPLY_CYCLE = [
+    ("c", "CUSTOMER", "PLACED", "o", "ORDER"),
+    ("c", "CUSTOMER", "LIVES_IN", "n", "NATION"),
+    ("o", "ORDER", "CONTAINS", "p", "PART"),
+    ("s", "SUPPLIER", "SUPPLIES", "p", "PART"),
+    ("s", "SUPPLIER", "BASED_IN", "n", "NATION"),
+]
+
+
+def _edge_sql(label: str) -> str:
+    return f"(SELECT DISTINCT src, dst FROM star_edges WHERE label = '{label}')"
+
+
+@register("match_two_hop", S.with_(S.STAR_EDGES) + f"""
+SELECT a.src AS c, a.dst AS o, b.dst AS p FROM {_edge_sql('PLACED')} a JOIN {_edge_sql('CONTAINS')} b ON b.src = a.dst""")
+def q_match_two_hop(spark, sf):
+    return traverse.match(graphs.star_graph(spark, sf), TWO_HOP)
+
+
+@register("match_cycle", S.with_(S.STAR_EDGES) + f"""
+SELECT pl.src AS c, pl.dst AS o, li.dst AS n, co.dst AS p, su.src AS s
+FROM {_edge_sql('PLACED')} pl JOIN {_edge_sql('LIVES_IN')} li ON li.src = pl.src
+JOIN {_edge_sql('CONTAINS')} co ON co.src = pl.dst
+JOIN {_edge_sql('SUPPLIES')} su ON su.dst = co.dst
+JOIN {_edge_sql('BASED_IN')} bi ON bi.src = su.src AND bi.dst = li.dst""")
+def q_match_cycle(spark, sf):
+    return traverse.match(graphs.star_graph(spark, sf), LOCAL_SUPPLY_CYCLE)
+
+
+GRAPH_SQL = """SELECT n.name AS nation, count(*) AS n_members
+FROM g_edges e JOIN g_entities n ON n.node_table = e.dst_table AND n.id = e.dst
+WHERE e.label = :label GROUP BY n.name"""
+
+
+@register("sql_over_graph", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + """
+SELECT n.name AS nation, count(*) AS n_members
+FROM star_edges e JOIN star_entities n ON n.node_table = e.dst_table AND n.id = e.dst
+WHERE e.label = 'LIVES_IN' GROUP BY n.name""")
+def q_sql_over_graph(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    g.register_views("g_")
+    return spark.sql(GRAPH_SQL, args={"label": "LIVES_IN"})
