@@ -16,7 +16,7 @@ def strip(c: Column) -> Column:
 
 def to_date_or_null(c: Column) -> Column:
     """ISO date text -> DATE; text that does not parse becomes NULL, not an error."""
-    return F.try_to_date(c.cast("string"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(c.cast("string"), "yyyy-MM-dd")
 
 
 def prefixed_id(prefix: str, c: Column) -> Column:

@@ -465,3 +465,323 @@ def q_sql_over_graph(spark, sf):
     g = graphs.star_graph(spark, sf)
     g.register_views("g_")
     return spark.sql(GRAPH_SQL, args={"label": "LIVES_IN"})
+
+
+# B1-B11, B13/B14 mutations ---------------------------------------------------------
+
+from quiver.sources import snapshots  # noqa: E402
+from quiver.session import scratch_path  # noqa: E402
+
+
+def chunk_batch(spark, sf) -> DataFrame:
+    """Chunk upserts derived from documents of source src3.
+
+    seq 1 rewrites each chunk (padded text that must be stripped, no
+    embedding, a date that does not parse for German documents); seq 2 rewrites
+    English ones again; new chunk ids are added as well."""
+    d = read_table(spark, sf, "documents", "doc_id", "text", "lang", "source").filter(F.col("source") == "src3")
+    base = dict(label=F.lit("text_chunk"), file_name=F.col("source"), ref_doc_id=F.col("doc_id").cast("string"))
+    date = F.when(F.col("lang") == "de", F.lit("not-a-date")).otherwise(F.lit("2024-05-17"))
+    v1 = d.select(prefixed_id("d:", F.col("doc_id")).alias("id"),
+                  F.concat(F.lit("  "), F.col("text"), F.lit("\n\t")).alias("text"),
+                  *[c.alias(k) for k, c in base.items()], date.alias("creation_date"), F.lit(1).alias("seq"))
+    v2 = d.filter(F.col("lang") == "en").select(
+        prefixed_id("d:", F.col("doc_id")).alias("id"), F.concat(F.col("text"), F.lit(" (rev)")).alias("text"),
+        *[c.alias(k) for k, c in base.items()], F.lit("2024-06-01").alias("creation_date"), F.lit(2).alias("seq"))
+    new = d.select(F.concat(prefixed_id("d:", F.col("doc_id")), F.lit(":v2")).alias("id"), F.col("text"),
+                   *[c.alias(k) for k, c in base.items()], F.lit("2024-07-01").alias("creation_date"),
+                   F.lit(1).alias("seq"))
+    return v1.unionByName(v2).unionByName(new)
+
+
+CHUNK_BATCH_SQL = """batch AS (
+  SELECT 'd:' || CAST(doc_id AS VARCHAR) AS id, text, 'text_chunk' AS label, CAST(NULL AS DOUBLE[]) AS embedding,
+         CASE WHEN lang = 'de' THEN NULL ELSE DATE '2024-05-17' END AS creation_date, source AS file_name,
+         CAST(doc_id AS VARCHAR) AS ref_doc_id, 1 AS seq FROM documents WHERE source = 'src3'
+  UNION ALL
+  SELECT 'd:' || CAST(doc_id AS VARCHAR), text || ' (rev)', 'text_chunk', NULL, DATE '2024-06-01', source,
+         CAST(doc_id AS VARCHAR), 2 FROM documents WHERE source = 'src3' AND lang = 'en'
+  UNION ALL
+  SELECT 'd:' || CAST(doc_id AS VARCHAR) || ':v2', text, 'text_chunk', NULL, DATE '2024-07-01', source,
+         CAST(doc_id AS VARCHAR), 1 FROM documents WHERE source = 'src3'
+),
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM batch) WHERE rn = 1)"""
+
+
+@register("upsert_chunks", S.with_(S.TEXT_CHUNKS, CHUNK_BATCH_SQL) + """
+SELECT id, text, label, len(embedding) AS n_dims, CAST(creation_date AS VARCHAR) AS creation_date, file_name, ref_doc_id
+FROM (SELECT id, text, label, embedding, CAST(NULL AS DATE) AS creation_date, file_name, ref_doc_id FROM text_chunks
+      WHERE id NOT IN (SELECT id FROM latest)
+      UNION ALL SELECT id, text, label, embedding, creation_date, file_name, ref_doc_id FROM latest)""")
+def q_upsert_chunks(spark, sf):
+    g = merge.upsert_chunks(graphs.text_graph(spark, sf), chunk_batch(spark, sf))
+    c = g.chunks
+    return c.select("id", "text", "label",
+                    F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"),
+                    F.col("creation_date").cast("string").alias("creation_date"), "file_name", "ref_doc_id")
+
+
+def entity_batch(spark, sf) -> DataFrame:
+    """Entity upserts: AUTOMOBILE customers by name (id := name), a second
+    write for rich ones, and nations under a label that is not a table."""
+    c = read_table(spark, sf, "customer", "c_name", "c_mktsegment", "c_acctbal").filter(
+        F.col("c_mktsegment") == "AUTOMOBILE")
+    n = read_table(spark, sf, "nation", "n_name")
+    v1 = c.select(F.col("c_name").alias("name"), F.lit("CUSTOMER").alias("label"),
+                  F.lit("crm").alias("file_name"), F.lit(1).alias("seq"))
+    v2 = c.filter(F.col("c_acctbal") > 5000).select(
+        F.col("c_name").alias("name"), F.lit("CUSTOMER").alias("label"), F.lit("crm2").alias("file_name"),
+        F.lit(2).alias("seq"))
+    bad = n.select(F.col("n_name").alias("name"), F.lit("COUNTRY").alias("label"),
+                   F.lit("geo").alias("file_name"), F.lit(1).alias("seq"))
+    return v1.unionByName(v2).unionByName(bad)
+
+
+ENTITY_BATCH_SQL = """batch AS (
+  SELECT c_name AS name, 'CUSTOMER' AS label, 'crm' AS file_name, 1 AS seq FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+  UNION ALL SELECT c_name, 'CUSTOMER', 'crm2', 2 FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_acctbal > 5000
+  UNION ALL SELECT n_name, 'COUNTRY', 'geo', 1 FROM nation
+),
+routed AS (
+  SELECT name AS id, name, label, file_name, seq,
+         CASE WHEN label IN ('CUSTOMER', 'NATION', 'ORDER', 'PART', 'REGION', 'SUPPLIER') THEN label END AS node_table
+  FROM batch
+),
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY node_table, id ORDER BY seq DESC) AS rn
+           FROM routed WHERE node_table IS NOT NULL) WHERE rn = 1)"""
+
+
+@register("upsert_entities", S.with_(S.STAR_ENTITIES, ENTITY_BATCH_SQL) + """
+SELECT node_table, id, name, label, file_name FROM (
+  SELECT node_table, id, name, label, CAST(NULL AS VARCHAR) AS file_name FROM star_entities s
+  WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.node_table = s.node_table AND l.id = s.id)
+  UNION ALL SELECT node_table, id, name, label, file_name FROM latest)""")
+def q_upsert_entities(spark, sf):
+    g = merge.upsert_entities(graphs.star_graph(spark, sf), entity_batch(spark, sf))
+    return g.entities.select("node_table", "id", "name", "label", "file_name")
+
+
+@register("route_entity_table", S.with_(ENTITY_BATCH_SQL) + "SELECT name, label, node_table, seq FROM routed")
+def q_route_entity_table(spark, sf):
+    return merge.route_entities(graphs.star_graph(spark, sf), entity_batch(spark, sf)).select(
+        "name", "label", "node_table", "seq")
+
+
+def relation_batch(spark, sf) -> DataFrame:
+    """Relation upserts: re-sourced PLACED edges (twice for big orders),
+    SUPPLIES edges to the next part id (missing for the last part), a label
+    outside the schema, and orders that do not exist."""
+    o = read_table(spark, sf, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    li = read_table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_returnflag").filter(F.col("l_returnflag") == "R")
+    c, k = prefixed_id("c:", F.col("o_custkey")), prefixed_id("o:", F.col("o_orderkey"))
+    f = o.filter(F.col("o_orderstatus") == "F")
+    parts = [
+        f.select(F.lit("PLACED").alias("label"), c.alias("source_id"), k.alias("target_id"),
+                 F.lit("batch1").alias("triplet_source_id"), F.lit(1).alias("seq")),
+        f.filter(F.col("o_totalprice") > 100000).select(
+            F.lit("PLACED").alias("label"), c.alias("source_id"), k.alias("target_id"),
+            F.lit("batch2").alias("triplet_source_id"), F.lit(2).alias("seq")),
+        li.select(F.lit("SUPPLIES").alias("label"), prefixed_id("s:", F.col("l_suppkey")).alias("source_id"),
+                  prefixed_id("p:", F.col("l_partkey") + 1).alias("target_id"),
+                  F.lit("batch1").alias("triplet_source_id"), F.lit(1).alias("seq")),
+        f.select(F.lit("FRIEND_OF").alias("label"), c.alias("source_id"), c.alias("target_id"),
+                 F.lit("batch1").alias("triplet_source_id"), F.lit(1).alias("seq")),
+        f.select(F.lit("PLACED").alias("label"), c.alias("source_id"),
+                 prefixed_id("o:", -F.col("o_orderkey")).alias("target_id"),
+                 F.lit("batch1").alias("triplet_source_id"), F.lit(1).alias("seq")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+RELATION_BATCH_SQL = """rel_batch AS (
+  SELECT 'PLACED' AS label, 'c:' || CAST(o_custkey AS VARCHAR) AS source_id, 'o:' || CAST(o_orderkey AS VARCHAR) AS target_id,
+         'batch1' AS triplet_source_id, 1 AS seq FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'PLACED', 'c:' || CAST(o_custkey AS VARCHAR), 'o:' || CAST(o_orderkey AS VARCHAR), 'batch2', 2
+         FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000
+  UNION ALL SELECT 'SUPPLIES', 's:' || CAST(l_suppkey AS VARCHAR), 'p:' || CAST(l_partkey + 1 AS VARCHAR), 'batch1', 1
+         FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL SELECT 'FRIEND_OF', 'c:' || CAST(o_custkey AS VARCHAR), 'c:' || CAST(o_custkey AS VARCHAR), 'batch1', 1
+         FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'PLACED', 'c:' || CAST(o_custkey AS VARCHAR), 'o:' || CAST(-o_orderkey AS VARCHAR), 'batch1', 1
+         FROM orders WHERE o_orderstatus = 'F'
+),
+star_schema(src_table, label, dst_table) AS (VALUES ('CUSTOMER', 'PLACED', 'ORDER'), ('ORDER', 'CONTAINS', 'PART'),
+  ('SUPPLIER', 'SUPPLIES', 'PART'), ('CUSTOMER', 'LIVES_IN', 'NATION'), ('SUPPLIER', 'BASED_IN', 'NATION'),
+  ('NATION', 'IN_REGION', 'REGION')),
+resolved AS (
+  SELECT s.node_table AS src_table, b.source_id AS src, s.node_table || '_' || b.label || '_' || d.node_table AS rel_table,
+         b.label, d.node_table AS dst_table, b.target_id AS dst, b.triplet_source_id, b.seq
+  FROM rel_batch b JOIN star_entities s ON s.id = b.source_id JOIN star_entities d ON d.id = b.target_id
+  JOIN star_schema k ON k.src_table = s.node_table AND k.label = b.label AND k.dst_table = d.node_table
+),
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+             PARTITION BY src_table, src, rel_table, label, dst_table, dst ORDER BY seq DESC, triplet_source_id DESC) AS rn
+           FROM resolved) WHERE rn = 1)"""
+
+
+@register("upsert_edges", S.with_(S.STAR_ENTITIES, S.STAR_EDGES, RELATION_BATCH_SQL) + """
+SELECT src_table, src, label, dst_table, dst, triplet_source_id FROM star_edges e
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.src_table = e.src_table AND l.src = e.src AND l.rel_table = e.rel_table
+                  AND l.label = e.label AND l.dst_table = e.dst_table AND l.dst = e.dst)
+UNION ALL SELECT src_table, src, label, dst_table, dst, triplet_source_id FROM latest""")
+def q_upsert_edges(spark, sf):
+    g = merge.upsert_edges(graphs.star_graph(spark, sf), relation_batch(spark, sf))
+    return g.edges.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
+
+
+@register("edge_rejects", S.with_(S.STAR_ENTITIES, RELATION_BATCH_SQL) + """
+SELECT label, source_id, target_id, triplet_source_id, seq FROM rel_batch b
+WHERE NOT EXISTS (SELECT 1 FROM resolved r WHERE r.label = b.label AND r.src = b.source_id AND r.dst = b.target_id
+                  AND r.seq = b.seq)""")
+def q_edge_rejects(spark, sf):
+    return merge.resolve_relations(graphs.star_graph(spark, sf), relation_batch(spark, sf))[1]
+
+
+@register("link_mentions", S.with_(S.TEXT_MENTIONS) + "SELECT chunk_id, entity_table, entity_id FROM text_mentions")
+def q_link_mentions(spark, sf):
+    return graphs.text_graph(spark, sf).mentions
+
+
+def _graph_rows_sql(entities: str, edges: str) -> str:
+    return f"""SELECT 'node' AS kind, node_table AS a, id AS b, name AS c FROM {entities}
+UNION ALL SELECT 'edge', src, label, dst FROM {edges}"""
+
+
+def _delete_oracle(victims_sql: str, edge_filter: str = "TRUE") -> str:
+    return S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + f""",
+victims AS ({victims_sql}),
+ents AS (SELECT * FROM star_entities s WHERE NOT EXISTS (SELECT 1 FROM victims v WHERE v.node_table = s.node_table AND v.id = s.id)),
+eds AS (SELECT * FROM star_edges e WHERE ({edge_filter})
+        AND NOT EXISTS (SELECT 1 FROM victims v WHERE v.node_table = e.src_table AND v.id = e.src)
+        AND NOT EXISTS (SELECT 1 FROM victims v WHERE v.node_table = e.dst_table AND v.id = e.dst))
+""" + _graph_rows_sql("ents", "eds")
+
+
+def _star_rows(g):
+    return snapshots.graph_rows(g).filter(F.col("kind").isin("node", "edge"))
+
+
+@register("delete_by_name", _delete_oracle(
+    """SELECT node_table, id FROM star_entities WHERE name IN (
+         SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')"""))
+def q_delete_by_name(spark, sf):
+    n = read_table(spark, sf, "nation", "n_name", "n_regionkey")
+    r = read_table(spark, sf, "region", "r_regionkey", "r_name").filter(F.col("r_name") == "ASIA")
+    names = n.join(r, n.n_regionkey == r.r_regionkey).select("n_name")
+    return _star_rows(merge.delete(graphs.star_graph(spark, sf), entity_names=names))
+
+
+@register("delete_by_id", _delete_oracle(
+    "SELECT 'ORDER' AS node_table, 'o:' || CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderpriority = '1-URGENT'"))
+def q_delete_by_id(spark, sf):
+    ids = (read_table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
+           .filter(F.col("o_orderpriority") == "1-URGENT").select(prefixed_id("o:", F.col("o_orderkey"))))
+    return _star_rows(merge.delete(graphs.star_graph(spark, sf), ids=ids))
+
+
+@register("delete_by_relation", _delete_oracle(
+    "SELECT NULL AS node_table, NULL AS id WHERE FALSE", "label NOT IN ('SUPPLIES', 'BASED_IN')"))
+def q_delete_by_relation(spark, sf):
+    return _star_rows(merge.delete(graphs.star_graph(spark, sf), relation_names=["SUPPLIES", "BASED_IN"]))
+
+
+@register("delete_by_properties", _delete_oracle(
+    "SELECT node_table, id FROM star_entities WHERE label = 'REGION' AND name = 'ASIA'"))
+def q_delete_by_properties(spark, sf):
+    return _star_rows(merge.delete(graphs.star_graph(spark, sf), properties={"label": "REGION", "name": "ASIA"}))
+
+
+TRIPLE_ROWS_SQL = """SELECT 'node' AS kind, id AS a, CAST(NULL AS VARCHAR) AS b, CAST(NULL AS VARCHAR) AS c FROM nodes2
+UNION ALL SELECT 'link', src, predicate, dst FROM links2"""
+
+
+@register("triple_upsert", S.with_(S.CHAIN_LINKS) + """,
+batch AS (
+  SELECT 'n:' || CAST(n_nationkey AS VARCHAR) AS src, 'IN_REGION' AS predicate, 'r:' || CAST(n_regionkey AS VARCHAR) AS dst FROM nation
+  UNION ALL SELECT 'r:' || CAST(r_regionkey AS VARCHAR), 'PART_OF', 'world' FROM region
+  UNION ALL SELECT 'w:' || CAST(r_regionkey AS VARCHAR), 'SELF', 'w:' || CAST(r_regionkey AS VARCHAR) FROM region
+),
+links2 AS (SELECT * FROM chain_links UNION SELECT * FROM batch),
+nodes2 AS (SELECT id FROM chain_nodes UNION SELECT src FROM batch UNION SELECT dst FROM batch)
+""" + TRIPLE_ROWS_SQL)
+def q_triple_upsert(spark, sf):
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    r = read_table(spark, sf, "region", "r_regionkey")
+    batch = (n.select(prefixed_id("n:", F.col("n_nationkey")).alias("src"), F.lit("IN_REGION").alias("predicate"),
+                      prefixed_id("r:", F.col("n_regionkey")).alias("dst"))
+             .unionByName(r.select(prefixed_id("r:", F.col("r_regionkey")).alias("src"),
+                                   F.lit("PART_OF").alias("predicate"), F.lit("world").alias("dst")))
+             .unionByName(r.select(prefixed_id("w:", F.col("r_regionkey")).alias("src"),
+                                   F.lit("SELF").alias("predicate"), prefixed_id("w:", F.col("r_regionkey")).alias("dst"))))
+    return snapshots.triple_rows(merge.triple_upsert(graphs.chain_graph(spark, sf), batch))
+
+
+@register("triple_delete", S.with_(S.CHAIN_LINKS) + """,
+dead AS (
+  SELECT 'n:' || CAST(n_nationkey AS VARCHAR) AS src, 'IN_REGION' AS predicate, 'r:' || CAST(n_regionkey AS VARCHAR) AS dst
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'
+  UNION ALL SELECT 'r:' || CAST(r_regionkey AS VARCHAR), 'NOPE', 'n:' || CAST(r_regionkey AS VARCHAR) FROM region
+),
+links2 AS (SELECT * FROM chain_links l WHERE NOT EXISTS (
+  SELECT 1 FROM dead d WHERE d.src = l.src AND d.predicate = l.predicate AND d.dst = l.dst)),
+named AS (SELECT src AS id FROM dead UNION SELECT dst FROM dead),
+orphans AS (SELECT id FROM named WHERE id NOT IN (SELECT src FROM links2 UNION SELECT dst FROM links2)),
+nodes2 AS (SELECT id FROM chain_nodes WHERE id NOT IN (SELECT id FROM orphans))
+""" + TRIPLE_ROWS_SQL)
+def q_triple_delete(spark, sf):
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    r = read_table(spark, sf, "region", "r_regionkey", "r_name")
+    asia = n.join(r.filter(F.col("r_name") == "ASIA"), n.n_regionkey == r.r_regionkey)
+    dead = (asia.select(prefixed_id("n:", F.col("n_nationkey")).alias("src"), F.lit("IN_REGION").alias("predicate"),
+                        prefixed_id("r:", F.col("n_regionkey")).alias("dst"))
+            .unionByName(r.select(prefixed_id("r:", F.col("r_regionkey")).alias("src"), F.lit("NOPE").alias("predicate"),
+                                  prefixed_id("n:", F.col("r_regionkey")).alias("dst"))))
+    return snapshots.triple_rows(merge.triple_delete(graphs.chain_graph(spark, sf), dead))
+
+
+# A1-A7 loads and snapshots -------------------------------------------------------
+
+@register("entities_load", S.with_(S.STAR_ENTITIES) + "SELECT node_table, id, name, label FROM star_entities")
+def q_entities_load(spark, sf):
+    return graphs.star_graph(spark, sf).entities.select("node_table", "id", "name", "label")
+
+
+@register("edges_load", S.with_(S.STAR_EDGES) +
+          "SELECT src_table, src, rel_table, label, dst_table, dst, triplet_source_id FROM star_edges")
+def q_edges_load(spark, sf):
+    return graphs.star_graph(spark, sf).edges
+
+
+@register("chunks_load", S.with_(S.TEXT_CHUNKS) + """
+SELECT id, text, label, len(embedding) AS n_dims, file_name, file_path, file_size, file_type, ref_doc_id FROM text_chunks""")
+def q_chunks_load(spark, sf):
+    c = graphs.text_graph(spark, sf).chunks
+    return c.select("id", "text", "label", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"),
+                    "file_name", "file_path", "file_size", "file_type", "ref_doc_id")
+
+
+@register("triples_load", S.with_(S.WEB_LINKS) + """
+SELECT 'node' AS kind, id AS a, CAST(NULL AS VARCHAR) AS b, CAST(NULL AS VARCHAR) AS c FROM web_nodes
+UNION ALL SELECT 'link', src, predicate, dst FROM web_links""")
+def q_triples_load(spark, sf):
+    return snapshots.triple_rows(graphs.web_graph(spark, sf))
+
+
+@register("snapshot_roundtrip", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + _graph_rows_sql("star_entities", "star_edges"))
+def q_snapshot_roundtrip(spark, sf):
+    root = scratch_path(spark, "snapshot")
+    snapshots.write_graph(graphs.star_graph(spark, sf), root)
+    return _star_rows(snapshots.read_graph(spark, root))
+
+
+@register("clear_all", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + f"""
+SELECT * FROM ({_graph_rows_sql("star_entities", "star_edges")}) WHERE FALSE""")
+def q_clear_all(spark, sf):
+    root = scratch_path(spark, "clear")
+    snapshots.write_graph(graphs.star_graph(spark, sf), root)
+    g = merge.clear(snapshots.read_graph(spark, root))
+    snapshots.write_graph(g, root)
+    return _star_rows(snapshots.read_graph(spark, root))
