@@ -785,3 +785,123 @@ def q_clear_all(spark, sf):
     g = merge.clear(snapshots.read_graph(spark, root))
     snapshots.write_graph(g, root)
     return _star_rows(snapshots.read_graph(spark, root))
+
+
+# V1-V8 vector search ---------------------------------------------------------------
+
+from quiver.operators import vector  # noqa: E402
+
+VEC_DIM = graphs.EMBED_DIM
+
+
+def label_centroids(spark, sf) -> DataFrame:
+    """One query vector per embedding label: the mean of that label's vectors."""
+    emb = read_table(spark, sf, "embeddings", "label", "embedding")
+    return vector.centroids_by(emb, "label").select(F.col("label").alias("qid"), "vec")
+
+
+def label_query(spark, sf, label: int = 1) -> list[float]:
+    """The label-1 centroid as a driver-side vector (dimension-sized)."""
+    qs = dict(vector.collect_queries(label_centroids(spark, sf)))
+    return qs[label]
+
+
+CENTROIDS_SQL = """centroids AS (
+  SELECT label AS qid, list(x ORDER BY pos) AS vec FROM (
+    SELECT label, pos, avg(x) AS x FROM (
+      SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(generate_series(1, len(embedding))) AS pos
+      FROM embeddings WHERE embedding IS NOT NULL)
+    GROUP BY label, pos)
+  GROUP BY label
+),
+vec_chunks AS (SELECT id, text, embedding FROM text_chunks WHERE embedding IS NOT NULL AND len(embedding) = 64)"""
+
+
+def _topk_sql(k: int = 5) -> str:
+    return S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + f"""
+SELECT id, CAST(row_number() OVER (ORDER BY sim DESC, id) AS INTEGER) AS rank, round(sim, 6) AS similarity
+FROM (SELECT id, list_cosine_similarity(embedding, (SELECT vec FROM centroids WHERE qid = 1)) AS sim FROM vec_chunks)
+ORDER BY sim DESC, id LIMIT {k}"""
+
+
+def _ranked(df: DataFrame) -> DataFrame:
+    return df.select("id", F.col("rank").cast("int").alias("rank"), F.round("similarity", 6).alias("similarity"))
+
+
+@register("vector_topk", _topk_sql(5))
+def q_vector_topk(spark, sf):
+    chunks = graphs.text_chunks(spark, sf)
+    return _ranked(vector.topk(chunks, label_query(spark, sf), 5, VEC_DIM))
+
+
+@register("vector_topk_batch", S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + """
+SELECT qid, id, CAST(rank AS INTEGER) AS rank, round(sim, 6) AS similarity FROM (
+  SELECT c.qid, v.id, list_cosine_similarity(v.embedding, c.vec) AS sim,
+         row_number() OVER (PARTITION BY c.qid ORDER BY list_cosine_similarity(v.embedding, c.vec) DESC, v.id) AS rank
+  FROM vec_chunks v, centroids c) WHERE rank <= 5""")
+def q_vector_topk_batch(spark, sf):
+    qs = vector.collect_queries(label_centroids(spark, sf))
+    out = vector.topk_batch(graphs.text_chunks(spark, sf), qs, 5, VEC_DIM)
+    return out.select(F.col("qid").cast("int").alias("qid"), "id", F.col("rank").cast("int").alias("rank"),
+                      F.round("similarity", 6).alias("similarity"))
+
+
+@register("cosine_pairs", S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + """
+SELECT v.id, e.label, round(list_cosine_similarity(v.embedding, c.vec), 6) AS similarity,
+       round(1.0 - list_cosine_similarity(v.embedding, c.vec), 6) AS distance
+FROM vec_chunks v JOIN embeddings e ON v.id = 'd:' || CAST(e.vec_id AS VARCHAR) JOIN centroids c ON c.qid = e.label""")
+def q_cosine_pairs(spark, sf):
+    chunks = graphs.text_chunks(spark, sf)
+    lab = read_table(spark, sf, "embeddings", "vec_id", "label").select(
+        prefixed_id("d:", F.col("vec_id")).alias("id"), "label")
+    cents = label_centroids(spark, sf).withColumnRenamed("qid", "label")
+    sim = vector.similarity_to_group_centroid(chunks.drop("label").join(lab, "id"), cents, "label")
+    return sim.select("id", "label", F.round("similarity", 6).alias("similarity"),
+                      F.round(F.lit(1.0) - F.col("similarity"), 6).alias("distance"))
+
+
+@register("embedding_dims", S.with_(S.TEXT_CHUNKS) + "SELECT len(embedding) AS dims, count(*) AS n FROM text_chunks GROUP BY 1")
+def q_embedding_dims(spark, sf):
+    return vector.embedding_dims(graphs.text_chunks(spark, sf))
+
+
+IVF_CELLS = 8
+
+
+def _ivf(spark, sf, name="ivf"):
+    return vector.ivf_build(graphs.text_chunks(spark, sf), scratch_path(spark, name), cells=IVF_CELLS, dim=VEC_DIM)
+
+
+@register("ivf_topk", _topk_sql(5))
+def q_ivf_topk(spark, sf):
+    idx = _ivf(spark, sf)
+    return _ranked(vector.ivf_topk(spark, idx, label_query(spark, sf), 5, nprobe=IVF_CELLS))
+
+
+@register("ivf_build")
+def q_ivf_build(spark, sf):
+    idx = _ivf(spark, sf)
+    return idx.layout(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ivf_recall")
+def q_ivf_recall(spark, sf):
+    idx = _ivf(spark, sf)
+    queries = label_centroids(spark, sf)
+    approx = vector.ivf_topk_batch(spark, idx, queries, 5, nprobe=2)
+    exact = vector.topk_batch(graphs.text_chunks(spark, sf), vector.collect_queries(queries), 5, VEC_DIM)
+    return vector.recall(approx, exact)
+
+
+@register("ivf_refresh")
+def q_ivf_refresh(spark, sf):
+    root = scratch_path(spark, "ivf-refresh")
+    g = graphs.text_graph(spark, sf)
+    first = vector.ivf_build(g.chunks, root, cells=IVF_CELLS, dim=VEC_DIM)
+    again = vector.ivf_build(g.chunks, root, cells=IVF_CELLS, dim=VEC_DIM)  # exists: reused
+    assert first is not None and again is not None and again.version == first.version
+    # bulk change: chunks of src3 are rewritten without vectors, then rebuild
+    g2 = merge.upsert_chunks(g, chunk_batch(spark, sf))
+    fresh = vector.ivf_build(g2.chunks, root, cells=IVF_CELLS, dim=VEC_DIM, rebuild=True)
+    return fresh.layout(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "version", F.lit(fresh.version))
