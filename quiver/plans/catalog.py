@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quiver.functions.text import prefixed_id
 from quiver.operators import lookup, merge, traverse
@@ -905,3 +906,82 @@ def q_ivf_refresh(spark, sf):
     fresh = vector.ivf_build(g2.chunks, root, cells=IVF_CELLS, dim=VEC_DIM, rebuild=True)
     return fresh.layout(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "version", F.lit(fresh.version))
+
+
+# A8-A12 ingest ---------------------------------------------------------------------
+
+from quiver.operators import ingest  # noqa: E402
+from quiver.sources import files  # noqa: E402
+
+CHUNKS_SQL = """sents AS (
+  SELECT doc_id, t.i AS s_pos, list_filter(string_split_regex(t.s, '\\s+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, unnest(list_transform(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)),
+                                             lambda x, i: {'s': x, 'i': i})) AS t FROM documents)
+),
+pieces AS (
+  SELECT doc_id, s_pos, p, list_slice(w, p * 512 + 1, (p + 1) * 512) AS pw
+  FROM (SELECT doc_id, s_pos, w, unnest(range(0, CAST(ceil(len(w) / 512.0) AS BIGINT))) AS p FROM sents WHERE len(w) > 0)
+),
+pk AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s_pos, p) AS rn, len(pw) AS nw, pw FROM pieces),
+rec(doc_id, rn, chunk_no, cur) AS (
+  SELECT doc_id, rn, 0, nw FROM pk WHERE rn = 1
+  UNION ALL
+  SELECT p.doc_id, p.rn, CASE WHEN r.cur > 0 AND r.cur + p.nw > 512 THEN r.chunk_no + 1 ELSE r.chunk_no END,
+         CASE WHEN r.cur > 0 AND r.cur + p.nw > 512 THEN p.nw ELSE r.cur + p.nw END
+  FROM rec r JOIN pk p ON p.doc_id = r.doc_id AND p.rn = r.rn + 1
+)"""
+
+
+@register("chunk_documents", "WITH RECURSIVE " + CHUNKS_SQL + """
+SELECT r.doc_id, CAST(r.chunk_no AS INTEGER) AS chunk_no, CAST(sum(p.nw) AS INTEGER) AS n_words,
+       string_agg(array_to_string(p.pw, ' '), ' ' ORDER BY r.rn) AS text
+FROM rec r JOIN pk p ON p.doc_id = r.doc_id AND p.rn = r.rn GROUP BY r.doc_id, r.chunk_no""")
+def q_chunk_documents(spark, sf):
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    return ingest.chunk_documents(docs)
+
+
+@register("embed_chunks")
+def q_embed_chunks(spark, sf):
+    chunks = graphs.text_chunks(spark, sf).select("id", "text")
+    e = ingest.embed_chunks(chunks, dim=VEC_DIM)
+    return e.select("id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dims"),
+                    F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+
+
+@register("extract_link_triples", S.with_(S.WEB_LINKS) + "SELECT src, predicate, dst FROM web_links")
+def q_extract_link_triples(spark, sf):
+    return ingest.extract_links(read_table(spark, sf, "pages", "url", "html"), graphs.HREF_PATTERN)
+
+
+@register("cap_triples_per_chunk", """
+WITH h AS (
+  SELECT page_id, t.h AS dst, min(t.i) AS first_pos FROM (
+    SELECT page_id, unnest(list_transform(regexp_extract_all(html, 'href="([^"]+)"', 1), lambda x, i: {'h': x, 'i': i})) AS t
+    FROM pages) GROUP BY page_id, t.h
+)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, dst FROM (
+  SELECT page_id, dst, row_number() OVER (PARTITION BY page_id ORDER BY first_pos) AS pos FROM h) WHERE pos <= 2""")
+def q_cap_triples_per_chunk(spark, sf):
+    out = ingest.cap_links_per_chunk(read_table(spark, sf, "pages", "page_id", "html"), graphs.HREF_PATTERN, 2)
+    return out.select("page_id", F.col("pos").cast("int").alias("pos"), "dst")
+
+
+@register("files_to_documents", """
+SELECT doc_id, text, lang, 'application/json' AS file_type, TRUE AS has_file FROM documents""")
+def q_files_to_documents(spark, sf):
+    path = scratch_path(spark, "docs-json")
+    docs = read_table(spark, sf, "documents", "doc_id", "text", "lang")
+    docs.write.mode("overwrite").partitionBy("lang").json(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                           T.StructField("lang", T.StringType())])
+    d = files.read_json_documents(spark, path, schema)
+    return d.select("doc_id", "text", "lang", "file_type",
+                    (F.col("file_name").isNotNull() & (F.col("file_size") > 0)).alias("has_file"))
+
+
+@register("export_edge_list", S.with_(S.STAR_EDGES) + "SELECT src, label, dst FROM star_edges")
+def q_export_edge_list(spark, sf):
+    path = scratch_path(spark, "edge-list")
+    files.export_edge_list(graphs.star_graph(spark, sf).edges, path, "csv")
+    return files.read_edge_list(spark, path, "csv")
