@@ -20,14 +20,15 @@ from quiver.operators.keys import Keys, restrict
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
 
-_HOP = "struct<src_table:string,src:string,label:string,dst_table:string,dst:string>"
+_HOP = ("struct<src_table:string,src:string,label:string,dst_table:string,dst:string,"
+        "triplet_source_id:string>")
 
 
 def walk_edges(graph: PropertyGraph) -> DataFrame:
     """Edges that take part in expansion: label present and not MENTIONS
     (a NULL label fails ``label <> 'MENTIONS'`` under three-valued logic)."""
     return graph.edges.filter(F.col("label") != F.lit(MENTIONS)).select(
-        "src_table", "src", "label", "dst_table", "dst")
+        "src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
 
 
 def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False) -> DataFrame:
@@ -38,7 +39,9 @@ def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False)
     """
     if depth < 1:
         raise ValueError("depth must be >= 1")
-    e = edges.select("src_table", "src", "label", "dst_table", "dst")
+    if "triplet_source_id" not in edges.columns:
+        edges = edges.withColumn("triplet_source_id", F.lit(None).cast("string"))
+    e = edges.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
     frontier = seeds.select(
         "start_table", "start",
         F.col("start_table").alias("cur_table"), F.col("start").alias("cur"),
@@ -57,7 +60,8 @@ def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False)
             F.col("dst_table").alias("cur_table"), F.col("dst").alias("cur"),
             F.concat_ws("|", "path", F.coalesce("label", F.lit("")), "dst").alias("path"),
             F.concat_ws("|", "path_tables", "dst_table").alias("path_tables"),
-            F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst"))
+            F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst",
+                                                  "triplet_source_id"))
                      ).alias("hops_arr"),
             F.concat("visited", F.array(F.concat_ws("\u0001", "dst_table", "dst"))).alias("visited"))
         levels.append(frontier.withColumn("hops", F.lit(hop)))
@@ -82,7 +86,8 @@ def rel_map_paths(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_D
 
 
 def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
-            limit: int = REL_MAP_LIMIT, ignore_rels: Sequence[str] | None = None) -> DataFrame:
+            limit: int = REL_MAP_LIMIT, ignore_rels: Sequence[str] | None = None,
+            with_source: bool = False) -> DataFrame:
     """One triplet per edge of each of the first ``limit`` walks.
 
     Each edge keeps its own endpoints.  ``ignore_rels`` drops edges after the
@@ -103,7 +108,7 @@ def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
                      F.col("name").alias("dst_name"))
     return (hops.join(s, ["src_table", "src"], "left").join(d, ["dst_table", "dst"], "left")
             .select("path", "hop", "src_table", "src", "src_name", "label", "dst_table", "dst",
-                    "dst_name"))
+                    "dst_name", *(["triplet_source_id"] if with_source else [])))
 
 
 def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_DEPTH,

@@ -322,24 +322,26 @@ def _paths_oracle(seed_sql: str, depth: int, limit: int, edges: str = "star_edge
                   extra: tuple = (S.STAR_ENTITIES, S.STAR_EDGES)) -> str:
     levels = [f"""p1 AS (SELECT s.start_table, s.start, 1 AS hops, s.start || '|' || e.label || '|' || e.dst AS path,
        s.start_table || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur,
-       e.src_table AS s1t, e.src AS s1, e.label AS l1, e.dst_table AS d1t, e.dst AS d1
+       e.src_table AS s1t, e.src AS s1, e.label AS l1, e.dst_table AS d1t, e.dst AS d1, e.triplet_source_id AS t1
   FROM seeds s JOIN w e ON e.src_table = s.start_table AND e.src = s.start)"""]
-    hop_cols = ["s1t", "s1", "l1", "d1t", "d1"]
+    hop_cols = ["s1t", "s1", "l1", "d1t", "d1", "t1"]
     for h in range(2, depth + 1):
         prev_cols = ", ".join(f"p.{c}" for c in hop_cols)
         levels.append(f"""p{h} AS (SELECT p.start_table, p.start, {h} AS hops, p.path || '|' || e.label || '|' || e.dst AS path,
        p.path_tables || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur, {prev_cols},
-       e.src_table AS s{h}t, e.src AS s{h}, e.label AS l{h}, e.dst_table AS d{h}t, e.dst AS d{h}
+       e.src_table AS s{h}t, e.src AS s{h}, e.label AS l{h}, e.dst_table AS d{h}t, e.dst AS d{h},
+       e.triplet_source_id AS t{h}
   FROM p{h - 1} p JOIN w e ON e.src_table = p.cur_table AND e.src = p.cur)""")
-        hop_cols += [f"s{h}t", f"s{h}", f"l{h}", f"d{h}t", f"d{h}"]
+        hop_cols += [f"s{h}t", f"s{h}", f"l{h}", f"d{h}t", f"d{h}", f"t{h}"]
     union = []
     for h in range(1, depth + 1):
         cols = []
         for k in range(1, depth + 1):
-            for c in (f"s{k}t", f"s{k}", f"l{k}", f"d{k}t", f"d{k}"):
+            for c in (f"s{k}t", f"s{k}", f"l{k}", f"d{k}t", f"d{k}", f"t{k}"):
                 cols.append(c if k <= h else f"NULL AS {c}")
         union.append(f"SELECT start_table, start, hops, path, path_tables, {', '.join(cols)} FROM p{h}")
-    body = ",\n".join([f"w AS (SELECT src_table, src, label, dst_table, dst FROM {edges} WHERE {edge_filter})",
+    body = ",\n".join([f"w AS (SELECT src_table, src, label, dst_table, dst, triplet_source_id FROM {edges} "
+                        f"WHERE {edge_filter})",
                        seed_sql] + levels)
     return S.with_(*extra, body) + f""",
 paths AS (SELECT * FROM ({' UNION ALL '.join(union)}) ORDER BY path, path_tables LIMIT {limit})
@@ -395,7 +397,8 @@ def q_rel_map_all(spark, sf):
 def _triple_paths_oracle(depth: int, limit: int) -> str:
     seeds = """seeds AS (SELECT 'n' AS start_table, id AS start FROM chain_nodes
   WHERE id IN (SELECT 'c:' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'))"""
-    w = "chain_w AS (SELECT 'n' AS src_table, src, predicate AS label, 'n' AS dst_table, dst FROM chain_links)"
+    w = ("chain_w AS (SELECT 'n' AS src_table, src, predicate AS label, 'n' AS dst_table, dst, "
+         "CAST(NULL AS VARCHAR) AS triplet_source_id FROM chain_links)")
     return _paths_oracle(seeds, depth, limit, edges="chain_w", edge_filter="TRUE",
                          extra=(S.CHAIN_LINKS, w)) + "SELECT start AS subj, hops, path FROM paths"
 
@@ -985,3 +988,121 @@ def q_export_edge_list(spark, sf):
     path = scratch_path(spark, "edge-list")
     files.export_edge_list(graphs.star_graph(spark, sf).edges, path, "csv")
     return files.read_edge_list(spark, path, "csv")
+
+
+# R1-R6 retrieval -------------------------------------------------------------------
+
+from quiver.operators import retrieve  # noqa: E402
+
+_TEXT_ALL = (S.TEXT_CHUNKS, S.TEXT_ENTITIES, S.TEXT_EDGES, S.TEXT_MENTIONS, CENTROIDS_SQL)
+
+HITS_SQL = """hits AS (
+  SELECT id, text, sim, row_number() OVER (ORDER BY sim DESC, id) AS rank FROM (
+    SELECT id, text, list_cosine_similarity(embedding, (SELECT vec FROM centroids WHERE qid = 1)) AS sim FROM vec_chunks)
+  ORDER BY sim DESC, id LIMIT 5
+)"""
+
+HIT_ENTITIES_SQL = """hit_entities AS (
+  SELECT m.chunk_id, m.entity_table, m.entity_id, e.name FROM text_mentions m
+  JOIN text_entities e ON e.node_table = m.entity_table AND e.id = m.entity_id
+  WHERE m.chunk_id IN (SELECT id FROM hits)
+)"""
+
+
+@register("entities_of_chunks", S.with_(*_TEXT_ALL, HITS_SQL, HIT_ENTITIES_SQL) +
+          "SELECT chunk_id, entity_table, entity_id, name FROM hit_entities")
+def q_entities_of_chunks(spark, sf):
+    g = graphs.text_graph(spark, sf)
+    hits = vector.topk(g.chunks, label_query(spark, sf), 5, VEC_DIM)
+    return retrieve.entities_of_chunks(g, hits)
+
+
+_HYBRID_SEEDS = """seeds AS (
+  SELECT n.node_table AS start_table, n.id AS start FROM (
+    SELECT node_table, id FROM text_entities UNION ALL SELECT 'Chunk', id FROM text_chunks) n
+  WHERE n.id IN (SELECT entity_id FROM hit_entities))"""
+
+
+def _hybrid_sql() -> str:
+    base = _paths_oracle(_HYBRID_SEEDS, 2, 30, edges="text_edges", extra=(*_TEXT_ALL, HITS_SQL, HIT_ENTITIES_SQL))
+    trip = " UNION ALL ".join(
+        f"SELECT path, {k} AS hop, s{k}t AS st, s{k} AS src, l{k} AS label, d{k}t AS dt, d{k} AS dst, t{k} AS tsid "
+        f"FROM paths WHERE hops >= {k}" for k in (1, 2))
+    return base + f""",
+trip AS ({trip}),
+named AS (SELECT t.*, sn.name AS src_name, dn.name AS dst_name FROM trip t
+          LEFT JOIN text_entities sn ON sn.node_table = t.st AND sn.id = t.src
+          LEFT JOIN text_entities dn ON dn.node_table = t.dt AND dn.id = t.dst),
+g AS (SELECT tsid AS node_id, 1 AS origin_rank, row_number() OVER (ORDER BY path, hop) AS pos,
+             CAST(NULL AS DOUBLE) AS score, concat_ws(' ', src_name, label, dst_name) AS text
+      FROM named WHERE tsid IS NOT NULL),
+v AS (SELECT id AS node_id, 0 AS origin_rank, rank AS pos, sim AS score, text FROM hits),
+both_ AS (SELECT * FROM v UNION ALL SELECT * FROM g)
+SELECT node_id, CASE WHEN origin_rank = 0 THEN 'vector' ELSE 'graph' END AS origin, pos, round(score, 6) AS score, text
+FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY origin_rank, pos) AS rn FROM both_) WHERE rn = 1"""
+
+
+def _hybrid(spark, sf_dir):
+    g = graphs.text_graph(spark, sf_dir)
+    out = retrieve.hybrid_retrieve(g, label_query(spark, sf_dir), 5, 2, 30)
+    return out.select("node_id", "origin", "pos", F.round("score", 6).alias("score"), "text")
+
+
+register("hybrid_retrieve", _hybrid_sql())(_hybrid)
+
+
+def keyword_frame(spark, sf) -> DataFrame:
+    """Keywords: nations of AMERICA and suppliers in debt, lower-cased."""
+    n = read_table(spark, sf, "nation", "n_name", "n_regionkey")
+    r = read_table(spark, sf, "region", "r_regionkey", "r_name").filter(F.col("r_name") == "AMERICA")
+    s = read_table(spark, sf, "supplier", "s_name", "s_acctbal").filter(F.col("s_acctbal") < 0)
+    return (n.join(r, n.n_regionkey == r.r_regionkey).select(F.lower("n_name").alias("kw"))
+            .unionByName(s.select(F.lower("s_name").alias("kw"))))
+
+
+_KW_SEEDS = """seeds AS (SELECT node_table AS start_table, id AS start FROM star_entities WHERE lower(name) IN (
+  SELECT lower(n_name) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'AMERICA'
+  UNION SELECT lower(s_name) FROM supplier WHERE s_acctbal < 0))"""
+
+
+@register("keyword_retrieve", _paths_oracle(_KW_SEEDS, 2, 30) + _hops_sql(2))
+def q_keyword_retrieve(spark, sf):
+    return retrieve.keyword_retrieve(graphs.star_graph(spark, sf), keyword_frame(spark, sf), 2, 30)
+
+
+TEXT_TRIPLETS_SQL = """text_triplets AS (
+  SELECT e.src_table, e.src, s.name AS src_name, e.label, e.dst_table, e.dst, d.name AS dst_name, e.triplet_source_id
+  FROM text_edges e JOIN text_entities s ON s.node_table = e.src_table AND s.id = e.src
+  JOIN text_entities d ON d.node_table = e.dst_table AND d.id = e.dst
+  WHERE s.label IS NOT NULL AND s.label <> 'text_chunk'
+)"""
+
+
+@register("triplets_with_text", S.with_(*_TEXT_ALL, TEXT_TRIPLETS_SQL) + """
+SELECT t.src, t.label, t.dst, t.triplet_source_id, c.text AS source_text
+FROM (SELECT * FROM text_triplets ORDER BY src, label, dst, src_table, dst_table LIMIT 100) t
+LEFT JOIN text_chunks c ON c.id = t.triplet_source_id""")
+def q_triplets_with_text(spark, sf):
+    g = graphs.text_graph(spark, sf)
+    return retrieve.with_source_text(g, lookup.triplets(g)).select(
+        "src", "label", "dst", "triplet_source_id", "source_text")
+
+
+def spanish_long_sources(spark, sf) -> DataFrame:
+    d = read_table(spark, sf, "documents", "source", "lang", "n_chars")
+    return d.filter((F.col("lang") == "es") & (F.col("n_chars") > 5000)).select(F.col("source").alias("name")).distinct()
+
+
+@register("hybrid_triplets", S.with_(*_TEXT_ALL, TEXT_TRIPLETS_SQL) + """
+SELECT DISTINCT src, label, dst FROM (
+  SELECT * FROM (
+    SELECT t.src, t.label, t.dst, list_cosine_similarity(c.embedding, (SELECT vec FROM centroids WHERE qid = 1)) AS sim
+    FROM text_triplets t JOIN vec_chunks c ON c.id = t.triplet_source_id
+    ORDER BY sim DESC, src, label, dst LIMIT 5)
+  UNION ALL
+  SELECT * FROM (SELECT src, label, dst, NULL FROM text_triplets
+                 WHERE src_name IN (SELECT source FROM documents WHERE lang = 'es' AND n_chars > 5000)
+                 ORDER BY src, label, dst, src_table, dst_table LIMIT 100))""")
+def q_hybrid_triplets(spark, sf):
+    g = graphs.text_graph(spark, sf)
+    return retrieve.hybrid_triplets(g, label_query(spark, sf), spanish_long_sources(spark, sf), 5)
