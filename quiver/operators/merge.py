@@ -21,15 +21,16 @@ from quiver.operators.keys import Keys, all_true, key_frame
 SEQ = "seq"
 
 
-def latest_by_key(batch: DataFrame, keys: list[str], seq: str = SEQ) -> DataFrame:
+def latest_by_key(batch: DataFrame, keys: list[str], seq: str = SEQ, keep_seq: bool = False) -> DataFrame:
     """One row per key: the one with the highest ``seq`` (ties broken on all
     other columns, so the result never depends on task order)."""
     other = [c for c in batch.columns if c not in keys and c != seq]
-    if not other:
+    vals = other + ([seq] if keep_seq else [])
+    if not vals:
         return batch.select(*keys).distinct()
     order = F.struct(F.col(seq), *[F.col(c) for c in other])
     return (batch.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in other]), order).alias("_v"))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in vals]), order).alias("_v"))
             .select(*keys, "_v.*"))
 
 

@@ -1106,3 +1106,41 @@ SELECT DISTINCT src, label, dst FROM (
 def q_hybrid_triplets(spark, sf):
     g = graphs.text_graph(spark, sf)
     return retrieve.hybrid_triplets(g, label_query(spark, sf), spanish_long_sources(spark, sf), 5)
+
+
+# B12 streaming, C9-C11 property helpers -----------------------------------------
+
+from quiver.functions import props  # noqa: E402
+from quiver.streaming import incremental  # noqa: E402
+
+
+@register("stream_upsert_edges", """
+SELECT 'u:' || CAST(user_id AS VARCHAR) AS src, event_type AS label, 't:' || event_type AS dst,
+       arg_max(value, ts) AS value
+FROM events GROUP BY user_id, event_type""")
+def q_stream_upsert_edges(spark, sf):
+    state = incremental.run_event_stream(spark, sf, scratch_path(spark, "event-state"),
+                                         scratch_path(spark, "event-ckpt"), glob="events.parquet")
+    return state.select("src", "label", "dst", "value")
+
+
+PROP_KEYS = ["creation_date", "file_name", "file_path", "file_size", "file_type", "last_modified_date", "ref_doc_id"]
+
+
+@register("compact_props", S.with_(S.TEXT_CHUNKS) + """
+SELECT id, concat_ws(';',
+  'file_name=' || nullif(file_name, ''), 'file_size=' || nullif(CAST(file_size AS VARCHAR), ''),
+  'file_type=' || nullif(file_type, ''), 'ref_doc_id=' || nullif(ref_doc_id, '')) AS props
+FROM text_chunks""")
+def q_compact_props(spark, sf):
+    c = graphs.text_chunks(spark, sf)
+    m = props.compact(props.props_map(PROP_KEYS), drop=["file_path"])
+    return c.select("id", props.render(m).alias("props"))
+
+
+@register("sanitize_output", S.with_(S.TEXT_CHUNKS) + """
+SELECT id, text, label, CAST(NULL AS DATE) AS creation_date, CAST(NULL AS DATE) AS last_modified_date, file_name,
+       file_path, file_size, file_type, ref_doc_id FROM text_chunks""")
+def q_sanitize_output(spark, sf):
+    c = graphs.text_chunks(spark, sf).withColumn("_internal_rank", F.lit(1))
+    return props.sanitize(c)
