@@ -45,17 +45,26 @@ def label_scan(graph: PropertyGraph, node_table: str) -> DataFrame:
     return graph.entities.filter(F.col("node_table") == F.lit(node_table))
 
 
+TRIPLET_ORDER = ["src", "label", "dst", "src_table", "dst_table"]
+
+
 def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
              ids: Keys = None, limit: int | None = TRIPLET_LIMIT) -> DataFrame:
     """(source)-[relation]->(target) rows; all given filters are ANDed.
 
     Sources must be entities with a non-NULL label other than the chunk label;
-    both filters apply before the limit, and the limit follows a total order so
-    the answer is deterministic.
+    filters apply before the limit, and the limit follows a total order so the
+    answer is deterministic.
+
+    With a limit the edge table is never shuffled: the first ``k`` edges in
+    order are found with a per-task top-k, checked against the entities with
+    a broadcast of those ``k`` candidates, and ``k`` grows only if fewer than
+    ``limit`` pass (exact: later edges sort after every candidate).
     """
     src = graph.entities.filter(
         (F.col("node_table") != F.lit(CHUNK_TABLE)) & F.col("label").isNotNull()
         & (F.col("label") != F.lit(CHUNK_LABEL)))
+    filtered = entity_names is not None or ids is not None
     src = restrict(src, "name", entity_names)
     src = restrict(src, "id", ids)
     src = src.select(F.col("node_table").alias("src_table"), F.col("id").alias("src"),
@@ -64,12 +73,21 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
                                 F.col("name").alias("dst_name"))
     e = restrict(graph.edges, "label", relation_names)
     e = e.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
-    out = (e.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
-           .select("src_table", "src", "src_name", "label", "dst_table", "dst", "dst_name",
-                   "triplet_source_id"))
-    if limit is not None:
-        out = out.orderBy("src", "label", "dst", "src_table", "dst_table").limit(limit)
-    return out
+    cols = ["src_table", "src", "src_name", "label", "dst_table", "dst", "dst_name", "triplet_source_id"]
+    if limit is None:
+        return e.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"]).select(*cols)
+    # a name/id filter is selective: join it first (AQE broadcasts it when small)
+    pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi") if filtered else e
+    k = max(4 * limit, 256)
+    while True:
+        cand = pre.orderBy(*TRIPLET_ORDER).limit(k).cache()
+        n = cand.count()
+        # cand has at most k rows: broadcasting it is a proven bound
+        out = (F.broadcast(cand).join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
+               .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit).cache())
+        if n < k or out.count() >= limit:
+            return out
+        k *= 8
 
 
 def triple_get(tg: TripleGraph, subjects: Keys) -> DataFrame:

@@ -31,43 +31,118 @@ def walk_edges(graph: PropertyGraph) -> DataFrame:
         "src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
 
 
-def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False) -> DataFrame:
-    """All walks of 1..depth hops starting at ``seeds(start_table, start)``.
-
-    Returns start_table, start, hops, path (ids joined by '|'), path_tables and
-    hops_arr (array of hop structs).  ``simple=True`` refuses to revisit a node.
-    """
-    if depth < 1:
-        raise ValueError("depth must be >= 1")
+def _walk_edges(edges: DataFrame) -> DataFrame:
     if "triplet_source_id" not in edges.columns:
         edges = edges.withColumn("triplet_source_id", F.lit(None).cast("string"))
-    e = edges.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
-    frontier = seeds.select(
+    return edges.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
+
+
+def _start(seeds: DataFrame) -> DataFrame:
+    return seeds.select(
         "start_table", "start",
         F.col("start_table").alias("cur_table"), F.col("start").alias("cur"),
-        F.col("start").alias("path"), F.col("start_table").alias("path_tables"),
+        F.array("start").alias("path_seq"), F.array("start_table").alias("tables_seq"),
         F.array().cast(f"array<{_HOP}>").alias("hops_arr"),
-        F.array(F.concat_ws("\u0001", "start_table", "start")).alias("visited"))
+        F.array(F.concat_ws("\u0001", "start_table", "start")).alias("visited"),
+        F.lit(0).alias("hops"))
+
+
+def _step(frontier: DataFrame, e: DataFrame, hop: int, simple: bool) -> DataFrame:
+    step = frontier.join(e, (F.col("cur_table") == F.col("src_table")) & (F.col("cur") == F.col("src")))
+    if simple:
+        step = step.filter(~F.array_contains("visited", F.concat_ws("\u0001", F.col("dst_table"), F.col("dst"))))
+    return step.select(
+        "start_table", "start",
+        F.col("dst_table").alias("cur_table"), F.col("dst").alias("cur"),
+        F.concat("path_seq", F.array(F.coalesce("label", F.lit("")), "dst")).alias("path_seq"),
+        F.concat("tables_seq", F.array("dst_table")).alias("tables_seq"),
+        F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst",
+                                              "triplet_source_id"))).alias("hops_arr"),
+        F.concat("visited", F.array(F.concat_ws("\u0001", "dst_table", "dst"))).alias("visited"),
+        F.lit(hop).alias("hops"))
+
+
+def _finish(df: DataFrame) -> DataFrame:
+    return df.select("start_table", "start", "hops", F.array_join("path_seq", "|").alias("path"),
+                     F.array_join("tables_seq", "|").alias("path_tables"), "path_seq", "tables_seq",
+                     "hops_arr", F.col("cur_table").alias("end_table"), F.col("cur").alias("end"))
+
+
+def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False) -> DataFrame:
+    """Every walk of 1..depth hops from ``seeds(start_table, start)``.
+
+    This materialises all walks (use it when all are wanted); for the first
+    ``limit`` walks use :func:`top_walks`, which never builds the full set.
+    Columns: start_table, start, hops, path ('|'-joined ids and labels),
+    path_tables, path_seq/tables_seq (the sort key), hops_arr, end_table, end.
+    ``simple=True`` refuses to revisit a node.
+    """
+    if depth < 1:
+        raise ValueError("depth must be >= 1")
+    e = _walk_edges(edges)
+    frontier = _start(seeds)
     levels = []
     for hop in range(1, depth + 1):
-        step = frontier.join(
-            e, (F.col("cur_table") == F.col("src_table")) & (F.col("cur") == F.col("src")))
-        if simple:
-            step = step.filter(~F.array_contains(
-                "visited", F.concat_ws("\u0001", F.col("dst_table"), F.col("dst"))))
-        frontier = step.select(
-            "start_table", "start",
-            F.col("dst_table").alias("cur_table"), F.col("dst").alias("cur"),
-            F.concat_ws("|", "path", F.coalesce("label", F.lit("")), "dst").alias("path"),
-            F.concat_ws("|", "path_tables", "dst_table").alias("path_tables"),
-            F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst",
-                                                  "triplet_source_id"))
-                     ).alias("hops_arr"),
-            F.concat("visited", F.array(F.concat_ws("\u0001", "dst_table", "dst"))).alias("visited"))
-        levels.append(frontier.withColumn("hops", F.lit(hop)))
-    out = reduce(DataFrame.unionByName, levels)
-    return out.select("start_table", "start", "hops", "path", "path_tables", "hops_arr",
-                      F.col("cur_table").alias("end_table"), F.col("cur").alias("end"))
+        frontier = _step(frontier, e, hop, simple)
+        levels.append(frontier)
+    return _finish(reduce(DataFrame.unionByName, levels))
+
+
+ORDER = ["path_seq", "tables_seq"]
+
+
+def _top_from(cand: DataFrame, e: DataFrame, depth: int, limit: int, simple: bool) -> DataFrame:
+    """First ``limit`` walks from a bounded candidate seed set.
+
+    A walk sorts right before its own extensions, so a walk that is not among
+    the first ``limit`` of its length cannot lead to one of the first
+    ``limit`` overall: each hop keeps only ``limit`` rows.  Those are
+    broadcast against a scan of the edges (no shuffle of the edge table).
+    """
+    frontier = _start(cand).cache()
+    kept = []
+    for hop in range(1, depth + 1):
+        # runtime filter: only edge tables whose source type is in the frontier
+        # (prunes union branches / snapshot row groups by src_table)
+        tables = [r[0] for r in frontier.select("cur_table").distinct().collect()]
+        if not tables:
+            break
+        # the frontier has at most limit (or candidate-seed) rows: a proven bound
+        nxt = _step(F.broadcast(frontier), e.filter(F.col("src_table").isin(tables)), hop, simple)
+        top = nxt.orderBy(*ORDER).limit(limit).cache()
+        kept.append(top)
+        frontier = top
+    if not kept:
+        return _step(_start(cand), e, 1, simple).limit(0)
+    return reduce(DataFrame.unionByName, kept).orderBy(*ORDER).limit(limit)
+
+
+def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple: bool = False,
+              seeds_bounded: bool = False, first_batch: int | None = None) -> DataFrame:
+    """The first ``limit`` walks (1..depth hops) in (path_seq, tables_seq) order.
+
+    Exact.  Walks from a smaller start id sort first, so seeds are taken in id
+    order in growing batches (each batch a bounded, broadcast set found with a
+    per-task top-k, no shuffle) until the batch yields ``limit`` walks or the
+    seeds run out.  ``seeds_bounded`` (a driver-side list) skips the batching.
+    """
+    if depth < 1:
+        raise ValueError("depth must be >= 1")
+    e = _walk_edges(edges)
+    if seeds_bounded:
+        return _finish(_top_from(seeds, e, depth, limit, simple))
+    k = first_batch or max(limit, 64)
+    while True:
+        head = seeds.select("start").orderBy("start").limit(k).agg(
+            F.count(F.lit(1)).alias("n"), F.max("start").alias("cut")).first()
+        if head["n"] == 0:
+            return _finish(_top_from(seeds.limit(0), e, depth, limit, simple))
+        exhausted = head["n"] < k
+        cand = seeds if exhausted else seeds.filter(F.col("start") <= F.lit(head["cut"]))
+        res = _top_from(cand, e, depth, limit, simple).cache()
+        if exhausted or res.count() >= limit:
+            return _finish(res)
+        k *= 8
 
 
 def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
@@ -80,9 +155,10 @@ def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
 
 def rel_map_paths(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
                   limit: int = REL_MAP_LIMIT, simple: bool = False) -> DataFrame:
-    """The first ``limit`` walks in (path, path_tables) order."""
-    paths = expand(walk_edges(graph), seed_nodes(graph, ids), depth, simple)
-    return paths.orderBy("path", "path_tables").limit(limit)
+    """The first ``limit`` walks in (path_seq, tables_seq) order: hop tuples
+    compared left to right, a walk before its extensions."""
+    bounded = ids is not None and not isinstance(ids, DataFrame)
+    return top_walks(walk_edges(graph), seed_nodes(graph, ids), depth, limit, simple, seeds_bounded=bounded)
 
 
 def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
@@ -119,9 +195,9 @@ def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_
                             F.col("predicate").alias("label"), F.lit("n").alias("dst_table"), "dst")
     seeds = restrict(tg.nodes, "id", subjects).select(
         F.lit("n").alias("start_table"), F.col("id").alias("start"))
-    paths = expand(links, seeds, depth)
-    return (paths.orderBy("path").limit(limit)
-            .select(F.col("start").alias("subj"), "hops", "path"))
+    bounded = subjects is not None and not isinstance(subjects, DataFrame)
+    paths = top_walks(links, seeds, depth, limit, seeds_bounded=bounded)
+    return paths.select(F.col("start").alias("subj"), "hops", "path")
 
 
 def triple_rel_map_grouped(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_DEPTH,

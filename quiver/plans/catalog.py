@@ -322,6 +322,7 @@ def _paths_oracle(seed_sql: str, depth: int, limit: int, edges: str = "star_edge
                   extra: tuple = (S.STAR_ENTITIES, S.STAR_EDGES)) -> str:
     levels = [f"""p1 AS (SELECT s.start_table, s.start, 1 AS hops, s.start || '|' || e.label || '|' || e.dst AS path,
        s.start_table || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur,
+       [s.start, e.label, e.dst] AS seq, [s.start_table, e.dst_table] AS tseq,
        e.src_table AS s1t, e.src AS s1, e.label AS l1, e.dst_table AS d1t, e.dst AS d1, e.triplet_source_id AS t1
   FROM seeds s JOIN w e ON e.src_table = s.start_table AND e.src = s.start)"""]
     hop_cols = ["s1t", "s1", "l1", "d1t", "d1", "t1"]
@@ -329,6 +330,7 @@ def _paths_oracle(seed_sql: str, depth: int, limit: int, edges: str = "star_edge
         prev_cols = ", ".join(f"p.{c}" for c in hop_cols)
         levels.append(f"""p{h} AS (SELECT p.start_table, p.start, {h} AS hops, p.path || '|' || e.label || '|' || e.dst AS path,
        p.path_tables || '|' || e.dst_table AS path_tables, e.dst_table AS cur_table, e.dst AS cur, {prev_cols},
+       list_concat(p.seq, [e.label, e.dst]) AS seq, list_concat(p.tseq, [e.dst_table]) AS tseq,
        e.src_table AS s{h}t, e.src AS s{h}, e.label AS l{h}, e.dst_table AS d{h}t, e.dst AS d{h},
        e.triplet_source_id AS t{h}
   FROM p{h - 1} p JOIN w e ON e.src_table = p.cur_table AND e.src = p.cur)""")
@@ -339,12 +341,12 @@ def _paths_oracle(seed_sql: str, depth: int, limit: int, edges: str = "star_edge
         for k in range(1, depth + 1):
             for c in (f"s{k}t", f"s{k}", f"l{k}", f"d{k}t", f"d{k}", f"t{k}"):
                 cols.append(c if k <= h else f"NULL AS {c}")
-        union.append(f"SELECT start_table, start, hops, path, path_tables, {', '.join(cols)} FROM p{h}")
+        union.append(f"SELECT start_table, start, hops, path, path_tables, seq, tseq, {', '.join(cols)} FROM p{h}")
     body = ",\n".join([f"w AS (SELECT src_table, src, label, dst_table, dst, triplet_source_id FROM {edges} "
                         f"WHERE {edge_filter})",
                        seed_sql] + levels)
     return S.with_(*extra, body) + f""",
-paths AS (SELECT * FROM ({' UNION ALL '.join(union)}) ORDER BY path, path_tables LIMIT {limit})
+paths AS (SELECT * FROM ({' UNION ALL '.join(union)}) ORDER BY seq, tseq LIMIT {limit})
 """
 
 

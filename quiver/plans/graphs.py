@@ -22,7 +22,7 @@ from quiver.functions.text import prefixed_id
 from quiver.model import (CHUNK_LABEL, CHUNK_SCHEMA, EDGE_SCHEMA, ENTITY_SCHEMA,
                           MENTION_SCHEMA, PropertyGraph, TripleGraph, conform, rel_table_name)
 from quiver.operators import merge
-from quiver.sources.tables import read_table
+from quiver.sources.tables import read_table, sql_on_tables
 
 # The relationship schema of the star graph.
 STAR_SCHEMA = (
@@ -39,50 +39,56 @@ TEXT_SCHEMA = (("SOURCE", "PUBLISHES_IN", "LANGUAGE"),)
 EMBED_DIM = 64
 
 
-def _ent(df: DataFrame, table: str, prefix: str, key: str, name: str | None) -> DataFrame:
-    ident = prefixed_id(prefix, F.col(key))
-    return conform(df.select(
-        F.lit(table).alias("node_table"), ident.alias("id"),
-        (F.col(name) if name else ident).alias("name"), F.lit(table).alias("label")), ENTITY_SCHEMA)
+def _sid(prefix: str, col: str) -> str:
+    return f"concat('{prefix}', CAST({col} AS STRING))"
 
 
-def _edge(df: DataFrame, head: str, rel: str, tail: str, sp: str, skey: str,
-          dp: str, dkey: str, distinct: bool = False) -> DataFrame:
-    e = df.select(prefixed_id(sp, F.col(skey)).alias("src"), prefixed_id(dp, F.col(dkey)).alias("dst"))
-    if distinct:
-        e = e.distinct()
-    return conform(e.select(
-        F.lit(head).alias("src_table"), "src", F.lit(rel_table_name(head, rel, tail)).alias("rel_table"),
-        F.lit(rel).alias("label"), F.lit(tail).alias("dst_table"), "dst"), EDGE_SCHEMA)
+# Each builder is one SQL statement: one analysis pass for the whole plan.
+# DISTINCT runs on the integer keys, before the string ids are formed.
+STAR_ENTITIES_SQL = f"""
+SELECT 'CUSTOMER' AS node_table, {_sid('c:', 'c_custkey')} AS id, c_name AS name, 'CUSTOMER' AS label FROM {{customer}}
+UNION ALL SELECT 'ORDER', {_sid('o:', 'o_orderkey')}, {_sid('o:', 'o_orderkey')}, 'ORDER' FROM {{orders}}
+UNION ALL SELECT 'PART', {_sid('p:', 'p_partkey')}, p_name, 'PART' FROM {{part}}
+UNION ALL SELECT 'SUPPLIER', {_sid('s:', 's_suppkey')}, s_name, 'SUPPLIER' FROM {{supplier}}
+UNION ALL SELECT 'NATION', {_sid('n:', 'n_nationkey')}, n_name, 'NATION' FROM {{nation}}
+UNION ALL SELECT 'REGION', {_sid('r:', 'r_regionkey')}, r_name, 'REGION' FROM {{region}}
+"""
+
+STAR_EDGES_SQL = f"""
+SELECT 'CUSTOMER' AS src_table, {_sid('c:', 'o_custkey')} AS src, 'CUSTOMER_PLACED_ORDER' AS rel_table,
+       'PLACED' AS label, 'ORDER' AS dst_table, {_sid('o:', 'o_orderkey')} AS dst FROM {{orders}}
+UNION ALL SELECT 'ORDER', {_sid('o:', 'l_orderkey')}, 'ORDER_CONTAINS_PART', 'CONTAINS', 'PART', {_sid('p:', 'l_partkey')}
+  FROM (SELECT DISTINCT l_orderkey, l_partkey FROM {{lineitem}})
+UNION ALL SELECT 'SUPPLIER', {_sid('s:', 'l_suppkey')}, 'SUPPLIER_SUPPLIES_PART', 'SUPPLIES', 'PART', {_sid('p:', 'l_partkey')}
+  FROM (SELECT DISTINCT l_suppkey, l_partkey FROM {{lineitem}})
+UNION ALL SELECT 'CUSTOMER', {_sid('c:', 'c_custkey')}, 'CUSTOMER_LIVES_IN_NATION', 'LIVES_IN', 'NATION', {_sid('n:', 'c_nationkey')}
+  FROM {{customer}}
+UNION ALL SELECT 'SUPPLIER', {_sid('s:', 's_suppkey')}, 'SUPPLIER_BASED_IN_NATION', 'BASED_IN', 'NATION', {_sid('n:', 's_nationkey')}
+  FROM {{supplier}}
+UNION ALL SELECT 'NATION', {_sid('n:', 'n_nationkey')}, 'NATION_IN_REGION_REGION', 'IN_REGION', 'REGION', {_sid('r:', 'n_regionkey')}
+  FROM {{nation}}
+"""
+
+CHAIN_LINKS_SQL = f"""
+SELECT {_sid('c:', 'o_custkey')} AS src, 'PLACED' AS predicate, {_sid('o:', 'o_orderkey')} AS dst FROM {{orders}}
+UNION ALL SELECT {_sid('o:', 'l_orderkey')}, 'CONTAINS', {_sid('p:', 'l_partkey')}
+  FROM (SELECT DISTINCT l_orderkey, l_partkey FROM {{lineitem}})
+UNION ALL SELECT {_sid('p:', 'l_partkey')}, 'SUPPLIED_BY', {_sid('s:', 'l_suppkey')}
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {{lineitem}})
+UNION ALL SELECT {_sid('s:', 's_suppkey')}, 'BASED_IN', {_sid('n:', 's_nationkey')} FROM {{supplier}}
+UNION ALL SELECT {_sid('c:', 'c_custkey')}, 'LIVES_IN', {_sid('n:', 'c_nationkey')} FROM {{customer}}
+UNION ALL SELECT {_sid('n:', 'n_nationkey')}, 'IN_REGION', {_sid('r:', 'n_regionkey')} FROM {{nation}}
+"""
+
+STAR_TABLES = ("customer", "orders", "part", "supplier", "nation", "region", "lineitem")
 
 
 def star_entities(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [
-        _ent(read_table(spark, sf, "customer", "c_custkey", "c_name"), "CUSTOMER", "c:", "c_custkey", "c_name"),
-        _ent(read_table(spark, sf, "orders", "o_orderkey"), "ORDER", "o:", "o_orderkey", None),
-        _ent(read_table(spark, sf, "part", "p_partkey", "p_name"), "PART", "p:", "p_partkey", "p_name"),
-        _ent(read_table(spark, sf, "supplier", "s_suppkey", "s_name"), "SUPPLIER", "s:", "s_suppkey", "s_name"),
-        _ent(read_table(spark, sf, "nation", "n_nationkey", "n_name"), "NATION", "n:", "n_nationkey", "n_name"),
-        _ent(read_table(spark, sf, "region", "r_regionkey", "r_name"), "REGION", "r:", "r_regionkey", "r_name"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return conform(sql_on_tables(spark, sf, STAR_ENTITIES_SQL, STAR_TABLES), ENTITY_SCHEMA)
 
 
 def star_edges(spark: SparkSession, sf: str) -> DataFrame:
-    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey")
-    parts = [
-        _edge(read_table(spark, sf, "orders", "o_custkey", "o_orderkey"),
-              "CUSTOMER", "PLACED", "ORDER", "c:", "o_custkey", "o:", "o_orderkey"),
-        _edge(li, "ORDER", "CONTAINS", "PART", "o:", "l_orderkey", "p:", "l_partkey", distinct=True),
-        _edge(li, "SUPPLIER", "SUPPLIES", "PART", "s:", "l_suppkey", "p:", "l_partkey", distinct=True),
-        _edge(read_table(spark, sf, "customer", "c_custkey", "c_nationkey"),
-              "CUSTOMER", "LIVES_IN", "NATION", "c:", "c_custkey", "n:", "c_nationkey"),
-        _edge(read_table(spark, sf, "supplier", "s_suppkey", "s_nationkey"),
-              "SUPPLIER", "BASED_IN", "NATION", "s:", "s_suppkey", "n:", "s_nationkey"),
-        _edge(read_table(spark, sf, "nation", "n_nationkey", "n_regionkey"),
-              "NATION", "IN_REGION", "REGION", "n:", "n_nationkey", "r:", "n_regionkey"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return conform(sql_on_tables(spark, sf, STAR_EDGES_SQL, STAR_TABLES), EDGE_SCHEMA)
 
 
 def star_graph(spark: SparkSession, sf: str) -> PropertyGraph:
@@ -91,22 +97,7 @@ def star_graph(spark: SparkSession, sf: str) -> PropertyGraph:
 
 
 def chain_links(spark: SparkSession, sf: str) -> DataFrame:
-    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey")
-
-    def lk(df, sp, sk, pred, dp, dk, distinct=False):
-        e = df.select(prefixed_id(sp, F.col(sk)).alias("src"), F.lit(pred).alias("predicate"),
-                      prefixed_id(dp, F.col(dk)).alias("dst"))
-        return e.distinct() if distinct else e
-
-    parts = [
-        lk(read_table(spark, sf, "orders", "o_custkey", "o_orderkey"), "c:", "o_custkey", "PLACED", "o:", "o_orderkey"),
-        lk(li, "o:", "l_orderkey", "CONTAINS", "p:", "l_partkey", True),
-        lk(li, "p:", "l_partkey", "SUPPLIED_BY", "s:", "l_suppkey", True),
-        lk(read_table(spark, sf, "supplier", "s_suppkey", "s_nationkey"), "s:", "s_suppkey", "BASED_IN", "n:", "s_nationkey"),
-        lk(read_table(spark, sf, "customer", "c_custkey", "c_nationkey"), "c:", "c_custkey", "LIVES_IN", "n:", "c_nationkey"),
-        lk(read_table(spark, sf, "nation", "n_nationkey", "n_regionkey"), "n:", "n_nationkey", "IN_REGION", "r:", "n_regionkey"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return sql_on_tables(spark, sf, CHAIN_LINKS_SQL, STAR_TABLES)
 
 
 def chain_graph(spark: SparkSession, sf: str) -> TripleGraph:
@@ -131,25 +122,29 @@ def web_graph(spark: SparkSession, sf: str) -> TripleGraph:
     return TripleGraph.from_links(web_links(spark, sf))
 
 
+TEXT_CHUNKS_SQL = f"""
+SELECT {_sid('d:', 'd.doc_id')} AS id, d.text, 'text_chunk' AS label, CAST(e.embedding AS ARRAY<DOUBLE>) AS embedding,
+       d.source AS file_name, concat('/', d.source, '/', CAST(d.doc_id AS STRING), '.txt') AS file_path,
+       d.n_chars AS file_size, 'text/plain' AS file_type, CAST(d.doc_id AS STRING) AS ref_doc_id
+FROM {{documents}} d LEFT JOIN {{embeddings}} e ON d.doc_id = e.vec_id
+"""
+
+TEXT_ENTITIES_SQL = """
+SELECT 'SOURCE' AS node_table, concat('src:', source) AS id, source AS name, 'SOURCE' AS label
+FROM (SELECT DISTINCT source FROM {documents})
+UNION ALL
+SELECT 'LANGUAGE', concat('lang:', lang), lang, 'LANGUAGE' FROM (SELECT DISTINCT lang FROM {documents})
+"""
+
+TEXT_TABLES = ("documents", "embeddings")
+
+
 def text_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents", "doc_id", "text", "source", "n_chars")
-    emb = read_table(spark, sf, "embeddings", "vec_id", "embedding")
-    j = docs.join(emb, docs.doc_id == emb.vec_id, "left")
-    return conform(j.select(
-        prefixed_id("d:", F.col("doc_id")).alias("id"), "text", F.lit(CHUNK_LABEL).alias("label"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
-        F.col("source").alias("file_name"),
-        F.concat(F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_path"),
-        F.col("n_chars").alias("file_size"), F.lit("text/plain").alias("file_type"),
-        F.col("doc_id").cast("string").alias("ref_doc_id")), CHUNK_SCHEMA)
+    return conform(sql_on_tables(spark, sf, TEXT_CHUNKS_SQL, TEXT_TABLES), CHUNK_SCHEMA)
 
 
 def text_entities(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents", "source", "lang")
-    src = docs.select("source").distinct()
-    lang = docs.select("lang").distinct()
-    return _ent(src, "SOURCE", "src:", "source", "source").unionByName(
-        _ent(lang, "LANGUAGE", "lang:", "lang", "lang"))
+    return conform(sql_on_tables(spark, sf, TEXT_ENTITIES_SQL, TEXT_TABLES), ENTITY_SCHEMA)
 
 
 def text_relations(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,10 +157,16 @@ def text_relations(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("doc_id").alias("seq"))
 
 
-def text_graph(spark: SparkSession, sf: str) -> PropertyGraph:
+def text_graph_base(spark: SparkSession, sf: str) -> PropertyGraph:
+    """Chunks and entities, no edges or mentions yet."""
     g = PropertyGraph.create(spark, TEXT_SCHEMA, structured=True, embed_dim=EMBED_DIM)
-    g = g.with_(entities=text_entities(spark, sf), chunks=text_chunks(spark, sf))
-    return merge.upsert_relations(g, text_relations(spark, sf))
+    return g.with_(entities=text_entities(spark, sf), chunks=text_chunks(spark, sf))
+
+
+def text_graph(spark: SparkSession, sf: str) -> PropertyGraph:
+    """Chunks, entities, and the document relations merged in with
+    ``upsert_relations`` (edges keep the latest triplet source; MENTIONS)."""
+    return merge.upsert_relations(text_graph_base(spark, sf), text_relations(spark, sf))
 
 
 def event_relations(spark: SparkSession, sf: str) -> DataFrame:

@@ -17,8 +17,38 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Resolving a parquet path (listing, footer/schema) costs a driver round trip;
+# the resolved relation is a lazy plan, so it is kept per session and path.
+# No data is cached: every action still scans the files.
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
     return df.select(*cols) if cols else df
+
+
+def table_view(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A temp-view name for the table (registered once per session and path),
+    so graph builders can be declared as one SQL statement."""
+    import hashlib
+    path = table_path(sf_dir, name)
+    view = f"_q{hashlib.sha1(path.encode()).hexdigest()[:10]}_{name}"
+    key = (id(spark._jsparkSession), "view:" + path)
+    if key not in _RELATIONS:
+        df = read_table(spark, sf_dir, name)
+        df.createOrReplaceTempView(view)
+        _RELATIONS[key] = df
+    return view
+
+
+def sql_on_tables(spark: SparkSession, sf_dir: str, sql: str, tables: tuple[str, ...]) -> DataFrame:
+    """Run ``sql`` with ``{table}`` placeholders bound to the input tables."""
+    return spark.sql(sql.format(**{t: table_view(spark, sf_dir, t) for t in tables}))
