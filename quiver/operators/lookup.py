@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quiver.model import CHUNK_LABEL, CHUNK_TABLE, PropertyGraph, TripleGraph
 from quiver.operators.keys import Keys, all_true, restrict
+from quiver.session import materialize
 
 TRIPLET_LIMIT = 100
 
@@ -80,12 +81,15 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
     pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi") if filtered else e
     k = max(4 * limit, 256)
     while True:
-        cand = pre.orderBy(*TRIPLET_ORDER).limit(k).cache()
+        cand = materialize(pre.orderBy(*TRIPLET_ORDER).limit(k))
         n = cand.count()
         # cand has at most k rows: broadcasting it is a proven bound
         out = (F.broadcast(cand).join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
-               .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit).cache())
-        if n < k or out.count() >= limit:
+               .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
+        if n < k:
+            return out
+        out = materialize(out)
+        if out.count() >= limit:
             return out
         k *= 8
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.functions.text import strip, to_date_or_null
+from quiver.session import materialize
 from quiver.model import (CHUNK_SCHEMA, CHUNK_TABLE, EDGE_SCHEMA, ENTITY_SCHEMA,
                           GENERIC_ENTITY, GENERIC_RELATION, LINK_SCHEMA, MENTION_SCHEMA,
                           PropertyGraph, TripleGraph, conform, rel_table_name)
@@ -21,6 +22,14 @@ from quiver.operators.keys import Keys, all_true, key_frame
 SEQ = "seq"
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """Materialise a frame that several branches of one plan read (a batch,
+    its resolution, a victim set).  Without it Catalyst pushes joins into
+    every union branch of the graph and each copy recomputes the batch.  A
+    reliable checkpoint in the shared folder: it survives executor loss."""
+    return materialize(df)
+
+
 def latest_by_key(batch: DataFrame, keys: list[str], seq: str = SEQ, keep_seq: bool = False) -> DataFrame:
     """One row per key: the one with the highest ``seq`` (ties broken on all
     other columns, so the result never depends on task order)."""
@@ -36,7 +45,7 @@ def latest_by_key(batch: DataFrame, keys: list[str], seq: str = SEQ, keep_seq: b
 
 def merge_rows(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str = SEQ) -> DataFrame:
     """Full-row replace by key (NULLs overwrite too)."""
-    latest = latest_by_key(batch, keys, seq)
+    latest = pinned(latest_by_key(batch, keys, seq))
     kept = existing.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest.select(*existing.columns))
 
@@ -146,8 +155,8 @@ def resolve_relations(graph: PropertyGraph, batch: DataFrame) -> tuple[DataFrame
     else:
         ok = cand.filter((F.col("src_table") == GENERIC_ENTITY) & (F.col("dst_table") == GENERIC_ENTITY)) \
                  .withColumn("rel_table", F.lit(GENERIC_RELATION))
-    resolved = ok.select("src_table", F.col("source_id").alias("src"), "rel_table", "label",
-                         "dst_table", F.col("target_id").alias("dst"), "triplet_source_id", SEQ)
+    resolved = pinned(ok.select("src_table", F.col("source_id").alias("src"), "rel_table", "label",
+                                "dst_table", F.col("target_id").alias("dst"), "triplet_source_id", SEQ))
     keys = ["label", "source_id", "target_id", SEQ]
     rejects = rel.join(ok.select(*keys), [rel[k].eqNullSafe(ok[k]) for k in keys], "left_anti")
     return resolved, rejects
@@ -156,10 +165,11 @@ def resolve_relations(graph: PropertyGraph, batch: DataFrame) -> tuple[DataFrame
 EDGE_KEY = ["src_table", "src", "rel_table", "label", "dst_table", "dst"]
 
 
-def upsert_edges(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
+def upsert_edges(graph: PropertyGraph, batch: DataFrame, resolved: DataFrame | None = None) -> PropertyGraph:
     """MERGE on (endpoints, edge table, label); ``triplet_source_id`` is SET
     from the latest relation for that key."""
-    resolved, _ = resolve_relations(graph, batch)
+    if resolved is None:
+        resolved, _ = resolve_relations(graph, batch)
     merged = merge_rows(graph.edges, resolved, EDGE_KEY)
     return graph.with_(edges=merged)
 
@@ -175,9 +185,10 @@ def mentions_for(graph: PropertyGraph, resolved: DataFrame) -> DataFrame:
                        F.col("e.t").alias("entity_table"), F.col("e.i").alias("entity_id"))
 
 
-def link_mentions(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
+def link_mentions(graph: PropertyGraph, batch: DataFrame, resolved: DataFrame | None = None) -> PropertyGraph:
     """Add chunk -> entity MENTIONS for the batch's relations (set semantics)."""
-    resolved, _ = resolve_relations(graph, batch)
+    if resolved is None:
+        resolved, _ = resolve_relations(graph, batch)
     new = mentions_for(graph, resolved).distinct()
     fresh = new.join(graph.mentions, ["chunk_id", "entity_table", "entity_id"], "left_anti")
     return graph.with_(mentions=graph.mentions.unionByName(fresh))
@@ -185,15 +196,16 @@ def link_mentions(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
 
 def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
     """Edges and their MENTIONS in one step (both read the same resolution)."""
-    g = upsert_edges(graph, batch)
-    return link_mentions(g.with_(edges=g.edges), batch)
+    resolved, _ = resolve_relations(graph, batch)
+    g = upsert_edges(graph, batch, resolved)
+    return link_mentions(g, batch, resolved)
 
 
 # ------------------------------------------------------------------ delete
 
 def _detach(graph: PropertyGraph, victims: DataFrame) -> PropertyGraph:
     """Remove nodes ``victims(node_table, id)`` and every edge/mention touching them."""
-    v = victims.select("node_table", "id").distinct()
+    v = pinned(victims.select("node_table", "id").distinct())
     ents = graph.entities.join(v, ["node_table", "id"], "left_anti")
     chunks = graph.chunks.join(
         v.filter(F.col("node_table") == CHUNK_TABLE).select("id"), "id", "left_anti")
@@ -260,7 +272,7 @@ def _link_key_join(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
 
 def triple_upsert(tg: TripleGraph, batch: DataFrame) -> TripleGraph:
     """Insert triples and their endpoint nodes when absent (no-op if present)."""
-    new = conform(batch, LINK_SCHEMA).distinct()
+    new = pinned(conform(batch, LINK_SCHEMA).distinct())
     fresh = _link_key_join(new, tg.links, "left_anti")
     links = tg.links.unionByName(fresh)
     ends = new.select(F.col("src").alias("id")).unionByName(new.select(F.col("dst").alias("id"))).distinct()
@@ -271,7 +283,7 @@ def triple_upsert(tg: TripleGraph, batch: DataFrame) -> TripleGraph:
 def triple_delete(tg: TripleGraph, batch: DataFrame) -> TripleGraph:
     """Delete the triples, then drop each named endpoint left without an edge
     in either direction (even when the triple did not exist)."""
-    dead = conform(batch, LINK_SCHEMA).distinct()
+    dead = pinned(conform(batch, LINK_SCHEMA).distinct())
     links = _link_key_join(tg.links, dead, "left_anti")
     named = dead.select(F.col("src").alias("id")).unionByName(dead.select(F.col("dst").alias("id"))).distinct()
     touched = links.select(F.col("src").alias("id")).unionByName(links.select(F.col("dst").alias("id")))

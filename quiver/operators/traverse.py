@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quiver.model import MENTIONS, PropertyGraph, TripleGraph
 from quiver.operators.keys import Keys, restrict
+from quiver.session import materialize
 
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
@@ -99,7 +100,7 @@ def _top_from(cand: DataFrame, e: DataFrame, depth: int, limit: int, simple: boo
     ``limit`` overall: each hop keeps only ``limit`` rows.  Those are
     broadcast against a scan of the edges (no shuffle of the edge table).
     """
-    frontier = _start(cand).cache()
+    frontier = materialize(_start(cand))
     kept = []
     for hop in range(1, depth + 1):
         # runtime filter: only edge tables whose source type is in the frontier
@@ -109,7 +110,7 @@ def _top_from(cand: DataFrame, e: DataFrame, depth: int, limit: int, simple: boo
             break
         # the frontier has at most limit (or candidate-seed) rows: a proven bound
         nxt = _step(F.broadcast(frontier), e.filter(F.col("src_table").isin(tables)), hop, simple)
-        top = nxt.orderBy(*ORDER).limit(limit).cache()
+        top = materialize(nxt.orderBy(*ORDER).limit(limit))
         kept.append(top)
         frontier = top
     if not kept:
@@ -139,7 +140,7 @@ def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple
             return _finish(_top_from(seeds.limit(0), e, depth, limit, simple))
         exhausted = head["n"] < k
         cand = seeds if exhausted else seeds.filter(F.col("start") <= F.lit(head["cut"]))
-        res = _top_from(cand, e, depth, limit, simple).cache()
+        res = materialize(_top_from(cand, e, depth, limit, simple))
         if exhausted or res.count() >= limit:
             return _finish(res)
         k *= 8
