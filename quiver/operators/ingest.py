@@ -49,22 +49,25 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda p: F.slice(w, p * sz + 1, sz))))
     pieces = F.filter(pieces, lambda p: F.size(p) > 0)
     lens = F.transform(F.col("_pieces"), lambda p: F.size(p))
-    init = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("cur"),
-                    F.array().cast("array<int>").alias("ids"))
+    # greedy pass: carry the running length and the 1-based start of each chunk
+    # (the array grows once per chunk, not once per piece)
+    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"),
+                    F.array().cast("array<int>").alias("starts"))
 
     def step(acc, n):
-        new = (acc["cur"] > 0) & (acc["cur"] + n > sz)
-        chunk = F.when(new, acc["chunk"] + 1).otherwise(acc["chunk"])
-        return F.struct(chunk.alias("chunk"),
-                        F.when(new, n).otherwise(acc["cur"] + n).alias("cur"),
-                        F.concat(acc["ids"], F.array(chunk)).alias("ids"))
+        i = acc["i"] + 1
+        new = (acc["cur"] == 0) | (acc["cur"] + n > sz)
+        return F.struct(F.when(new, n).otherwise(acc["cur"] + n).alias("cur"), i.alias("i"),
+                        F.when(new, F.concat(acc["starts"], F.array(i))).otherwise(acc["starts"]).alias("starts"))
 
     packed = docs.select(id_col, pieces.alias("_pieces")).filter(F.size("_pieces") > 0)
-    packed = packed.select(id_col, "_pieces", F.aggregate(lens, init, step)["ids"].alias("_ids"))
-    z = F.arrays_zip(F.col("_pieces").alias("w"), F.col("_ids").alias("c"))
-    chunks = F.transform(F.sequence(F.lit(0), F.array_max("_ids")), lambda k: F.struct(
-        k.alias("chunk_no"),
-        F.flatten(F.transform(F.filter(z, lambda e: e["c"] == k), lambda e: e["w"])).alias("w")))
+    packed = packed.select(id_col, "_pieces", F.aggregate(lens, init, step)["starts"].alias("_starts"))
+    n_chunks = F.size("_starts")
+    ends = F.concat(F.slice("_starts", 2, F.greatest(n_chunks - 1, F.lit(0))),
+                    F.array(F.size("_pieces") + 1))
+    bounds = F.arrays_zip(F.col("_starts").alias("s"), ends.alias("e"))
+    chunks = F.transform(bounds, lambda b, k: F.struct(
+        k.alias("chunk_no"), F.flatten(F.slice("_pieces", b["s"], b["e"] - b["s"])).alias("w")))
     return (packed.select(id_col, F.explode(chunks).alias("c"))
             .select(id_col, F.col("c.chunk_no").alias("chunk_no"), F.size("c.w").alias("n_words"),
                     F.array_join("c.w", " ").alias("text")))

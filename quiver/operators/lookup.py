@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quiver.model import CHUNK_LABEL, CHUNK_TABLE, PropertyGraph, TripleGraph
 from quiver.operators.keys import Keys, all_true, restrict
-from quiver.session import materialize
 
 TRIPLET_LIMIT = 100
 
@@ -79,18 +78,20 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
         return e.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"]).select(*cols)
     # a name/id filter is selective: join it first (AQE broadcasts it when small)
     pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi") if filtered else e
+    spark = graph.spark
     k = max(4 * limit, 256)
     while True:
-        cand = materialize(pre.orderBy(*TRIPLET_ORDER).limit(k))
-        n = cand.count()
-        # cand has at most k rows: broadcasting it is a proven bound
+        # at most k candidate rows: they come back as a local (broadcast) relation
+        cand_df = pre.orderBy(*TRIPLET_ORDER).limit(k)
+        cand_rows = cand_df.collect()
+        cand = spark.createDataFrame(cand_rows, cand_df.schema)
         out = (F.broadcast(cand).join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
                .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
-        if n < k:
-            return out
-        out = materialize(out)
-        if out.count() >= limit:
+        if len(cand_rows) < k:
             return out
+        out_rows = out.collect()
+        if len(out_rows) >= limit:
+            return spark.createDataFrame(out_rows, out.schema)
         k *= 8
 
 

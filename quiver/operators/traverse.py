@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from quiver.model import MENTIONS, PropertyGraph, TripleGraph
 from quiver.operators.keys import Keys, restrict
-from quiver.session import materialize
 
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
@@ -92,30 +91,59 @@ def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False)
 ORDER = ["path_seq", "tables_seq"]
 
 
-def _top_from(cand: DataFrame, e: DataFrame, depth: int, limit: int, simple: bool) -> DataFrame:
-    """First ``limit`` walks from a bounded candidate seed set.
+# Per-hop results are at most ``limit`` rows (and candidate seeds at most
+# SEED_BATCH_MAX): they go through the driver as rows and come back as a
+# local relation, which keeps each hop to a single Spark job.
+SEED_BATCH_MAX = 1 << 16
+
+
+def _local(spark, rows, schema) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+def _top_from(cand_rows: list, cand_schema, e: DataFrame, depth: int, limit: int, simple: bool):
+    """First ``limit`` walks from a bounded candidate seed set (driver rows).
 
     A walk sorts right before its own extensions, so a walk that is not among
     the first ``limit`` of its length cannot lead to one of the first
     ``limit`` overall: each hop keeps only ``limit`` rows.  Those are
-    broadcast against a scan of the edges (no shuffle of the edge table).
+    broadcast against a scan of the edges (no shuffle of the edge table), and
+    the edges are first filtered to the node tables present in the frontier.
     """
-    frontier = materialize(_start(cand))
-    kept = []
+    spark = e.sparkSession
+    frontier = _start(_local(spark, cand_rows, cand_schema))
+    tables = sorted({r[0] for r in cand_rows})
+    kept: list = []
+    schema = None
     for hop in range(1, depth + 1):
-        # runtime filter: only edge tables whose source type is in the frontier
-        # (prunes union branches / snapshot row groups by src_table)
-        tables = [r[0] for r in frontier.select("cur_table").distinct().collect()]
         if not tables:
             break
-        # the frontier has at most limit (or candidate-seed) rows: a proven bound
         nxt = _step(F.broadcast(frontier), e.filter(F.col("src_table").isin(tables)), hop, simple)
-        top = materialize(nxt.orderBy(*ORDER).limit(limit))
-        kept.append(top)
-        frontier = top
-    if not kept:
-        return _step(_start(cand), e, 1, simple).limit(0)
-    return reduce(DataFrame.unionByName, kept).orderBy(*ORDER).limit(limit)
+        top = nxt.orderBy(*ORDER).limit(limit)
+        schema = top.schema
+        rows = top.collect()
+        if not rows:
+            break
+        kept.extend(rows)
+        tables = sorted({r["cur_table"] for r in rows})
+        frontier = _local(spark, rows, schema)
+    if schema is None:
+        schema = _step(_start(_local(spark, [], cand_schema)), e, 1, simple).schema
+    return kept, schema
+
+
+def _seed_batch(seeds: DataFrame, cut, k: int):
+    """The next seeds in (start, start_table) order after id ``cut``: about
+    ``k`` of them, always whole ids.  Returns (rows, exhausted, last_id)."""
+    b = seeds if cut is None else seeds.filter(F.col("start") > F.lit(cut))
+    rows = b.orderBy("start", "start_table").limit(k + 1).collect()
+    if len(rows) <= k:
+        return [(r["start_table"], r["start"]) for r in rows], True, None
+    last = rows[k - 1]["start"]
+    keep = {(r["start_table"], r["start"]) for r in rows[:k]}
+    if rows[k]["start"] == last:  # the id continues past the batch: take all of it
+        keep |= {(r["start_table"], r["start"]) for r in b.filter(F.col("start") == F.lit(last)).collect()}
+    return sorted(keep, key=lambda t: (t[1], t[0])), False, last
 
 
 def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple: bool = False,
@@ -123,27 +151,28 @@ def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple
     """The first ``limit`` walks (1..depth hops) in (path_seq, tables_seq) order.
 
     Exact.  Walks from a smaller start id sort first, so seeds are taken in id
-    order in growing batches (each batch a bounded, broadcast set found with a
-    per-task top-k, no shuffle) until the batch yields ``limit`` walks or the
-    seeds run out.  ``seeds_bounded`` (a driver-side list) skips the batching.
+    order in growing batches (each a per-task top-k, no shuffle); the walks of
+    a batch all sort before those of the next, so the search stops as soon as
+    ``limit`` walks are found or the seeds run out.  ``seeds_bounded`` (seeds
+    from a driver-side list) takes them in one batch.
     """
     if depth < 1:
         raise ValueError("depth must be >= 1")
+    spark = edges.sparkSession
     e = _walk_edges(edges)
-    if seeds_bounded:
-        return _finish(_top_from(seeds, e, depth, limit, simple))
-    k = first_batch or max(limit, 64)
+    seeds = seeds.select("start_table", "start")
+    k = SEED_BATCH_MAX if seeds_bounded else (first_batch or max(limit, 64))
+    found: list = []
+    schema = None
+    cut = None
     while True:
-        head = seeds.select("start").orderBy("start").limit(k).agg(
-            F.count(F.lit(1)).alias("n"), F.max("start").alias("cut")).first()
-        if head["n"] == 0:
-            return _finish(_top_from(seeds.limit(0), e, depth, limit, simple))
-        exhausted = head["n"] < k
-        cand = seeds if exhausted else seeds.filter(F.col("start") <= F.lit(head["cut"]))
-        res = materialize(_top_from(cand, e, depth, limit, simple))
-        if exhausted or res.count() >= limit:
-            return _finish(res)
-        k *= 8
+        rows, exhausted, cut = _seed_batch(seeds, cut, k)
+        more, schema = _top_from(rows, seeds.schema, e, depth, limit, simple)
+        found.extend(more)
+        if exhausted or len(found) >= limit:
+            break
+        k = min(k * 8, SEED_BATCH_MAX)
+    return _finish(_local(spark, found, schema).orderBy(*ORDER).limit(limit))
 
 
 def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
@@ -228,8 +257,9 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
     def edge_frame(i, a, a_tab, label, b, b_tab):
         e = graph.edges.filter((F.col("src_table") == a_tab) & (F.col("dst_table") == b_tab)
                                & (F.col("label") == label))
-        return e.select(F.col("src").alias(a), F.col("dst").alias(b)).distinct() if a != b else \
-            e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(a)).distinct()
+        # every edge instance matches (parallel edges give separate bindings)
+        return e.select(F.col("src").alias(a), F.col("dst").alias(b)) if a != b else \
+            e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(a))
 
     order: list[str] = []
     for a, _, _, b, _ in pattern:

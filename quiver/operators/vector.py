@@ -116,7 +116,7 @@ def _ivf_versions(spark: SparkSession, root: str) -> list[int]:
     return versions(spark, root)
 
 
-def ivf_build(chunks: DataFrame, root: str, cells: int = 8, seed: int = 42, max_iter: int = 20,
+def ivf_build(chunks: DataFrame, root: str, cells: int = 8, seed: int = 42, max_iter: int = 10,
               dim: int | None = None, rebuild: bool = False) -> IvfIndex | None:
     """Cluster the chunk vectors (cosine k-means) and write the cell layout.
 

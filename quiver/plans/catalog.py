@@ -439,7 +439,7 @@ LOCAL_SUPPLY_CYCLE = [
 
 
 def _edge_sql(label: str) -> str:
-    return f"(SELECT DISTINCT src, dst FROM star_edges WHERE label = '{label}')"
+    return f"(SELECT src, dst FROM star_edges WHERE label = '{label}')"
 
 
 @register("match_two_hop", S.with_(S.STAR_EDGES) + f"""
