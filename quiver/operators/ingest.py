@@ -33,6 +33,14 @@ def words(s: Column) -> Column:
     return F.filter(F.split(s, r"\s+"), lambda w: w != F.lit(""))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a CPU-heavy row-wise job over all task slots when the input
+    has fewer partitions than the session can run (a few large row groups).
+    On a big input (partitions >= slots) this is a no-op: no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = CHUNK_SIZE) -> DataFrame:
     """Greedy packing of whole sentences into chunks of at most ``size`` words.
@@ -60,8 +68,11 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return F.struct(F.when(new, n).otherwise(acc["cur"] + n).alias("cur"), i.alias("i"),
                         F.when(new, F.concat(acc["starts"], F.array(i))).otherwise(acc["starts"]).alias("starts"))
 
-    packed = docs.select(id_col, pieces.alias("_pieces")).filter(F.size("_pieces") > 0)
-    packed = packed.select(id_col, "_pieces", F.aggregate(lens, init, step)["starts"].alias("_starts"))
+    packed = spread(docs).select(id_col, pieces.alias("_pieces")).filter(F.size("_pieces") > 0)
+    total = F.size(F.flatten("_pieces"))
+    # a document that fits in one chunk needs no packing pass
+    starts = F.when(total <= sz, F.array(F.lit(1))).otherwise(F.aggregate(lens, init, step)["starts"])
+    packed = packed.select(id_col, "_pieces", starts.alias("_starts"))
     n_chunks = F.size("_starts")
     ends = F.concat(F.slice("_starts", 2, F.greatest(n_chunks - 1, F.lit(0))),
                     F.array(F.size("_pieces") + 1))

@@ -24,8 +24,10 @@ def key_frame(spark: SparkSession, keys: Keys, col: str) -> DataFrame | None:
     if keys is None:
         return None
     if isinstance(keys, DataFrame):
+        # used only as the right side of semi/anti joins, which never
+        # duplicate rows: no distinct (and no shuffle) needed
         first = keys.columns[0]
-        return keys.select(F.col(first).cast("string").alias(col)).distinct()
+        return keys.select(F.col(first).cast("string").alias(col))
     vals = sorted({str(k) for k in keys})
     schema = T.StructType([T.StructField(col, T.StringType(), False)])
     return F.broadcast(spark.createDataFrame([(v,) for v in vals], schema))

@@ -243,7 +243,10 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
     """Match a chain or cycle motif; one row per binding, one id column per variable.
 
     ``pattern`` is a list of edges ``(a, "A_TABLE", "LABEL", b, "B_TABLE")``; a
-    variable named twice binds the same node, which closes cycles.
+    variable named twice binds the same node, which closes cycles.  The label
+    ``MENTIONS`` (with ``A_TABLE = "Chunk"``) matches chunk -> entity mentions.
+    Variables are bound in first-appearance order, so list the most selective
+    edge first.
 
     Variables are bound one at a time (first-appearance order).  All pattern
     edges between the next variable and already-bound ones are joined on that
@@ -255,8 +258,13 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
         raise ValueError("empty pattern")
 
     def edge_frame(i, a, a_tab, label, b, b_tab):
-        e = graph.edges.filter((F.col("src_table") == a_tab) & (F.col("dst_table") == b_tab)
-                               & (F.col("label") == label))
+        if label == MENTIONS:
+            # the label-less chunk -> entity relation lives in its own table
+            e = graph.mentions.filter((F.lit(a_tab) == F.lit("Chunk")) & (F.col("entity_table") == b_tab)) \
+                              .select(F.col("chunk_id").alias("src"), F.col("entity_id").alias("dst"))
+        else:
+            e = graph.edges.filter((F.col("src_table") == a_tab) & (F.col("dst_table") == b_tab)
+                                   & (F.col("label") == label))
         # every edge instance matches (parallel edges give separate bindings)
         return e.select(F.col("src").alias(a), F.col("dst").alias(b)) if a != b else \
             e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(a))

@@ -1146,3 +1146,33 @@ SELECT id, text, label, CAST(NULL AS DATE) AS creation_date, CAST(NULL AS DATE)
 def q_sanitize_output(spark, sf):
     c = graphs.text_chunks(spark, sf).withColumn("_internal_rank", F.lit(1))
     return props.sanitize(c)
+
+
+# G3, D14 triangle ----------------------------------------------------------------
+
+@register("triple_rel_map_grouped", _triple_paths_oracle(2, 30).replace(
+    "SELECT start AS subj, hops, path FROM paths",
+    "SELECT start AS subj, string_agg(path, ';' ORDER BY path) AS paths FROM paths GROUP BY start"))
+def q_triple_rel_map_grouped(spark, sf):
+    g = traverse.triple_rel_map_grouped(graphs.chain_graph(spark, sf),
+                                        segment_customer_ids(spark, sf, "BUILDING"), 2, 30)
+    return g.select("subj", F.array_join("paths", ";").alias("paths"))
+
+
+# a chunk, the source it mentions and the language it mentions, where the
+# source publishes in that language (the edge between the two entity types first)
+TRIANGLE = [
+    ("s", "SOURCE", "PUBLISHES_IN", "l", "LANGUAGE"),
+    ("c", "Chunk", "MENTIONS", "s", "SOURCE"),
+    ("c", "Chunk", "MENTIONS", "l", "LANGUAGE"),
+]
+
+
+@register("match_triangle", S.with_(S.TEXT_EDGES, S.TEXT_MENTIONS) + """
+SELECT e.src AS s, e.dst AS l, m1.chunk_id AS c
+FROM text_edges e
+JOIN text_mentions m1 ON m1.entity_table = 'SOURCE' AND m1.entity_id = e.src
+JOIN text_mentions m2 ON m2.entity_table = 'LANGUAGE' AND m2.entity_id = e.dst AND m2.chunk_id = m1.chunk_id
+WHERE e.label = 'PUBLISHES_IN'""")
+def q_match_triangle(spark, sf):
+    return traverse.match(graphs.text_graph(spark, sf), TRIANGLE)
