@@ -46,6 +46,8 @@ def label_scan(graph: PropertyGraph, node_table: str) -> DataFrame:
 
 
 TRIPLET_ORDER = ["src", "label", "dst", "src_table", "dst_table"]
+# candidate rows brought to the driver per round; beyond this, one join pass
+CANDIDATE_MAX = 1 << 16
 
 
 def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
@@ -80,7 +82,7 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
     pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi") if filtered else e
     spark = graph.spark
     k = max(4 * limit, 256)
-    while True:
+    while k <= CANDIDATE_MAX:
         # at most k candidate rows: they come back as a local (broadcast) relation
         cand_df = pre.orderBy(*TRIPLET_ORDER).limit(k)
         cand_rows = cand_df.collect()
@@ -93,6 +95,9 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
         if len(out_rows) >= limit:
             return spark.createDataFrame(out_rows, out.schema)
         k *= 8
+    # most edges fail the checks: one exact join pass instead (AQE picks the strategy)
+    return (pre.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
+            .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
 
 
 def triple_get(tg: TripleGraph, subjects: Keys) -> DataFrame:

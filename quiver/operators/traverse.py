@@ -95,14 +95,16 @@ ORDER = ["path_seq", "tables_seq"]
 # SEED_BATCH_MAX): they go through the driver as rows and come back as a
 # local relation, which keeps each hop to a single Spark job.
 SEED_BATCH_MAX = 1 << 16
+MAX_SEED_ROUNDS = 4
 
 
 def _local(spark, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _top_from(cand_rows: list, cand_schema, e: DataFrame, depth: int, limit: int, simple: bool):
-    """First ``limit`` walks from a bounded candidate seed set (driver rows).
+def _top_from(cand_rows, cand_schema, e: DataFrame, depth: int, limit: int, simple: bool):
+    """First ``limit`` walks from a candidate seed set: driver rows (a bounded
+    batch) or, in the sparse-seed fallback, a seed frame.
 
     A walk sorts right before its own extensions, so a walk that is not among
     the first ``limit`` of its length cannot lead to one of the first
@@ -111,14 +113,23 @@ def _top_from(cand_rows: list, cand_schema, e: DataFrame, depth: int, limit: int
     the edges are first filtered to the node tables present in the frontier.
     """
     spark = e.sparkSession
-    frontier = _start(_local(spark, cand_rows, cand_schema))
-    tables = sorted({r[0] for r in cand_rows})
+    if isinstance(cand_rows, DataFrame):
+        # unbounded seed frame: the first hop is an ordinary join (AQE picks
+        # broadcast or shuffle); every later hop starts from <= limit rows
+        frontier = _start(cand_rows)
+        tables = [r[0] for r in cand_rows.select("start_table").distinct().collect()]
+        first_broadcast = False
+    else:
+        frontier = _start(_local(spark, cand_rows, cand_schema))
+        tables = sorted({r[0] for r in cand_rows})
+        first_broadcast = True
     kept: list = []
     schema = None
     for hop in range(1, depth + 1):
         if not tables:
             break
-        nxt = _step(F.broadcast(frontier), e.filter(F.col("src_table").isin(tables)), hop, simple)
+        side = F.broadcast(frontier) if (hop > 1 or first_broadcast) else frontier
+        nxt = _step(side, e.filter(F.col("src_table").isin(tables)), hop, simple)
         top = nxt.orderBy(*ORDER).limit(limit)
         schema = top.schema
         rows = top.collect()
@@ -165,7 +176,15 @@ def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple
     found: list = []
     schema = None
     cut = None
+    rounds = 0
     while True:
+        rounds += 1
+        if rounds > MAX_SEED_ROUNDS:
+            # seeds with walks are sparse: all remaining seeds in one pass
+            rest = seeds if cut is None else seeds.filter(F.col("start") > F.lit(cut))
+            more, schema = _top_from(rest, seeds.schema, e, depth, limit, simple)
+            found.extend(more)
+            break
         rows, exhausted, cut = _seed_batch(seeds, cut, k)
         more, schema = _top_from(rows, seeds.schema, e, depth, limit, simple)
         found.extend(more)

@@ -20,18 +20,27 @@ def table_path(sf_dir: str, name: str) -> str:
 # Resolving a parquet path (listing, footer/schema) costs a driver round trip;
 # the resolved relation is a lazy plan, so it is kept per session and path.
 # No data is cached: every action still scans the files.
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
+def _key(spark: SparkSession, what: str) -> tuple:
+    return (id(spark), spark.sparkContext.applicationId, what)
+
+
+def _memo(spark: SparkSession, what: str) -> DataFrame | None:
+    df = _RELATIONS.get(_key(spark, what))
+    # only reuse a plan made by this very session (ids can be recycled)
+    return df if df is not None and df.sparkSession is spark else None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
-    key = (id(spark._jsparkSession), path)
-    df = _RELATIONS.get(key)
+    df = _memo(spark, path)
     if df is None:
         df = spark.read.parquet(path)
-        _RELATIONS[key] = df
+        _RELATIONS[_key(spark, path)] = df
     return df.select(*cols) if cols else df
 
 
@@ -41,11 +50,10 @@ def table_view(spark: SparkSession, sf_dir: str, name: str) -> str:
     import hashlib
     path = table_path(sf_dir, name)
     view = f"_q{hashlib.sha1(path.encode()).hexdigest()[:10]}_{name}"
-    key = (id(spark._jsparkSession), "view:" + path)
-    if key not in _RELATIONS:
+    if _memo(spark, "view:" + path) is None:
         df = read_table(spark, sf_dir, name)
         df.createOrReplaceTempView(view)
-        _RELATIONS[key] = df
+        _RELATIONS[_key(spark, "view:" + path)] = df
     return view
 
 

@@ -173,3 +173,28 @@ def test_snapshot_roundtrip(spark, tmpdir_path):
     assert snapshots.write_graph(merge.clear(back), root) == 2
     assert snapshots.read_graph(spark, root).entities.count() == 0
     assert snapshots.read_graph(spark, root, 1).entities.count() == 4
+
+
+def test_bounded_loops_fall_back_exactly(spark):
+    """The seed-batch loop and the triplet candidate loop have exact fallbacks."""
+    import quiver.operators.lookup as L
+    import quiver.operators.traverse as T
+    from quiver.plans import catalog, graphs
+    sf = "/root/testdata/sf0.001"
+    g = graphs.star_graph(spark, sf)
+    seeds = catalog.segment_customer_ids(spark, sf, "BUILDING")
+    a = [r["path"] for r in traverse.rel_map_paths(g, seeds, 2, 30).collect()]
+    old_r, old_c = T.MAX_SEED_ROUNDS, L.CANDIDATE_MAX
+    try:
+        T.MAX_SEED_ROUNDS = 0
+        b = [r["path"] for r in traverse.rel_map_paths(g, seeds, 2, 30).collect()]
+        T.MAX_SEED_ROUNDS = 1
+        c = [r["path"] for r in traverse.top_walks(traverse.walk_edges(g), traverse.seed_nodes(g, seeds),
+                                                   2, 30, first_batch=1).select("path").collect()]
+        L.CANDIDATE_MAX = 10
+        x = [tuple(r) for r in lookup.triplets(g).collect()]
+    finally:
+        T.MAX_SEED_ROUNDS, L.CANDIDATE_MAX = old_r, old_c
+    y = [tuple(r) for r in lookup.triplets(g).collect()]
+    assert a == b == c and len(a) == 30
+    assert x == y and len(x) == 100
