@@ -1,10 +1,14 @@
 """Incremental edge building with Structured Streaming.
 
-Each micro-batch of events becomes (user)-[event_type]->(type) edges carrying
-the latest value by event time.  ``foreachBatch`` merges the batch into the
-edge state and writes it as snapshot version ``batch_id + 1``: a batch that is
-replayed after a failure rewrites the same folder, so the result is the same
-(exactly-once effect on top of the checkpointed source offsets).
+Events become (user)-[event_type]->(type) edges carrying the latest value by
+event time.  The latest value per edge is a streaming aggregation
+(``max_by(struct(value, ts), ts)``): Spark keeps it in the checkpointed state
+store, so a micro-batch costs what the batch touches, not what the graph
+holds.  In update mode each micro-batch emits only the edges it changed;
+``foreachBatch`` writes them to ``changes/batch=<id>`` with overwrite, so a
+batch replayed after a failure rewrites the same folder (exactly-once effect
+on top of the checkpointed offsets and state).  The current edge table is the
+latest row per edge across the change folders.
 """
 
 from __future__ import annotations
@@ -32,60 +36,44 @@ def event_edges(events: DataFrame) -> DataFrame:
                          F.concat(F.lit("t:"), F.col("event_type")).alias("dst"), "value", "ts")
 
 
-def merge_latest(existing: DataFrame, batch: DataFrame, keys=KEYS, ts: str = "ts") -> DataFrame:
-    """Keep, per key, the row with the latest ``ts`` across state and batch.
-    Only keys present in the batch are recomputed."""
-    b = latest_by_key(batch, keys, ts, keep_seq=True).select(*existing.columns)
-    touched = existing.join(b.select(*keys), keys, "left_semi")
-    winners = latest_by_key(touched.unionByName(b), keys, ts, keep_seq=True)
-    return existing.join(b.select(*keys), keys, "left_anti").unionByName(winners.select(*existing.columns))
+def latest_edges(edges: DataFrame) -> DataFrame:
+    """Latest value per edge by ts (batch or streaming frame)."""
+    return (edges.groupBy(*KEYS).agg(F.max_by(F.struct("value", "ts"), "ts").alias("v"))
+            .select(*KEYS, F.col("v.value").alias("value"), F.col("v.ts").alias("ts")))
 
 
-def _version_dir(root: str, v: int) -> str:
-    return f"{root.rstrip('/')}/v={v:06d}"
-
-
-def latest_state(spark: SparkSession, root: str) -> DataFrame | None:
-    from quiver.sources.snapshots import versions
-    vs = versions(spark, root)
-    if not vs:
-        return None
-    return spark.read.schema(EDGE_STATE_SCHEMA).parquet(f"{_version_dir(root, vs[-1])}/edges")
-
-
-def _commit(spark: SparkSession, df: DataFrame, root: str, v: int) -> None:
-    d = _version_dir(root, v)
-    df.write.mode("overwrite").partitionBy("label").parquet(f"{d}/edges")
-    spark.createDataFrame([("{}",)], "meta string").coalesce(1).write.mode("overwrite").text(f"{d}/_meta")
+def current_state(spark: SparkSession, root: str) -> DataFrame:
+    """The edge table: latest row per edge over the change folders (and a
+    ``snapshot`` folder, if one was written from an earlier state)."""
+    parts = []
+    for sub in ("snapshot", "changes"):
+        p = f"{root.rstrip('/')}/{sub}"
+        if path_exists(spark, p):
+            parts.append(spark.read.schema(EDGE_STATE_SCHEMA).option("basePath", p).parquet(p)
+                         .select("src", "label", "dst", "value", "ts"))
+    if not parts:
+        return spark.createDataFrame([], EDGE_STATE_SCHEMA)
+    allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return latest_by_key(allrows, KEYS, "ts", keep_seq=True).select("src", "label", "dst", "value", "ts")
 
 
 def run_event_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str,
                      glob: str = "events*.parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """Consume all available event files (``availableNow``) and return the
-    final edge state."""
+    current edge table."""
     reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = event_edges(reader.parquet(source_dir))
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        from quiver.sources.snapshots import versions
-        prior = [v for v in versions(s, state_root) if v <= batch_id]
-        if prior:
-            cur = s.read.schema(EDGE_STATE_SCHEMA).parquet(f"{_version_dir(state_root, prior[-1])}/edges")
-            new = merge_latest(cur, batch)
-        else:
-            new = latest_by_key(batch, KEYS, "ts", keep_seq=True).select("src", "label", "dst", "value", "ts")
-        _commit(s, new, state_root, batch_id + 1)
-
-    q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    latest = latest_edges(event_edges(reader.parquet(source_dir)))
+    changes = f"{state_root.rstrip('/')}/changes"
+
+    def write_changes(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{changes}/batch={batch_id:09d}")
+
+    q = (latest.writeStream.outputMode("update").foreachBatch(write_changes)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    st = latest_state(spark, state_root)
-    if st is None:
-        return spark.createDataFrame([], EDGE_STATE_SCHEMA)
-    return st
+    return current_state(spark, state_root)
 
 
-__all__ = ["EVENT_SCHEMA", "event_edges", "merge_latest", "run_event_stream", "latest_state", "path_exists"]
+__all__ = ["EVENT_SCHEMA", "event_edges", "latest_edges", "run_event_stream", "current_state"]
