@@ -96,6 +96,8 @@ ORDER = ["path_seq", "tables_seq"]
 # local relation, which keeps each hop to a single Spark job.
 SEED_BATCH_MAX = 1 << 16
 MAX_SEED_ROUNDS = 4
+# frontier ids up to this many are also applied as an IN-list on the edge side
+IDS_INLIST_MAX = 4096
 
 
 def _local(spark, rows, schema) -> DataFrame:
@@ -118,10 +120,12 @@ def _top_from(cand_rows, cand_schema, e: DataFrame, depth: int, limit: int, simp
         # broadcast or shuffle); every later hop starts from <= limit rows
         frontier = _start(cand_rows)
         tables = [r[0] for r in cand_rows.select("start_table").distinct().collect()]
+        ids = None
         first_broadcast = False
     else:
         frontier = _start(_local(spark, cand_rows, cand_schema))
         tables = sorted({r[0] for r in cand_rows})
+        ids = sorted({r[1] for r in cand_rows})
         first_broadcast = True
     kept: list = []
     schema = None
@@ -129,7 +133,12 @@ def _top_from(cand_rows, cand_schema, e: DataFrame, depth: int, limit: int, simp
         if not tables:
             break
         side = F.broadcast(frontier) if (hop > 1 or first_broadcast) else frontier
-        nxt = _step(side, e.filter(F.col("src_table").isin(tables)), hop, simple)
+        hop_edges = e.filter(F.col("src_table").isin(tables))
+        if ids is not None and len(ids) <= IDS_INLIST_MAX:
+            # the frontier ids are known: filter the edge side by them too, so
+            # the filter reaches the scans (and goes below DISTINCTs in views)
+            hop_edges = hop_edges.filter(F.col("src").isin(ids))
+        nxt = _step(side, hop_edges, hop, simple)
         top = nxt.orderBy(*ORDER).limit(limit)
         schema = top.schema
         rows = top.collect()
@@ -137,6 +146,7 @@ def _top_from(cand_rows, cand_schema, e: DataFrame, depth: int, limit: int, simp
             break
         kept.extend(rows)
         tables = sorted({r["cur_table"] for r in rows})
+        ids = sorted({r["cur"] for r in rows})
         frontier = _local(spark, rows, schema)
     if schema is None:
         schema = _step(_start(_local(spark, [], cand_schema)), e, 1, simple).schema
@@ -149,7 +159,7 @@ def _seed_batch(seeds: DataFrame, cut, k: int):
     b = seeds if cut is None else seeds.filter(F.col("start") > F.lit(cut))
     rows = b.orderBy("start", "start_table").limit(k + 1).collect()
     if len(rows) <= k:
-        return [(r["start_table"], r["start"]) for r in rows], True, None
+        return sorted({(r["start_table"], r["start"]) for r in rows}, key=lambda t: (t[1], t[0])), True, None
     last = rows[k - 1]["start"]
     keep = {(r["start_table"], r["start"]) for r in rows[:k]}
     if rows[k]["start"] == last:  # the id continues past the batch: take all of it
@@ -239,11 +249,20 @@ def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
 def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_DEPTH,
                    limit: int = REL_MAP_LIMIT) -> DataFrame:
     """Walks in the triple store as ``subj, hops, path`` where path is
-    ``s|p1|n1|p2|...|o``; an empty subject list gives no rows."""
+    ``s|p1|n1|p2|...|o``; an empty subject list gives no rows.
+
+    A walk needs an outgoing link, so the subjects themselves are the seeds
+    (no pass over the node table is needed to check they exist)."""
     links = tg.links.select(F.lit("n").alias("src_table"), "src",
                             F.col("predicate").alias("label"), F.lit("n").alias("dst_table"), "dst")
-    seeds = restrict(tg.nodes, "id", subjects).select(
-        F.lit("n").alias("start_table"), F.col("id").alias("start"))
+    if subjects is None:
+        seeds = tg.nodes.select(F.lit("n").alias("start_table"), F.col("id").alias("start"))
+    elif isinstance(subjects, DataFrame):
+        seeds = subjects.select(F.lit("n").alias("start_table"),
+                                F.col(subjects.columns[0]).cast("string").alias("start"))
+    else:
+        vals = sorted({str(x) for x in subjects})
+        seeds = tg.links.sparkSession.createDataFrame([("n", v) for v in vals], "start_table string, start string")
     bounded = subjects is not None and not isinstance(subjects, DataFrame)
     paths = top_walks(links, seeds, depth, limit, seeds_bounded=bounded)
     return paths.select(F.col("start").alias("subj"), "hops", "path")

@@ -648,7 +648,7 @@ def q_edge_rejects(spark, sf):
 
 @register("link_mentions", S.with_(S.TEXT_MENTIONS) + "SELECT chunk_id, entity_table, entity_id FROM text_mentions")
 def q_link_mentions(spark, sf):
-    return graphs.text_graph(spark, sf).mentions
+    return merge.link_mentions(graphs.text_graph_base(spark, sf), graphs.text_relations(spark, sf)).mentions
 
 
 def _graph_rows_sql(entities: str, edges: str) -> str:

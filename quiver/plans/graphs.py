@@ -136,6 +136,23 @@ UNION ALL
 SELECT 'LANGUAGE', concat('lang:', lang), lang, 'LANGUAGE' FROM (SELECT DISTINCT lang FROM {documents})
 """
 
+# (source)-PUBLISHES_IN->(language) per document, merged: the triplet source
+# is the latest document (highest doc_id) of each pair
+TEXT_EDGES_SQL = """
+SELECT 'SOURCE' AS src_table, concat('src:', source) AS src, 'SOURCE_PUBLISHES_IN_LANGUAGE' AS rel_table,
+       'PUBLISHES_IN' AS label, 'LANGUAGE' AS dst_table, concat('lang:', lang) AS dst,
+       concat('d:', CAST(max(doc_id) AS STRING)) AS triplet_source_id
+FROM {documents} GROUP BY source, lang
+"""
+
+TEXT_MENTIONS_SQL = """
+SELECT DISTINCT chunk_id, entity_table, entity_id FROM (
+  SELECT concat('d:', CAST(doc_id AS STRING)) AS chunk_id, 'SOURCE' AS entity_table, concat('src:', source) AS entity_id
+  FROM {documents}
+  UNION ALL
+  SELECT concat('d:', CAST(doc_id AS STRING)), 'LANGUAGE', concat('lang:', lang) FROM {documents})
+"""
+
 TEXT_TABLES = ("documents", "embeddings")
 
 
@@ -164,8 +181,16 @@ def text_graph_base(spark: SparkSession, sf: str) -> PropertyGraph:
 
 
 def text_graph(spark: SparkSession, sf: str) -> PropertyGraph:
-    """Chunks, entities, and the document relations merged in with
-    ``upsert_relations`` (edges keep the latest triplet source; MENTIONS)."""
+    """Chunks, entities, edges and MENTIONS declared in SQL.  Equal to
+    ``upsert_relations(text_graph_base, text_relations)`` (tested), which is
+    how an incremental build would produce it."""
+    g = text_graph_base(spark, sf)
+    return g.with_(edges=conform(sql_on_tables(spark, sf, TEXT_EDGES_SQL, TEXT_TABLES), EDGE_SCHEMA),
+                   mentions=conform(sql_on_tables(spark, sf, TEXT_MENTIONS_SQL, TEXT_TABLES), MENTION_SCHEMA))
+
+
+def text_graph_by_upsert(spark: SparkSession, sf: str) -> PropertyGraph:
+    """The text graph built with the merge operators (one relation per document)."""
     return merge.upsert_relations(text_graph_base(spark, sf), text_relations(spark, sf))
 
 

@@ -198,3 +198,12 @@ def test_bounded_loops_fall_back_exactly(spark):
     y = [tuple(r) for r in lookup.triplets(g).collect()]
     assert a == b == c and len(a) == 30
     assert x == y and len(x) == 100
+
+
+def test_text_graph_sql_equals_upsert_operators(spark):
+    from quiver.plans import graphs
+    sf = "/root/testdata/sf0.001"
+    a = graphs.text_graph(spark, sf)
+    b = graphs.text_graph_by_upsert(spark, sf)
+    assert sorted(a.edges.collect()) == sorted(b.edges.collect())
+    assert sorted(a.mentions.collect()) == sorted(b.mentions.collect())
