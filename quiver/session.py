@@ -66,16 +66,12 @@ def exists(path: str) -> bool:
 
 
 def materialize(df):
-    """Compute ``df`` once and cut its lineage: a reliable checkpoint into the
-    shared checkpoint folder (set up by :func:`checkpoint_root` when the
-    session has none).  Used for frames several branches of a plan read, and
-    for small intermediate results a driver-side loop inspects."""
-    from pyspark import StorageLevel
-    checkpoint_root(df.sparkSession)
-    # persist first so the checkpoint write does not recompute the plan, and
-    # unpersist after: nothing stays cached for a later, identical plan to reuse
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist(blocking=False)
+    """Compute ``df`` once and cut its lineage: write it as a parquet table
+    under the shared checkpoint folder (see :func:`checkpoint_root`) and read
+    it back.  Used for frames several branches of a plan read and for small
+    intermediate results a driver-side loop inspects.  The file scan gives
+    AQE exact sizes, and the result survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
