@@ -48,6 +48,8 @@ def label_scan(graph: PropertyGraph, node_table: str) -> DataFrame:
 TRIPLET_ORDER = ["src", "label", "dst", "src_table", "dst_table"]
 # candidate rows brought to the driver per round; beyond this, one join pass
 CANDIDATE_MAX = 1 << 16
+# filtered sources up to this many are applied as literal IN filters
+SOURCE_INLIST_MAX = 4096
 
 
 def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
@@ -78,8 +80,20 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
     cols = ["src_table", "src", "src_name", "label", "dst_table", "dst", "dst_name", "triplet_source_id"]
     if limit is None:
         return e.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"]).select(*cols)
-    # a name/id filter is selective: join it first (AQE broadcasts it when small)
-    pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi") if filtered else e
+    pre = e
+    if filtered:
+        # a name/id filter is selective: when it leaves few sources their keys
+        # become IN filters (they prune union branches and reach the scans);
+        # otherwise a semi join (AQE broadcasts it when small)
+        keys = src.select("src_table", "src").limit(SOURCE_INLIST_MAX + 1).collect()
+        if len(keys) <= SOURCE_INLIST_MAX:
+            tables = sorted({r[0] for r in keys})
+            ids = sorted({r[1] for r in keys})
+            pre = e.filter(F.col("src_table").isin(tables) & F.col("src").isin(ids))
+            pre = pre.join(F.broadcast(graph.spark.createDataFrame(keys, "src_table string, src string")),
+                           ["src_table", "src"], "left_semi")
+        else:
+            pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi")
     spark = graph.spark
     k = max(4 * limit, 256)
     while k <= CANDIDATE_MAX:
@@ -87,7 +101,14 @@ def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Ke
         cand_df = pre.orderBy(*TRIPLET_ORDER).limit(k)
         cand_rows = cand_df.collect()
         cand = spark.createDataFrame(cand_rows, cand_df.schema)
-        out = (F.broadcast(cand).join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
+        s_side, d_side = src, dst
+        if len(cand_rows) <= SOURCE_INLIST_MAX:
+            # endpoint tables/ids of the candidates prune the entity scans
+            s_side = src.filter(F.col("src_table").isin(sorted({r["src_table"] for r in cand_rows}))
+                                & F.col("src").isin(sorted({r["src"] for r in cand_rows})))
+            d_side = dst.filter(F.col("dst_table").isin(sorted({r["dst_table"] for r in cand_rows}))
+                                & F.col("dst").isin(sorted({r["dst"] for r in cand_rows})))
+        out = (F.broadcast(cand).join(s_side, ["src_table", "src"]).join(d_side, ["dst_table", "dst"])
                .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
         if len(cand_rows) < k:
             return out

@@ -49,7 +49,9 @@ def hybrid_retrieve(graph: PropertyGraph, query: Sequence[float], k: int = vecto
     mention; their node is the triplet's source chunk.
     Output: node_id, origin, pos, score, text.
     """
-    hits = vector.topk(graph.chunks, query, k, graph.embed_dim, cols=("id", "text"))
+    top = vector.topk(graph.chunks, query, k, graph.embed_dim, cols=("id", "text"))
+    # k rows: computed once, then reused as a local relation
+    hits = graph.spark.createDataFrame(top.collect(), top.schema)
     seeds = entities_of_chunks(graph, hits).select(F.col("entity_id").alias("id"))
     trip = traverse.rel_map(graph, seeds, depth, limit, with_source=True)
     # graph hits in walk order; bounded by limit * depth rows
