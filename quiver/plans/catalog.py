@@ -1121,8 +1121,7 @@ SELECT 'u:' || CAST(user_id AS VARCHAR) AS src, event_type AS label, 't:' || eve
        arg_max(value, ts) AS value
 FROM events GROUP BY user_id, event_type""")
 def q_stream_upsert_edges(spark, sf):
-    state = incremental.run_event_stream(spark, sf, scratch_path(spark, "event-state"),
-                                         scratch_path(spark, "event-ckpt"), glob="events.parquet")
+    state = incremental.run_event_stream(spark, sf, scratch_path(spark, "event-state"), glob="events.parquet")
     return state.select("src", "label", "dst", "value")
 
 

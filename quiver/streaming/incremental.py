@@ -8,7 +8,8 @@ holds.  In update mode each micro-batch emits only the edges it changed;
 ``foreachBatch`` writes them to ``changes/batch=<id>`` with overwrite, so a
 batch replayed after a failure rewrites the same folder (exactly-once effect
 on top of the checkpointed offsets and state).  The current edge table is the
-latest row per edge across the change folders.
+latest row per edge across the change folders after the newest compacted
+snapshot (``compact`` writes one).
 """
 
 from __future__ import annotations
@@ -42,25 +43,68 @@ def latest_edges(edges: DataFrame) -> DataFrame:
             .select(*KEYS, F.col("v.value").alias("value"), F.col("v.ts").alias("ts")))
 
 
+def _batches(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    from quiver.sources.snapshots import _fs
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            try:
+                out.append(int(name[len(prefix):]))
+            except ValueError:
+                pass
+    return sorted(out)
+
+
 def current_state(spark: SparkSession, root: str) -> DataFrame:
-    """The edge table: latest row per edge over the change folders (and a
-    ``snapshot`` folder, if one was written from an earlier state)."""
+    """The edge table: the newest compacted snapshot plus the change folders
+    written after it (partition pruning on ``batch``), latest row per edge."""
+    root = root.rstrip("/")
+    snaps = _batches(spark, f"{root}/snapshots", "upto=")
+    upto = snaps[-1] if snaps else -1
     parts = []
-    for sub in ("snapshot", "changes"):
-        p = f"{root.rstrip('/')}/{sub}"
-        if path_exists(spark, p):
-            parts.append(spark.read.schema(EDGE_STATE_SCHEMA).option("basePath", p).parquet(p)
-                         .select("src", "label", "dst", "value", "ts"))
+    if snaps:
+        parts.append(spark.read.schema(EDGE_STATE_SCHEMA).parquet(f"{root}/snapshots/upto={upto:09d}")
+                     .select("src", "label", "dst", "value", "ts"))
+    if _batches(spark, f"{root}/changes", "batch="):
+        ch = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+        parts.append(ch.filter(F.col("batch") > F.lit(upto)).select("src", "label", "dst", "value", "ts"))
     if not parts:
         return spark.createDataFrame([], EDGE_STATE_SCHEMA)
     allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return latest_by_key(allrows, KEYS, "ts", keep_seq=True).select("src", "label", "dst", "value", "ts")
 
 
-def run_event_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str,
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Fold the state up to the newest change batch into ``snapshots/upto=<id>``
+    (a new folder; nothing readers use is overwritten).  Later reads start from
+    it and skip the older change folders, which can then be dropped."""
+    root = root.rstrip("/")
+    batches = _batches(spark, f"{root}/changes", "batch=")
+    if not batches:
+        return None
+    upto = batches[-1]
+    snaps = _batches(spark, f"{root}/snapshots", "upto=")
+    if snaps and snaps[-1] >= upto:
+        return snaps[-1]
+    state = current_state(spark, root)
+    state.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto:09d}")
+    return upto
+
+
+def run_event_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str | None = None,
                      glob: str = "events*.parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """Consume all available event files (``availableNow``) and return the
-    current edge table."""
+    current edge table.
+
+    A state root belongs to one stream: change folders are named by that
+    stream's batch ids, so the checkpoint lives inside the root by default.
+    Restarting with the same root continues the stream."""
+    if checkpoint is None:
+        checkpoint = f"{state_root.rstrip('/')}/_checkpoint"
     reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -76,4 +120,4 @@ def run_event_stream(spark: SparkSession, source_dir: str, state_root: str, chec
     return current_state(spark, state_root)
 
 
-__all__ = ["EVENT_SCHEMA", "event_edges", "latest_edges", "run_event_stream", "current_state"]
+__all__ = ["EVENT_SCHEMA", "event_edges", "latest_edges", "run_event_stream", "current_state", "compact"]
