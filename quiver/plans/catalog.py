@@ -515,7 +515,7 @@ latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY
 
 
 @register("upsert_chunks", S.with_(S.TEXT_CHUNKS, CHUNK_BATCH_SQL) + """
-SELECT id, text, label, len(embedding) AS n_dims, CAST(creation_date AS VARCHAR) AS creation_date, file_name, ref_doc_id
+SELECT id, text, label, CAST(len(embedding) AS INTEGER) AS n_dims, CAST(creation_date AS VARCHAR) AS creation_date, file_name, ref_doc_id
 FROM (SELECT id, text, label, embedding, CAST(NULL AS DATE) AS creation_date, file_name, ref_doc_id FROM text_chunks
       WHERE id NOT IN (SELECT id FROM latest)
       UNION ALL SELECT id, text, label, embedding, creation_date, file_name, ref_doc_id FROM latest)""")
@@ -762,7 +762,7 @@ def q_edges_load(spark, sf):
 
 
 @register("chunks_load", S.with_(S.TEXT_CHUNKS) + """
-SELECT id, text, label, len(embedding) AS n_dims, file_name, file_path, file_size, file_type, ref_doc_id FROM text_chunks""")
+SELECT id, text, label, CAST(len(embedding) AS INTEGER) AS n_dims, file_name, file_path, file_size, file_type, ref_doc_id FROM text_chunks""")
 def q_chunks_load(spark, sf):
     c = graphs.text_graph(spark, sf).chunks
     return c.select("id", "text", "label", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"),
@@ -866,7 +866,7 @@ def q_cosine_pairs(spark, sf):
                       F.round(F.lit(1.0) - F.col("similarity"), 6).alias("distance"))
 
 
-@register("embedding_dims", S.with_(S.TEXT_CHUNKS) + "SELECT len(embedding) AS dims, count(*) AS n FROM text_chunks GROUP BY 1")
+@register("embedding_dims", S.with_(S.TEXT_CHUNKS) + "SELECT CAST(len(embedding) AS INTEGER) AS dims, count(*) AS n FROM text_chunks GROUP BY 1")
 def q_embedding_dims(spark, sf):
     return vector.embedding_dims(graphs.text_chunks(spark, sf))
 
