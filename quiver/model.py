@@ -15,7 +15,7 @@ Every mutating operator returns a new container; nothing is updated in place.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -216,5 +216,5 @@ class TripleGraph:
 __all__ = [
     "CHUNK_SCHEMA", "ENTITY_SCHEMA", "EDGE_SCHEMA", "MENTION_SCHEMA", "NODE_SCHEMA",
     "LINK_SCHEMA", "REL_SCHEMA", "PropertyGraph", "TripleGraph", "conform", "empty",
-    "rel_table_name", "validate_relationship_schema", "field",
+    "rel_table_name", "validate_relationship_schema",
 ]

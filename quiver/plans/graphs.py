@@ -13,14 +13,12 @@ event  (user)-[event_type]->(type) edges whose value is the latest by ts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver.functions.text import prefixed_id
-from quiver.model import (CHUNK_LABEL, CHUNK_SCHEMA, EDGE_SCHEMA, ENTITY_SCHEMA,
-                          MENTION_SCHEMA, PropertyGraph, TripleGraph, conform, rel_table_name)
+from quiver.model import (CHUNK_SCHEMA, EDGE_SCHEMA, ENTITY_SCHEMA,
+                          MENTION_SCHEMA, PropertyGraph, TripleGraph, conform)
 from quiver.operators import merge
 from quiver.sources.tables import read_table, sql_on_tables
 
