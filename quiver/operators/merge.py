@@ -155,8 +155,8 @@ def resolve_relations(graph: PropertyGraph, batch: DataFrame) -> tuple[DataFrame
     else:
         ok = cand.filter((F.col("src_table") == GENERIC_ENTITY) & (F.col("dst_table") == GENERIC_ENTITY)) \
                  .withColumn("rel_table", F.lit(GENERIC_RELATION))
-    resolved = pinned(ok.select("src_table", F.col("source_id").alias("src"), "rel_table", "label",
-                                "dst_table", F.col("target_id").alias("dst"), "triplet_source_id", SEQ))
+    resolved = ok.select("src_table", F.col("source_id").alias("src"), "rel_table", "label",
+                         "dst_table", F.col("target_id").alias("dst"), "triplet_source_id", SEQ)
     keys = ["label", "source_id", "target_id", SEQ]
     rejects = rel.join(ok.select(*keys), [rel[k].eqNullSafe(ok[k]) for k in keys], "left_anti")
     return resolved, rejects
@@ -195,8 +195,10 @@ def link_mentions(graph: PropertyGraph, batch: DataFrame, resolved: DataFrame |
 
 
 def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
-    """Edges and their MENTIONS in one step (both read the same resolution)."""
+    """Edges and their MENTIONS in one step (both read the same resolution,
+    materialised once)."""
     resolved, _ = resolve_relations(graph, batch)
+    resolved = pinned(resolved)
     g = upsert_edges(graph, batch, resolved)
     return link_mentions(g, batch, resolved)
 
