@@ -29,10 +29,20 @@ TOP_K = 5
 MAX_LITERAL_QUERIES = 1024
 
 
-def centroids_by(df: DataFrame, group_col: str, vec_col: str = "embedding") -> DataFrame:
-    """Mean vector per group: (group, vec).  Aggregates map-side per dimension."""
-    e = df.filter(F.col(vec_col).isNotNull()).select(
-        group_col, F.posexplode(F.col(vec_col).cast("array<double>")).alias("pos", "x"))
+def centroids_by(df: DataFrame, group_col: str, vec_col: str = "embedding", dim: int | None = None) -> DataFrame:
+    """Mean vector per group: (group, vec).
+
+    With a known dimension this is one aggregation of ``dim`` averages
+    (partial aggregation map-side, one small shuffle, no row explosion);
+    vectors of another length are left out.  Without one, vectors are
+    exploded per dimension and averaged."""
+    v = F.col(vec_col).cast("array<double>")
+    if dim is not None:
+        ok = df.filter(F.col(vec_col).isNotNull() & (F.size(vec_col) == F.lit(dim)))
+        aggs = [F.avg(F.try_element_at(v, F.lit(i + 1))).alias(f"_d{i}") for i in range(dim)]
+        return ok.groupBy(group_col).agg(*aggs).select(
+            group_col, F.array(*[F.col(f"_d{i}") for i in range(dim)]).alias("vec"))
+    e = df.filter(F.col(vec_col).isNotNull()).select(group_col, F.posexplode(v).alias("pos", "x"))
     per_dim = e.groupBy(group_col, "pos").agg(F.avg("x").alias("x"))
     return per_dim.groupBy(group_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("vec"))

@@ -803,7 +803,7 @@ VEC_DIM = graphs.EMBED_DIM
 def label_centroids(spark, sf) -> DataFrame:
     """One query vector per embedding label: the mean of that label's vectors."""
     emb = read_table(spark, sf, "embeddings", "label", "embedding")
-    return vector.centroids_by(emb, "label").select(F.col("label").alias("qid"), "vec")
+    return vector.centroids_by(emb, "label", dim=VEC_DIM).select(F.col("label").alias("qid"), "vec")
 
 
 def label_query(spark, sf, label: int = 1) -> list[float]:
