@@ -7,7 +7,12 @@ import importlib
 #: Query name -> module that holds a function of that name.
 MODULES = {
     "op1_quality_rules": "quality_rules",
+    "op3_reply_trees": "reply_trees",
+    "op8_quality_model": "quality_model",
+    "op10_secret_scan": "secret_scan",
 }
 
 QUERIES = {name: getattr(importlib.import_module(f"quiver.llm.{module}"), name) for name, module in MODULES.items()}
-ORACLES: dict[str, str] = {}
+#: SQL for the rows, where SQL can express them (a module's ORACLE).
+ORACLES = {name: m.ORACLE for name, module in MODULES.items()
+           if hasattr(m := importlib.import_module(f"quiver.llm.{module}"), "ORACLE")}
