@@ -7,6 +7,7 @@ import importlib
 #: Query name -> module that holds a function of that name.
 MODULES = {
     "op1_quality_rules": "quality_rules",
+    "op2_piece_sampling": "piece_sampling",
     "op3_reply_trees": "reply_trees",
     "op8_quality_model": "quality_model",
     "op10_secret_scan": "secret_scan",
