@@ -9,6 +9,7 @@ MODULES = {
     "op1_quality_rules": "quality_rules",
     "op2_piece_sampling": "piece_sampling",
     "op3_reply_trees": "reply_trees",
+    "op7_near_dedup": "near_dedup",
     "op8_quality_model": "quality_model",
     "op10_secret_scan": "secret_scan",
 }
