@@ -11,6 +11,7 @@ MODULES = {
     "op3_reply_trees": "reply_trees",
     "op7_near_dedup": "near_dedup",
     "op8_quality_model": "quality_model",
+    "op9_pseudonyms": "pseudonyms",
     "op10_secret_scan": "secret_scan",
 }
 
