@@ -142,26 +142,14 @@ class Lattice:
             piece[alone, s + 1, 0] = -points[alone, s].astype(np.int32) - 1
         total = np.zeros((size + 1, n))
         total[0] = 1.0
-        cdf = np.zeros((n, size + 1, most), np.float32)
+        cdf = np.ones((n, size + 1, most), np.float32)  # columns of impossible lengths stay 1
         for p in range(1, size + 1):
-            run = np.zeros(n)
-            for length in range(1, min(most, p) + 1):
-                run = run + total[p - length] * weight[p, length]
-                cdf[:, p, length - 1] = run
-            total[p] = run
             last = min(most, p)
-            cdf[:, p] /= run[:, None]
-            cdf[:, p, last - 1:] = 2.0
+            runs = np.cumsum([total[p - length] * weight[p, length] for length in range(1, last + 1)], axis=0)
+            run = total[p] = runs[-1]
+            cdf[:, p, :last] = (runs / run).T  # exactly 1 from the longest piece on, and u < 1
             if p % LONGEST == 0:  # only ratios matter: keep the sums in range
                 total[max(0, p - LONGEST):p + 1] /= run
-        # a last piece of weight zero must not be reached by rounding: the previous bound takes it
-        for p in range(1, size + 1):
-            last = min(most, p)
-            for length in range(last, 1, -1):
-                none = (weight[p, length] == 0) & (cdf[:, p, length - 1] == 2.0)
-                if not none.any():
-                    break
-                cdf[none, p, length - 2] = 2.0
         self.cdf, self.piece = cdf.reshape(-1, most), piece.reshape(-1)
         self.size, self.most = size, most
 
