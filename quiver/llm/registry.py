@@ -9,6 +9,7 @@ MODULES = {
     "op1_quality_rules": "quality_rules",
     "op2_piece_sampling": "piece_sampling",
     "op3_reply_trees": "reply_trees",
+    "op4_substring_dedup": "substring_dedup",
     "op5_template_decontamination": "decontaminate",
     "op7_near_dedup": "near_dedup",
     "op8_quality_model": "quality_model",
