@@ -11,6 +11,7 @@ MODULES = {
     "op3_reply_trees": "reply_trees",
     "op4_substring_dedup": "substring_dedup",
     "op5_template_decontamination": "decontaminate",
+    "op6_recompression": "recompression",
     "op7_near_dedup": "near_dedup",
     "op8_quality_model": "quality_model",
     "op9_pseudonyms": "pseudonyms",
