@@ -116,7 +116,7 @@ def contamination(docs: DataFrame, items: DataFrame, min_share: float = 0.5, bro
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, min_share: float = 0.5) -> DataFrame:
-    bad = contamination(docs, items, min_share).select("doc_id").distinct()
+    bad = materialize(contamination(docs, items, min_share).select("doc_id").distinct())
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 

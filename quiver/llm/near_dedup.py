@@ -204,7 +204,7 @@ def duplicate_classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay: of each component the one with its smallest
     doc_id, with all columns (of repeated rows of that id, one)."""
-    gone = duplicate_classes(docs, k, percent).filter("component_id <> doc_id").select("doc_id").distinct()
+    gone = materialize(duplicate_classes(docs, k, percent).filter("component_id <> doc_id").select("doc_id").distinct())
     named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).union(docs.filter("doc_id is null"))
 
