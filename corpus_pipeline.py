@@ -8,7 +8,6 @@ written and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quiver.llm.common import materialize, read_docs
 from quiver.llm.decontaminate import remove_contaminated
@@ -35,11 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
-    out = pseudonymise(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("pii_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return pseudonymise(docs, length="n_chars" if "n_chars" in docs.columns else None, counts=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ are recomputed.  Texts without ``@`` or a digit skip all of it.
 Edge cases: a null text stays null with no findings; an empty text is
 returned as is; values that fail validation stay; dates of the years after
 9980 stay; repeated rows get equal results; an empty table gives an empty
-result; :func:`pseudonymise` keeps every other column.
+result; every other column is kept.
 """
 
 from __future__ import annotations
@@ -175,18 +175,26 @@ def pseudonym(m: Column, key: str) -> Column:
             .when(whole(CARD), _card(m, key)).otherwise(_phone(m, key)))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """``docs`` with pseudonyms in ``text``, and pii_found and pii_replaced."""
+def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", length: str | None = None, counts: bool = True) -> DataFrame:
+    """``docs`` with pseudonyms in ``text``; where the text changed, the column
+    ``length`` (if named) gets its new length.  ``counts`` adds pii_found and
+    pii_replaced, in place of columns of these names."""
     t = F.col(text)
+    own = "_"
+    while any(c.lower().startswith(own) for c in docs.columns):  # names that no column has
+        own += "_"
+    hit, new, old = own + "hits", own + "new", own + "old"
     hits = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
-    some = F.col("_hits").isNotNull() & (F.size("_hits") > 0)
-    new = F.transform("_hits", lambda m: pseudonym(m, key))
-    woven = F.array_join(F.flatten(F.zip_with(F.split(t, ANY, -1), F.col("_new"), lambda g, r: F.array(g, F.coalesce(r, F.lit(""))))), "")
-    changed = F.size(F.filter(F.arrays_zip(F.col("_hits").alias("a"), F.col("_new").alias("b")), lambda x: x["a"] != x["b"]))
-    return (docs.withColumn("_hits", hits).withColumn("_new", F.when(some, new))
-            .withColumn("pii_found", F.when(some, F.size("_hits")).otherwise(0).cast("long"))
-            .withColumn("pii_replaced", F.when(some, changed).otherwise(0).cast("long"))
-            .withColumn(text, F.when(some, woven).otherwise(t)).drop("_hits", "_new"))
+    some = F.col(hit).isNotNull() & (F.size(hit) > 0)
+    woven = F.array_join(F.flatten(F.zip_with(F.split(t, ANY, -1), F.col(new), lambda g, r: F.array(g, F.coalesce(r, F.lit(""))))), "")
+    changed = F.size(F.filter(F.arrays_zip(F.col(hit).alias("a"), F.col(new).alias("b")), lambda x: x["a"] != x["b"]))
+    out = (docs.withColumn(hit, hits).withColumn(new, F.when(some, F.transform(hit, lambda m: pseudonym(m, key))))
+           .withColumn(old, F.when(some, changed).otherwise(0).cast("long")).withColumn(text, F.when(some, woven).otherwise(t)))
+    if length:
+        out = out.withColumn(length, F.when(F.col(old) > 0, F.length(text).cast(docs.schema[length].dataType)).otherwise(F.col(length)))
+    if counts:
+        out = out.withColumn("pii_found", F.when(some, F.size(hit)).otherwise(0).cast("long")).withColumn("pii_replaced", F.col(old))
+    return out.drop(hit, new, old)
 
 
 def op9_pseudonyms(spark, sf_dir: str) -> DataFrame:
