@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.strip() sees it for ordinary text.
-_WS = r"[ \t\n\r\f\x0B]"
+# The white space that str.strip() removes.
+_WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip(c: Column) -> Column:

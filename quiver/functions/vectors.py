@@ -43,12 +43,3 @@ def cosine_to_literal(a: Column, q: Sequence[float]) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
-
-
-def to_double_array(a: Column) -> Column:
-    return a.cast("array<double>")
-
-
-def normalize(a: Column) -> Column:
-    n = norm(a)
-    return F.transform(a, lambda x: x / n)

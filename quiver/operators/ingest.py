@@ -2,45 +2,36 @@
 
 Chunking and link extraction work inside each document row with higher-order
 functions, so they need no shuffle: a document is one row and all of its text
-is processed (no prefixes).  Embedding is the one pluggable Python step, an
-Arrow-batched iterator pandas UDF.
+is processed (no prefixes).  Embedding models and triple extractors plug in.
 """
 
 from __future__ import annotations
 
-import zlib
-from typing import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
+from typing import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Sentence end marks, and the chunk size in words.
 SENTENCE_END = r"([.!?])\s+"
 CHUNK_SIZE = 512
 TRIPLETS_PER_CHUNK = 2
-_SEP = "\u0001"
+_SEP = "\u0001"  # separates sentences; one in a text counts as white space
 
 
 def sentences(text: Column) -> Column:
     """Sentences in order (a sentence ends at . ! or ? followed by whitespace)."""
-    return F.split(F.regexp_replace(text, SENTENCE_END, "$1" + _SEP), _SEP)
+    return F.split(F.regexp_replace(F.replace(text, F.lit(_SEP), F.lit(" ")), SENTENCE_END, "$1" + _SEP), _SEP)
 
 
 def words(s: Column) -> Column:
     return F.filter(F.split(s, r"\s+"), lambda w: w != F.lit(""))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a CPU-heavy row-wise job over all task slots when the input
-    has fewer partitions than the session can run (a few large row groups).
-    On a big input (partitions >= slots) this is a no-op: no shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = CHUNK_SIZE) -> DataFrame:
     """Greedy packing of whole sentences into chunks of at most ``size`` words.
@@ -68,7 +59,7 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return F.struct(F.when(new, n).otherwise(acc["cur"] + n).alias("cur"), i.alias("i"),
                         F.when(new, F.concat(acc["starts"], F.array(i))).otherwise(acc["starts"]).alias("starts"))
 
-    packed = spread(docs).select(id_col, pieces.alias("_pieces")).filter(F.size("_pieces") > 0)
+    packed = docs.select(id_col, pieces.alias("_pieces")).filter(F.size("_pieces") > 0)
     total = F.size(F.flatten("_pieces"))
     # a document that fits in one chunk needs no packing pass
     starts = F.when(total <= sz, F.array(F.lit(1))).otherwise(F.aggregate(lens, init, step)["starts"])
@@ -86,32 +77,25 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # ------------------------------------------------------------------ embedding
 
-def hashed_bow(texts: pd.Series, dim: int) -> pd.Series:
-    """Signed hashed bag of words, L2-normalised (a deterministic local model)."""
-    out = []
-    for t in texts:
-        v = np.zeros(dim, dtype=np.float64)
-        if t is not None:
-            for w in str(t).lower().split():
-                h = zlib.crc32(w.encode("utf-8"))
-                v[h % dim] += 1.0 if (h >> 31) & 1 == 0 else -1.0
-        n = np.linalg.norm(v)
-        out.append((v / n).tolist() if n > 0 else None)
-    return pd.Series(out)
-
-
-def embed_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield hashed_bow(b, dim)
-    return embed
+def hashed_bow(text: Column, dim: int) -> Column:
+    """Signed hashed bag of words, L2-normalised: a deterministic local model
+    in built-in functions.  A word's MD5 picks its place and sign; NULL for a
+    text without words."""
+    code = lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % (2 * dim)
+    codes = F.transform(words(F.lower(text)), code)
+    count = lambda c, v: F.size(c) - F.size(F.array_remove(c, v))
+    raw = lambda c: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
+        count(c, (2 * i).cast("long")) - count(c, (2 * i + 1).cast("long"))).cast("double"))
+    unit = lambda v: F.transform(F.array(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))), lambda n: F.when(
+        n > 0, F.transform(v, lambda x: x / n)))
+    once = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+    return once(codes, lambda c: once(raw(c), lambda v: F.element_at(unit(v), 1)))
 
 
 def embed_chunks(chunks: DataFrame, dim: int = 64, text_col: str = "text", udf=None) -> DataFrame:
-    """Add/replace ``embedding``; ``udf`` plugs in another model with the same shape."""
-    f = udf or embed_udf(dim)
-    return chunks.withColumn("embedding", f(F.col(text_col)))
+    """Add/replace ``embedding``; ``udf`` plugs in another model (a function of
+    the text column, for instance an Arrow-batched pandas UDF)."""
+    return chunks.withColumn("embedding", udf(F.col(text_col)) if udf else hashed_bow(F.col(text_col), dim))
 
 
 # ---------------------------------------------------------- triple extraction
@@ -132,11 +116,24 @@ def cap_links_per_chunk(pages: DataFrame, pattern: str, n: int = TRIPLETS_PER_CH
         id_col, (F.col("pos") + 1).alias("pos"), "dst")
 
 
-def cap_triples_per_source(triples: DataFrame, n: int, source_col: str = "triplet_source_id",
-                           order_cols: tuple[str, ...] = ("pos",)) -> DataFrame:
-    """General per-source cap for exploded triples (top-n per source).  The
-    ``row_number() <= n`` filter runs as a WindowGroupLimit: each task keeps
-    at most n rows per source before the shuffle."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(source_col).orderBy(*order_cols)
-    return triples.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+TRIPLE_SCHEMA = "triplet_source_id string, head string, head_label string, label string, tail string, tail_label string"
+
+
+def extract_triples(chunks: DataFrame, extractor: Extractor | Callable[[DataFrame], DataFrame],
+                    schema: Sequence[tuple[str, str, str]] | None = None, pandas: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Triples of ``chunks`` (id, text) by any extractor, and those refused.
+
+    ``extractor`` is a ``mapInPandas`` function from batches of (id, text) to
+    batches of :data:`TRIPLE_SCHEMA`, or with ``pandas=False`` a function from
+    DataFrame to DataFrame.  With ``schema`` (strict mode) only triples whose
+    (head_label, label, tail_label) it lists are accepted."""
+    given = chunks.select("id", "text")
+    found = given.mapInPandas(extractor, TRIPLE_SCHEMA) if pandas else extractor(given)
+    names = [c.split()[0] for c in TRIPLE_SCHEMA.split(", ")]
+    found = found.select(*names)
+    whole = F.col("head").isNotNull() & F.col("label").isNotNull() & F.col("tail").isNotNull()
+    if schema is not None:
+        kinds = [(F.col("head_label") == h) & (F.col("label") == r) & (F.col("tail_label") == t) for h, r, t in schema]
+        whole = whole & F.coalesce(reduce(or_, kinds, F.lit(False)), F.lit(False))
+    return found.filter(whole), found.filter(~whole)

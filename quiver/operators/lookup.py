@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.model import CHUNK_LABEL, CHUNK_TABLE, PropertyGraph, TripleGraph
-from quiver.operators.keys import Keys, all_true, restrict
+from quiver.operators.keys import Keys, all_true, attach, key_frame, restrict
 
 TRIPLET_LIMIT = 100
 
@@ -46,79 +46,44 @@ def label_scan(graph: PropertyGraph, node_table: str) -> DataFrame:
 
 
 TRIPLET_ORDER = ["src", "label", "dst", "src_table", "dst_table"]
-# candidate rows brought to the driver per round; beyond this, one join pass
-CANDIDATE_MAX = 1 << 16
-# filtered sources up to this many are applied as literal IN filters
-SOURCE_INLIST_MAX = 4096
 
 
-def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
-             ids: Keys = None, limit: int | None = TRIPLET_LIMIT) -> DataFrame:
-    """(source)-[relation]->(target) rows; all given filters are ANDed.
-
-    Sources must be entities with a non-NULL label other than the chunk label;
-    filters apply before the limit, and the limit follows a total order so the
-    answer is deterministic.
+def triplet_edges(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
+                  ids: Keys = None) -> DataFrame:
+    """Edges whose source passes the filters and whose ends both exist.
 
-    With a limit the edge table is never shuffled: the first ``k`` edges in
-    order are found with a per-task top-k, checked against the entities with
-    a broadcast of those ``k`` candidates, and ``k`` grows only if fewer than
-    ``limit`` pass (exact: later edges sort after every candidate).
-    """
+    Sources must be entities with a non-NULL label other than the chunk label.
+    Only key columns of the entities are read."""
     src = graph.entities.filter(
         (F.col("node_table") != F.lit(CHUNK_TABLE)) & F.col("label").isNotNull()
         & (F.col("label") != F.lit(CHUNK_LABEL)))
-    filtered = entity_names is not None or ids is not None
-    src = restrict(src, "name", entity_names)
-    src = restrict(src, "id", ids)
-    src = src.select(F.col("node_table").alias("src_table"), F.col("id").alias("src"),
-                     F.col("name").alias("src_name"))
-    dst = graph.entities.select(F.col("node_table").alias("dst_table"), F.col("id").alias("dst"),
-                                F.col("name").alias("dst_name"))
+    src = restrict(restrict(src, "name", entity_names), "id", ids)
     e = restrict(graph.edges, "label", relation_names)
     e = e.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
+    return (e.join(src.select(F.col("node_table").alias("src_table"), F.col("id").alias("src")), ["src_table", "src"], "left_semi")
+            .join(graph.entities.select(F.col("node_table").alias("dst_table"), F.col("id").alias("dst")),
+                  ["dst_table", "dst"], "left_semi"))
+
+
+def triplets(graph: PropertyGraph, entity_names: Keys = None, relation_names: Keys = None,
+             ids: Keys = None, limit: int | None = TRIPLET_LIMIT) -> DataFrame:
+    """(source)-[relation]->(target) rows; all given filters are ANDed.
+
+    Filters apply before the limit, and the limit follows a total order so the
+    answer is deterministic.  One lazy plan: edges semi-joined with the source
+    and target keys, a per-task top-k, then the names of at most ``limit``
+    rows."""
     cols = ["src_table", "src", "src_name", "label", "dst_table", "dst", "dst_name", "triplet_source_id"]
+    e = triplet_edges(graph, entity_names, relation_names, ids)
+    names = graph.entities.select("node_table", "id", "name")
     if limit is None:
-        return e.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"]).select(*cols)
-    pre = e
-    if filtered:
-        # a name/id filter is selective: when it leaves few sources their keys
-        # become IN filters (they prune union branches and reach the scans);
-        # otherwise a semi join (AQE broadcasts it when small)
-        keys = src.select("src_table", "src").limit(SOURCE_INLIST_MAX + 1).collect()
-        if len(keys) <= SOURCE_INLIST_MAX:
-            tables = sorted({r[0] for r in keys})
-            ids = sorted({r[1] for r in keys})
-            pre = e.filter(F.col("src_table").isin(tables) & F.col("src").isin(ids))
-            pre = pre.join(F.broadcast(graph.spark.createDataFrame(keys, "src_table string, src string")),
-                           ["src_table", "src"], "left_semi")
-        else:
-            pre = e.join(src.select("src_table", "src"), ["src_table", "src"], "left_semi")
-    spark = graph.spark
-    k = max(4 * limit, 256)
-    while k <= CANDIDATE_MAX:
-        # at most k candidate rows: they come back as a local (broadcast) relation
-        cand_df = pre.orderBy(*TRIPLET_ORDER).limit(k)
-        cand_rows = cand_df.collect()
-        cand = spark.createDataFrame(cand_rows, cand_df.schema)
-        s_side, d_side = src, dst
-        if len(cand_rows) <= SOURCE_INLIST_MAX:
-            # endpoint tables/ids of the candidates prune the entity scans
-            s_side = src.filter(F.col("src_table").isin(sorted({r["src_table"] for r in cand_rows}))
-                                & F.col("src").isin(sorted({r["src"] for r in cand_rows})))
-            d_side = dst.filter(F.col("dst_table").isin(sorted({r["dst_table"] for r in cand_rows}))
-                                & F.col("dst").isin(sorted({r["dst"] for r in cand_rows})))
-        out = (F.broadcast(cand).join(s_side, ["src_table", "src"]).join(d_side, ["dst_table", "dst"])
-               .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
-        if len(cand_rows) < k:
-            return out
-        out_rows = out.collect()
-        if len(out_rows) >= limit:
-            return spark.createDataFrame(out_rows, out.schema)
-        k *= 8
-    # most edges fail the checks: one exact join pass instead (AQE picks the strategy)
-    return (pre.join(src, ["src_table", "src"]).join(dst, ["dst_table", "dst"])
-            .select(*cols).orderBy(*TRIPLET_ORDER).limit(limit))
+        s = names.select(F.col("node_table").alias("src_table"), F.col("id").alias("src"), F.col("name").alias("src_name"))
+        d = names.select(F.col("node_table").alias("dst_table"), F.col("id").alias("dst"), F.col("name").alias("dst_name"))
+        return e.join(s, ["src_table", "src"]).join(d, ["dst_table", "dst"]).select(*cols)
+    top = e.orderBy(*TRIPLET_ORDER, "triplet_source_id").limit(limit)
+    named = attach(top, names, ["node_table", "id"], "name", {"src_name": ["src_table", "src"], "dst_name": ["dst_table", "dst"]})
+    # at most `limit` rows already: said once more, for the planner of what follows
+    return named.select(*cols).orderBy(*TRIPLET_ORDER, "triplet_source_id").limit(limit)
 
 
 def triple_get(tg: TripleGraph, subjects: Keys) -> DataFrame:
@@ -128,9 +93,16 @@ def triple_get(tg: TripleGraph, subjects: Keys) -> DataFrame:
 
 def triple_exists(tg: TripleGraph, candidates: DataFrame) -> DataFrame:
     """Candidates with an ``exists`` flag (NULL-safe on the predicate)."""
-    l = tg.links.select(F.col("src").alias("_s"), F.col("predicate").alias("_p"),
-                        F.col("dst").alias("_d"), F.lit(True).alias("_hit")).distinct()
+    l = tg.links.select(F.col("src").alias("_s"), F.col("predicate").alias("_p"),  # links are a set
+                        F.col("dst").alias("_d"), F.lit(True).alias("_hit"))
     cond = ((F.col("src") == F.col("_s")) & F.col("predicate").eqNullSafe(F.col("_p"))
             & (F.col("dst") == F.col("_d")))
     return (candidates.join(l, cond, "left")
             .select("src", "predicate", "dst", F.coalesce("_hit", F.lit(False)).alias("exists")))
+
+
+def node_exists(tg: TripleGraph, ids: Keys) -> DataFrame:
+    """Each asked id with an ``exists`` flag."""
+    asked = key_frame(tg.nodes.sparkSession, ids, "id")
+    have = tg.nodes.select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
+    return asked.join(have, F.col("id") == F.col("_id"), "left").select("id", F.coalesce("_hit", F.lit(False)).alias("exists"))

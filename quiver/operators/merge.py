@@ -62,8 +62,9 @@ def _dates(df: DataFrame, cols: tuple[str, ...] = ("creation_date", "last_modifi
 def prepare_chunks(batch: DataFrame, embed_dim: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Normalise a chunk batch: strip text, parse dates, check embedding length.
 
-    Returns (accepted, rejects).  A wrong-length embedding is a reject when the
-    graph has a fixed dimension; a NULL embedding is allowed.
+    Returns (accepted, rejects).  A row without id is a reject, and so is a
+    wrong-length embedding when the graph has a fixed dimension; a NULL
+    embedding is allowed.
     """
     df = batch
     if "text" in df.columns:
@@ -75,19 +76,16 @@ def prepare_chunks(batch: DataFrame, embed_dim: int | None = None) -> tuple[Data
         df = df.withColumn(SEQ, F.lit(0))
     full = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in CHUNK_SCHEMA.fields], F.col(SEQ))
+    bad = F.col("id").isNull()
     if embed_dim is not None:
-        bad = F.col("embedding").isNotNull() & (F.size("embedding") != F.lit(embed_dim))
-        return full.filter(~bad), full.filter(bad)
-    return full, full.limit(0)
+        bad = bad | (F.col("embedding").isNotNull() & (F.size("embedding") != F.lit(embed_dim)))
+    return full.filter(~bad), full.filter(bad)
 
 
-def upsert_chunks(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
-    accepted, _ = prepare_chunks(batch, graph.embed_dim)
-    return graph.with_(chunks=merge_rows(graph.chunks, accepted, ["id"]))
-
-
-def chunk_rejects(graph: PropertyGraph, batch: DataFrame) -> DataFrame:
-    return prepare_chunks(batch, graph.embed_dim)[1]
+def upsert_chunks(graph: PropertyGraph, batch: DataFrame) -> tuple[PropertyGraph, DataFrame]:
+    """The graph after the upsert, and the batch rows that were rejected."""
+    accepted, rejects = prepare_chunks(batch, graph.embed_dim)
+    return graph.with_(chunks=merge_rows(graph.chunks, accepted, ["id"])), rejects
 
 
 # ---------------------------------------------------------------- entities
@@ -121,9 +119,22 @@ def prepare_entities(graph: PropertyGraph, batch: DataFrame) -> tuple[DataFrame,
     return full.filter(ok), full.filter(~ok)
 
 
-def upsert_entities(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
-    accepted, _ = prepare_entities(graph, batch)
-    return graph.with_(entities=merge_rows(graph.entities, accepted, ["node_table", "id"]))
+def upsert_entities(graph: PropertyGraph, batch: DataFrame) -> tuple[PropertyGraph, DataFrame]:
+    """The graph after the upsert, and the batch rows that were rejected."""
+    accepted, rejects = prepare_entities(graph, batch)
+    return graph.with_(entities=merge_rows(graph.entities, accepted, ["node_table", "id"])), rejects
+
+
+def upsert_nodes(graph: PropertyGraph, batch: DataFrame, kind: str = "kind") -> tuple[PropertyGraph, DataFrame]:
+    """A mixed batch: rows whose ``kind`` is ``chunk`` go to the chunk table,
+    ``entity`` to the entity tables, others nowhere.  Returns the graph and
+    the rejects of both branches (kind, id)."""
+    batch = pinned(batch)
+    g, bad_chunks = upsert_chunks(graph, batch.filter(F.col(kind) == "chunk").drop(kind))
+    g, bad_entities = upsert_entities(g, batch.filter(F.col(kind) == "entity").drop(kind))
+    rejects = (bad_chunks.select(F.lit("chunk").alias("kind"), "id")
+               .unionByName(bad_entities.select(F.lit("entity").alias("kind"), "id")))
+    return g, rejects
 
 
 # ------------------------------------------------------------------- edges
@@ -165,13 +176,16 @@ def resolve_relations(graph: PropertyGraph, batch: DataFrame) -> tuple[DataFrame
 EDGE_KEY = ["src_table", "src", "rel_table", "label", "dst_table", "dst"]
 
 
-def upsert_edges(graph: PropertyGraph, batch: DataFrame, resolved: DataFrame | None = None) -> PropertyGraph:
+def merge_edges(graph: PropertyGraph, resolved: DataFrame) -> PropertyGraph:
     """MERGE on (endpoints, edge table, label); ``triplet_source_id`` is SET
     from the latest relation for that key."""
-    if resolved is None:
-        resolved, _ = resolve_relations(graph, batch)
-    merged = merge_rows(graph.edges, resolved, EDGE_KEY)
-    return graph.with_(edges=merged)
+    return graph.with_(edges=merge_rows(graph.edges, resolved, EDGE_KEY))
+
+
+def upsert_edges(graph: PropertyGraph, batch: DataFrame) -> tuple[PropertyGraph, DataFrame]:
+    """The graph after the upsert, and the relations that were rejected."""
+    resolved, rejects = resolve_relations(graph, batch)
+    return merge_edges(graph, resolved), rejects
 
 
 def mentions_for(graph: PropertyGraph, resolved: DataFrame) -> DataFrame:
@@ -194,13 +208,25 @@ def link_mentions(graph: PropertyGraph, batch: DataFrame, resolved: DataFrame |
     return graph.with_(mentions=graph.mentions.unionByName(fresh))
 
 
-def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
+def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> tuple[PropertyGraph, DataFrame]:
     """Edges and their MENTIONS in one step (both read the same resolution,
-    materialised once)."""
-    resolved, _ = resolve_relations(graph, batch)
+    materialised once), and the rejected relations."""
+    resolved, rejects = resolve_relations(graph, batch)
     resolved = pinned(resolved)
-    g = upsert_edges(graph, batch, resolved)
-    return link_mentions(g, batch, resolved)
+    return link_mentions(merge_edges(graph, resolved), batch, resolved), rejects
+
+
+def upsert_triples_with_source(graph: PropertyGraph, batch: DataFrame) -> tuple[PropertyGraph, DataFrame]:
+    """Triples and the chunks they come from in one call: each row has the
+    relation (label, source_id, target_id, seq) and its source chunk
+    (triplet_source_id, text).  Chunks go first, so their MENTIONS resolve."""
+    batch = pinned(batch)
+    chunks = batch.select(F.col("triplet_source_id").alias("id"), "text", F.lit("text_chunk").alias("label"),
+                          *([SEQ] if SEQ in batch.columns else []))
+    g, bad = upsert_chunks(graph, chunks)
+    g, bad_rel = upsert_relations(g, batch.drop("text"))
+    return g, bad_rel.unionByName(bad.select(F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("source_id"),
+                                             F.lit(None).cast("string").alias("target_id"), F.col("id").alias("triplet_source_id"), SEQ))
 
 
 # ------------------------------------------------------------------ delete
@@ -288,14 +314,14 @@ def triple_delete(tg: TripleGraph, batch: DataFrame) -> TripleGraph:
     dead = pinned(conform(batch, LINK_SCHEMA).distinct())
     links = _link_key_join(tg.links, dead, "left_anti")
     named = dead.select(F.col("src").alias("id")).unionByName(dead.select(F.col("dst").alias("id"))).distinct()
-    touched = links.select(F.col("src").alias("id")).unionByName(links.select(F.col("dst").alias("id")))
+    touched = links.select(F.col("src").alias("id")).unionByName(links.select(F.col("dst").alias("id"))).distinct()
     orphans = named.join(touched, "id", "left_anti")
     return tg.with_(nodes=tg.nodes.join(orphans, "id", "left_anti"), links=links)
 
 
 def orphan_nodes(tg: TripleGraph) -> DataFrame:
     """Nodes without any edge in either direction."""
-    touched = tg.links.select(F.col("src").alias("id")).unionByName(tg.links.select(F.col("dst").alias("id")))
+    touched = tg.links.select(F.col("src").alias("id")).unionByName(tg.links.select(F.col("dst").alias("id"))).distinct()
     return tg.nodes.join(touched, "id", "left_anti")
 
 
@@ -303,11 +329,11 @@ def orphan_entities(graph: PropertyGraph) -> DataFrame:
     """Entities without any edge in either direction (MENTIONS not counted)."""
     e = graph.edges
     touched = e.select(F.col("src_table").alias("node_table"), F.col("src").alias("id")).unionByName(
-        e.select(F.col("dst_table").alias("node_table"), F.col("dst").alias("id")))
+        e.select(F.col("dst_table").alias("node_table"), F.col("dst").alias("id"))).distinct()
     return graph.entities.join(touched, ["node_table", "id"], "left_anti")
 
 
-__all__ = ["latest_by_key", "merge_rows", "upsert_chunks", "chunk_rejects", "route_entities",
-           "upsert_entities", "resolve_relations", "upsert_edges", "link_mentions",
-           "upsert_relations", "delete", "clear", "triple_upsert", "triple_delete",
+__all__ = ["latest_by_key", "merge_rows", "upsert_chunks", "upsert_nodes", "route_entities",
+           "upsert_entities", "resolve_relations", "merge_edges", "upsert_edges", "link_mentions",
+           "upsert_relations", "upsert_triples_with_source", "delete", "clear", "triple_upsert", "triple_delete",
            "orphan_nodes", "orphan_entities", "EDGE_SCHEMA", "MENTION_SCHEMA"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quiver.model import PropertyGraph
 from quiver.operators import lookup, traverse, vector
-from quiver.operators.keys import Keys
+from quiver.operators.keys import Keys, attach
 
 
 def entities_of_chunks(graph: PropertyGraph, hits: DataFrame) -> DataFrame:
@@ -26,8 +26,7 @@ def entities_of_chunks(graph: PropertyGraph, hits: DataFrame) -> DataFrame:
 
 def with_source_text(graph: PropertyGraph, triplets: DataFrame) -> DataFrame:
     """Attach the text of each triplet's source chunk (NULL when absent)."""
-    text = graph.chunks.select(F.col("id").alias("triplet_source_id"), F.col("text").alias("source_text"))
-    return triplets.join(text, "triplet_source_id", "left")
+    return attach(triplets, graph.chunks.select("id", "text"), ["id"], "text", {"source_text": ["triplet_source_id"]})
 
 
 def keyword_seeds(graph: PropertyGraph, keywords: DataFrame) -> DataFrame:
@@ -49,16 +48,15 @@ def hybrid_retrieve(graph: PropertyGraph, query: Sequence[float], k: int = vecto
     mention; their node is the triplet's source chunk.
     Output: node_id, origin, pos, score, text.
     """
-    top = vector.topk(graph.chunks, query, k, graph.embed_dim, cols=("id", "text"))
-    # k rows: computed once, then reused as a local relation
-    hits = graph.spark.createDataFrame(top.collect(), top.schema)
+    hits = vector.topk(graph.chunks, query, k, graph.embed_dim, cols=("id",))
     seeds = entities_of_chunks(graph, hits).select(F.col("entity_id").alias("id"))
     trip = traverse.rel_map(graph, seeds, depth, limit, with_source=True)
     # graph hits in walk order; bounded by limit * depth rows
     g = trip.filter(F.col("triplet_source_id").isNotNull()).select(
         F.col("triplet_source_id").alias("node_id"), "path", "hop",
         F.concat_ws(" ", "src_name", "label", "dst_name").alias("text"))
-    vec = hits.select(F.col("id").alias("node_id"), F.lit(0).alias("origin_rank"),
+    # text only for the k hits: they are the side the planner broadcasts
+    vec = hits.join(graph.chunks.select("id", "text"), "id").select(F.col("id").alias("node_id"), F.lit(0).alias("origin_rank"),
                       F.col("rank").cast("long").alias("pos"), F.col("similarity").alias("score"), "text")
     gr = g.select("node_id", F.lit(1).alias("origin_rank"),
                   F.row_number().over(Window.orderBy("path", "hop")).cast("long").alias("pos"),
@@ -72,7 +70,7 @@ def hybrid_retrieve(graph: PropertyGraph, query: Sequence[float], k: int = vecto
 
 def vector_triplets(graph: PropertyGraph, query: Sequence[float], k: int = vector.TOP_K) -> DataFrame:
     """Triplets ranked by their source chunk's similarity to the query (top k)."""
-    trip = lookup.triplets(graph, limit=None)
+    trip = lookup.triplet_edges(graph)
     scored_chunks = graph.chunks.filter(vector.valid_vector(F.col("embedding"), graph.embed_dim)).select(
         F.col("id").alias("triplet_source_id"),
         vector.cosine_to_literal(F.col("embedding"), query).alias("similarity"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.model import MENTIONS, PropertyGraph, TripleGraph
-from quiver.operators.keys import Keys, restrict
+from quiver.operators.keys import NOWHERE, Keys, attach, restrict
 
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
@@ -51,15 +51,18 @@ def _step(frontier: DataFrame, e: DataFrame, hop: int, simple: bool) -> DataFram
     step = frontier.join(e, (F.col("cur_table") == F.col("src_table")) & (F.col("cur") == F.col("src")))
     if simple:
         step = step.filter(~F.array_contains("visited", F.concat_ws("\u0001", F.col("dst_table"), F.col("dst"))))
-    return step.select(
-        "start_table", "start",
-        F.col("dst_table").alias("cur_table"), F.col("dst").alias("cur"),
-        F.concat("path_seq", F.array(F.coalesce("label", F.lit("")), "dst")).alias("path_seq"),
-        F.concat("tables_seq", F.array("dst_table")).alias("tables_seq"),
-        F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst",
-                                              "triplet_source_id"))).alias("hops_arr"),
-        F.concat("visited", F.array(F.concat_ws("\u0001", "dst_table", "dst"))).alias("visited"),
-        F.lit(hop).alias("hops"))
+    return step.select("start_table", "start", *[v.alias(k) for k, v in _extended(hop).items()])
+
+
+def _extended(hop: int) -> dict:
+    """A frontier row's columns after it took the joined edge."""
+    return {
+        "cur_table": F.col("dst_table"), "cur": F.col("dst"),
+        "path_seq": F.concat("path_seq", F.array(F.coalesce("label", F.lit("")), "dst")),
+        "tables_seq": F.concat("tables_seq", F.array("dst_table")),
+        "hops_arr": F.concat("hops_arr", F.array(F.struct("src_table", "src", "label", "dst_table", "dst", "triplet_source_id"))),
+        "visited": F.concat("visited", F.array(F.concat_ws("\u0001", "dst_table", "dst"))),
+        "hops": F.lit(hop)}
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -91,117 +94,36 @@ def expand(edges: DataFrame, seeds: DataFrame, depth: int, simple: bool = False)
 ORDER = ["path_seq", "tables_seq"]
 
 
-# Per-hop results are at most ``limit`` rows (and candidate seeds at most
-# SEED_BATCH_MAX): they go through the driver as rows and come back as a
-# local relation, which keeps each hop to a single Spark job.
-SEED_BATCH_MAX = 1 << 16
-MAX_SEED_ROUNDS = 4
-# frontier ids up to this many are also applied as an IN-list on the edge side
-IDS_INLIST_MAX = 4096
-
-
-def _local(spark, rows, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
-def _top_from(cand_rows, cand_schema, e: DataFrame, depth: int, limit: int, simple: bool):
-    """First ``limit`` walks from a candidate seed set: driver rows (a bounded
-    batch) or, in the sparse-seed fallback, a seed frame.
-
-    A walk sorts right before its own extensions, so a walk that is not among
-    the first ``limit`` of its length cannot lead to one of the first
-    ``limit`` overall: each hop keeps only ``limit`` rows.  Those are
-    broadcast against a scan of the edges (no shuffle of the edge table), and
-    the edges are first filtered to the node tables present in the frontier.
-    """
-    spark = e.sparkSession
-    if isinstance(cand_rows, DataFrame):
-        # unbounded seed frame: the first hop is an ordinary join (AQE picks
-        # broadcast or shuffle); every later hop starts from <= limit rows
-        frontier = _start(cand_rows)
-        tables = [r[0] for r in cand_rows.select("start_table").distinct().collect()]
-        ids = None
-        first_broadcast = False
-    else:
-        frontier = _start(_local(spark, cand_rows, cand_schema))
-        tables = sorted({r[0] for r in cand_rows})
-        ids = sorted({r[1] for r in cand_rows})
-        first_broadcast = True
-    kept: list = []
-    schema = None
-    for hop in range(1, depth + 1):
-        if not tables:
-            break
-        side = F.broadcast(frontier) if (hop > 1 or first_broadcast) else frontier
-        hop_edges = e.filter(F.col("src_table").isin(tables))
-        if ids is not None and len(ids) <= IDS_INLIST_MAX:
-            # the frontier ids are known: filter the edge side by them too, so
-            # the filter reaches the scans (and goes below DISTINCTs in views)
-            hop_edges = hop_edges.filter(F.col("src").isin(ids))
-        nxt = _step(side, hop_edges, hop, simple)
-        top = nxt.orderBy(*ORDER).limit(limit)
-        schema = top.schema
-        rows = top.collect()
-        if not rows:
-            break
-        kept.extend(rows)
-        tables = sorted({r["cur_table"] for r in rows})
-        ids = sorted({r["cur"] for r in rows})
-        frontier = _local(spark, rows, schema)
-    if schema is None:
-        schema = _step(_start(_local(spark, [], cand_schema)), e, 1, simple).schema
-    return kept, schema
-
-
-def _seed_batch(seeds: DataFrame, cut, k: int):
-    """The next seeds in (start, start_table) order after id ``cut``: about
-    ``k`` of them, always whole ids.  Returns (rows, exhausted, last_id)."""
-    b = seeds if cut is None else seeds.filter(F.col("start") > F.lit(cut))
-    rows = b.orderBy("start", "start_table").limit(k + 1).collect()
-    if len(rows) <= k:
-        return sorted({(r["start_table"], r["start"]) for r in rows}, key=lambda t: (t[1], t[0])), True, None
-    last = rows[k - 1]["start"]
-    keep = {(r["start_table"], r["start"]) for r in rows[:k]}
-    if rows[k]["start"] == last:  # the id continues past the batch: take all of it
-        keep |= {(r["start_table"], r["start"]) for r in b.filter(F.col("start") == F.lit(last)).collect()}
-    return sorted(keep, key=lambda t: (t[1], t[0])), False, last
-
-
-def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple: bool = False,
-              seeds_bounded: bool = False, first_batch: int | None = None) -> DataFrame:
+def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple: bool = False) -> DataFrame:
     """The first ``limit`` walks (1..depth hops) in (path_seq, tables_seq) order.
 
-    Exact.  Walks from a smaller start id sort first, so seeds are taken in id
-    order in growing batches (each a per-task top-k, no shuffle); the walks of
-    a batch all sort before those of the next, so the search stops as soon as
-    ``limit`` walks are found or the seeds run out.  ``seeds_bounded`` (seeds
-    from a driver-side list) takes them in one batch.
+    Exact, and one lazy plan.  A walk sorts right before its own extensions, so
+    a walk that is not among the first ``limit`` found so far cannot lead to
+    one that is: each hop keeps only ``limit`` walks.  The planner knows that
+    bound and broadcasts them against a scan of the edges; only the first hop
+    (distinct non-NULL seeds with the edges) may shuffle.  A kept walk goes
+    through the next hop's join too, matched to a sentinel edge, so every hop
+    is planned and run once.
     """
     if depth < 1:
         raise ValueError("depth must be >= 1")
-    spark = edges.sparkSession
     e = _walk_edges(edges)
-    seeds = seeds.select("start_table", "start")
-    k = SEED_BATCH_MAX if seeds_bounded else (first_batch or max(limit, 64))
-    found: list = []
-    schema = None
-    cut = None
-    rounds = 0
-    while True:
-        rounds += 1
-        if rounds > MAX_SEED_ROUNDS:
-            # seeds with walks are sparse: all remaining seeds in one pass
-            rest = seeds if cut is None else seeds.filter(F.col("start") > F.lit(cut))
-            more, schema = _top_from(rest, seeds.schema, e, depth, limit, simple)
-            found.extend(more)
-            break
-        rows, exhausted, cut = _seed_batch(seeds, cut, k)
-        more, schema = _top_from(rows, seeds.schema, e, depth, limit, simple)
-        found.extend(more)
-        if exhausted or len(found) >= limit:
-            break
-        k = min(k * 8, SEED_BATCH_MAX)
-    return _finish(_local(spark, found, schema).orderBy(*ORDER).limit(limit))
+    seeds = seeds.select("start_table", "start").filter(F.col("start").isNotNull() & F.col("start_table").isNotNull()).distinct()
+    found = _step(_start(seeds), e, 1, simple).orderBy(*ORDER).limit(limit)
+    sentinel = edges.sparkSession.createDataFrame([(NOWHERE, NOWHERE)], "src_table string, src string")
+    for c in ("label", "dst_table", "dst", "triplet_source_id"):
+        sentinel = sentinel.withColumn(c, F.lit(None).cast("string"))
+    beyond = e.unionByName(sentinel)
+    for hop in range(2, depth + 1):
+        both = found.withColumn("_go", F.explode(F.when(F.col("hops") == hop - 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        at = [F.when(F.col("_go"), F.col(c)).otherwise(F.lit(NOWHERE)) for c in ("cur_table", "cur")]
+        met = both.withColumn("_t", at[0]).withColumn("_i", at[1]).join(beyond, (F.col("_t") == F.col("src_table")) & (F.col("_i") == F.col("src")))
+        if simple:
+            met = met.filter(~F.col("_go") | ~F.array_contains("visited", F.concat_ws("\u0001", F.col("dst_table"), F.col("dst"))))
+        longer = _extended(hop)
+        found = (met.select("start_table", "start", *[F.when(F.col("_go"), v).otherwise(F.col(k)).alias(k) for k, v in longer.items()])
+                 .orderBy(*ORDER).limit(limit))
+    return _finish(found).orderBy(*ORDER)
 
 
 def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
@@ -216,8 +138,7 @@ def rel_map_paths(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_D
                   limit: int = REL_MAP_LIMIT, simple: bool = False) -> DataFrame:
     """The first ``limit`` walks in (path_seq, tables_seq) order: hop tuples
     compared left to right, a walk before its extensions."""
-    bounded = ids is not None and not isinstance(ids, DataFrame)
-    return top_walks(walk_edges(graph), seed_nodes(graph, ids), depth, limit, simple, seeds_bounded=bounded)
+    return top_walks(walk_edges(graph), seed_nodes(graph, ids), depth, limit, simple)
 
 
 def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
@@ -234,16 +155,10 @@ def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
         "path", (F.col("pos") + 1).alias("hop"), "h.*")
     if ignore_rels:
         hops = hops.filter(~F.coalesce(F.col("label").isin(list(ignore_rels)), F.lit(False)))
-    # at most limit * depth rows: a proven bound, so broadcasting them is safe
-    hops = F.broadcast(hops)
-    names = graph.entities.select("node_table", "id", "name")
-    s = names.select(F.col("node_table").alias("src_table"), F.col("id").alias("src"),
-                     F.col("name").alias("src_name"))
-    d = names.select(F.col("node_table").alias("dst_table"), F.col("id").alias("dst"),
-                     F.col("name").alias("dst_name"))
-    return (hops.join(s, ["src_table", "src"], "left").join(d, ["dst_table", "dst"], "left")
-            .select("path", "hop", "src_table", "src", "src_name", "label", "dst_table", "dst",
-                    "dst_name", *(["triplet_source_id"] if with_source else [])))
+    named = attach(hops, graph.entities.select("node_table", "id", "name"), ["node_table", "id"], "name",
+                   {"src_name": ["src_table", "src"], "dst_name": ["dst_table", "dst"]})
+    return named.select("path", "hop", "src_table", "src", "src_name", "label", "dst_table", "dst", "dst_name",
+                        *(["triplet_source_id"] if with_source else []))
 
 
 def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_DEPTH,
@@ -261,10 +176,9 @@ def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_
         seeds = subjects.select(F.lit("n").alias("start_table"),
                                 F.col(subjects.columns[0]).cast("string").alias("start"))
     else:
-        vals = sorted({str(x) for x in subjects})
+        vals = sorted({str(x) for x in subjects if x is not None})
         seeds = tg.links.sparkSession.createDataFrame([("n", v) for v in vals], "start_table string, start string")
-    bounded = subjects is not None and not isinstance(subjects, DataFrame)
-    paths = top_walks(links, seeds, depth, limit, seeds_bounded=bounded)
+    paths = top_walks(links, seeds, depth, limit)
     return paths.select(F.col("start").alias("subj"), "hops", "path")
 
 
@@ -334,5 +248,5 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
     # edges whose endpoints were both bound before they were reached
     for i, (a, at, lab, b, bt) in enumerate(pattern):
         if i not in used:
-            out = out.join(edge_frame(i, a, at, lab, b, bt), sorted({a, b}), "left_semi")
+            out = out.join(edge_frame(i, a, at, lab, b, bt), sorted({a, b}))
     return out.select(*order)

@@ -4,11 +4,12 @@ Exact search is one scan: the query vector is a literal (|q| folded on the
 driver), similarity is a JVM-side higher-order-function expression, and
 ``orderBy(...).limit(k)`` runs as TakeOrderedAndProject (a k-row heap per task).
 
-The IVF layout is the index: k-means cells, rows stored ``partitionBy(cell)``,
-centroids kept beside them.  A query scores the centroids on the driver (k of
-them), keeps the ``nprobe`` nearest cells, and the scan reads only those
-folders (partition pruning) before the exact re-rank.  With nprobe = all cells
-the answer equals exact search.
+The IVF layout is the index: about sqrt(n) k-means cells, rows stored
+``partitionBy(cell)``, centroids kept beside them, and the state of the chunks
+it was built from.  A query scores the centroids on the driver, keeps the
+``nprobe`` nearest cells, and the scan reads only those folders (partition
+pruning) before the exact re-rank.  With nprobe = all cells the answer equals
+exact search.
 """
 
 from __future__ import annotations
@@ -21,42 +22,31 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiver.functions.vectors import cosine, cosine_to_literal, literal_vector, valid_vector
+from quiver.functions.vectors import cosine, cosine_to_literal, valid_vector
 
 TOP_K = 5
-# Query vectors are inlined into the plan; more than this many must go
-# through the IVF join (ivf_topk_batch), which never materialises all pairs.
-MAX_LITERAL_QUERIES = 1024
 
 
 def centroids_by(df: DataFrame, group_col: str, vec_col: str = "embedding", dim: int | None = None) -> DataFrame:
     """Mean vector per group: (group, vec).
 
-    With a known dimension this is one aggregation of ``dim`` averages
-    (partial aggregation map-side, one small shuffle, no row explosion);
-    vectors of another length are left out.  Without one, vectors are
-    exploded per dimension and averaged."""
+    With a known dimension this is one vector aggregate (partial aggregation
+    map-side, one small shuffle, no row explosion); vectors of another length
+    are left out.  Without one, vectors are exploded per dimension and
+    averaged."""
     v = F.col(vec_col).cast("array<double>")
     if dim is not None:
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.stat import Summarizer
         ok = df.filter(F.col(vec_col).isNotNull() & (F.size(vec_col) == F.lit(dim)))
-        aggs = [F.avg(F.try_element_at(v, F.lit(i + 1))).alias(f"_d{i}") for i in range(dim)]
-        return ok.groupBy(group_col).agg(*aggs).select(
-            group_col, F.array(*[F.col(f"_d{i}") for i in range(dim)]).alias("vec"))
+        mean = ok.select(group_col, array_to_vector(v).alias("_v")).groupBy(group_col).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+        return mean.select(group_col, vector_to_array("_m").alias("vec"))
     e = df.filter(F.col(vec_col).isNotNull()).select(group_col, F.posexplode(v).alias("pos", "x"))
     per_dim = e.groupBy(group_col, "pos").agg(F.avg("x").alias("x"))
     return per_dim.groupBy(group_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("vec"))
 
 
-def collect_queries(queries: DataFrame, id_col: str = "qid", vec_col: str = "vec",
-                    limit: int = MAX_LITERAL_QUERIES) -> list[tuple]:
-    """Bring a bounded set of query vectors to the driver (size checked)."""
-    rows = queries.select(id_col, vec_col).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} query vectors; use ivf_topk_batch, which joins on cells")
-    return sorted((r[0], [float(x) for x in r[1]]) for r in rows)
-
-
 def topk(chunks: DataFrame, query: Sequence[float], k: int = TOP_K, dim: int | None = None,
          cols: Sequence[str] = ("id", "text")) -> DataFrame:
     """Exact cosine top-k; NULL, empty, wrong-length and zero vectors are skipped.
@@ -67,28 +57,33 @@ def topk(chunks: DataFrame, query: Sequence[float], k: int = TOP_K, dim: int | N
             .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("similarity"), F.asc("id")))))
 
 
-def topk_batch(chunks: DataFrame, queries: list[tuple], k: int = TOP_K, dim: int | None = None,
+#: Blocks a set of queries is dealt into; a chunk meets one block a time.
+QUERY_BLOCKS = 16
+
+
+def topk_batch(chunks: DataFrame, queries: DataFrame, k: int = TOP_K, dim: int | None = None,
                cols: Sequence[str] = ("id",)) -> DataFrame:
-    """Top-k for each of a bounded list of (qid, vector) queries in one scan.
+    """Top-k for each query (qid, vec) of a frame of any length.
 
-    Each chunk is scored against the inlined query list; the per-query
-    ``row_number() <= k`` filter becomes a WindowGroupLimit, so every task
-    keeps only k rows per query before the shuffle.
+    Queries are dealt into blocks and joined with the chunks block by block
+    (an equi-join on the block number, broadcast by the planner only if
+    small); a chunk's similarities to a block are one expression.  The
+    per-query ``row_number() <= k`` filter becomes a WindowGroupLimit, so
+    every task keeps only k rows per query before the shuffle.
     """
-    if not queries:
-        raise ValueError("no queries")
-    if len(queries) > MAX_LITERAL_QUERIES:
-        raise ValueError("too many literal queries; use ivf_topk_batch")
-    d = dim or len(queries[0][1])
-    qarr = F.array(*[F.struct(F.lit(q).alias("qid"), literal_vector(v).alias("v"),
-                              F.lit(math.sqrt(sum(x * x for x in v))).alias("n"))
-                     for q, v in queries])
-    base = chunks.filter(valid_vector(F.col("embedding"), d)).select(*cols, "embedding")
-    emb_norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x))
-    scored = base.select(*cols, F.explode(F.transform(qarr, lambda q: F.struct(
+    blocks = (queries.filter(F.col("vec").isNotNull())
+              .select(F.pmod(F.xxhash64("qid"), F.lit(QUERY_BLOCKS)).cast("int").alias("_block"), "qid", F.col("vec").cast("array<double>").alias("v"))
+              .withColumn("n", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))).filter("n > 0")
+              .groupBy("_block").agg(F.collect_list(F.struct("qid", "v", "n")).alias("_q")))
+    base = (chunks.filter(valid_vector(F.col("embedding"), dim)).select(*cols, "embedding")
+            .withColumn("_n", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x)))
+            .withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(QUERY_BLOCKS)]))))
+    same = lambda q: F.size(q["v"]) == F.size("embedding")
+    scores = F.transform(F.filter("_q", same), lambda q: F.struct(
         q["qid"].alias("qid"),
         (F.aggregate(F.zip_with("embedding", q["v"], lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-         / (emb_norm * q["n"])).alias("similarity")))).alias("s")).select(*cols, "s.qid", "s.similarity")
+         / (F.col("_n") * q["n"])).alias("similarity")))
+    scored = base.join(blocks, "_block").select(*cols, F.explode(scores).alias("s")).select(*cols, "s.qid", "s.similarity")
     w = Window.partitionBy("qid").orderBy(F.desc("similarity"), F.asc("id"))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -105,12 +100,20 @@ def embedding_dims(chunks: DataFrame) -> DataFrame:
             .groupBy("dims").agg(F.count(F.lit(1)).alias("n")))
 
 
+def choose_dimension(chunks: DataFrame, given: int | None = None) -> int | None:
+    """The dimension to work with: what the stored vectors have (the smallest
+    of the most frequent lengths), else ``given``, else unknown."""
+    found = (embedding_dims(chunks).filter("dims > 0").orderBy(F.desc("n"), "dims").limit(1).collect())
+    return int(found[0]["dims"]) if found else given
+
+
 # ------------------------------------------------------------------------ IVF
 
 @dataclass(frozen=True)
 class IvfIndex:
     root: str
     version: int
+    state: str
     centroids: tuple[tuple[float, ...], ...]
 
     @property
@@ -126,35 +129,50 @@ def _ivf_versions(spark: SparkSession, root: str) -> list[int]:
     return versions(spark, root)
 
 
-def ivf_build(chunks: DataFrame, root: str, cells: int = 8, seed: int = 42, max_iter: int = 10,
-              dim: int | None = None, rebuild: bool = False) -> IvfIndex | None:
-    """Cluster the chunk vectors (cosine k-means) and write the cell layout.
+def vectors_state(chunks: DataFrame, dim: int | None = None) -> str:
+    """Count and checksum of the valid vectors: changes when any row does."""
+    r = (chunks.filter(valid_vector(F.col("embedding"), dim))
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id", "embedding").cast("decimal(38,0)")).alias("h")).collect()[0])
+    return f"{r['n']}:{r['h']}"
 
-    Returns None when there is no vector to index.  An existing layout is
-    reused unless ``rebuild``; a rebuild writes the next version.
-    """
+
+def ivf_build(chunks: DataFrame, root: str, cells: int | None = None, seed: int = 42, max_iter: int = 10,
+              dim: int | None = None, state: str | None = None) -> IvfIndex | None:
+    """The index of ``chunks`` as they are now: the stored layout if it was
+    built from the same state, else a new version (cosine k-means, about
+    sqrt(n) cells unless given).
+
+    ``state`` names the state of the chunks where the caller knows it (a
+    snapshot's version, the files of a table); without it the vectors are
+    counted and summed, one narrow scan.  Returns None when there is no vector
+    to index."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     spark = chunks.sparkSession
+    state = state if state is not None else vectors_state(chunks, dim)
     have = _ivf_versions(spark, root)
-    if have and not rebuild:
-        return ivf_open(spark, root)
+    if have:
+        last = ivf_open(spark, root)
+        if last.state == state:
+            return last
     data = chunks.filter(valid_vector(F.col("embedding"), dim)).select(
         "id", "text", "embedding", array_to_vector("embedding").alias("features"))
-    if data.limit(1).count() == 0:
+    n = data.count()
+    if n == 0:
         return None
-    km = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="features",
-                predictionCol="cell")
-    model = km.fit(data)
+    km = KMeans(k=cells or max(2, math.ceil(math.sqrt(n))), seed=seed, maxIter=max_iter, distanceMeasure="cosine",
+                featuresCol="features", predictionCol="cell")
+    model = km.fit(data.select("features"))
     centers = tuple(tuple(float(x) for x in c) for c in model.clusterCenters())
     v = (max(have) + 1) if have else 1
     base = f"{root.rstrip('/')}/v={v:06d}"
-    (model.transform(data).select("cell", "id", "text", "embedding")
+    # a cell's rows together: a file each, not one a task
+    (model.transform(data).select("cell", "id", "text", "embedding").repartition("cell")
      .write.mode("overwrite").partitionBy("cell").parquet(f"{base}/layout"))
-    meta = json.dumps({"centroids": [list(c) for c in centers]})
+    meta = json.dumps({"state": state, "centroids": [list(c) for c in centers]})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{base}/_meta")
-    return IvfIndex(root.rstrip("/"), v, centers)
+    return IvfIndex(root.rstrip("/"), v, state, centers)
 
 
 def ivf_open(spark: SparkSession, root: str, version: int | None = None) -> IvfIndex:
@@ -163,7 +181,21 @@ def ivf_open(spark: SparkSession, root: str, version: int | None = None) -> IvfI
         raise FileNotFoundError(f"no IVF layout under {root}")
     v = version if version is not None else vs[-1]
     meta = json.loads(spark.read.text(f"{root.rstrip('/')}/v={v:06d}/_meta").first()[0])
-    return IvfIndex(root.rstrip("/"), v, tuple(tuple(c) for c in meta["centroids"]))
+    return IvfIndex(root.rstrip("/"), v, meta["state"], tuple(tuple(c) for c in meta["centroids"]))
+
+
+def centroid_frame(index: IvfIndex, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, list(c)) for i, c in enumerate(index.centroids)], "cell int, vec array<double>")
+
+
+def misplaced(index: IvfIndex, spark: SparkSession) -> DataFrame:
+    """Rows of the layout that another cell's centroid is nearer to.  All
+    centroids (about sqrt(n)) go to each row as one list."""
+    listed = spark.createDataFrame([(0, [list(c) for c in index.centroids])], "_k int, _c array<array<double>>")
+    sims = F.transform("_c", lambda c: F.coalesce(cosine(F.col("embedding"), c), F.lit(-2.0)))
+    rows = index.layout(spark).select("id", F.col("cell").cast("int").alias("cell"), "embedding", F.lit(0).alias("_k"))
+    return (rows.join(listed, "_k").select("id", "cell", sims.alias("s"))
+            .filter(F.get("s", F.col("cell")) < F.array_max("s") - 1e-9).select("id"))
 
 
 def _cos(a: Sequence[float], b: Sequence[float]) -> float:
@@ -191,15 +223,10 @@ def ivf_topk_batch(spark: SparkSession, index: IvfIndex, queries: DataFrame, k:
                    nprobe: int = 2) -> DataFrame:
     """Top-k for many queries: each query meets only the rows of its probed
     cells (an equi-join on ``cell``), never the whole table."""
-    # centroids are inlined (k of them, a bound fixed at build time); each query
-    # row scores them and keeps its nprobe best cells - no join needed
-    cents = F.array(*[F.struct(F.lit(i).alias("cell"), literal_vector(c).alias("c"))
-                      for i, c in enumerate(index.centroids)])
+    # the nprobe nearest centroids of each query, by the batch search itself
     q = queries.select("qid", F.col("vec").cast("array<double>").alias("vec"))
-    scored_cells = F.transform(cents, lambda c: F.struct(
-        (-cosine(F.col("vec"), c["c"])).alias("neg_cs"), c["cell"].alias("cell")))
-    probes = q.select("qid", "vec", F.explode(F.slice(F.array_sort(scored_cells), 1, nprobe)).alias("p")) \
-              .select("qid", "vec", F.col("p.cell").alias("cell"))
+    cents = centroid_frame(index, spark).select(F.col("cell").alias("id"), F.col("vec").alias("embedding"))
+    probes = topk_batch(cents, q, nprobe).select("qid", F.col("id").alias("cell")).join(q, "qid")
     layout = index.layout(spark).filter(valid_vector(F.col("embedding"), None))
     scored = layout.join(probes, "cell").select(
         "qid", "id", cosine(F.col("embedding"), F.col("vec")).alias("similarity"))

@@ -17,7 +17,7 @@ from quiver.functions.text import prefixed_id
 from quiver.operators import lookup, merge, traverse
 from quiver.plans import graphs
 from quiver.plans import sql_fragments as S
-from quiver.sources.tables import read_table
+from quiver.sources.tables import read_table, table_state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -208,6 +208,16 @@ def q_triple_exists(spark, sf):
     return lookup.triple_exists(graphs.chain_graph(spark, sf), cand)
 
 
+@register("node_exists", S.with_(S.CHAIN_LINKS) + """
+SELECT id, EXISTS (SELECT 1 FROM chain_nodes c WHERE c.id = a.id) AS "exists" FROM (
+  SELECT DISTINCT 'c:' || c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING'
+  UNION SELECT 'x:' || r_regionkey FROM region) a""")
+def q_node_exists(spark, sf):
+    r = read_table(spark, sf, "region", "r_regionkey")
+    asked = segment_customer_ids(spark, sf, "BUILDING").unionByName(r.select(prefixed_id("x:", F.col("r_regionkey")).alias("id")))
+    return lookup.node_exists(graphs.chain_graph(spark, sf), asked)
+
+
 # G1, G2, G4, S1-S6 schema -----------------------------------------------------
 
 from quiver.operators import schema as schema_ops  # noqa: E402
@@ -438,22 +448,19 @@ LOCAL_SUPPLY_CYCLE = [
 ]
 
 
-def _edge_sql(label: str) -> str:
-    return f"(SELECT src, dst FROM star_edges WHERE label = '{label}')"
-
-
-@register("match_two_hop", S.with_(S.STAR_EDGES) + f"""
-SELECT a.src AS c, a.dst AS o, b.dst AS p FROM {_edge_sql('PLACED')} a JOIN {_edge_sql('CONTAINS')} b ON b.src = a.dst""")
+@register("match_two_hop", """
+SELECT 'c:' || o_custkey AS c, 'o:' || o_orderkey AS o, 'p:' || l_partkey AS p
+FROM orders JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey""")
 def q_match_two_hop(spark, sf):
     return traverse.match(graphs.star_graph(spark, sf), TWO_HOP)
 
 
-@register("match_cycle", S.with_(S.STAR_EDGES) + f"""
-SELECT pl.src AS c, pl.dst AS o, li.dst AS n, co.dst AS p, su.src AS s
-FROM {_edge_sql('PLACED')} pl JOIN {_edge_sql('LIVES_IN')} li ON li.src = pl.src
-JOIN {_edge_sql('CONTAINS')} co ON co.src = pl.dst
-JOIN {_edge_sql('SUPPLIES')} su ON su.dst = co.dst
-JOIN {_edge_sql('BASED_IN')} bi ON bi.src = su.src AND bi.dst = li.dst""")
+@register("match_cycle", """
+SELECT 'c:' || o_custkey AS c, 'o:' || o_orderkey AS o, 'n:' || c_nationkey AS n, 'p:' || co.l_partkey AS p, 's:' || s_suppkey AS s
+FROM orders JOIN customer ON c_custkey = o_custkey
+JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) co ON co.l_orderkey = o_orderkey
+JOIN (SELECT DISTINCT l_suppkey, l_partkey, s_suppkey, s_nationkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) su
+  ON su.l_partkey = co.l_partkey AND su.s_nationkey = c_nationkey""")
 def q_match_cycle(spark, sf):
     return traverse.match(graphs.star_graph(spark, sf), LOCAL_SUPPLY_CYCLE)
 
@@ -476,20 +483,21 @@ def q_sql_over_graph(spark, sf):
 # B1-B11, B13/B14 mutations ---------------------------------------------------------
 
 from quiver.sources import snapshots  # noqa: E402
-from quiver.session import scratch_path  # noqa: E402
+from quiver.session import checkpoint_root, scratch_path  # noqa: E402
 
 
 def chunk_batch(spark, sf) -> DataFrame:
     """Chunk upserts derived from documents of source src3.
 
-    seq 1 rewrites each chunk (padded text that must be stripped, no
-    embedding, a date that does not parse for German documents); seq 2 rewrites
-    English ones again; new chunk ids are added as well."""
+    seq 1 rewrites each chunk (text padded with ASCII and Unicode blanks that
+    must be stripped, no embedding, a date that does not parse for German
+    documents); seq 2 rewrites English ones again; new chunk ids are added.
+    Rows without id and rows with a vector of one number must be rejected."""
     d = read_table(spark, sf, "documents", "doc_id", "text", "lang", "source").filter(F.col("source") == "src3")
     base = dict(label=F.lit("text_chunk"), file_name=F.col("source"), ref_doc_id=F.col("doc_id").cast("string"))
     date = F.when(F.col("lang") == "de", F.lit("not-a-date")).otherwise(F.lit("2024-05-17"))
     v1 = d.select(prefixed_id("d:", F.col("doc_id")).alias("id"),
-                  F.concat(F.lit("  "), F.col("text"), F.lit("\n\t")).alias("text"),
+                  F.concat(F.lit("\u00a0 \u2003\x1c"), F.col("text"), F.lit("\n\t\u3000\u00a0")).alias("text"),
                   *[c.alias(k) for k, c in base.items()], date.alias("creation_date"), F.lit(1).alias("seq"))
     v2 = d.filter(F.col("lang") == "en").select(
         prefixed_id("d:", F.col("doc_id")).alias("id"), F.concat(F.col("text"), F.lit(" (rev)")).alias("text"),
@@ -497,7 +505,11 @@ def chunk_batch(spark, sf) -> DataFrame:
     new = d.select(F.concat(prefixed_id("d:", F.col("doc_id")), F.lit(":v2")).alias("id"), F.col("text"),
                    *[c.alias(k) for k, c in base.items()], F.lit("2024-07-01").alias("creation_date"),
                    F.lit(1).alias("seq"))
-    return v1.unionByName(v2).unionByName(new)
+    none = F.lit(None).cast("array<double>")
+    bad = new.withColumn("id", F.when(F.col("seq") == 1, F.concat("id", F.lit(":bad")))).withColumn("embedding", F.array(F.lit(1.0)))
+    nameless = v2.withColumn("id", F.lit(None).cast("string"))
+    good = v1.unionByName(v2).unionByName(new).unionByName(nameless).withColumn("embedding", none)
+    return good.unionByName(bad)
 
 
 CHUNK_BATCH_SQL = """batch AS (
@@ -520,13 +532,60 @@ FROM (SELECT id, text, label, embedding, CAST(NULL AS DATE) AS creation_date, fi
       WHERE id NOT IN (SELECT id FROM latest)
       UNION ALL SELECT id, text, label, embedding, creation_date, file_name, ref_doc_id FROM latest)""")
 def q_upsert_chunks(spark, sf):
-    g = merge.upsert_chunks(graphs.text_graph(spark, sf), chunk_batch(spark, sf))
+    g, _ = merge.upsert_chunks(graphs.text_graph(spark, sf), chunk_batch(spark, sf))
     c = g.chunks
     return c.select("id", "text", "label",
                     F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"),
                     F.col("creation_date").cast("string").alias("creation_date"), "file_name", "ref_doc_id")
 
 
+@register("chunk_rejects", """
+SELECT 'd:' || doc_id || ':v2:bad' AS id, 1 AS n_dims, 1 AS seq FROM documents WHERE source = 'src3'
+UNION ALL SELECT NULL, NULL, 2 FROM documents WHERE source = 'src3' AND lang = 'en'""")
+def q_chunk_rejects(spark, sf):
+    bad = merge.upsert_chunks(graphs.text_graph(spark, sf), chunk_batch(spark, sf))[1]
+    return bad.select("id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"), "seq")
+
+
+def mixed_batch(spark, sf) -> DataFrame:
+    """Chunks, nations under new names, and rows of a kind no table takes."""
+    d, n = read_table(spark, sf, "documents", "doc_id", "text"), read_table(spark, sf, "nation", "n_nationkey", "n_name")
+    none = F.lit(None).cast("string")
+    rows = (d.select(F.lit("chunk").alias("kind"), prefixed_id("d:", F.col("doc_id")).alias("id"), none.alias("name"),
+                     F.lit("text_chunk").alias("label"), "text")
+            .unionByName(n.select(F.lit("entity").alias("kind"), prefixed_id("n:", F.col("n_nationkey")).alias("id"),
+                                  F.lower("n_name").alias("name"), F.lit("NATION").alias("label"), none.alias("text")))
+            .unionByName(n.select(F.lit("entity").alias("kind"), F.col("n_name").alias("id"), none.alias("name"),
+                                  F.lit("PLANET").alias("label"), none.alias("text")))
+            .unionByName(n.select(F.lit("note").alias("kind"), F.col("n_name").alias("id"), F.col("n_name").alias("name"),
+                                  F.lit("NATION").alias("label"), none.alias("text"))))
+    return rows.withColumn("seq", F.lit(1))
+
+
+@register("upsert_nodes_mixed", S.with_(S.STAR_ENTITIES) + """
+SELECT 'node' AS kind, node_table AS a, id AS b, CASE WHEN node_table = 'NATION' THEN lower(name) ELSE name END AS c FROM star_entities
+UNION ALL SELECT 'chunk', 'Chunk', 'd:' || doc_id, 'text_chunk' FROM documents
+UNION ALL SELECT 'reject', 'entity', n_name, NULL FROM nation""")
+def q_upsert_nodes_mixed(spark, sf):
+    g, bad = merge.upsert_nodes(graphs.star_graph(spark, sf), mixed_batch(spark, sf))
+    rows = snapshots.graph_rows(g).filter(F.col("kind").isin("node", "chunk"))
+    return rows.unionByName(bad.select(F.lit("reject").alias("kind"), F.col("kind").alias("a"), F.col("id").alias("b"),
+                                       F.lit(None).cast("string").alias("c")))
+
+
+@register("upsert_triples_with_source", S.with_(S.TEXT_ENTITIES, S.TEXT_EDGES, S.TEXT_MENTIONS) + """
+SELECT 'node' AS kind, node_table AS a, id AS b, name AS c FROM text_entities
+UNION ALL SELECT 'chunk', 'Chunk', 'd:' || doc_id, 'text_chunk' FROM documents
+UNION ALL SELECT 'edge', src, label, dst FROM text_edges
+UNION ALL SELECT 'mention', chunk_id, entity_table, entity_id FROM text_mentions""")
+def q_upsert_triples_with_source(spark, sf):
+    base = graphs.text_graph_base(spark, sf)
+    base = base.with_(chunks=base.chunks.limit(0))
+    text = read_table(spark, sf, "documents", "doc_id", "text").select(prefixed_id("d:", F.col("doc_id")).alias("triplet_source_id"), "text")
+    g, _ = merge.upsert_triples_with_source(base, graphs.text_relations(spark, sf).join(text, "triplet_source_id"))
+    return snapshots.graph_rows(g)
+
+
 def entity_batch(spark, sf) -> DataFrame:
     """Entity upserts: AUTOMOBILE customers by name (id := name), a second
     write for rich ones, and nations under a label that is not a table."""
@@ -563,7 +622,7 @@ SELECT node_table, id, name, label, file_name FROM (
   WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.node_table = s.node_table AND l.id = s.id)
   UNION ALL SELECT node_table, id, name, label, file_name FROM latest)""")
 def q_upsert_entities(spark, sf):
-    g = merge.upsert_entities(graphs.star_graph(spark, sf), entity_batch(spark, sf))
+    g, _ = merge.upsert_entities(graphs.star_graph(spark, sf), entity_batch(spark, sf))
     return g.entities.select("node_table", "id", "name", "label", "file_name")
 
 
@@ -634,16 +693,23 @@ WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.src_table = e.src_table AND l.s
                   AND l.label = e.label AND l.dst_table = e.dst_table AND l.dst = e.dst)
 UNION ALL SELECT src_table, src, label, dst_table, dst, triplet_source_id FROM latest""")
 def q_upsert_edges(spark, sf):
-    g = merge.upsert_edges(graphs.star_graph(spark, sf), relation_batch(spark, sf))
+    g, _ = merge.upsert_edges(graphs.star_graph(spark, sf), relation_batch(spark, sf))
     return g.edges.select("src_table", "src", "label", "dst_table", "dst", "triplet_source_id")
 
 
-@register("edge_rejects", S.with_(S.STAR_ENTITIES, RELATION_BATCH_SQL) + """
-SELECT label, source_id, target_id, triplet_source_id, seq FROM rel_batch b
-WHERE NOT EXISTS (SELECT 1 FROM resolved r WHERE r.label = b.label AND r.src = b.source_id AND r.dst = b.target_id
-                  AND r.seq = b.seq)""")
+@register("edge_rejects", """
+SELECT 'SUPPLIES' AS label, 's:' || l_suppkey AS source_id, 'p:' || (l_partkey + 1) AS target_id, 'batch1' AS triplet_source_id, 1 AS seq
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey + 1 LEFT JOIN supplier ON s_suppkey = l_suppkey
+WHERE l_returnflag = 'R' AND (p_partkey IS NULL OR s_suppkey IS NULL)
+UNION ALL SELECT 'FRIEND_OF', 'c:' || o_custkey, 'c:' || o_custkey, 'batch1', 1 FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'PLACED', 'c:' || o_custkey, 'o:' || (-o_orderkey), 'batch1', 1 FROM orders o WHERE o_orderstatus = 'F'
+  AND NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_orderkey = -o.o_orderkey)
+UNION ALL SELECT 'PLACED', 'c:' || o_custkey, 'o:' || o_orderkey, 'batch1', 1 FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+  WHERE o_orderstatus = 'F' AND c_custkey IS NULL
+UNION ALL SELECT 'PLACED', 'c:' || o_custkey, 'o:' || o_orderkey, 'batch2', 2 FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+  WHERE o_orderstatus = 'F' AND o_totalprice > 100000 AND c_custkey IS NULL""")
 def q_edge_rejects(spark, sf):
-    return merge.resolve_relations(graphs.star_graph(spark, sf), relation_batch(spark, sf))[1]
+    return merge.upsert_edges(graphs.star_graph(spark, sf), relation_batch(spark, sf))[1]
 
 
 @register("link_mentions", S.with_(S.TEXT_MENTIONS) + "SELECT chunk_id, entity_table, entity_id FROM text_mentions")
@@ -783,14 +849,38 @@ def q_snapshot_roundtrip(spark, sf):
     return _star_rows(snapshots.read_graph(spark, root))
 
 
-@register("clear_all", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + f"""
-SELECT * FROM ({_graph_rows_sql("star_entities", "star_edges")}) WHERE FALSE""")
+@register("triples_roundtrip", S.with_(S.CHAIN_LINKS) + """
+SELECT 'node' AS kind, id AS a, CAST(NULL AS VARCHAR) AS b, CAST(NULL AS VARCHAR) AS c FROM (
+  SELECT id FROM chain_nodes UNION SELECT 'r:' || r_regionkey FROM region UNION SELECT 'world')
+UNION ALL SELECT 'link', src, predicate, dst FROM chain_links
+UNION ALL SELECT 'link', 'r:' || r_regionkey, '', 'world' FROM region
+UNION ALL SELECT 'link', 'r:' || r_regionkey, NULL, 'world' FROM region""")
+def q_triples_roundtrip(spark, sf):
+    """Links with an empty and with a NULL predicate survive a reopening."""
+    r = read_table(spark, sf, "region", "r_regionkey")
+    odd = [r.select(prefixed_id("r:", F.col("r_regionkey")).alias("src"), F.lit(p).cast("string").alias("predicate"),
+                    F.lit("world").alias("dst")) for p in ("", None)]
+    root = scratch_path(spark, "triples")
+    snapshots.write_triples(merge.triple_upsert(graphs.chain_graph(spark, sf), odd[0].unionByName(odd[1])), root)
+    return snapshots.triple_rows(snapshots.read_triples(spark, root))
+
+
+def _sizes(g, stage: str) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), F.lit(kind).alias("kind"), "n")
+             for kind, df in (("node", g.entities), ("edge", g.edges))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("clear_all", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + """
+SELECT 'before' AS stage, 'node' AS kind, count(*) AS n FROM star_entities
+UNION ALL SELECT 'before', 'edge', count(*) FROM star_edges
+UNION ALL SELECT 'after', 'node', 0 UNION ALL SELECT 'after', 'edge', 0""")
 def q_clear_all(spark, sf):
     root = scratch_path(spark, "clear")
     snapshots.write_graph(graphs.star_graph(spark, sf), root)
-    g = merge.clear(snapshots.read_graph(spark, root))
-    snapshots.write_graph(g, root)
-    return _star_rows(snapshots.read_graph(spark, root))
+    before = snapshots.read_graph(spark, root)
+    snapshots.write_graph(merge.clear(before), root)
+    return _sizes(before, "before").unionByName(_sizes(snapshots.read_graph(spark, root), "after"))
 
 
 # V1-V8 vector search ---------------------------------------------------------------
@@ -807,9 +897,9 @@ def label_centroids(spark, sf) -> DataFrame:
 
 
 def label_query(spark, sf, label: int = 1) -> list[float]:
-    """The label-1 centroid as a driver-side vector (dimension-sized)."""
-    qs = dict(vector.collect_queries(label_centroids(spark, sf)))
-    return qs[label]
+    """The label's centroid as a driver-side vector (dimension-sized)."""
+    emb = read_table(spark, sf, "embeddings", "label", "embedding").filter(F.col("label") == label)
+    return list(vector.centroids_by(emb, "label", dim=VEC_DIM).collect()[0]["vec"])
 
 
 CENTROIDS_SQL = """centroids AS (
@@ -846,8 +936,7 @@ SELECT qid, id, CAST(rank AS INTEGER) AS rank, round(sim, 6) AS similarity FROM
          row_number() OVER (PARTITION BY c.qid ORDER BY list_cosine_similarity(v.embedding, c.vec) DESC, v.id) AS rank
   FROM vec_chunks v, centroids c) WHERE rank <= 5""")
 def q_vector_topk_batch(spark, sf):
-    qs = vector.collect_queries(label_centroids(spark, sf))
-    out = vector.topk_batch(graphs.text_chunks(spark, sf), qs, 5, VEC_DIM)
+    out = vector.topk_batch(graphs.text_chunks(spark, sf), label_centroids(spark, sf), 5, VEC_DIM)
     return out.select(F.col("qid").cast("int").alias("qid"), "id", F.col("rank").cast("int").alias("rank"),
                       F.round("similarity", 6).alias("similarity"))
 
@@ -871,46 +960,80 @@ def q_embedding_dims(spark, sf):
     return vector.embedding_dims(graphs.text_chunks(spark, sf))
 
 
-IVF_CELLS = 8
+@register("choose_dimension", S.with_(S.TEXT_CHUNKS) + """
+SELECT 'stored' AS case_, CAST(mode(len(embedding)) AS INTEGER) AS dim FROM text_chunks WHERE embedding IS NOT NULL
+UNION ALL SELECT 'given', 384 UNION ALL SELECT 'unknown', NULL""")
+def q_choose_dimension(spark, sf):
+    """Detected before given before unknown."""
+    c = graphs.text_chunks(spark, sf)
+    bare = c.filter(F.col("embedding").isNull())
+    rows = [("stored", vector.choose_dimension(c, 384)), ("given", vector.choose_dimension(bare, 384)), ("unknown", vector.choose_dimension(bare))]
+    return spark.createDataFrame(rows, "case_ string, dim int")
 
 
-def _ivf(spark, sf, name="ivf"):
-    return vector.ivf_build(graphs.text_chunks(spark, sf), scratch_path(spark, name), cells=IVF_CELLS, dim=VEC_DIM)
+def _ivf(spark, sf):
+    """The index of the text chunks: one layout per state of the tables'
+    files, kept under the checkpoint folder and reused while they stay."""
+    import hashlib
+    root = f"{checkpoint_root(spark)}/quiver/ivf/{hashlib.sha1(sf.encode()).hexdigest()[:16]}"
+    state = table_state(spark, sf, "documents", "embeddings")
+    return vector.ivf_build(graphs.text_chunks(spark, sf), root, dim=VEC_DIM, state=state)
 
 
 @register("ivf_topk", _topk_sql(5))
 def q_ivf_topk(spark, sf):
     idx = _ivf(spark, sf)
-    return _ranked(vector.ivf_topk(spark, idx, label_query(spark, sf), 5, nprobe=IVF_CELLS))
+    return _ranked(vector.ivf_topk(spark, idx, label_query(spark, sf), 5))
 
 
-@register("ivf_build")
-def q_ivf_build(spark, sf):
+@register("ivf_topk_pruned")
+def q_ivf_topk_pruned(spark, sf):
+    """A tenth of the cells: what a query costs with the layout in place."""
     idx = _ivf(spark, sf)
-    return idx.layout(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    return _ranked(vector.ivf_topk(spark, idx, label_query(spark, sf), 5, nprobe=max(1, len(idx.centroids) // 10)))
 
 
-@register("ivf_recall")
+@register("ivf_build", S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + """
+SELECT count(*) AS n_valid, count(*) AS n_indexed, 0 AS n_misplaced, TRUE AS reused FROM vec_chunks""")
+def q_ivf_build(spark, sf):
+    """Every valid vector is in the layout, in its nearest centroid's cell,
+    and a second call on the same tables reuses it."""
+    idx, again = _ivf(spark, sf), _ivf(spark, sf)
+    ids = graphs.text_chunks(spark, sf).filter(vector.valid_vector(F.col("embedding"), VEC_DIM)).select("id")
+    lay = idx.layout(spark).select("id", F.lit(1).alias("h"))
+    both = ids.join(lay, "id", "full").agg(F.count(F.lit(1)).alias("n_valid"), F.sum(F.coalesce("h", F.lit(0))).alias("n_indexed"))
+    bad = vector.misplaced(idx, spark).agg(F.count(F.lit(1)).cast("int").alias("n_misplaced"))
+    return both.join(bad).withColumn("reused", F.lit(idx.version == again.version))
+
+
+@register("ivf_recall", S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + """
+SELECT count(*) AS n_exact, count(*) AS n_found, 1.0::DOUBLE AS recall FROM (
+  SELECT row_number() OVER (PARTITION BY c.qid ORDER BY list_cosine_similarity(v.embedding, c.vec) DESC, v.id) AS rank
+  FROM vec_chunks v, centroids c) WHERE rank <= 5""")
 def q_ivf_recall(spark, sf):
+    """Probing all cells finds all that the exact search finds."""
     idx = _ivf(spark, sf)
     queries = label_centroids(spark, sf)
-    approx = vector.ivf_topk_batch(spark, idx, queries, 5, nprobe=2)
-    exact = vector.topk_batch(graphs.text_chunks(spark, sf), vector.collect_queries(queries), 5, VEC_DIM)
-    return vector.recall(approx, exact)
+    approx = vector.ivf_topk_batch(spark, idx, queries, 5, nprobe=len(idx.centroids))
+    return vector.recall(approx, vector.topk_batch(graphs.text_chunks(spark, sf), queries, 5, VEC_DIM))
 
 
-@register("ivf_refresh")
+@register("ivf_refresh", S.with_(S.TEXT_CHUNKS, CENTROIDS_SQL) + """
+SELECT 'q:new' AS id, 1 AS rank, 1.0::DOUBLE AS similarity, TRUE AS rebuilt,
+       (SELECT count(*) + 1 FROM vec_chunks WHERE id NOT IN (SELECT 'd:' || doc_id FROM documents WHERE source = 'src3')) AS n_indexed""")
 def q_ivf_refresh(spark, sf):
+    """After an upsert (src3 loses its vectors, a chunk equal to the query is
+    new) the index is rebuilt before the query and finds the new chunk."""
     root = scratch_path(spark, "ivf-refresh")
     g = graphs.text_graph(spark, sf)
-    first = vector.ivf_build(g.chunks, root, cells=IVF_CELLS, dim=VEC_DIM)
-    again = vector.ivf_build(g.chunks, root, cells=IVF_CELLS, dim=VEC_DIM)  # exists: reused
-    assert first is not None and again is not None and again.version == first.version
-    # bulk change: chunks of src3 are rewritten without vectors, then rebuild
-    g2 = merge.upsert_chunks(g, chunk_batch(spark, sf))
-    fresh = vector.ivf_build(g2.chunks, root, cells=IVF_CELLS, dim=VEC_DIM, rebuild=True)
-    return fresh.layout(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "version", F.lit(fresh.version))
+    first = vector.ivf_build(g.chunks, root, dim=VEC_DIM)
+    q = label_query(spark, sf)
+    new = spark.createDataFrame([("q:new", "new", q, 9)], "id string, text string, embedding array<double>, seq int")
+    g2, _ = merge.upsert_chunks(g, chunk_batch(spark, sf))
+    g2, _ = merge.upsert_chunks(g2, new)
+    fresh = vector.ivf_build(g2.chunks, root, dim=VEC_DIM)
+    n = fresh.layout(spark).agg(F.count(F.lit(1)).alias("n_indexed"))
+    return (_ranked(vector.ivf_topk(spark, fresh, q, 1, nprobe=1)).withColumn("rebuilt", F.lit(fresh.version > first.version)).join(n))
 
 
 # A8-A12 ingest ---------------------------------------------------------------------
@@ -946,12 +1069,39 @@ def q_chunk_documents(spark, sf):
     return ingest.chunk_documents(docs)
 
 
-@register("embed_chunks")
+@register("embed_chunks", """
+WITH w AS (SELECT 'd:' || doc_id AS id, unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM documents),
+h AS (SELECT id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 128 AS c FROM w),
+v AS (SELECT id, c // 2 AS pos, sum(CASE WHEN c % 2 = 0 THEN 1.0 ELSE -1.0 END) AS x FROM h GROUP BY ALL),
+n AS (SELECT id, sqrt(sum(x * x)) AS n FROM v GROUP BY id),
+g AS (SELECT n.id, n.n, CAST(p AS BIGINT) AS pos FROM n, range(64) t(p) WHERE n.n > 0)
+SELECT g.id, CAST(g.pos AS INTEGER) AS pos, round(coalesce(v.x, 0.0) / g.n, 6) AS x FROM g LEFT JOIN v ON v.id = g.id AND v.pos = g.pos""")
 def q_embed_chunks(spark, sf):
     chunks = graphs.text_chunks(spark, sf).select("id", "text")
     e = ingest.embed_chunks(chunks, dim=VEC_DIM)
-    return e.select("id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dims"),
-                    F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+    return e.select("id", F.posexplode("embedding").alias("pos", "x")).withColumn("x", F.round("x", 6))
+
+
+def href_extractor(batches):
+    """A plugged-in extractor: each href of a page is a triple; its target is
+    a PAGE if absolute, else a PATH."""
+    import re
+
+    import pandas as pd
+    for b in batches:
+        rows = [(i, i, "PAGE", "LINKS_TO", h, "PAGE" if h.startswith("http") else "PATH")
+                for i, t in zip(b["id"], b["text"]) if t for h in re.findall(graphs.HREF_PATTERN, t)]
+        yield pd.DataFrame(rows, columns=["triplet_source_id", "head", "head_label", "label", "tail", "tail_label"])
+
+
+@register("extract_triples_strict", """
+SELECT url AS head, 'LINKS_TO' AS label, h AS tail, h LIKE 'http%' AS accepted FROM (
+  SELECT url, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS h FROM pages)""")
+def q_extract_triples_strict(spark, sf):
+    pages = read_table(spark, sf, "pages", "url", "html").select(F.col("url").alias("id"), F.col("html").alias("text"))
+    good, bad = ingest.extract_triples(pages, href_extractor, schema=[("PAGE", "LINKS_TO", "PAGE")])
+    cols = ["head", "label", "tail"]
+    return (good.select(*cols, F.lit(True).alias("accepted")).unionByName(bad.select(*cols, F.lit(False).alias("accepted"))))
 
 
 @register("extract_link_triples", S.with_(S.WEB_LINKS) + "SELECT src, predicate, dst FROM web_links")
@@ -985,6 +1135,20 @@ def q_files_to_documents(spark, sf):
                     (F.col("file_name").isNotNull() & (F.col("file_size") > 0)).alias("has_file"))
 
 
+@register("text_files_to_documents", """
+SELECT source, count(DISTINCT source) AS n_files, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, 'text/plain' AS file_type, TRUE AS dated
+FROM documents GROUP BY source""")
+def q_text_files_to_documents(spark, sf):
+    """Whole-file reading: one text file per source, read back as documents."""
+    path = scratch_path(spark, "docs-text")
+    docs = read_table(spark, sf, "documents", "source", "text")
+    docs.repartition("source").write.mode("overwrite").partitionBy("source").text(path)
+    d = files.read_text_files(spark, path)
+    return (d.withColumn("source", F.regexp_extract("file_path", "source=([^/]+)", 1)).groupBy("source", "file_type")
+            .agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.length("text")).cast("long").alias("n_chars"),
+                 F.bool_and(F.col("creation_date").isNotNull() & F.col("last_modified_date").isNotNull()).alias("dated")))
+
+
 @register("export_edge_list", S.with_(S.STAR_EDGES) + "SELECT src, label, dst FROM star_edges")
 def q_export_edge_list(spark, sf):
     path = scratch_path(spark, "edge-list")
@@ -1118,7 +1282,7 @@ from quiver.streaming import incremental  # noqa: E402
 
 @register("stream_upsert_edges", """
 SELECT 'u:' || CAST(user_id AS VARCHAR) AS src, event_type AS label, 't:' || event_type AS dst,
-       arg_max(value, ts) AS value
+       last(value ORDER BY ts, event_id) AS value
 FROM events GROUP BY user_id, event_type""")
 def q_stream_upsert_edges(spark, sf):
     state = incremental.run_event_stream(spark, sf, scratch_path(spark, "event-state"), glob="events.parquet")

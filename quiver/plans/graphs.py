@@ -189,19 +189,9 @@ def text_graph(spark: SparkSession, sf: str) -> PropertyGraph:
 
 def text_graph_by_upsert(spark: SparkSession, sf: str) -> PropertyGraph:
     """The text graph built with the merge operators (one relation per document)."""
-    return merge.upsert_relations(text_graph_base(spark, sf), text_relations(spark, sf))
-
-
-def event_relations(spark: SparkSession, sf: str) -> DataFrame:
-    ev = read_table(spark, sf, "events", "user_id", "event_type", "value", "ts")
-    return ev.select(prefixed_id("u:", F.col("user_id")).alias("src"), F.col("event_type").alias("label"),
-                     prefixed_id("t:", F.col("event_type")).alias("dst"), "value", "ts")
-
-
-def empty_like(graph: PropertyGraph) -> PropertyGraph:
-    return merge.clear(graph)
+    return merge.upsert_relations(text_graph_base(spark, sf), text_relations(spark, sf))[0]
 
 
 __all__ = ["STAR_SCHEMA", "TEXT_SCHEMA", "EMBED_DIM", "star_graph", "star_entities", "star_edges",
            "chain_graph", "chain_links", "web_graph", "web_links", "text_graph", "text_chunks",
-           "text_entities", "text_relations", "event_relations", "HREF_PATTERN", "MENTION_SCHEMA"]
+           "text_entities", "text_relations", "HREF_PATTERN", "MENTION_SCHEMA"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -21,13 +21,15 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "quiver", extra: dict | None = None) -> SparkSession:
+    """``shuffle_partitions`` is left to the deployment unless given."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -39,12 +41,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) do we create one under /tmp.
+    On a cluster the deployment sets it to shared storage; without it nothing
+    that all executors see is known, so this raises.  In local mode, where
+    driver and executor are one process, an unset folder is made under /tmp.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quiver-ckpt-", dir="/tmp")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -53,16 +58,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory name under the checkpoint root (never reused)."""
-    root = checkpoint_root(spark)
-    return f"{root}/quiver/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the checkpoint root."""
+    return f"{checkpoint_root(spark)}/quiver/{spark.sparkContext.applicationId}"
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application materialised; frames built on it are
+    unusable afterwards, so call it when the job is done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df):

@@ -11,6 +11,8 @@ def _meta():
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
+        # file systems keep no creation time that Spark can read: the file's own time stands for both
+        F.to_date(F.col("_metadata.file_modification_time")).alias("creation_date"),
         F.to_date(F.col("_metadata.file_modification_time")).alias("last_modified_date"),
     ]
 

@@ -30,11 +30,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     fs, p = _fs(spark, root)
     if not fs.exists(p):
@@ -97,7 +92,7 @@ def write_triples(tg: TripleGraph, root: str, version: int | None = None) -> int
     v = version if version is not None else (max(versions(spark, root), default=0) + 1)
     d = _vdir(root, v)
     tg.nodes.write.mode("overwrite").parquet(f"{d}/nodes")
-    tg.links.write.mode("overwrite").partitionBy("predicate").parquet(f"{d}/links")
+    tg.links.write.mode("overwrite").parquet(f"{d}/links")  # predicates are free text: no folder each
     meta = {"node_table": tg.node_table, "rel_table": tg.rel_table, "kind": "triples"}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{d}/_meta")
     return v

@@ -17,46 +17,25 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Resolving a parquet path (listing, footer/schema) costs a driver round trip;
-# the resolved relation is a lazy plan, so it is kept per session and path.
-# No data is cached: every action still scans the files.
-_RELATIONS: dict[tuple, DataFrame] = {}
-
-
-def _key(spark: SparkSession, what: str) -> tuple:
-    return (id(spark), spark.sparkContext.applicationId, what)
-
-
-def _memo(spark: SparkSession, what: str) -> DataFrame | None:
-    df = _RELATIONS.get(_key(spark, what))
-    # only reuse a plan made by this very session (ids can be recycled)
-    return df if df is not None and df.sparkSession is spark else None
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """The table as its files are now: nothing is remembered between calls."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    df = _memo(spark, path)
-    if df is None:
-        df = spark.read.parquet(path)
-        _RELATIONS[_key(spark, path)] = df
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
 
 
-def table_view(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A temp-view name for the table (registered once per session and path),
-    so graph builders can be declared as one SQL statement."""
-    import hashlib
-    path = table_path(sf_dir, name)
-    view = f"_q{hashlib.sha1(path.encode()).hexdigest()[:10]}_{name}"
-    if _memo(spark, "view:" + path) is None:
-        df = read_table(spark, sf_dir, name)
-        df.createOrReplaceTempView(view)
-        _RELATIONS[_key(spark, "view:" + path)] = df
-    return view
+def table_state(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """Names the present files of tables: path, length and time of each."""
+    out = []
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(path):
+            out.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(sorted(out))
 
 
 def sql_on_tables(spark: SparkSession, sf_dir: str, sql: str, tables: tuple[str, ...]) -> DataFrame:
     """Run ``sql`` with ``{table}`` placeholders bound to the input tables."""
-    return spark.sql(sql.format(**{t: table_view(spark, sf_dir, t) for t in tables}))
+    return spark.sql(sql, **{t: read_table(spark, sf_dir, t) for t in tables if f"{{{t}}}" in sql})

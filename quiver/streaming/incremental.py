@@ -2,7 +2,7 @@
 
 Events become (user)-[event_type]->(type) edges carrying the latest value by
 event time.  The latest value per edge is a streaming aggregation
-(``max_by(struct(value, ts), ts)``): Spark keeps it in the checkpointed state
+(``max_by(struct(value, ts, event_id), struct(ts, event_id))``): Spark keeps it in the checkpointed state
 store, so a micro-batch costs what the batch touches, not what the graph
 holds.  In update mode each micro-batch emits only the edges it changed;
 ``foreachBatch`` writes them to ``changes/batch=<id>`` with overwrite, so a
@@ -18,28 +18,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quiver.operators.merge import latest_by_key
-
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
-EDGE_STATE_SCHEMA = "src string, label string, dst string, value double, ts timestamp"
+EDGE_STATE_SCHEMA = "src string, label string, dst string, value double, ts timestamp, event_id long"
 KEYS = ["src", "label", "dst"]
 
 
 def event_edges(events: DataFrame) -> DataFrame:
     return events.select(F.concat(F.lit("u:"), F.col("user_id").cast("string")).alias("src"),
                          F.col("event_type").alias("label"),
-                         F.concat(F.lit("t:"), F.col("event_type")).alias("dst"), "value", "ts")
+                         F.concat(F.lit("t:"), F.col("event_type")).alias("dst"), "value", "ts", "event_id")
 
 
 def latest_edges(edges: DataFrame) -> DataFrame:
-    """Latest value per edge by ts (batch or streaming frame)."""
-    return (edges.groupBy(*KEYS).agg(F.max_by(F.struct("value", "ts"), "ts").alias("v"))
-            .select(*KEYS, F.col("v.value").alias("value"), F.col("v.ts").alias("ts")))
+    """Latest value per edge by (ts, event_id), batch or streaming frame."""
+    return (edges.groupBy(*KEYS).agg(F.max_by(F.struct("value", "ts", "event_id"), F.struct("ts", "event_id")).alias("v"))
+            .select(*KEYS, "v.value", "v.ts", "v.event_id"))
 
 
 def _batches(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -67,14 +65,14 @@ def current_state(spark: SparkSession, root: str) -> DataFrame:
     parts = []
     if snaps:
         parts.append(spark.read.schema(EDGE_STATE_SCHEMA).parquet(f"{root}/snapshots/upto={upto:09d}")
-                     .select("src", "label", "dst", "value", "ts"))
+                     .select("src", "label", "dst", "value", "ts", "event_id"))
     if _batches(spark, f"{root}/changes", "batch="):
         ch = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
-        parts.append(ch.filter(F.col("batch") > F.lit(upto)).select("src", "label", "dst", "value", "ts"))
+        parts.append(ch.filter(F.col("batch") > F.lit(upto)).select("src", "label", "dst", "value", "ts", "event_id"))
     if not parts:
         return spark.createDataFrame([], EDGE_STATE_SCHEMA)
     allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return latest_by_key(allrows, KEYS, "ts", keep_seq=True).select("src", "label", "dst", "value", "ts")
+    return latest_edges(allrows)
 
 
 def compact(spark: SparkSession, root: str) -> int | None:

@@ -12,11 +12,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from quiver.session import build_session
-    s = build_session("local[8]", shuffle_partitions=8)
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quiver-test-ckpt-", dir="/tmp"))
+    from quiver.session import build_session, clean_scratch
+    shared = tempfile.mkdtemp(prefix="quiver-test-ckpt-", dir="/tmp")  # one machine: its /tmp is shared
+    s = build_session("local[8]", shuffle_partitions=8, extra={"spark.checkpoint.dir": f"file://{shared}"})
     yield s
+    clean_scratch(s)
     s.stop()
 
 

@@ -35,7 +35,7 @@ def test_ivf_batch_join_matches_exact_with_all_cells(spark, tmpdir_path):
     idx = vector.ivf_build(chunks, tmpdir_path + "/ivf", cells=5, dim=16)
     queries = _queries(spark)
     approx = vector.ivf_topk_batch(spark, idx, queries, 5, nprobe=5)
-    exact = vector.topk_batch(chunks, vector.collect_queries(queries), 5, 16)
+    exact = vector.topk_batch(chunks, queries, 5, 16)
     r = vector.recall(approx, exact).first()
     assert r["recall"] == 1.0 and r["n_exact"] == 30
 
@@ -57,17 +57,33 @@ def test_ivf_reuse_and_rebuild(spark, tmpdir_path):
     root = tmpdir_path + "/ivf"
     a = vector.ivf_build(chunks, root, cells=4, dim=16)
     b = vector.ivf_build(chunks, root, cells=4, dim=16)
-    c = vector.ivf_build(chunks, root, cells=4, dim=16, rebuild=True)
-    assert a.version == b.version == 1 and c.version == 2
+    assert a.version == b.version == 1 and vector.misplaced(a, spark).count() == 0
+    # another state of the chunks: the next build sees it, and finds the new row
+    q = [0.5] * 16
+    more = chunks.unionByName(spark.createDataFrame([("new", "new", q)], chunks.schema))
+    c = vector.ivf_build(more, root, cells=4, dim=16)
+    assert c.version == 2 and vector.ivf_topk(spark, c, q, 1, nprobe=1).first()["id"] == "new"
+    assert len(vector.ivf_build(chunks, tmpdir_path + "/auto", dim=16).centroids) == 20  # sqrt(400)
     empty = chunks.limit(0)
     assert vector.ivf_build(empty, tmpdir_path + "/none", cells=4, dim=16) is None
 
 
 def test_batch_topk_equals_single_queries(spark):
     chunks = _chunks(spark, n=200)
-    qs = vector.collect_queries(_queries(spark, k=3))
+    qs = _queries(spark, k=3)
     batch = vector.topk_batch(chunks, qs, 4, 16).collect()
-    for qid, v in qs:
+    for qid, v in [tuple(r) for r in qs.collect()]:
         single = [r["id"] for r in vector.topk(chunks, v, 4, 16).collect()]
         got = [r["id"] for r in sorted((r for r in batch if r["qid"] == qid), key=lambda r: r["rank"])]
         assert got == single
+
+
+def test_many_queries(spark):
+    chunks, qs = _chunks(spark, n=20), _queries(spark, k=1025)
+    assert vector.topk_batch(chunks, qs, 2, 16).count() == 2050
+
+
+def test_dimension_rule(spark):
+    c = _chunks(spark, n=5)
+    assert vector.choose_dimension(c, 7) == 16 and vector.choose_dimension(c.limit(0), 7) == 7
+    assert vector.choose_dimension(c.limit(0)) is None
