@@ -43,13 +43,13 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
          "month months year years cent cents dollar dollars euro euros usd eur percent degree degrees kph mph w kw v")
 
 _SPACE = r"[\x20\x09-\x0D]"
-_INK = r"[^\x20\x09-\x0D]"
 
 
 def _plain(text: Column) -> Column:
-    """Lower-cased text without marks; a name's token starts with NAME.
-    White space is untouched, but tokens of marks only vanish."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?<=[^.!?\x20\x09-\x0D]{_SPACE})(?=\p{{Lu}}\p{{Ll}})", NAME)
+    """Lower-cased tokens, one space between; marks separate tokens.  A name's
+    token starts with NAME: a capital letter after white space (up to 16
+    characters of it) that no sentence end precedes."""
+    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?=\p{{Lu}}\p{{Ll}})(?<=[^.!?\x20\x09-\x0D]{_SPACE}{{1,16}})", NAME)
     return F.trim(F.regexp_replace(F.lower(named), r"[\p{Punct}\x20\x09-\x0D]+", " "))
 
 
