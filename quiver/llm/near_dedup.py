@@ -6,16 +6,20 @@
    exponential variate on a scale of base ``BASE``, truncated to a byte.
    Sketches merge by maximum and two registers agree with probability about J.
 2. Documents with equal sets form a class; only classes are compared.
-3. Registers are banded (``M / ROWS`` bands).  In a bucket every member is
-   paired with a leader, the smallest id, never with all others.  A pair goes
-   on if sizes allow J >= threshold and the joint maximum-likelihood estimate
-   from both sketches (the counts of larger, smaller and equal registers, given
-   the exact sizes) is not below it by more than ``SLACK`` deviations; the
-   texts are then fetched and J is computed on full sets.
-4. Links give components.  Buckets that still hold several components get
-   more leaders (8 times as many each round), tested against members of other
-   components only, until every pair of a bucket is tested or connected, so no
-   cap is set on buckets or candidates.
+3. The first registers are banded (``BANDS`` of ``ROWS``).  In a bucket every member is
+   paired with a leader, the smallest id, never with all others, and goes on
+   with the ``LEADERS`` leaders it shares most buckets with.  A pair goes on if
+   sizes allow J >= threshold and the joint maximum-likelihood estimate from
+   both sketches (the counts of larger, smaller and equal registers, given the
+   exact sizes) is not below it by more than ``SLACK`` deviations of an
+   ``M``-register estimate; the texts are
+   then fetched and J is computed on full sets.
+4. Links give components.  Only buckets that still hold several are looked at
+   again, and only for pairs of different components: members outside the
+   bucket's main component are held in blocks of ``BLOCK``, all its members
+   stream past each block, and what size and estimate allow is verified.  So no
+   cap is set on buckets or candidates, no group is held by a task, and the
+   members of one large group of copies are not compared with each other.
 
 With J = 0.8 a pair shares no band with probability 1e-7.
 
@@ -39,8 +43,9 @@ from .common import BYTE_VALUE, Prefix, Slice, materialize, mix64, read_docs, sl
 from .graph import components
 
 _U = np.uint64
-M, ROWS, BASE, RATE, TOP = 200, 5, 1.2, 20.0, 254
-SLACK = 6.0
+M, BANDS, ROWS, BASE, RATE, TOP = 400, 40, 5, 1.2, 20.0, 254
+SLACK = 4.5
+LEADERS, BLOCK = 3, 512
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -101,10 +106,11 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
 
 def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, bands = b.num_rows, M // ROWS
+        n, bands = b.num_rows, BANDS
         if not n:
             continue
-        regs = np.frombuffer(b"".join(b.column("regs").to_pylist()), np.uint8).reshape(n, bands, ROWS).astype(np.uint64)
+        regs = np.frombuffer(b"".join(b.column("regs").to_pylist()), np.uint8).reshape(n, M)[:, :BANDS * ROWS]
+        regs = regs.reshape(n, bands, ROWS).astype(np.uint64)
         key = np.arange(1, bands + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) + np.zeros((n, 1), np.uint64)
         for r in range(ROWS):
             key = mix64(key * _U(0x100000001B3) + regs[:, :, r])
@@ -112,17 +118,30 @@ def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
 
 
-def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Joint maximum-likelihood J of pairs of sketches with known set sizes."""
-    over, under = (x > y).sum(1), (x < y).sum(1)
+def _likelihood(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of J (``at``, no larger than the sizes allow) and their joint log
+    likelihood given two sketches and the set sizes."""
+    over, under = np.count_nonzero(x > y, axis=1), np.count_nonzero(x < y, axis=1)
     u, v = nx / (nx + ny), ny / (nx + ny)
-    J = np.minimum(np.linspace(0, 1, 101)[None], np.minimum(u / v, v / u)[:, None])
+    J = np.minimum(at[None], np.minimum(u / v, v / u)[:, None])
     p = lambda z: np.maximum(-np.log1p(-np.maximum(z, 0) * (BASE - 1) / BASE) / np.log(BASE), 1e-12)
     up, down = p(u[:, None] - v[:, None] * J), p(v[:, None] - u[:, None] * J)
-    like = over[:, None] * np.log(up) + under[:, None] * np.log(down) + (M - over - under)[:, None] * np.log(np.maximum(1 - up - down, 1e-12))
+    return J, over[:, None] * np.log(up) + under[:, None] * np.log(down) + (M - over - under)[:, None] * np.log(np.maximum(1 - up - down, 1e-12))
+
+
+def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """Joint maximum-likelihood J of pairs of sketches with known set sizes."""
+    J, like = _likelihood(x, y, nx, ny, np.linspace(0, 1, 101))
     return np.take_along_axis(J, like.argmax(1)[:, None], 1)[:, 0]
 
 
+def likely_at(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
+    """Whether the maximum-likelihood J is at least ``least``: the likelihood
+    has one peak, so it still rises there."""
+    _, like = _likelihood(x, y, nx, ny, np.array([least, least + 1e-3]))
+    return like[:, 1] >= like[:, 0]
+
+
 def _estimate_task(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -130,12 +149,50 @@ def _estimate_task(least: float):
                 part = b.slice(i, 2048)
                 x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, M) for c in ("ra", "rb"))
                 nx, ny = (part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
-                j = estimate(x, y, nx, ny)
-                keep = pa.array(j >= least)
+                keep = pa.array(likely_at(x, y, nx, ny, least))
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
     return run
 
 
+def _bucket_task(least: float, percent: int):
+    """Rows come sorted by (key, block, role): a block of members (role 0) is
+    held, the bucket's members (role 1) stream past it.  Puts out the pairs of
+    different components that sizes and estimate allow."""
+    def compare(held: dict, part: dict) -> tuple[np.ndarray, np.ndarray]:
+        ok = (held["c"][:, None] != part["c"][None]) & (100 * np.minimum(held["n"][:, None], part["n"][None])
+                                                        >= percent * np.maximum(held["n"][:, None], part["n"][None]))
+        i, j = np.nonzero(ok)
+        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(i), 4096):
+            x, y = i[lo:lo + 4096], j[lo:lo + 4096]
+            good = likely_at(held["r"][x], part["r"][y], held["n"][x], part["n"][y], least)
+            out[0].append(held["id"][x[good]])
+            out[1].append(part["id"][y[good]])
+        x, y = (np.concatenate(o) for o in out)
+        return np.minimum(x, y), np.maximum(x, y)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key, block, role, ids, c, n = (b.column(k).to_numpy(zero_copy_only=False) for k in ("key", "block", "role", "id", "c", "n"))
+            regs = np.frombuffer(b"".join(b.column("regs").to_pylist()), np.uint8).reshape(-1, M)
+            cut = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (role[1:] != role[:-1])) + 1
+            for lo, hi in zip(np.concatenate([[0], cut]), np.append(cut, b.num_rows), strict=True):
+                part = {"id": ids[lo:hi], "c": c[lo:hi], "n": n[lo:hi].astype(float), "r": regs[lo:hi]}
+                here = (key[lo], block[lo])
+                if role[lo] == 0:
+                    held = part if now != here else {k: np.concatenate([held[k], part[k]]) for k in part}
+                    now = here
+                    continue
+                for i in range(0, hi - lo, 512):
+                    x, y = compare(held, {k: v[i:i + 512] for k, v in part.items()})
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+    return run
+
+
 def _verify_task(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -167,35 +224,37 @@ def duplicate_classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     b = side.select(F.col("id").alias("b"), F.col("regs").alias("rb"), F.col("n").alias("nb"))
     least = percent / 100 - SLACK * float(np.sqrt(percent / 100 * (1 - percent / 100) / M))
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def verified(likely: DataFrame) -> DataFrame:
         """Pairs (a, b) whose full sets are similar enough."""
-        sized = pairs.distinct().join(b, "b").join(a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        likely = materialize(sized.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate_task(least), "a long, b long"))
         with_b = likely.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         return materialize(both.select("a", "b", F.coalesce("ta", F.lit("")).alias("ta"), F.coalesce("tb", F.lit("")).alias("tb"))
                            .mapInArrow(_verify_task(k, percent), "a long, b long"))
 
-    links = linked(buckets.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")))
+    # each member with the leaders it shares most buckets with
+    met = buckets.filter("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("n"))
+    best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "leader"))
+    star = met.withColumn("rank", best).filter(F.col("rank") <= LEADERS).select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    sized = star.join(b, "b").join(a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    links = verified(materialize(sized.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate_task(least), "a long, b long")))
     comp = materialize(components(links))
-    used, width = 1, 8
-    while True:
-        # members by component, buckets with several components, leaders in the order of ids
-        at = (buckets.join(comp.withColumnRenamed("component", "c"), "id", "left").select("key", "id", F.coalesce("c", "id").alias("c")))
-        mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-        ranked = (at.join(mixed, "key")
-                  .withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))))
-        open_ = materialize(ranked)
-        lead = open_.filter((F.col("rank") > used) & (F.col("rank") <= used + width)).select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("rank").alias("at"))
-        if lead.isEmpty():
-            break
-        # later members of other components; earlier ones were leaders themselves
-        pairs = lead.join(open_, "key").filter((F.col("rank") > F.col("at")) & (F.col("c") != F.col("ca"))).select("a", F.col("id").alias("b"))
-        new = linked(pairs)
-        if not new.isEmpty():
-            links = materialize(links.union(new))
-            comp = materialize(components(links))
-        used, width = used + width, width * 8
+
+    # buckets that still hold several components: all pairs of members of different ones
+    at = materialize(buckets.select("key", "id").join(comp.withColumnRenamed("component", "c"), "id", "left")
+                     .select("key", "id", F.coalesce("c", "id").alias("c")))
+    parts = at.groupBy("key", "c").agg(F.count("*").alias("n"))
+    main = parts.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
+    mixed = at.join(main, "key")
+    number = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    block = mixed.filter("c <> main").select("key", "id", "c", ((number - 1) / BLOCK).cast("int").alias("block"), F.lit(0).alias("role"))
+    block = materialize(block)
+    count = block.groupBy("key").agg(F.max("block").alias("last"))
+    scan = (mixed.join(count, "key").select("key", "id", "c", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block"), F.lit(1).alias("role")))
+    sides = (block.unionByName(scan).join(side, "id").repartition("key", "block").sortWithinPartitions("key", "block", "role"))
+    likely = materialize(sides.select("key", "block", "role", "id", "c", "regs", "n").mapInArrow(_bucket_task(least, percent), "a long, b long").distinct())
+    more = verified(likely)
+    if not more.isEmpty():
+        comp = materialize(components(links.union(more)))
     root = classes.join(comp, "id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("root"))
     return (all_.drop("regs").join(root, ["d1", "d2", "n_shingles"], "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")))
