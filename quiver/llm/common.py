@@ -9,18 +9,19 @@ per-document Python runs in the scans.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from quiver.session import materialize
 
-__all__ = ["SLICE_BYTES", "materialize", "read_docs", "slices", "Slice", "mix64", "per_doc_sum"]
+__all__ = ["SLICE_BYTES", "materialize", "read_docs", "slices", "Slice", "mix64", "per_doc_sum", "small_batches"]
 
-#: Bytes of text handled by one numpy step (a longer document is a step of its own).
-SLICE_BYTES = 2 << 20
+#: Bytes of text handled by one numpy step (a longer document is a step of its
+#: own): the step's arrays stay in a core's cache.
+SLICE_BYTES = 128 << 10
 
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)  # odd: invertible modulo 2^64
@@ -151,5 +152,14 @@ def per_doc_sum(flags: np.ndarray, start: np.ndarray) -> np.ndarray:
     return total[start[1:]] - total[start[:-1]]
 
 
-def text_or_empty(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Arrow batches of few rows for the jobs run inside: whole texts in the
+    default batches would fill executors' memory outside the heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
