@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, SLICE_BYTES, Prefix, Slice, materialize, mix64, read_docs
+from .common import BYTE_VALUE, SLICE_BYTES, Prefix, Slice, materialize, mix64, read_docs, small_batches
 from .repeats import Runs, candidates, classify, covered, finish, shared_filter, texts_with
 
 _U = np.uint64
@@ -186,8 +186,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents with candidates, windows that go: uid, first, number)."""
     cand = candidates(docs, runs_of, clean, shared_filter(docs, runs_of))
     runs = classify(cand)
-    whole = runs.filter("copies > 1").select("uid", "lo", "n")
-    look = runs.filter("rep and mixed").select("uid", "lo", "n")  # one run of each kind, with the others of its name
+    whole = runs.filter("copied").select("uid", "lo", "n")
+    look = runs.filter("look").select("uid", "lo", "n")  # one run of each kind, with the others of its name
     windows = materialize(texts_with(look, cand, "lo", "n").select("uid", "z", "r").mapInArrow(_window_task, "h1 long, h2 long, uid long, lo int"))
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1").select("h1", "h2")
     part = windows.join(twice, ["h1", "h2"], "left_semi").select("uid", "lo", F.lit(1).alias("n"))
@@ -196,7 +196,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
-    cand, spans = removed_spans(docs)
+    with small_batches(docs.sparkSession):
+        cand, spans = removed_spans(docs)
     return finish(cand, spans, _finish_task, "doc_id long, n_words long, n_removed long, kept_sha256 string",
                   [F.col("size").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")])
 

@@ -150,19 +150,24 @@ def candidates(docs: DataFrame, find, clean, flt: dict) -> DataFrame:
 
 
 def classify(cand: DataFrame) -> DataFrame:
-    """Runs that repeat or may: uid, ord, name, lo, n, ``copies`` (runs equal in
-    name and fingerprint), ``rep`` (the first of them: smallest doc_id, then
-    position) and ``mixed`` (the name has other runs)."""
-    runs = (cand.filter("z is not null")
-            .select("uid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("ord"), F.explode(F.arrays_zip("name", "fp", "lo", "n")).alias("r"))
+    """Runs that repeat or may: uid, lo, n, ``copied`` (others are equal in name
+    and fingerprint), ``rep`` (the first of those: smallest doc_id, then
+    position), and ``look`` (a ``rep`` whose name has other runs too), with
+    name and ord."""
+    runs = (cand.filter("z is not null")  # first window and number share a long: a run has at most a window's units of windows
+            .select("uid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("ord"),
+                    F.explode(F.arrays_zip("name", "fp", F.transform("lo", lambda x, i: x * F.lit(128).cast("long") + F.get("n", i)).alias("at"))).alias("r"))
             .select("uid", "ord", "r.*"))
-    same = runs.groupBy("name", "fp").agg(F.count("*").alias("copies"), F.min(F.struct("ord", "uid", "lo")).alias("first"))
-    same = materialize(same)
+    same = materialize(runs.groupBy("name", "fp").agg(F.count("*").alias("copies"), F.min(F.struct("ord", "uid", "at")).alias("first")))
     kinds = same.groupBy("name").agg(F.count("*").alias("kinds"))
     known = (same.join(kinds, "name").filter("copies > 1 or kinds > 1")
-             .select("name", "fp", "copies", (F.col("kinds") > 1).alias("mixed"), F.col("first.uid").alias("u0"), F.col("first.lo").alias("l0")))
-    rep = (F.col("uid") == F.col("u0")) & (F.col("lo") == F.col("l0"))
-    return materialize(runs.join(known, ["name", "fp"]).select("uid", "ord", "name", "lo", "n", "copies", rep.alias("rep"), "mixed"))
+             .select("name", "fp", F.col("copies") > 1, F.col("kinds") > 1, "first.*").toDF("name", "fp", "copied", "mixed", "ord", "u0", "a0"))
+    rep = (F.col("uid") == F.col("u0")) & (F.col("at") == F.col("a0"))
+    look = rep & F.col("mixed")
+    return materialize(runs.drop("ord").join(known, ["name", "fp"])
+                       .select("uid", (F.col("at") / 128).cast("int").alias("lo"), (F.col("at") % 128).cast("int").alias("n"), "copied",
+                               rep.alias("rep"), look.alias("look"), F.when(look, F.col("name")).alias("name"), F.when(look, F.col("ord")).alias("ord"))
+                       .filter("copied or look"))
 
 
 def texts_with(rows: DataFrame, cand: DataFrame, *cols: str) -> DataFrame:

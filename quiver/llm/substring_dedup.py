@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, SLICE_BYTES, Prefix, Slice, materialize, read_docs
+from .common import BYTE_VALUE, SLICE_BYTES, Prefix, Slice, materialize, read_docs, small_batches
 from .repeats import Runs, candidates, classify, covered, finish, shared_filter, texts_with
 
 _U = np.uint64
@@ -305,7 +305,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     cand = candidates(docs, runs_of, clean, shared_filter(docs, runs_of))
     runs = classify(cand)
     whole = runs.filter("not rep").select("uid", "lo", "n")
-    look = runs.filter("rep and mixed").select("uid", "ord", "name", "lo", "n")
+    look = runs.filter("look").select("uid", "ord", "name", "lo", "n")
     pieces = texts_with(look, cand, "ord", "name", "lo", "n").select("uid", "z", "r").mapInArrow(_piece_task, PIECES)
     part = (pieces.repartition("name", "half", "core").sortWithinPartitions("name", "half", "core")
             .mapInArrow(_sort_task, "uid long, lo int, n int"))
@@ -314,7 +314,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    cand, spans = removed_spans(docs)
+    with small_batches(docs.sparkSession):
+        cand, spans = removed_spans(docs)
     return finish(cand, spans, _finish_task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
                   [F.col("size").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                    F.col("sha").alias("kept_sha256")])
