@@ -39,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, Prefix, Slice, materialize, mix64, read_docs, slices
+from .common import BYTE_VALUE, Prefix, Slice, materialize, mix64, read_docs, slices, small_batches
 from .graph import components
 
 _U = np.uint64
-M, BANDS, ROWS, BASE, RATE, TOP = 400, 40, 5, 1.2, 20.0, 254
+M, BANDS, ROWS, BASE, RATE, TOP = 640, 40, 5, 1.2, 20.0, 254
 SLACK = 4.5
 LEADERS, BLOCK = 3, 512
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -210,6 +210,11 @@ def _verify_task(k: int, percent: int):
 
 def duplicate_classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
+    with small_batches(docs.sparkSession):
+        return _classes(docs, k, percent)
+
+
+def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     all_ = materialize(sketches(docs, k))
     some = all_.filter("doc_id is not null and n_shingles > 0")
     classes = materialize(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("regs").alias("regs")))
