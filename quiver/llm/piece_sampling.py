@@ -38,7 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 LONGEST, WORD = 16, 64
 CHUNK = re.compile(r"\n| {0,16}[^ \n]{1,%d}| {1,16}" % WORD)
-SLICE = 4 << 20
+SLICE = 2 << 20
 CELLS = 1 << 20
 _U = np.uint64
 
