@@ -104,17 +104,25 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return src.mapInArrow(_sketch_task(k), "doc_id long, n_shingles long, d1 long, d2 long, regs binary")
 
 
+def _bands(regs: np.ndarray) -> np.ndarray:
+    """Banded registers, (rows, BANDS, ROWS)."""
+    return regs[:, :BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
+
+
+def _keys(banded: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Bucket keys of the registers (..., ROWS) of bands ``band`` (from 0)."""
+    key = (band.astype(np.uint64) + _U(1)) * _U(0x9E3779B97F4A7C15) + np.zeros(banded.shape[:-1], np.uint64)
+    for r in range(ROWS):
+        key = mix64(key * _U(0x100000001B3) + banded[..., r])
+    return key
+
+
 def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, bands = b.num_rows, BANDS
-        if not n:
+        if not b.num_rows:
             continue
-        regs = np.frombuffer(b"".join(b.column("regs").to_pylist()), np.uint8).reshape(n, M)[:, :BANDS * ROWS]
-        regs = regs.reshape(n, bands, ROWS).astype(np.uint64)
-        key = np.arange(1, bands + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) + np.zeros((n, 1), np.uint64)
-        for r in range(ROWS):
-            key = mix64(key * _U(0x100000001B3) + regs[:, :, r])
-        ids = np.repeat(b.column("id").to_numpy(zero_copy_only=False), bands)
+        key = _keys(_bands(np.frombuffer(b"".join(b.column("regs").to_pylist()), np.uint8).reshape(-1, M)), np.arange(BANDS))
+        ids = np.repeat(b.column("id").to_numpy(zero_copy_only=False), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
 
 
@@ -156,18 +164,26 @@ def _estimate_task(least: float):
 
 def _bucket_task(least: float, percent: int):
     """Rows come sorted by (key, block, role): a block of members (role 0) is
-    held, the bucket's members (role 1) stream past it.  Puts out the pairs of
-    different components that sizes and estimate allow."""
-    def compare(held: dict, part: dict) -> tuple[np.ndarray, np.ndarray]:
+    held, the bucket's members (role 1, of the main component, and 2) stream
+    past it.  Puts out the pairs of different components that sizes and
+    estimate allow, each once: in the first band the two share, and of two
+    block members from the smaller one."""
+    def compare(key: np.int64, role: int, held: dict, part: dict) -> tuple[np.ndarray, np.ndarray]:
         ok = (held["c"][:, None] != part["c"][None]) & (100 * np.minimum(held["n"][:, None], part["n"][None])
                                                         >= percent * np.maximum(held["n"][:, None], part["n"][None]))
+        if role == 2:
+            ok &= held["id"][:, None] < part["id"][None]
         i, j = np.nonzero(ok)
         out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lo in range(0, len(i), 4096):
             x, y = i[lo:lo + 4096], j[lo:lo + 4096]
             good = likely_at(held["r"][x], part["r"][y], held["n"][x], part["n"][y], least)
-            out[0].append(held["id"][x[good]])
-            out[1].append(part["id"][y[good]])
+            x, y = x[good], y[good]
+            one = _bands(held["r"][x])
+            first = (one == _bands(part["r"][y])).all(axis=2).argmax(axis=1)
+            here = _keys(one[np.arange(len(x)), first], first).view(np.int64) == key
+            out[0].append(held["id"][x[here]])
+            out[1].append(part["id"][y[here]])
         x, y = (np.concatenate(o) for o in out)
         return np.minimum(x, y), np.maximum(x, y)
 
@@ -187,7 +203,7 @@ def _bucket_task(least: float, percent: int):
                     now = here
                     continue
                 for i in range(0, hi - lo, 512):
-                    x, y = compare(held, {k: v[i:i + 512] for k, v in part.items()})
+                    x, y = compare(key[lo], int(role[lo]), held, {k: v[i:i + 512] for k, v in part.items()})
                     if len(x):
                         yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
     return run
@@ -254,9 +270,10 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     block = mixed.filter("c <> main").select("key", "id", "c", ((number - 1) / BLOCK).cast("int").alias("block"), F.lit(0).alias("role"))
     block = materialize(block)
     count = block.groupBy("key").agg(F.max("block").alias("last"))
-    scan = (mixed.join(count, "key").select("key", "id", "c", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block"), F.lit(1).alias("role")))
+    scan = (mixed.join(count, "key").select("key", "id", "c", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block"),
+                                               F.when(F.col("c") == F.col("main"), 1).otherwise(2).alias("role")))
     sides = (block.unionByName(scan).join(side, "id").repartition("key", "block").sortWithinPartitions("key", "block", "role"))
-    likely = materialize(sides.select("key", "block", "role", "id", "c", "regs", "n").mapInArrow(_bucket_task(least, percent), "a long, b long").distinct())
+    likely = materialize(sides.select("key", "block", "role", "id", "c", "regs", "n").mapInArrow(_bucket_task(least, percent), "a long, b long"))
     more = verified(likely)
     if not more.isEmpty():
         comp = materialize(components(links.union(more)))
