@@ -1,9 +1,10 @@
 """Operator 5: benchmark decontamination by template canonicalisation, with
 DataFrame functions only.
 
-Both sides are brought to a template form, token for token: numbers become
-one placeholder, units another, names (capitalised words inside a sentence) a
-third; other tokens are lower-cased and lose their marks.  Windows of ``W``
+Both sides are brought to a template form, token for token: numbers (whole
+literals with sign, currency, thousands groups and decimals) become one
+placeholder, units another, names (runs of capitalised words inside a sentence)
+a third; other tokens are lower-cased and lose their marks.  Windows of ``W``
 template tokens are hashed and joined.  Hits of one document with one item on
 one diagonal (position in the text less position in the item) belong to one
 occurrence; their slots are consistent if every value of the item (a number,
@@ -36,6 +37,7 @@ from .common import materialize, read_docs
 
 W, SHORTEST = 8, 4
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
+JOIN = "\x04"  # between the words of one name
 #: Fixed list of unit words.
 UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres "
          "kilometer kilometers kilometre kilometres mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons tonne tonnes "
@@ -45,18 +47,26 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
 _SPACE = r"[\x20\x09-\x0D]"
 
 
+#: Marks that belong to a number: between digits, a sign, a currency, a leading point.
+_OF_NUMBER = (r"(?<=\d)[.,](?=\d)|(?<![^\x20\x09-\x0D(\p{Sc}])[-+](?=\p{Sc}?\.?\d)"
+              r"|(?<![^\p{Punct}\x20\x09-\x0D])\$(?=[-+]?\.?\d)|(?<![^\x20\x09-\x0D(+\p{Sc}-])\.(?=\d)")
+
+
 def _plain(text: Column) -> Column:
-    """Lower-cased tokens, one space between; marks separate tokens.  A name's
-    token starts with NAME: a capital letter after white space (up to 16
-    characters of it) that no sentence end precedes."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?=\p{{Lu}}\p{{Ll}})(?<=[^.!?\x20\x09-\x0D]{_SPACE}{{1,16}})", NAME)
-    return F.trim(F.regexp_replace(F.lower(named), r"[\p{Punct}\x20\x09-\x0D]+", " "))
+    """Lower-cased tokens, one space between; marks separate tokens, but not
+    within a numeric literal.  A name's token starts with NAME: a capital letter
+    after white space (up to 16 characters of it) that no sentence end precedes;
+    a run of names with only white space between is one token."""
+    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?=\p{{Lu}}(?:\p{{Ll}}|['’]\p{{Lu}}))(?<=[^.!?\x20\x09-\x0D]{_SPACE}{{1,16}})", NAME)
+    named = F.regexp_replace(named, rf"['’-](?=\p{{Lu}})(?<={NAME}[\p{{L}}\p{{M}}\p{{N}}'’-]{{1,80}})", JOIN)
+    named = F.regexp_replace(named, rf"{_SPACE}{{1,16}}(?={NAME})(?<={NAME}[\p{{L}}\p{{M}}\p{{N}}{JOIN}]{{1,80}}{_SPACE}{{1,16}})", JOIN)
+    return F.trim(F.regexp_replace(F.lower(named), rf"(?:(?!{_OF_NUMBER})[\p{{Punct}}\x20\x09-\x0D])+", " "))
 
 
 def _template(plain: Column) -> Column:
     """One placeholder for each token that is a name, number or unit."""
     out = F.regexp_replace(plain, rf"{NAME}\S*", NAME)
-    out = F.regexp_replace(out, r"(?<!\S)\d\S*", NUMBER)
+    out = F.regexp_replace(out, r"(?<!\S)[-+.\p{Sc}]{0,3}\d\S*", NUMBER)
     return F.regexp_replace(out, rf"(?<=[{NUMBER}] )(?:{UNITS.replace(' ', '|')})(?!\S)", UNIT)
 
 

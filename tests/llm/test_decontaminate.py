@@ -20,6 +20,33 @@ def test_reparameterised_questions(spark):
     assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, *range(5, len(texts))]
 
 
+LONG = ("a trader in New York sold rice for $1,200 and later paid 3.5 dollars for every small bag that "
+        "was carried over the hill to him")
+
+
+def test_values_of_another_length(spark):
+    d = docs(spark, [LONG.replace("New York", "Paris").replace("$1,200", "300").replace("3.5", "4"),
+                     LONG.replace("New York", "Anne-Marie O'Hara Smith").replace("$1,200", "-1,234,567.89").replace("3.5", ".25")])
+    found = {(r["doc_id"], r["share"]) for r in q.contamination(d, items(spark, LONG)).collect()}
+    assert found == {(0, 1.0), (1, 1.0)}
+
+
+def test_literals_are_compared_whole(spark):
+    one = "he took 1,000 grains and 2,000 beans then mixed 2.5 cups of milk with 3.5 cups of clean water for us"
+    other = one.replace("1,000", "4,000").replace("2,000", "3,500").replace("2.5", "1.2").replace("3.5", "4.7")
+    twice = one.replace("2,000", "1,000")
+    d = docs(spark, [other, twice.replace("1,000", "1,500", 1)])  # the second: one literal, two values
+    assert {(r["doc_id"], r["item_id"], r["share"]) for r in q.contamination(d, items(spark, one)).collect() if r["doc_id"] == 0} == {(0, 1, 1.0)}
+    assert q.contamination(d.filter("doc_id = 1"), items(spark, twice)).count() == 0
+
+
+def test_tokens_of_a_template(spark):
+    t = "It cost US$5, (-3.25) or \u20ac7; 1,000-2,000 men of Nairobi, Kenya saw John's 5kg v1.2. Then .5 and end. 7"
+    row = spark.createDataFrame([(t,)], "t string").select(q._plain("t").alias("p")).select("p", q._template(q.F.col("p")).alias("c")).first()
+    assert row["p"].replace("\x01", "^") == "it cost us 5 -3.25 or \u20ac7 1,000 2,000 men of ^nairobi ^kenya saw ^john s 5kg v1.2 then .5 and end 7"
+    assert row["c"].translate({1: "^", 2: "#"}) == "it cost us # # or # # # men of ^ ^ saw ^ s # v1.2 then # and end #"
+
+
 def test_both_joins_agree(spark):
     d, i = docs(spark, [ITEM, ITEM + " more", "none of it"]), items(spark, ITEM, ITEM)
     one = sorted(map(tuple, q.contamination(d, i).collect()))
