@@ -16,6 +16,7 @@ MODULES = {
     "op8_quality_model": "quality_model",
     "op9_pseudonyms": "pseudonyms",
     "op10_secret_scan": "secret_scan",
+    "op11_fill_in_middle": "fill_middle",
 }
 
 QUERIES = {name: getattr(importlib.import_module(f"quiver.llm.{module}"), name) for name, module in MODULES.items()}
