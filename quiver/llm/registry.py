@@ -17,6 +17,7 @@ MODULES = {
     "op9_pseudonyms": "pseudonyms",
     "op10_secret_scan": "secret_scan",
     "op11_fill_in_middle": "fill_middle",
+    "op13_vector_packing": "packing",
 }
 
 QUERIES = {name: getattr(importlib.import_module(f"quiver.llm.{module}"), name) for name, module in MODULES.items()}
