@@ -17,6 +17,7 @@ MODULES = {
     "op9_pseudonyms": "pseudonyms",
     "op10_secret_scan": "secret_scan",
     "op11_fill_in_middle": "fill_middle",
+    "op12_tokenizer_alignment": "alignment",
     "op13_vector_packing": "packing",
 }
 
