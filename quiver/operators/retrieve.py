@@ -13,10 +13,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.model import PropertyGraph
-from quiver.operators import lookup, traverse, vector
+from quiver.operators import cells, lookup, traverse, vector
 from quiver.operators.keys import Keys, attach
 
 
+def vector_query(graph: PropertyGraph, query: Sequence[float], root: str, k: int = vector.TOP_K, state: str | None = None) -> DataFrame:
+    """The k chunks most similar to the query through the index under ``root``,
+    which is built or refreshed first if the chunks changed: id, similarity,
+    rank.  Exact; an empty result when no chunk has a vector."""
+    dim = graph.embed_dim or vector.choose_dimension(graph.chunks, len(query))
+    index = cells.ensure(graph.chunks, root, dim, state)
+    if index is None:
+        return vector.topk(graph.chunks, query, k, dim, cols=("id",))
+    return cells.search(graph.spark, index, query, k)
+
+
 def entities_of_chunks(graph: PropertyGraph, hits: DataFrame) -> DataFrame:
     """Entities each hit chunk MENTIONS: chunk_id, entity_table, entity_id, name."""
     m = graph.mentions.join(hits.select(F.col("id").alias("chunk_id")), "chunk_id", "left_semi")

@@ -1,28 +1,24 @@
-"""Cosine top-k over chunk embeddings: exact, batched, and through an IVF layout.
+"""Cosine top-k over chunk embeddings: exact, and for many queries at once
+(the index is in ``cells``).
 
 Exact search is one scan: the query vector is a literal (|q| folded on the
 driver), similarity is a JVM-side higher-order-function expression, and
 ``orderBy(...).limit(k)`` runs as TakeOrderedAndProject (a k-row heap per task).
-
-The IVF layout is the index: about sqrt(n) k-means cells, rows stored
-``partitionBy(cell)``, centroids kept beside them, and the state of the chunks
-it was built from.  A query scores the centroids on the driver, keeps the
-``nprobe`` nearest cells, and the scan reads only those folders (partition
-pruning) before the exact re-rank.  With nprobe = all cells the answer equals
-exact search.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quiver.functions.vectors import cosine, cosine_to_literal, valid_vector
+from quiver.session import materialize
 
 TOP_K = 5
 
@@ -57,35 +53,96 @@ def topk(chunks: DataFrame, query: Sequence[float], k: int = TOP_K, dim: int | N
             .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("similarity"), F.asc("id")))))
 
 
-#: Blocks a set of queries is dealt into; a chunk meets one block a time.
-QUERY_BLOCKS = 16
-
-
-def topk_batch(chunks: DataFrame, queries: DataFrame, k: int = TOP_K, dim: int | None = None,
-               cols: Sequence[str] = ("id",)) -> DataFrame:
-    """Top-k for each query (qid, vec) of a frame of any length.
-
-    Queries are dealt into blocks and joined with the chunks block by block
-    (an equi-join on the block number, broadcast by the planner only if
-    small); a chunk's similarities to a block are one expression.  The
-    per-query ``row_number() <= k`` filter becomes a WindowGroupLimit, so
-    every task keeps only k rows per query before the shuffle.
+#: Vectors of one block of the blocked product, on either side.
+BLOCK_ROWS = 2048
+#: Best rows a task holds before it passes them on.
+HELD_ROWS = 1 << 20
+
+
+def _pack_task(batches):
+    """Blocks of at most ``BLOCK_ROWS`` vectors of one length: (dim, key, m)."""
+    for b in batches:
+        key, vec = b.column("key"), b.column("vec")
+        size = pc.list_value_length(vec).to_numpy(zero_copy_only=False)
+        for d in np.unique(size):
+            at = np.flatnonzero(size == d)
+            for lo in range(0, len(at), BLOCK_ROWS):
+                take = pa.array(at[lo:lo + BLOCK_ROWS])
+                m = pc.take(vec, take).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(d)], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(take)], pa.int32()), pc.take(key, take)),
+                     pa.array([m.tobytes()], pa.binary())], names=["dim", "key", "m"])
+
+
+def _best_of(row: np.ndarray, id_: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best of each row: most similar, then smallest id."""
+    order = np.lexsort((id_, -sim, row))
+    first = np.searchsorted(row[order], row[order])
+    return order[np.arange(len(order)) - first < k]
+
+
+def _product_task(k: int, id_type: pa.DataType, key_type: pa.DataType):
+    def run(batches):
+        held, rows = {}, 0  # query block -> (its keys, row, id, similarity)
+
+        def out():
+            for keys, row, id_, sim in held.values():
+                yield pa.RecordBatch.from_arrays([pc.take(keys, pa.array(row)).cast(key_type), pa.array(id_.tolist(), id_type), pa.array(sim)],
+                                                 names=["qid", "id", "similarity"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                d = b.column("dim")[i].as_py()
+                if d != b.column("qdim")[i].as_py():
+                    continue
+                a = np.frombuffer(b.column("m")[i].as_buffer(), np.float64).reshape(-1, d)
+                q = np.frombuffer(b.column("qm")[i].as_buffer(), np.float64).reshape(-1, d)
+                na, nq = np.sqrt(np.einsum("ij,ij->i", a, a)), np.sqrt(np.einsum("ij,ij->i", q, q))
+                s = (q / nq[:, None]) @ (a / na[:, None]).T
+                if s.shape[1] > k:  # rounding of the product may differ between equal vectors
+                    s_k = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                    row, col = np.nonzero(s >= s_k[:, None] - 1e-9)
+                else:
+                    row, col = (x.ravel() for x in np.indices(s.shape))
+                sim = np.einsum("ij,ij->i", a[col], q[row]) / (na[col] * nq[row])
+                id_ = np.array(b.column("key")[i].values.to_pylist())[col]
+                block = b.column("block")[i].as_py()
+                if block in held:
+                    _, r0, i0, s0 = held[block]
+                    row, id_, sim = np.concatenate([r0, row]), np.concatenate([i0, id_]), np.concatenate([s0, sim])
+                    rows -= len(r0)
+                best = _best_of(row, id_, sim, k)
+                held[block] = (b.column("qkey")[i].values, row[best], id_[best], sim[best])
+                rows += len(best)
+                if rows > HELD_ROWS:
+                    yield from out()
+                    held, rows = {}, 0
+        yield from out()
+    return run
+
+
+def topk_batch(chunks: DataFrame, queries: DataFrame, k: int = TOP_K, dim: int | None = None) -> DataFrame:
+    """Top-k (qid, id, similarity, rank) for each query (qid, vec) of a frame
+    of any length.
+
+    Both sides are packed into blocks of at most ``BLOCK_ROWS`` vectors, block
+    meets block, and one matrix product gives a pair's similarities.  A task
+    keeps the k best rows of each query over all the blocks it sees and passes
+    on those, not the pairs; the ``row_number() <= k`` filter over them becomes
+    a WindowGroupLimit.  Ties go to the smallest id.
     """
-    blocks = (queries.filter(F.col("vec").isNotNull())
-              .select(F.pmod(F.xxhash64("qid"), F.lit(QUERY_BLOCKS)).cast("int").alias("_block"), "qid", F.col("vec").cast("array<double>").alias("v"))
-              .withColumn("n", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))).filter("n > 0")
-              .groupBy("_block").agg(F.collect_list(F.struct("qid", "v", "n")).alias("_q")))
-    base = (chunks.filter(valid_vector(F.col("embedding"), dim)).select(*cols, "embedding")
-            .withColumn("_n", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x)))
-            .withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(QUERY_BLOCKS)]))))
-    same = lambda q: F.size(q["v"]) == F.size("embedding")
-    scores = F.transform(F.filter("_q", same), lambda q: F.struct(
-        q["qid"].alias("qid"),
-        (F.aggregate(F.zip_with("embedding", q["v"], lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-         / (F.col("_n") * q["n"])).alias("similarity")))
-    scored = base.join(blocks, "_block").select(*cols, F.explode(scores).alias("s")).select(*cols, "s.qid", "s.similarity")
+    id_type, key_type = chunks.schema["id"].dataType, queries.schema["qid"].dataType
+    base = chunks.filter(valid_vector(F.col("embedding"), dim)).select(F.col("id").alias("key"), F.col("embedding").cast("array<double>").alias("vec"))
+    q = queries.select(F.col("qid").alias("key"), F.col("vec").cast("array<double>").alias("vec")).filter(valid_vector(F.col("vec"), dim))
+    packed = lambda df, t: df.mapInArrow(_pack_task, f"dim int, key array<{t.simpleString()}>, m binary")
+    # written once, so the planner knows the size of the queries' side
+    blocks = (materialize(packed(q, key_type).withColumn("block", F.monotonically_increasing_id()))
+              .select(F.col("dim").alias("qdim"), F.col("key").alias("qkey"), F.col("m").alias("qm"), "block"))
+    pairs = packed(base, id_type).crossJoin(blocks)
+    best = pairs.mapInArrow(_product_task(k, to_arrow_type(id_type), to_arrow_type(key_type)),
+                            f"qid {key_type.simpleString()}, id {id_type.simpleString()}, similarity double")
     w = Window.partitionBy("qid").orderBy(F.desc("similarity"), F.asc("id"))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def similarity_to_group_centroid(chunks: DataFrame, centroids: DataFrame, group_col: str) -> DataFrame:
@@ -107,28 +164,6 @@ def choose_dimension(chunks: DataFrame, given: int | None = None) -> int | None:
     return int(found[0]["dims"]) if found else given
 
 
-# ------------------------------------------------------------------------ IVF
-
-@dataclass(frozen=True)
-class IvfIndex:
-    root: str
-    version: int
-    state: str
-    centroids: tuple[tuple[float, ...], ...]
-
-    @property
-    def layout_path(self) -> str:
-        return f"{self.root}/v={self.version:06d}/layout"
-
-    def layout(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.layout_path)
-
-
-def _ivf_versions(spark: SparkSession, root: str) -> list[int]:
-    from quiver.sources.snapshots import versions
-    return versions(spark, root)
-
-
 def vectors_state(chunks: DataFrame, dim: int | None = None) -> str:
     """Count and checksum of the valid vectors: changes when any row does."""
     r = (chunks.filter(valid_vector(F.col("embedding"), dim))
@@ -136,104 +171,6 @@ def vectors_state(chunks: DataFrame, dim: int | None = None) -> str:
     return f"{r['n']}:{r['h']}"
 
 
-def ivf_build(chunks: DataFrame, root: str, cells: int | None = None, seed: int = 42, max_iter: int = 10,
-              dim: int | None = None, state: str | None = None) -> IvfIndex | None:
-    """The index of ``chunks`` as they are now: the stored layout if it was
-    built from the same state, else a new version (cosine k-means, about
-    sqrt(n) cells unless given).
-
-    ``state`` names the state of the chunks where the caller knows it (a
-    snapshot's version, the files of a table); without it the vectors are
-    counted and summed, one narrow scan.  Returns None when there is no vector
-    to index."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    spark = chunks.sparkSession
-    state = state if state is not None else vectors_state(chunks, dim)
-    have = _ivf_versions(spark, root)
-    if have:
-        last = ivf_open(spark, root)
-        if last.state == state:
-            return last
-    data = chunks.filter(valid_vector(F.col("embedding"), dim)).select(
-        "id", "text", "embedding", array_to_vector("embedding").alias("features"))
-    n = data.count()
-    if n == 0:
-        return None
-    km = KMeans(k=cells or max(2, math.ceil(math.sqrt(n))), seed=seed, maxIter=max_iter, distanceMeasure="cosine",
-                featuresCol="features", predictionCol="cell")
-    model = km.fit(data.select("features"))
-    centers = tuple(tuple(float(x) for x in c) for c in model.clusterCenters())
-    v = (max(have) + 1) if have else 1
-    base = f"{root.rstrip('/')}/v={v:06d}"
-    # a cell's rows together: a file each, not one a task
-    (model.transform(data).select("cell", "id", "text", "embedding").repartition("cell")
-     .write.mode("overwrite").partitionBy("cell").parquet(f"{base}/layout"))
-    meta = json.dumps({"state": state, "centroids": [list(c) for c in centers]})
-    spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{base}/_meta")
-    return IvfIndex(root.rstrip("/"), v, state, centers)
-
-
-def ivf_open(spark: SparkSession, root: str, version: int | None = None) -> IvfIndex:
-    vs = _ivf_versions(spark, root)
-    if not vs:
-        raise FileNotFoundError(f"no IVF layout under {root}")
-    v = version if version is not None else vs[-1]
-    meta = json.loads(spark.read.text(f"{root.rstrip('/')}/v={v:06d}/_meta").first()[0])
-    return IvfIndex(root.rstrip("/"), v, meta["state"], tuple(tuple(c) for c in meta["centroids"]))
-
-
-def centroid_frame(index: IvfIndex, spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, list(c)) for i, c in enumerate(index.centroids)], "cell int, vec array<double>")
-
-
-def misplaced(index: IvfIndex, spark: SparkSession) -> DataFrame:
-    """Rows of the layout that another cell's centroid is nearer to.  All
-    centroids (about sqrt(n)) go to each row as one list."""
-    listed = spark.createDataFrame([(0, [list(c) for c in index.centroids])], "_k int, _c array<array<double>>")
-    sims = F.transform("_c", lambda c: F.coalesce(cosine(F.col("embedding"), c), F.lit(-2.0)))
-    rows = index.layout(spark).select("id", F.col("cell").cast("int").alias("cell"), "embedding", F.lit(0).alias("_k"))
-    return (rows.join(listed, "_k").select("id", "cell", sims.alias("s"))
-            .filter(F.get("s", F.col("cell")) < F.array_max("s") - 1e-9).select("id"))
-
-
-def _cos(a: Sequence[float], b: Sequence[float]) -> float:
-    na = math.sqrt(sum(x * x for x in a))
-    nb = math.sqrt(sum(x * x for x in b))
-    if na == 0 or nb == 0:
-        return -2.0
-    return sum(x * y for x, y in zip(a, b)) / (na * nb)
-
-
-def probe_cells(index: IvfIndex, query: Sequence[float], nprobe: int) -> list[int]:
-    scored = sorted(((-_cos(c, query), i) for i, c in enumerate(index.centroids)))
-    return sorted(i for _, i in scored[:nprobe])
-
-
-def ivf_topk(spark: SparkSession, index: IvfIndex, query: Sequence[float], k: int = TOP_K,
-             nprobe: int | None = None) -> DataFrame:
-    """Approximate top-k: scan only the nprobe nearest cells, then exact re-rank."""
-    cells = probe_cells(index, query, nprobe or len(index.centroids))
-    layout = index.layout(spark).filter(F.col("cell").isin(cells))
-    return topk(layout, query, k)
-
-
-def ivf_topk_batch(spark: SparkSession, index: IvfIndex, queries: DataFrame, k: int = TOP_K,
-                   nprobe: int = 2) -> DataFrame:
-    """Top-k for many queries: each query meets only the rows of its probed
-    cells (an equi-join on ``cell``), never the whole table."""
-    # the nprobe nearest centroids of each query, by the batch search itself
-    q = queries.select("qid", F.col("vec").cast("array<double>").alias("vec"))
-    cents = centroid_frame(index, spark).select(F.col("cell").alias("id"), F.col("vec").alias("embedding"))
-    probes = topk_batch(cents, q, nprobe).select("qid", F.col("id").alias("cell")).join(q, "qid")
-    layout = index.layout(spark).filter(valid_vector(F.col("embedding"), None))
-    scored = layout.join(probes, "cell").select(
-        "qid", "id", cosine(F.col("embedding"), F.col("vec")).alias("similarity"))
-    w = Window.partitionBy("qid").orderBy(F.desc("similarity"), F.asc("id"))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
     """recall@k per query and overall: |approx ∩ exact| / |exact|."""
     hit = exact.select("qid", "id").join(approx.select("qid", "id", F.lit(1).alias("h")), ["qid", "id"], "left")

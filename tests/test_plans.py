@@ -53,14 +53,6 @@ def test_hot_keys_are_distinct_before_semi_joins(spark):
         spark.createDataFrame([("a", "b", "c")], "src string, predicate string, dst string")))
 
 
-def test_frontier_ids_reach_below_distinct(spark):
-    g = graphs.star_graph(spark, SF)
-    e = traverse._walk_edges(traverse.walk_edges(g)).filter(
-        F.col("src_table").isin(["ORDER"]) & F.col("src").isin(["o:1", "o:2"]))
-    p = _plan(e)
-    # the id filter is applied before the aggregate that makes CONTAINS distinct
-    agg = p.index("HashAggregate")
-    assert "o:1" in p[agg:]
 
 
 def test_label_scan_on_snapshot_prunes_partitions(spark, tmpdir_path):
