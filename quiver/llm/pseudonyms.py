@@ -2,20 +2,24 @@
 with DataFrame functions only.
 
 Emails, phone numbers, IPv4 addresses, payment cards, IBANs, US social
-security numbers and dates are found by one pattern and validated (octets,
-Luhn, mod 97, number ranges, calendar).  Each valid value becomes another
-value of its format by a keyed permutation: an alternating Feistel network of
-:data:`ROUNDS` rounds over a list of small numbers (digits, letters, octets, or
-a date's two base-270 digits), each half shifted by a keyed SHA-256 stream of
-the other half, position by position modulo its radix.  A permutation of the
-value alone: equal values get equal pseudonyms in every document, different
-ones stay different; punctuation, country codes and domains stay, check digits
+security numbers and dates are found by one pattern; addresses, cards, IBANs,
+security numbers and dates are validated (octets, Luhn, mod 97, number ranges,
+calendar), emails and phones by the pattern alone.  Each valid value becomes
+another valid value of its format by a keyed permutation: an alternating Feistel
+network of :data:`ROUNDS` rounds over a list of small numbers (a letter or digit
+counts as two, so that even one letter is more than shifted), each half shifted
+by a keyed SHA-256 stream of the other half, position by position modulo its
+radix.  Where not all values of a format are valid (security numbers, days of a
+century) the permutation is applied again until one is, which is a permutation
+of the valid ones.  Equal values get equal pseudonyms in every document,
+different ones stay different; punctuation, notation (``1.2.2020`` or
+``01.02.2020``), a date's century, country codes and domains stay, check digits
 are recomputed.  Texts without ``@`` or a digit skip all of it.
 
 Edge cases: a null text stays null with no findings; an empty text is
-returned as is; values that fail validation stay; dates of the years after
-9980 stay; repeated rows get equal results; an empty table gives an empty
-result; every other column is kept.
+returned as is; values that fail validation stay; a domain is read up to its
+127th label, the most a name can have; repeated rows get equal results; an
+empty table gives an empty result; every other column is kept.
 """
 
 from __future__ import annotations
@@ -26,11 +30,16 @@ from pyspark.sql import functions as F
 from .common import read_docs
 
 ROUNDS = 8
-KEY = "change-me"
+#: Times a permutation is applied again where its result is no valid value; a
+#: ninth of the numbers is invalid, so 40 leave one in 10^38 unfinished.
+WALK = 40
+#: The key of the registered query and pipeline, whose results can be checked
+#: because it is public.  Real data need a secret one.
+PUBLIC_KEY = "public key of the registered query"
 
 _EDGE, _END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 #: Fixed formats, in the order they are tried.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}"
 IBAN = _EDGE + r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}" + _END
 PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
          r"|(?<![\w.-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\d-])")
@@ -49,24 +58,32 @@ def _let(value: Column, body) -> Column:
 
 def feistel(values: Column, radix: Column, key: str) -> Column:
     """Keyed permutation of an array of numbers, each below its radix."""
-    tag = F.array_join(radix, ",")
-
-    def shift(half: Column, of: Column, other: Column, i: Column) -> Column:
+    def shift(half: Column, of: Column, other: Column, i: Column, tag: Column) -> Column:
         digest = F.sha2(F.concat_ws("|", F.lit(key), i.cast("string"), tag, F.array_join(other, ",")), 256)
         stream = lambda d, j: F.conv(F.substring(d, (j % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int")
         return _let(digest, lambda d: F.transform(half, lambda x, j: F.pmod(x + stream(d, j), F.get(of, j))))
 
-    n = F.size(values)
-    cut = F.floor(n / 2).cast("int")
-    left, right = F.slice(radix, F.lit(1), cut), F.slice(radix, cut + 1, n - cut)
-    start = F.struct(F.slice(values, F.lit(1), cut).alias("l"), F.slice(values, cut + 1, n - cut).alias("r"))
+    def run(s: Column) -> Column:
+        def turn(t: Column, i: Column) -> Column:
+            even = i % 2 == 0
+            return F.struct(F.when(even, shift(t["l"], s["rl"], t["r"], i, s["tag"])).otherwise(t["l"]).alias("l"),
+                            F.when(even, t["r"]).otherwise(shift(t["r"], s["rr"], t["l"], i, s["tag"])).alias("r"))
+        return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), F.struct(s["l"].alias("l"), s["r"].alias("r")), turn,
+                           lambda t: F.concat(t["l"], t["r"]))
+
+    def halves(s: Column) -> Column:
+        cut = F.floor(F.size(s["v"]) / 2).cast("int")
+        rest = F.size(s["v"]) - cut
+        return _let(F.struct(F.slice(s["v"], F.lit(1), cut).alias("l"), F.slice(s["v"], cut + 1, rest).alias("r"), F.slice(s["m"], F.lit(1), cut).alias("rl"),
+                             F.slice(s["m"], cut + 1, rest).alias("rr"), F.array_join(s["m"], ",").alias("tag")), run)
+
+    # bound once: an expression named in a lambda's body is computed for each element
+    return _let(F.struct(values.alias("v"), radix.alias("m")), halves)
 
-    def turn(s: Column, i: Column) -> Column:
-        even = i % 2 == 0
-        return F.struct(F.when(even, shift(s["l"], left, s["r"], i)).otherwise(s["l"]).alias("l"),
-                        F.when(even, s["r"]).otherwise(shift(s["r"], right, s["l"], i)).alias("r"))
 
-    return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, turn, lambda s: F.concat(s["l"], s["r"]))
+def _walk(first: Column, again, valid) -> Column:
+    """``again`` applied until the result is valid."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda x, _: F.when(valid(x), x).otherwise(again(x)))
 
 
 def _chars(s: Column) -> Column:
@@ -76,13 +93,15 @@ def _chars(s: Column) -> Column:
 def permute_chars(s: Column, key: str) -> Column:
     """Digits among digits, letters among letters of their case, the rest kept."""
     chars = _chars(s)
-    value = lambda c: (F.when(c.rlike("^[0-9]$"), F.ascii(c) - 48).when(c.rlike("^[a-z]$"), F.ascii(c) - 97)
-                       .when(c.rlike("^[A-Z]$"), F.ascii(c) - 65).otherwise(F.lit(0)))
-    radix = lambda c: F.when(c.rlike("^[0-9]$"), 10).when(c.rlike("^[A-Za-z]$"), 26).otherwise(1)
-    spell = lambda c, v: (F.when(c.rlike("^[0-9]$"), F.char(v + 48)).when(c.rlike("^[a-z]$"), F.char(v + 97))
-                          .when(c.rlike("^[A-Z]$"), F.char(v + 65)).otherwise(c))
-    out = feistel(F.transform(chars, value), F.transform(chars, radix), key)
-    return F.array_join(F.zip_with(chars, out, spell), "")
+    half = lambda c: F.when(c.rlike("^[0-9]$"), 5).when(c.rlike("^[A-Za-z]$"), 13).otherwise(1)
+    first = lambda c: F.when(c.rlike("^[0-9]$"), 48).when(c.rlike("^[a-z]$"), 97).when(c.rlike("^[A-Z]$"), 65).otherwise(F.ascii(c))
+    pair = lambda v, h: F.array(F.floor(v / h).cast("int"), v % h)
+    # a symbol is two numbers, below 2 and below half its alphabet
+    values = F.flatten(F.transform(chars, lambda c: pair(F.ascii(c) - first(c), half(c))))
+    radix = F.flatten(F.transform(chars, lambda c: F.array(F.when(half(c) > 1, 2).otherwise(1), half(c))))
+    spell = lambda out: F.array_join(F.transform(chars, lambda c, j: F.when(
+        half(c) > 1, F.char(first(c) + F.get(out, 2 * j) * half(c) + F.get(out, 2 * j + 1))).otherwise(c)), "")
+    return _let(feistel(values, radix, key), spell)
 
 
 def _digits(s: Column) -> Column:
@@ -134,24 +153,27 @@ def _ip(m: Column, key: str) -> Column:
     return F.when(F.forall(octets, lambda x: x < 256), F.array_join(feistel(octets, radix, key + ":ip"), ".")).otherwise(m)
 
 
+def _valid_ssn(m: Column) -> Column:
+    return ~(m.rlike(r"^(?:000|666|9)") | m.rlike(r"-00-|-0000$"))
+
+
 def _ssn(m: Column, key: str) -> Column:
-    valid = ~(m.rlike(r"^(?:000|666|9)") | m.rlike(r"-00-|-0000$"))
-    return F.when(valid, _refill(m, permute_chars(_digits(m), key + ":ssn"))).otherwise(m)
+    again = lambda x: _refill(m, permute_chars(_digits(x), key + ":ssn"))
+    return F.when(_valid_ssn(m), _walk(again(m), again, _valid_ssn)).otherwise(m)
 
 
-_BASE, _EPOCH = 270, 719162  # 270^2 days a block; days from 0001-01-01 to 1970-01-01
+_HIGH, _LOW = 192, 191  # their product is the least of this kind above the days of a century
 
 
-def _date(iso: Column, m: Column, pattern: str, key: str) -> Column:
-    """Another day of the same block of 270 * 270 days, in the same notation."""
+def _date(iso: Column, m: Column, pattern: Column, key: str) -> Column:
+    """Another day of the same century, in the same notation."""
     def moved(d: Column) -> Column:
-        day = F.unix_date(d) + _EPOCH
-        block = F.floor(day / (_BASE * _BASE)).cast("int")
-        place = day - block * (_BASE * _BASE)
-        parts = F.array(F.floor(place / _BASE).cast("int"), place % _BASE)
-        new = _let(feistel(parts, F.array(F.lit(_BASE), F.lit(_BASE)), key + ":date"),
-                   lambda p: F.date_from_unix_date(block * (_BASE * _BASE) + F.get(p, 0) * _BASE + F.get(p, 1) - _EPOCH))
-        return F.when(d.isNotNull() & (block < 50), F.date_format(new, pattern)).otherwise(m)
+        first = F.make_date(F.floor(F.year(d) / 100).cast("int") * 100, F.lit(1), F.lit(1))
+        days = F.datediff(F.make_date(F.floor(F.year(d) / 100).cast("int") * 100 + 100, F.lit(1), F.lit(1)), first)
+        again = lambda x: _let(feistel(F.array(F.floor(x / _LOW).cast("int"), x % _LOW), F.array(F.lit(_HIGH), F.lit(_LOW)), key + ":date"),
+                               lambda p: F.get(p, 0) * _LOW + F.get(p, 1))
+        return F.when(d.isNotNull(), F.call_function(
+            "date_format", F.date_add(first, _walk(again(F.datediff(d, first)), again, lambda x: x < days)), pattern)).otherwise(m)
     return _let(iso.try_cast("date"), moved)
 
 
@@ -167,15 +189,16 @@ def pseudonym(m: Column, key: str) -> Column:
     def whole(pattern: str) -> Column:
         return m.rlike(f"^(?:{pattern})$")
     local = F.substring_index(m, "@", 1)
+    padded = F.length(m) == 10
     return (F.when(m.contains("@"), F.concat(permute_chars(local, key + ":email"), F.substring(m, F.length(local) + 1, F.length(m))))
             .when(whole(IBAN), _iban(m, key)).when(whole(IP), _ip(m, key)).when(whole(SSN), _ssn(m, key))
-            .when(whole(ISO_DATE), _date(m, m, "yyyy-MM-dd", key))
-            .when(whole(DATE) & m.contains("."), _date(_day_first(m, False), m, "dd.MM.yyyy", key))
-            .when(whole(DATE), _date(_day_first(m, True), m, "MM/dd/yyyy", key))
+            .when(whole(ISO_DATE), _date(m, m, F.lit("yyyy-MM-dd"), key))
+            .when(whole(DATE) & m.contains("."), _date(_day_first(m, False), m, F.when(padded, "dd.MM.yyyy").otherwise("d.M.yyyy"), key))
+            .when(whole(DATE), _date(_day_first(m, True), m, F.when(padded, "MM/dd/yyyy").otherwise("M/d/yyyy"), key))
             .when(whole(CARD), _card(m, key)).otherwise(_phone(m, key)))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", length: str | None = None, counts: bool = True) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", length: str | None = None, counts: bool = True) -> DataFrame:
     """``docs`` with pseudonyms in ``text``; where the text changed, the column
     ``length`` (if named) gets its new length.  ``counts`` adds pii_found and
     pii_replaced, in place of columns of these names."""
@@ -198,4 +221,4 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", length: st
 
 
 def op9_pseudonyms(spark, sf_dir: str) -> DataFrame:
-    return pseudonymise(read_docs(spark, sf_dir, "doc_id", "text")).select("doc_id", "pii_found", "pii_replaced", "text")
+    return pseudonymise(read_docs(spark, sf_dir, "doc_id", "text"), PUBLIC_KEY).select("doc_id", "pii_found", "pii_replaced", "text")
