@@ -13,7 +13,7 @@ from quiver.llm.common import materialize, read_docs
 from quiver.llm.decontaminate import remove_contaminated
 from quiver.llm.near_dedup import near_dedup
 from quiver.llm.piece_sampling import sample_pieces
-from quiver.llm.pseudonyms import pseudonymise
+from quiver.llm.pseudonyms import PUBLIC_KEY, pseudonymise
 from quiver.llm.quality_rules import keep_good
 
 
@@ -34,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
-    return pseudonymise(docs, length="n_chars" if "n_chars" in docs.columns else None, counts=False)
+    return pseudonymise(docs, PUBLIC_KEY, length="n_chars" if "n_chars" in docs.columns else None, counts=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
