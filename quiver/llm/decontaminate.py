@@ -8,22 +8,25 @@ a third; other tokens are lower-cased and lose their marks.  Windows of ``W``
 template tokens are hashed and joined.  Hits of one document with one item on
 one diagonal (position in the text less position in the item) belong to one
 occurrence; their slots are consistent if every value of the item (a number,
-name or unit) stands for one value of the document only.  A document is
+name or unit) stands for one value of the document only, and no two names or
+units of the item for one of the document (two numbers may become equal).  A
+window identifies an item only by its words: windows of an item with fewer than
+``LITERAL`` tokens that are no placeholders are not used.  A document is
 contaminated if consistent hits cover at least ``min_share`` of an item's
 distinct windows, so a question with other numbers and names is caught, and
 one that mixes them up is not.
 
-The items' windows are sent to all tasks only while they are at most
-``broadcast_rows`` (counted first); beyond that both sides are shuffled by the
-hash, and only hits go on either way.
+The items' windows are written first, so the planner knows their size and
+sends them to all tasks or shuffles both sides by the hash; only hits go on.
 
 Edge cases: null and empty texts have no windows and are clean; items shorter
 than ``W`` tokens are one window of their own length if they have at least
-``SHORTEST`` tokens, else too short to identify and never matched; rows
-without doc_id cannot be named by a verdict and stay; rows of one doc_id share
-a verdict;
-repeated items each report; empty tables leave everything clean; extra columns
-are kept by :func:`remove_contaminated`.
+``SHORTEST`` tokens; items without a usable window are too short to identify and
+never matched; rows of one doc_id share a verdict, and rows without one are
+named by their text in :func:`remove_contaminated` (the query leaves them out of
+its verdicts); repeated items each report; empty tables leave everything clean;
+extra columns are kept by :func:`remove_contaminated`; white space and names may
+be of any length.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, read_docs
 
-W, SHORTEST = 8, 4
+W, SHORTEST, LITERAL = 8, 4, 3
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 JOIN = "\x04"  # between the words of one name
 #: Fixed list of unit words.
@@ -44,7 +47,7 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
          "ml cl l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
          "month months year years cent cents dollar dollars euro euros usd eur percent degree degrees kph mph w kw v")
 
-_SPACE = r"[\x20\x09-\x0D]"
+_BLANK = r"\x20\x09-\x0D"
 
 
 #: Marks that belong to a number: between digits, a sign, a currency, a leading point.
@@ -52,15 +55,22 @@ _OF_NUMBER = (r"(?<=\d)[.,](?=\d)|(?<![^\x20\x09-\x0D(\p{Sc}])[-+](?=\p{Sc}?\.?\
               r"|(?<![^\p{Punct}\x20\x09-\x0D])\$(?=[-+]?\.?\d)|(?<![^\x20\x09-\x0D(+\p{Sc}-])\.(?=\d)")
 
 
+#: What goes on within a name: letters, and marks no capital follows.
+_IN_NAME = r"(?:[\p{L}\p{M}\p{N}]|['’-](?!\p{Lu}))++"
+
+
 def _plain(text: Column) -> Column:
     """Lower-cased tokens, one space between; marks separate tokens, but not
     within a numeric literal.  A name's token starts with NAME: a capital letter
-    after white space (up to 16 characters of it) that no sentence end precedes;
-    a run of names with only white space between is one token."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?=\p{{Lu}}(?:\p{{Ll}}|['’]\p{{Lu}}))(?<=[^.!?\x20\x09-\x0D]{_SPACE}{{1,16}})", NAME)
-    named = F.regexp_replace(named, rf"['’-](?=\p{{Lu}})(?<={NAME}[\p{{L}}\p{{M}}\p{{N}}'’-]{{1,80}})", JOIN)
-    named = F.regexp_replace(named, rf"{_SPACE}{{1,16}}(?={NAME})(?<={NAME}[\p{{L}}\p{{M}}\p{{N}}{JOIN}]{{1,80}}{_SPACE}{{1,16}})", JOIN)
-    return F.trim(F.regexp_replace(F.lower(named), rf"(?:(?!{_OF_NUMBER})[\p{{Punct}}\x20\x09-\x0D])+", " "))
+    after white space that no sentence end precedes; a run of names with only
+    white space between is one token.  Loops over more than single characters
+    are possessive: they neither recurse nor go back."""
+    named = F.regexp_replace(F.coalesce(text, F.lit("")), rf"([^.!?{_BLANK}][{_BLANK}]++)(?=\p{{Lu}}(?:\p{{Ll}}|['’]\p{{Lu}}))", f"$1{NAME}")
+    named = F.regexp_replace(named, rf"({NAME}{_IN_NAME}|(?!\A)\G{_IN_NAME})['’-](?=\p{{Lu}})", f"$1{JOIN}")
+    named = F.regexp_replace(named, rf"({NAME}[\p{{L}}\p{{M}}\p{{N}}{JOIN}]++)[{_BLANK}]++(?={NAME})", f"$1{JOIN}")
+    # the cheap tests come first: marks of numbers are looked for at few places
+    marks = rf"(?=[{_BLANK}\p{{Punct}}])(?:[{_BLANK}\p{{Punct}}&&[^.,+$-]]|(?=[.,+$-])(?!{_OF_NUMBER}).)++"
+    return F.trim(F.regexp_replace(F.lower(named), marks, " "))
 
 
 def _template(plain: Column) -> Column:
@@ -82,43 +92,49 @@ def _windows(tokens: Column, size: int) -> Column:
 def item_windows(items: DataFrame) -> DataFrame:
     """item_id, at, size, hash and the number of distinct windows."""
     tok = items.select("item_id", _template(_plain(F.col("text"))).alias("s")).select("item_id", _tokens(F.col("s")).alias("t"))
-    parts = [tok.filter(F.size("t") >= W).select("item_id", F.lit(W).alias("size"), F.posexplode(_windows(F.col("t"), W)).alias("at", "hash"))]
-    for size in range(SHORTEST, W):
-        parts.append(tok.filter(F.size("t") == size).select("item_id", F.lit(size).alias("size"), F.posexplode(_windows(F.col("t"), size)).alias("at", "hash")))
+
+    def usable(own: DataFrame, size: int) -> DataFrame:
+        w = own.select("item_id", "t", F.lit(size).alias("size"), F.posexplode(_windows(F.col("t"), size)).alias("at", "hash"))
+        words = F.filter(F.slice("t", F.col("at") + 1, F.lit(size)), lambda x: ~x.isin(NAME, NUMBER, UNIT))
+        return w.filter(F.size(words) >= LITERAL).select("item_id", "size", "at", "hash")
+
+    parts = [usable(tok.filter(F.size("t") >= W), W), *(usable(tok.filter(F.size("t") == size), size) for size in range(SHORTEST, W))]
     return reduce(DataFrame.unionByName, parts)
 
 
-def hits(docs: DataFrame, windows: DataFrame, broadcast_rows: int) -> DataFrame:
+def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, pos, item_id, at, size): windows found in documents."""
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # at most W - SHORTEST + 1
-    n = windows.count()
-    side = F.broadcast(windows) if n <= broadcast_rows else windows
     base = docs.filter("doc_id is not null").select("doc_id", _template(_plain(F.col("text"))).alias("s")).select("doc_id", _tokens(F.col("s")).alias("t"))
     found = [base.select("doc_id", F.posexplode(_windows(F.col("t"), size)).alias("pos", "hash"))
-             .join(side.filter(F.col("size") == size), "hash").select("doc_id", "pos", "item_id", "at", "size") for size in sizes]
+             .join(windows.filter(F.col("size") == size), "hash").select("doc_id", "pos", "item_id", "at", "size") for size in sizes]
     empty = docs.sparkSession.createDataFrame([], "doc_id long, pos int, item_id long, at int, size int")
     return reduce(DataFrame.unionByName, found) if found else empty
 
 
-def contamination(docs: DataFrame, items: DataFrame, min_share: float = 0.5, broadcast_rows: int = 1_000_000) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, min_share: float = 0.5) -> DataFrame:
     """doc_id, item_id, share: items found in documents with consistent slots,
     whatever their share."""
     windows = materialize(item_windows(items.filter("item_id is not null")))
-    found = materialize(hits(docs, windows, broadcast_rows).distinct())
+    found = materialize(hits(docs, windows).distinct())
     need = windows.groupBy("item_id").agg(F.countDistinct("hash").alias("need"))
 
     # slots: the positions an item's hits cover, with the values of both sides
     slot = (items.select("item_id", _plain(F.col("text")).alias("p")).withColumn("c", _template(F.col("p")))
             .select("item_id", F.posexplode(F.arrays_zip(_tokens(F.col("c")).alias("c"), _tokens(F.col("p")).alias("v"))).alias("j", "x"))
-            .filter(F.col("x.c").isin(NAME, NUMBER, UNIT)).select("item_id", "j", F.col("x.v").alias("value")))
+            .filter(F.col("x.c").isin(NAME, NUMBER, UNIT)).select("item_id", "j", F.col("x.v").alias("value"), (F.col("x.c") != NUMBER).alias("own")))
     covered = (found.withColumn("diag", F.col("pos") - F.col("at"))
                .select("doc_id", "item_id", "diag", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("j"))
                .join(slot, ["item_id", "j"]).distinct())
     words = (docs.join(covered.select("doc_id").distinct(), "doc_id", "left_semi")
              .select("doc_id", _tokens(_plain(F.col("text"))).alias("v")))
-    seen = covered.join(words, "doc_id").select("doc_id", "item_id", "diag", "value", F.get("v", F.col("j") + F.col("diag")).alias("got"))
-    mixed = (seen.groupBy("doc_id", "item_id", "diag", "value").agg(F.min("got").alias("a"), F.max("got").alias("b"))
-             .filter("a <> b").select("doc_id", "item_id", "diag").distinct())
+    seen = covered.join(words, "doc_id").select("doc_id", "item_id", "diag", "value", "own", F.get("v", F.col("j") + F.col("diag")).alias("got"))
+
+    def differ(rows: DataFrame, one: str, other: str) -> DataFrame:
+        return (rows.groupBy("doc_id", "item_id", "diag", one).agg(F.min(other).alias("a"), F.max(other).alias("b"))
+                .filter("a <> b").select("doc_id", "item_id", "diag"))
+
+    mixed = differ(seen, "value", "got").unionByName(differ(seen.filter("own"), "got", "value")).distinct()
     good = found.withColumn("diag", F.col("pos") - F.col("at")).join(mixed, ["doc_id", "item_id", "diag"], "left_anti")
     distinct = good.join(windows, ["item_id", "at", "size"]).groupBy("doc_id", "item_id").agg(F.countDistinct("hash").alias("have"))
     return (distinct.join(need, "item_id").withColumn("share", F.col("have") / F.col("need"))
@@ -127,7 +143,14 @@ def contamination(docs: DataFrame, items: DataFrame, min_share: float = 0.5, bro
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, min_share: float = 0.5) -> DataFrame:
     bad = materialize(contamination(docs, items, min_share).select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    nameless = docs.filter("doc_id is null")
+    if not nameless.limit(1).count():
+        return kept
+    by_text = F.xxhash64(F.sha2("text", 256))
+    found = contamination(nameless.select(by_text.alias("doc_id"), "text"), items, min_share).select(F.col("doc_id").alias("_by")).distinct()
+    found = materialize(found)
+    return (kept.filter("doc_id is not null").unionByName(nameless.join(found, by_text == F.col("_by"), "left_anti").select(*docs.columns)))
 
 
 def op5_template_decontamination(spark, sf_dir: str) -> DataFrame:
