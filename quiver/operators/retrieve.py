@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.model import PropertyGraph
 from quiver.operators import cells, lookup, traverse, vector
 from quiver.operators.keys import Keys, attach
+from quiver.session import materialize
 
 
 def vector_query(graph: PropertyGraph, query: Sequence[float], root: str, k: int = vector.TOP_K, state: str | None = None) -> DataFrame:
@@ -40,15 +41,56 @@ def with_source_text(graph: PropertyGraph, triplets: DataFrame) -> DataFrame:
     return attach(triplets, graph.chunks.select("id", "text"), ["id"], "text", {"source_text": ["triplet_source_id"]})
 
 
-def keyword_seeds(graph: PropertyGraph, keywords: DataFrame) -> DataFrame:
-    """Entity ids whose lower-cased name is one of the keywords."""
+def _pieces(size: Column, d: int) -> Column:
+    """Start and length of the d + 1 pieces of a string of ``size`` characters."""
+    at = lambda k: F.floor(F.lit(k) * size / (d + 1)).cast("int")
+    return F.array(*[F.struct(F.lit(k).alias("piece"), at(k).alias("at"), (at(k + 1) - at(k)).alias("n")) for k in range(d + 1)])
+
+
+def name_index(graph: PropertyGraph, distance: int = 2) -> DataFrame:
+    """Inverted index of names for searches up to ``distance`` edits: each
+    lower-cased name under each of its ``distance`` + 1 pieces (size, piece,
+    text, node_table, id, name)."""
+    name = F.lower("name")
+    rows = graph.entities.filter(F.col("name").isNotNull()).select("node_table", "id", name.alias("name"), F.length(name).alias("size"))
+    return (rows.withColumn("p", F.explode(_pieces(F.col("size"), distance)))
+            .select("size", F.col("p.piece").alias("piece"), F.substring("name", F.col("p.at") + 1, F.col("p.n")).alias("text"), "node_table", "id", "name"))
+
+
+def keyword_matches(graph: PropertyGraph, keywords: DataFrame, distance: int = 2, index: DataFrame | None = None) -> DataFrame:
+    """Entities whose lower-cased name is within ``distance`` edits of a
+    keyword: keyword, node_table, id, name, distance.
+
+    Of ``distance`` + 1 pieces of a name, at least one is untouched by that many
+    edits and stands in the keyword at most ``distance`` places away.  So a
+    keyword is looked up by its substrings of the pieces' lengths (a few dozen
+    rows each), an equi-join, and only the candidates' distances are computed;
+    no match is lost.  Null names and keywords match nothing."""
+    d = distance
+    kw = keywords.select(F.lower(F.col(keywords.columns[0])).alias("keyword")).filter("keyword IS NOT NULL").distinct()
+    n = F.length("keyword")
+    probes = (kw.withColumn("size", F.explode(F.sequence(F.greatest(n - d, F.lit(0)), n + d))).withColumn("p", F.explode(_pieces(F.col("size"), d)))
+              .withColumn("lo", F.greatest(F.col("p.at") - d, F.lit(0))).withColumn("hi", F.least(F.col("p.at") + d, n - F.col("p.n"))).filter("lo <= hi")
+              .withColumn("at", F.explode(F.sequence("lo", "hi")))
+              .select("keyword", "size", F.col("p.piece").alias("piece"), F.substring("keyword", F.col("at") + 1, F.col("p.n")).alias("text")).distinct())
+    found = (index if index is not None else name_index(graph, d)).join(probes, ["size", "piece", "text"])
+    scored = found.select("keyword", "node_table", "id", "name", F.levenshtein("name", "keyword", d).alias("distance"))
+    return scored.filter("distance >= 0").distinct()
+
+
+def keyword_seeds(graph: PropertyGraph, keywords: DataFrame, distance: int = 0) -> DataFrame:
+    """Entity ids whose lower-cased name is one of the keywords, or within
+    ``distance`` edits of one."""
+    if distance:
+        return keyword_matches(graph, keywords, distance).select("id").distinct()
     kw = keywords.select(F.lower(F.col(keywords.columns[0])).alias("kw")).distinct()
     return graph.entities.join(kw, F.lower(F.col("name")) == F.col("kw"), "left_semi").select("id")
 
 
-def keyword_retrieve(graph: PropertyGraph, keywords: DataFrame, depth: int = 2, limit: int = 30) -> DataFrame:
-    """Keywords -> entities by name -> rel-map triplets."""
-    return traverse.rel_map(graph, keyword_seeds(graph, keywords), depth, limit)
+def keyword_retrieve(graph: PropertyGraph, keywords: DataFrame, depth: int = 2, limit: int = 30, distance: int = 0) -> DataFrame:
+    """Keywords -> entities by name -> rel-map triplets.  The seeds are written
+    once: every branch of the walk reads them."""
+    return traverse.rel_map(graph, materialize(keyword_seeds(graph, keywords, distance)), depth, limit)
 
 
 def hybrid_retrieve(graph: PropertyGraph, query: Sequence[float], k: int = vector.TOP_K,

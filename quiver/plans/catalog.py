@@ -1173,6 +1173,21 @@ def q_export_edge_list(spark, sf):
     return files.read_edge_list(spark, path, "csv")
 
 
+@register("export_graph", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + """
+SELECT 'node' AS kind, node_table AS a_table, id AS a, name AS name, label, NULL AS b_table, NULL AS b FROM star_entities
+UNION ALL SELECT 'edge', src_table, src, NULL, label, dst_table, dst FROM star_edges""")
+def q_export_graph(spark, sf):
+    """Nodes and edges read back from the export."""
+    path = scratch_path(spark, "graph-export")
+    files.export_graph(graphs.star_graph(spark, sf), path, "csv")
+    nodes, edges = files.read_graph_export(spark, path, "csv")
+    null = F.lit(None).cast("string")
+    return nodes.select(F.lit("node").alias("kind"), F.col("node_table").alias("a_table"), F.col("id").alias("a"), "name", "label",
+                        null.alias("b_table"), null.alias("b")).unionByName(
+        edges.select(F.lit("edge").alias("kind"), F.col("src_table").alias("a_table"), F.col("src").alias("a"), null.alias("name"), "label",
+                     F.col("dst_table").alias("b_table"), F.col("dst").alias("b")))
+
+
 # R1-R6 retrieval -------------------------------------------------------------------
 
 from quiver.operators import retrieve  # noqa: E402
@@ -1248,6 +1263,22 @@ _KW_SEEDS = """seeds AS (SELECT node_table AS start_table, id AS start FROM star
   UNION SELECT lower(s_name) FROM supplier WHERE s_acctbal < 0))"""
 
 
+_TYPOS = """
+SELECT substr(n_name, 1, 1) || substr(n_name, 3) || 'x' AS kw FROM {nation}
+UNION ALL SELECT replace(lower(s_name), '0000', '000') FROM {supplier}
+UNION ALL SELECT substr(r_name, 2) FROM {region}"""
+_TYPOS_SQL = "typos AS (" + _TYPOS.replace("{", "").replace("}", "") + ")"
+
+
+@register("keyword_fuzzy", S.with_(S.STAR_ENTITIES, _TYPOS_SQL) + """
+SELECT DISTINCT lower(kw) AS keyword, node_table, id, lower(name) AS name, CAST(levenshtein(lower(name), lower(kw)) AS INTEGER) AS distance
+FROM star_entities, typos WHERE abs(length(name) - length(kw)) <= 2 AND levenshtein(lower(name), lower(kw)) <= 2""")
+def q_keyword_fuzzy(spark, sf):
+    """Entities whose names are within two edits of misspelt keywords."""
+    typos = spark.sql(_TYPOS, **{t: read_table(spark, sf, t) for t in ("nation", "supplier", "region")})
+    return retrieve.keyword_matches(graphs.star_graph(spark, sf), typos, 2)
+
+
 @register("keyword_retrieve", _paths_oracle(_KW_SEEDS, 2, 30) + _hops_sql(2))
 def q_keyword_retrieve(spark, sf):
     return retrieve.keyword_retrieve(graphs.star_graph(spark, sf), keyword_frame(spark, sf), 2, 30)

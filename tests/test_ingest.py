@@ -61,3 +61,17 @@ def test_link_extraction_and_cap(spark):
     capped = [(r["pos"], r["dst"]) for r in
               ingest.cap_links_per_chunk(pages, r'href="([^"]+)"', 2).orderBy("pos").collect()]
     assert capped == [(1, "/x"), (2, "/y")]
+
+
+def test_graph_export_keeps_lone_nodes_and_odd_names(spark, tmpdir_path):
+    from quiver.model import PropertyGraph
+    g = PropertyGraph.create(spark, (), structured=False).with_(
+        entities=spark.createDataFrame([("T", "a", 'say "hi", you', "T"), ("T", "alone", None, "T"), ("T", "e", "", "T")], "node_table string, id string, name string, label string"),
+        chunks=spark.createDataFrame([("c1", "text", "text_chunk")], "id string, text string, label string"),
+        edges=spark.createDataFrame([("T", "a", "KNOWS", "T", "e")], "src_table string, src string, label string, dst_table string, dst string"))
+    for fmt in ("csv", "json", "parquet"):
+        files.export_graph(g, f"{tmpdir_path}/{fmt}", fmt)
+        nodes, edges = files.read_graph_export(spark, f"{tmpdir_path}/{fmt}", fmt)
+        assert {(r["node_table"], r["id"]) for r in nodes.collect()} == {("T", "a"), ("T", "alone"), ("T", "e"), ("Chunk", "c1")}
+        assert {r["id"]: r["name"] for r in nodes.collect()}["a"] == 'say "hi", you'
+        assert [tuple(r) for r in edges.collect()] == [("T", "a", "KNOWS", "T", "e")]

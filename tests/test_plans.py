@@ -1,6 +1,5 @@
 """Plan properties behind the scale design, checked on the physical plans."""
 
-from pyspark.sql import functions as F
 
 from quiver.operators import lookup, traverse, vector
 from quiver.plans import catalog, graphs
@@ -53,8 +52,6 @@ def test_hot_keys_are_distinct_before_semi_joins(spark):
         spark.createDataFrame([("a", "b", "c")], "src string, predicate string, dst string")))
 
 
-
-
 def test_label_scan_on_snapshot_prunes_partitions(spark, tmpdir_path):
     root = tmpdir_path + "/g"
     snapshots.write_graph(graphs.star_graph(spark, SF), root)
