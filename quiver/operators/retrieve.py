@@ -128,7 +128,7 @@ def vector_triplets(graph: PropertyGraph, query: Sequence[float], k: int = vecto
         F.col("id").alias("triplet_source_id"),
         vector.cosine_to_literal(F.col("embedding"), query).alias("similarity"))
     return (trip.join(scored_chunks, "triplet_source_id")
-            .orderBy(F.desc("similarity"), "src", "label", "dst").limit(k))
+            .orderBy(F.desc("similarity"), "src", "label", "dst", "src_table", "dst_table").limit(k))
 
 
 def hybrid_triplets(graph: PropertyGraph, query: Sequence[float], keywords: Keys,

@@ -31,8 +31,10 @@ def table_state(spark: SparkSession, sf_dir: str, *names: str) -> str:
     for name in names:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(path):
-            out.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        found = fs.listFiles(path, True)  # partition folders too
+        while found.hasNext():
+            st = found.next()
+            out.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
     return "|".join(sorted(out))
 
 

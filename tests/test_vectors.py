@@ -142,3 +142,13 @@ def test_dimension_rule(spark):
     c = _chunks(spark, n=5)
     assert vector.choose_dimension(c, 7) == 16 and vector.choose_dimension(c.limit(0), 7) == 7
     assert vector.choose_dimension(c.limit(0)) is None
+
+
+def test_state_sees_files_in_partition_folders(spark, tmpdir_path):
+    from quiver.sources.tables import table_state
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, p string")
+    df.write.partitionBy("p").parquet(f"{tmpdir_path}/documents.parquet")
+    one = table_state(spark, tmpdir_path, "documents")
+    assert one == table_state(spark, tmpdir_path, "documents") and "p=a" in one
+    df.filter("n = 2").write.mode("append").partitionBy("p").parquet(f"{tmpdir_path}/documents.parquet")
+    assert table_state(spark, tmpdir_path, "documents") != one
