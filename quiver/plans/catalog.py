@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quiver.functions.text import prefixed_id
+from quiver.model import PropertyGraph
 from quiver.operators import lookup, merge, traverse
 from quiver.plans import graphs
 from quiver.plans import sql_fragments as S
@@ -1326,6 +1327,7 @@ def q_hybrid_triplets(spark, sf):
 
 from quiver.functions import props  # noqa: E402
 from quiver.streaming import incremental  # noqa: E402
+from quiver.streaming import property_graph as graph_stream  # noqa: E402
 
 
 @register("stream_upsert_edges", """
@@ -1337,6 +1339,40 @@ def q_stream_upsert_edges(spark, sf):
     return state.select("src", "label", "dst", "value")
 
 
+@register("stream_property_graph", S.with_(S.TEXT_CHUNKS, S.TEXT_ENTITIES, S.TEXT_EDGES, S.TEXT_MENTIONS) + """
+SELECT 'entity' AS kind, node_table AS a_table, id AS a, label, CAST(NULL AS VARCHAR) AS b_table, CAST(NULL AS VARCHAR) AS b,
+       CAST(NULL AS VARCHAR) AS source FROM text_entities
+UNION ALL SELECT 'chunk', 'Chunk', id, label, NULL, NULL, NULL FROM text_chunks
+UNION ALL SELECT 'edge', src_table, src, label, dst_table, dst, triplet_source_id FROM text_edges
+UNION ALL SELECT 'mention', 'Chunk', chunk_id, 'MENTIONS', entity_table, entity_id, NULL FROM text_mentions
+UNION ALL SELECT 'waiting', 'relations first', CAST((SELECT count(*) FROM documents) AS VARCHAR), NULL, NULL, '0', NULL
+UNION ALL SELECT 'waiting', 'then entities', '0', NULL, NULL, CAST((SELECT count(*) FROM text_mentions) AS VARCHAR), NULL""")
+def q_stream_property_graph(spark, sf):
+    """Relations arrive first, then entities, then chunks: edges wait for their
+    ends and mentions for their chunks; the stream is stopped in between."""
+    base = graphs.text_graph_base(spark, sf)
+    empty = PropertyGraph.create(spark, graphs.TEXT_SCHEMA, structured=True, embed_dim=graphs.EMBED_DIM)
+    source, root = scratch_path(spark, "graph-changes"), scratch_path(spark, "graph-stream")
+    g, left = empty, []
+    for kind, stage, rows in (("relation", "relations first", graphs.text_relations(spark, sf)),
+                              ("entity", "then entities", base.entities), ("chunk", None, base.chunks)):
+        graph_stream.changes(kind, rows).write.mode("append").parquet(source)
+        g = graph_stream.run_graph_stream(empty, source, root)
+        if stage:
+            edges, mentions = (w.agg(F.count(F.lit(1)).cast("string").alias("n")) for w in graph_stream.waiting(spark, root))
+            left.append(edges.select(F.lit("waiting").alias("kind"), F.lit(stage).alias("a_table"), F.col("n").alias("a"),
+                                     F.lit(mentions.first()["n"]).alias("b")))
+    out = g.entities.select(F.lit("entity").alias("kind"), F.col("node_table").alias("a_table"), F.col("id").alias("a"), "label")
+    for rows in (g.chunks.select(F.lit("chunk").alias("kind"), F.lit("Chunk").alias("a_table"), F.col("id").alias("a"), "label"),
+                 g.edges.select(F.lit("edge").alias("kind"), F.col("src_table").alias("a_table"), F.col("src").alias("a"), "label",
+                                F.col("dst_table").alias("b_table"), F.col("dst").alias("b"), F.col("triplet_source_id").alias("source")),
+                 g.mentions.select(F.lit("mention").alias("kind"), F.lit("Chunk").alias("a_table"), F.col("chunk_id").alias("a"),
+                                   F.lit("MENTIONS").alias("label"), F.col("entity_table").alias("b_table"), F.col("entity_id").alias("b")),
+                 *left):
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out.select("kind", "a_table", "a", "label", "b_table", "b", "source")
+
+
 PROP_KEYS = ["creation_date", "file_name", "file_path", "file_size", "file_type", "last_modified_date", "ref_doc_id"]
 
 
