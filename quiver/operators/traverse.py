@@ -8,6 +8,7 @@ Hub nodes make some join keys hot: AQE's skew-join splits those partitions.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quiver.model import MENTIONS, PropertyGraph, TripleGraph
 from quiver.operators.keys import NOWHERE, Keys, attach, restrict
+from quiver.session import materialize
 
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
@@ -191,7 +193,68 @@ def triple_rel_map_grouped(tg: TripleGraph, subjects: Keys = None, depth: int =
 
 # ---------------------------------------------------------------- motif match
 
-def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
+@dataclass(frozen=True)
+class Hops:
+    """A variable-length pattern edge: ``lo`` to ``hi`` hops over edges with one
+    of ``labels``, through nodes of any table."""
+    labels: tuple[str, ...]
+    lo: int
+    hi: int
+
+    def __post_init__(self):
+        if isinstance(self.labels, str) or not self.labels:
+            raise ValueError("labels must be a non-empty tuple of labels")
+        if not 1 <= self.lo <= self.hi:
+            raise ValueError("hops need 1 <= lo <= hi")
+
+
+def reach_pairs(graph: PropertyGraph, start_table: str, hops: Hops, end_table: str,
+                ids: DataFrame | None = None, backward: bool = False) -> DataFrame:
+    """Distinct ``(src, dst)`` ids with a walk of ``lo`` to ``hi`` hops from a
+    ``start_table`` node to an ``end_table`` node.
+
+    Pairs, not walks: every hop keeps each (origin, node reached) once, so a
+    frontier is bounded by the pairs however many walks lead there.  ``ids``
+    (one column) limits the origins; with ``backward`` they are the ends, and
+    the walk goes against the edges.  A frontier is written once a hop.
+    """
+    e = graph.edges.filter(F.col("label").isin(list(hops.labels)))
+    near, far = ("dst", "src") if backward else ("src", "dst")
+    origin, goal = (end_table, start_table) if backward else (start_table, end_table)
+    e = e.select(F.col(f"{near}_table").alias("cur_table"), F.col(near).alias("cur"),
+                 F.col(f"{far}_table").alias("next_table"), F.col(far).alias("next"))
+    first = e.filter(F.col("cur_table") == origin)
+    if ids is not None:
+        first = first.join(ids.select(F.col(ids.columns[0]).alias("cur")).distinct(), "cur", "left_semi")
+    frontier = first.select(F.col("cur").alias("origin"), "next_table", "next").distinct()
+    levels = []
+    for hop in range(1, hops.hi + 1):
+        if hop > 1:
+            at = frontier.select("origin", F.col("next_table").alias("cur_table"), F.col("next").alias("cur"))
+            frontier = at.join(e, ["cur_table", "cur"]).select("origin", "next_table", "next").distinct()
+        if hop < hops.hi:
+            frontier = materialize(frontier)
+        if hop >= hops.lo:
+            levels.append(frontier.filter(F.col("next_table") == goal).select("origin", "next"))
+    pairs = reduce(DataFrame.unionByName, levels)
+    pairs = pairs.distinct() if len(levels) > 1 else pairs
+    return pairs.select(F.col("origin").alias(near), F.col("next").alias(far)).select("src", "dst")
+
+
+def _hot(frames: Sequence[DataFrame], v: str, heavy: int) -> DataFrame:
+    """Values of ``v`` with over ``heavy`` rows in two or more of the frames (at
+    most one value per ``heavy`` rows), written once."""
+    crowded = [f.groupBy(v).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > heavy).select(v) for f in frames]
+    return materialize(reduce(DataFrame.unionByName, crowded).groupBy(v).agg(F.count(F.lit(1)).alias("_rows"))
+                       .filter(F.col("_rows") > 1).select(v))
+
+
+def _meet(frames: Sequence[DataFrame]) -> DataFrame:
+    """Edge frames joined on the variables they share."""
+    return reduce(lambda x, f: x.join(f, [c for c in f.columns if c in x.columns]), frames)
+
+
+def match(graph: PropertyGraph, pattern: Sequence[tuple], heavy: int | None = None) -> DataFrame:
     """Match a chain or cycle motif; one row per binding, one id column per variable.
 
     ``pattern`` is a list of edges ``(a, "A_TABLE", "LABEL", b, "B_TABLE")``; a
@@ -205,12 +268,29 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
     variable first, and the result is joined in on every bound endpoint at
     once, so a closing constraint filters inside the join instead of after a
     fan-out (no all-pairs-within-a-group intermediate).
+
+    In place of a label, :class:`Hops` is an edge of variable length: it binds
+    each pair of ends once, however many walks join them.  It is searched from
+    its bound variable where there is one, else from ``a``.
+
+    Joining edges that meet in a hub pairs all its neighbours.  With ``heavy``,
+    values of the new variable with more than that many rows in two or more of
+    the joined edges go another way: from the bindings found so far along one
+    edge to the hubs, then the other edges are joined on both their ends.  All
+    other values pair at most ``heavy`` rows with each row of one edge.  The
+    result is the same.
     """
     if not pattern:
         raise ValueError("empty pattern")
+    if heavy is not None and heavy < 1:
+        raise ValueError("heavy must be >= 1")
 
     def edge_frame(i, a, a_tab, label, b, b_tab):
-        if label == MENTIONS:
+        if isinstance(label, Hops):
+            known = [x in bound for x in (a, b)]
+            ids = out.select(a if known[0] else b) if any(known) else None
+            e = reach_pairs(graph, a_tab, label, b_tab, ids, backward=known == [False, True])
+        elif label == MENTIONS:
             # the label-less chunk -> entity relation lives in its own table
             e = graph.mentions.filter((F.lit(a_tab) == F.lit("Chunk")) & (F.col("entity_table") == b_tab)) \
                               .select(F.col("chunk_id").alias("src"), F.col("entity_id").alias("dst"))
@@ -227,6 +307,7 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
             if v not in order:
                 order.append(v)
     a0, at0, l0, b0, bt0 = pattern[0]
+    out, bound = None, set()  # nothing is bound while the first edge is made
     out = edge_frame(0, a0, at0, l0, b0, bt0)
     bound = {a0, b0}
     used = {0}
@@ -237,13 +318,26 @@ def match(graph: PropertyGraph, pattern: Sequence[tuple]) -> DataFrame:
                     if i not in used and v in (a, b) and ({a, b} - {v}) <= bound]
         if not incident:
             raise ValueError(f"variable {v!r} is not connected to the earlier pattern")
-        star = None
-        for i in incident:
-            f = edge_frame(i, *pattern[i])
-            star = f if star is None else star.join(f, v)
-            used.add(i)
-        others = [c for c in star.columns if c != v]
-        out = out.join(star, others)
+        frames = [edge_frame(i, *pattern[i]) for i in incident]
+        used.update(incident)
+        loops = [f for f in frames if f.columns == [v]]
+        frames = [f for f in frames if f.columns != [v]]
+        if not frames:
+            raise ValueError(f"variable {v!r} is not connected to the earlier pattern")
+        through_hubs = None
+        if heavy is not None and len(frames) > 1:
+            hot = _hot(frames, v, heavy)
+            for f in frames:
+                f = f.join(hot, v, "left_semi")
+                through_hubs = out.join(f, [c for c in f.columns if c != v]) if through_hubs is None else \
+                    through_hubs.join(f, f.columns)
+            frames = [f.join(hot, v, "left_anti") for f in frames]
+        star = _meet(frames)
+        out = out.join(star, [c for c in star.columns if c != v])
+        if through_hubs is not None:
+            out = out.unionByName(through_hubs)
+        for f in loops:
+            out = out.join(f, v)
         bound.add(v)
     # edges whose endpoints were both bound before they were reached
     for i, (a, at, lab, b, bt) in enumerate(pattern):

@@ -466,6 +466,38 @@ def q_match_cycle(spark, sf):
     return traverse.match(graphs.star_graph(spark, sf), LOCAL_SUPPLY_CYCLE)
 
 
+# the same cycle with the nation bound last: customers and suppliers of a nation
+# meet there, and the nations with many of both are hubs
+HUB_CYCLE = [LOCAL_SUPPLY_CYCLE[i] for i in (0, 2, 3, 1, 4)]
+
+
+@register("match_cycle_hub", ORACLES["match_cycle"])
+def q_match_cycle_hub(spark, sf):
+    return traverse.match(graphs.star_graph(spark, sf), HUB_CYCLE, heavy=3)
+
+
+# customers and the parts of their orders (one pair however many orders), a
+# supplier of the part, and the region both the supplier and the customer are in
+REGION_REACH = [
+    ("c", "CUSTOMER", traverse.Hops(("PLACED", "CONTAINS"), 1, 2), "p", "PART"),
+    ("c", "CUSTOMER", traverse.Hops(("LIVES_IN", "IN_REGION"), 1, 2), "r", "REGION"),
+    ("s", "SUPPLIER", "SUPPLIES", "p", "PART"),
+    ("s", "SUPPLIER", traverse.Hops(("BASED_IN", "IN_REGION"), 2, 3), "r", "REGION"),
+]
+
+
+@register("match_reach", """
+WITH cp AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+sp AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem),
+cr AS (SELECT c_custkey, n_regionkey FROM customer JOIN nation ON n_nationkey = c_nationkey),
+sr AS (SELECT s_suppkey, n_regionkey FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT 'c:' || o_custkey AS c, 'p:' || cp.l_partkey AS p, 'r:' || cr.n_regionkey AS r, 's:' || s_suppkey AS s
+FROM cp JOIN cr ON c_custkey = o_custkey JOIN sp ON sp.l_partkey = cp.l_partkey
+JOIN sr ON s_suppkey = l_suppkey AND sr.n_regionkey = cr.n_regionkey""")
+def q_match_reach(spark, sf):
+    return traverse.match(graphs.star_graph(spark, sf), REGION_REACH)
+
+
 GRAPH_SQL = """SELECT n.name AS nation, count(*) AS n_members
 FROM g_edges e JOIN g_entities n ON n.node_table = e.dst_table AND n.id = e.dst
 WHERE e.label = :label GROUP BY n.name"""
