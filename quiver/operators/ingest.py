@@ -16,8 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentence end marks, and the chunk size in words.
+# Sentence end marks, paragraph ends, and the chunk size in words.
 SENTENCE_END = r"([.!?])\s+"
+PARAGRAPH_END = r"\n\s*\n"
 CHUNK_SIZE = 512
 TRIPLETS_PER_CHUNK = 2
 _SEP = "\u0001"  # separates sentences; one in a text counts as white space
@@ -75,6 +76,82 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.array_join("c.w", " ").alias("text")))
 
 
+def split_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_SIZE,
+                    overlap: int = 0) -> DataFrame:
+    """Chunks of at most ``size`` words along the largest units that fit, each
+    starting with the end of the one before.
+
+    A paragraph (set off by an empty line) of at most ``size`` words is one
+    piece; a longer one gives its sentences, and a longer sentence slices of
+    ``size`` words.  Pieces are packed greedily.  A new chunk first repeats the
+    longest run of whole pieces at the end of the chunk before that has at most
+    ``overlap`` words and leaves room for the next piece.  NULL texts and texts
+    without words have no chunks.
+
+    One pass over a document's pieces; what it carries is the last pieces of the
+    open chunk (at most ``overlap`` of them, as each has a word).  Output: the id
+    column, chunk_no, n_words, n_overlap (words repeated), text (words joined by
+    single spaces).
+    """
+    if size < 1 or not 0 <= overlap < size:
+        raise ValueError("need size >= 1 and 0 <= overlap < size")
+    sz, once = F.lit(size), lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+
+    def slices(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / sz).cast("int") - 1, F.lit(0))),
+                           lambda p: F.slice(w, p * sz + 1, sz))
+
+    def paragraph(p: Column) -> Column:
+        return once(words(p), lambda w: F.when(F.size(w) <= sz, F.array(w)).otherwise(
+            F.flatten(F.transform(sentences(p), lambda s: once(words(s), slices)))))
+
+    pieces = F.flatten(F.transform(F.split(F.col(text_col), PARAGRAPH_END), paragraph))
+    split = docs.select(F.col(id_col).alias("_id"), F.filter(pieces, lambda w: F.size(w) > 0).alias("_pieces"))
+    split = split.filter(F.size("_pieces") > 0)
+
+    # state: words of the open chunk, pieces seen, lengths of its last pieces,
+    # and per chunk (first piece, first piece that is not repeated, words repeated)
+    spans = "array<struct<first:int,own:int,again:int>>"
+    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("tail"),
+                    F.array().cast(spans).alias("spans"))
+
+    def carried(tail: Column, n: Column) -> Column:
+        """(pieces, words) to repeat: whole pieces from the back while they fit."""
+        room = F.least(F.lit(overlap), sz - n)
+        start = F.struct(F.lit(0).alias("m"), F.lit(0).alias("words"), F.lit(True).alias("on"))
+
+        def back(acc, length):
+            fits = acc["on"] & (acc["words"] + length <= room)
+            return F.struct(F.when(fits, acc["m"] + 1).otherwise(acc["m"]).alias("m"),
+                            F.when(fits, acc["words"] + length).otherwise(acc["words"]).alias("words"), fits.alias("on"))
+        return F.aggregate(F.reverse(tail), start, back)
+
+    def last(tail: Column, m: Column) -> Column:
+        m = F.least(m, F.size(tail))
+        return F.slice(tail, F.size(tail) - m + 1, m)
+
+    def step(acc, n):
+        i = acc["i"] + 1
+        grown = F.struct((acc["cur"] + n).alias("cur"), i.alias("i"),
+                         last(F.concat(acc["tail"], F.array(n)), F.lit(overlap)).alias("tail"), acc["spans"].alias("spans"))
+        opened = once(carried(acc["tail"], n), lambda c: F.struct(
+            (c["words"] + n).alias("cur"), i.alias("i"),
+            last(F.concat(last(acc["tail"], c["m"]), F.array(n)), F.lit(overlap)).alias("tail"),
+            F.concat(acc["spans"], F.array(F.struct((i - c["m"]).alias("first"), i.alias("own"), c["words"].alias("again")))).alias("spans")))
+        return F.when((F.size(acc["spans"]) == 0) | (acc["cur"] + n > sz), opened).otherwise(grown)
+
+    lens = F.transform(F.col("_pieces"), lambda w: F.size(w))
+    split = split.select("_id", "_pieces", F.aggregate(lens, init, step)["spans"].alias("_spans"))
+    # a chunk ends before the first piece that the next one has for itself
+    ends = F.concat(F.transform(F.slice("_spans", 2, F.size("_spans")), lambda s: s["own"]), F.array(F.size("_pieces") + 1))
+    chunks = F.transform(F.arrays_zip(F.col("_spans").alias("s"), ends.alias("e")), lambda b, k: F.struct(
+        k.alias("chunk_no"), b["s"]["again"].alias("n_overlap"),
+        F.flatten(F.slice("_pieces", b["s"]["first"], b["e"] - b["s"]["first"])).alias("w")))
+    return (split.select("_id", F.explode(chunks).alias("c"))
+            .select(F.col("_id").alias(id_col), F.col("c.chunk_no").alias("chunk_no"), F.size("c.w").alias("n_words"),
+                    F.col("c.n_overlap").alias("n_overlap"), F.array_join("c.w", " ").alias("text")))
+
+
 # ------------------------------------------------------------------ embedding
 
 def hashed_bow(text: Column, dim: int) -> Column:

@@ -1119,6 +1119,51 @@ def q_chunk_documents(spark, sf):
     return ingest.chunk_documents(docs)
 
 
+def _split_sql(size: int, overlap: int) -> str:
+    return f"""paras AS (
+  SELECT doc_id, unnest(list_transform(string_split_regex(text, '\\n\\s*\\n'), lambda x, i: {{'p': x, 'i': i}})) AS t FROM documents
+),
+units AS (
+  SELECT doc_id, t.i AS p_pos, unnest(CASE WHEN len(list_filter(string_split_regex(t.p, '\\s+'), lambda w: w <> '')) <= {size}
+      THEN [{{'s': t.p, 'i': CAST(1 AS BIGINT)}}]
+      ELSE list_transform(string_split(regexp_replace(t.p, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x, i: {{'s': x, 'i': i}}) END) AS u
+  FROM paras
+),
+uw AS (SELECT doc_id, p_pos, u.i AS s_pos, list_filter(string_split_regex(u.s, '\\s+'), lambda w: w <> '') AS w FROM units),
+pieces AS (
+  SELECT doc_id, p_pos, s_pos, k, list_slice(w, k * {size} + 1, (k + 1) * {size}) AS pw
+  FROM (SELECT *, unnest(range(0, CAST(ceil(len(w) / {size}.0) AS BIGINT))) AS k FROM uw WHERE len(w) > 0)
+),
+pk AS (SELECT doc_id, row_number() OVER d AS rn, len(pw) AS nw, pw, sum(len(pw)) OVER d AS upto FROM pieces
+       WINDOW d AS (PARTITION BY doc_id ORDER BY p_pos, s_pos, k)),
+sums AS (SELECT doc_id, list_prepend(0, list(upto ORDER BY rn)) AS t FROM pk GROUP BY doc_id),
+rec(doc_id, rn, chunk_no, first, again) AS (
+  SELECT doc_id, rn, 0, rn, CAST(0 AS HUGEINT) FROM pk WHERE rn = 1
+  UNION ALL
+  SELECT doc_id, rn, chunk_no, first, CASE WHEN first = old_first AND chunk_no = old_no THEN again ELSE t[rn] - t[first] END FROM (
+    SELECT r.doc_id, p.rn, r.chunk_no AS old_no, r.first AS old_first, r.again, s.t,
+           CASE WHEN p.upto - s.t[r.first] > {size} THEN r.chunk_no + 1 ELSE r.chunk_no END AS chunk_no,
+           CASE WHEN p.upto - s.t[r.first] > {size}
+                THEN list_filter(range(r.first, p.rn + 1), lambda j: s.t[p.rn] - s.t[j] <= least({overlap}, {size} - p.nw))[1]
+                ELSE r.first END AS first
+    FROM rec r JOIN pk p ON p.doc_id = r.doc_id AND p.rn = r.rn + 1 JOIN sums s ON s.doc_id = r.doc_id)
+),
+spans AS (SELECT doc_id, chunk_no, any_value(first) AS first, max(rn) AS last, any_value(again) AS again FROM rec GROUP BY doc_id, chunk_no)
+SELECT s.doc_id, CAST(s.chunk_no AS INTEGER) AS chunk_no, CAST(sum(p.nw) AS INTEGER) AS n_words,
+       CAST(any_value(s.again) AS INTEGER) AS n_overlap, string_agg(array_to_string(p.pw, ' '), ' ' ORDER BY p.rn) AS text
+FROM spans s JOIN pk p ON p.doc_id = s.doc_id AND p.rn BETWEEN s.first AND s.last GROUP BY s.doc_id, s.chunk_no"""
+
+
+@register("split_documents", "WITH RECURSIVE " + _split_sql(128, 50))
+def q_split_documents(spark, sf):
+    return ingest.split_documents(read_table(spark, sf, "documents", "doc_id", "text"), size=128, overlap=50)
+
+
+@register("split_documents_plain", "WITH RECURSIVE " + _split_sql(128, 0))
+def q_split_documents_plain(spark, sf):
+    return ingest.split_documents(read_table(spark, sf, "documents", "doc_id", "text"), size=128)
+
+
 @register("embed_chunks", """
 WITH w AS (SELECT 'd:' || doc_id AS id, unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM documents),
 h AS (SELECT id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 128 AS c FROM w),
