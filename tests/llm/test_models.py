@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
+import pytest
 
 from quiver.llm import quality_model as qm
 from quiver.llm import secret_scan as ss
@@ -17,6 +19,7 @@ def test_held_out_accuracy(spark):
     held = [(got[i][2], y[i]) for i in y if i in got and got[i][0]]
     assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.95
     assert all(0 <= s <= 1 and p == (s >= 0.5) for _, s, p in got.values())
+    assert all(h == (zlib.crc32(str(i).encode()) % 3 == 1) for i, (h, _, _) in got.items())
 
 
 def test_trees_flatten_and_fit():
@@ -95,6 +98,38 @@ def test_network_learns_and_keeps_recall():
     assert p[y[1000:] == 1].mean() > 0.95 and p[y[1000:] == 0].mean() < 0.05
 
 
+def test_threshold_is_the_recall_quantile_even_below_one_half():
+    r = np.random.default_rng(2)
+    net, y = ss.Network(), (np.arange(400) % 2)
+    x = r.integers(0, 128, (400, ss.WIDTH))  # nothing to learn: scores lie about one half
+    net.calibrate(x, y, 0.99)
+    kept = net.score(x) >= net.threshold
+    assert net.threshold < 0.5 and kept[y == 1].mean() >= 0.99
+    assert net.precision == pytest.approx(y[kept].mean())
+
+
+def candidate_spans(text):
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_.=-]+", text):
+        run = m[0].strip(".")
+        if not run:
+            continue
+        a = m.start() + len(m[0]) - len(m[0].lstrip("."))
+        mixed = re.search("[A-Z]", run[1:]) and re.search("[a-z]", run)
+        if len(run) >= 6 and (re.search("[0-9]", run) or mixed or len(run) >= 24):
+            out.append((a, a + len(run)))
+    return out
+
+
+def test_candidates_equal_brute_force(spark):
+    r = random.Random(12)
+    texts = [*ODD, "pwd ab12cd9", "pwd ab12cd9.", "...", ".a1.b2c3..", "Capital capitalised iPhoneX CAPITALS", "a" * 24, "é1234é123456", "1.2.3.4"]
+    texts += ["".join(r.choice("abXY01.=- é") for _ in range(r.randrange(80))) for _ in range(80)]
+    got = {x["doc_id"]: [(c["s"], c["e"]) for c in x["cands"]] for x in ss.scan(docs(spark, texts)).collect()}
+    assert got == {i: candidate_spans(t or "") for i, t in enumerate(texts)}
+    assert got[len(ODD)] == [(4, 11)] == got[len(ODD) + 1]
+
+
 def test_long_candidates_are_read_whole():
     raw = b"k " + b"a1" * 100 + b" z"
     got = ss.windows(raw, 2, 202, 0, len(raw))
