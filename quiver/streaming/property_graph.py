@@ -135,21 +135,22 @@ def apply_batch(graph: PropertyGraph, root: str, batch: DataFrame, batch_id: int
     """Upsert one micro-batch into the graph stored under ``root``.
 
     ``graph`` gives the schema, the mode and the embedding length.  Refused
-    rows go to ``rejects``."""
+    rows go to ``rejects``.  The batch is read once a kind and once for the
+    rejects, from its source."""
     spark = batch.sparkSession
     root = root.rstrip("/")
     before = _done(spark, root)
     if before >= batch_id:
         return  # replayed after it was done
-    batch = pinned(batch)
 
     def write(table: str, rows: DataFrame) -> None:
         conform(rows, TABLES[table]).write.mode("overwrite").parquet(_folder(root, table, batch_id))
 
     chunks, bad_chunks = prepare_chunks(batch.filter(F.col("kind") == "chunk"), graph.embed_dim)
     entities, bad_entities = prepare_entities(graph, batch.filter(F.col("kind") == "entity"))
-    write("chunks", latest_by_key(chunks, KEYS["chunks"], keep_seq=True))
-    write("entities", latest_by_key(entities, KEYS["entities"], keep_seq=True))
+    # as they came: readers reduce them per key, so texts are not shuffled here
+    write("chunks", chunks)
+    write("entities", entities)
 
     edges, bad_relations = candidate_edges(graph, batch.filter(F.col("kind") == "relation"))
     # several sources of one edge stay apart here: each is a mention
