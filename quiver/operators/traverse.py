@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quiver.model import MENTIONS, PropertyGraph, TripleGraph
 from quiver.operators.keys import NOWHERE, Keys, attach, restrict
 from quiver.session import materialize
+from quiver.sources.adjacency import Adjacency, node_key
 
 REL_MAP_DEPTH = 2
 REL_MAP_LIMIT = 30
@@ -128,6 +129,53 @@ def top_walks(edges: DataFrame, seeds: DataFrame, depth: int, limit: int, simple
     return _finish(found).orderBy(*ORDER)
 
 
+POINT_KEYS = 1000  # this many seeds or fewer are a literal filter, more are a join
+
+
+def _first_edges(adjacency: Adjacency, seeds: Keys, limit: int) -> DataFrame:
+    """Out-edges of the seeds (ids in any table; ``None`` = all nodes)."""
+    e = adjacency.edges(limit)
+    if seeds is None:
+        return e
+    tables = F.array(*[F.lit(t) for t in adjacency.tables])
+    if isinstance(seeds, DataFrame):
+        ids = seeds.select(F.col(seeds.columns[0]).cast("string").alias("_id")).filter("_id IS NOT NULL").distinct()
+    else:
+        ids = sorted({str(x) for x in seeds if x is not None})
+        if len(ids) * len(adjacency.tables) <= POINT_KEYS:
+            return e.filter(F.col("node").isin(["\u0001".join((t, i)) for t in adjacency.tables for i in ids]))
+        ids = adjacency.spark.createDataFrame([(i,) for i in ids], "_id string")
+    nodes = ids.select(F.explode(tables).alias("_table"), "_id").select(node_key("_table", "_id").alias("node"))
+    return e.join(nodes, "node", "left_semi")
+
+
+def stored_walks(adjacency: Adjacency, seeds: Keys, depth: int, limit: int) -> DataFrame:
+    """:func:`top_walks` over a stored adjacency: same rows, same order.
+
+    The first hop never shuffles edges.  Each further hop is a job of its own
+    that reads the buckets of the frontier: at most ``limit`` walks come to the
+    driver, and their end nodes go back as a literal filter.
+    """
+    if depth < 1:
+        raise ValueError("depth must be >= 1")
+    spark, walk_cols = adjacency.spark, ["src_table", "src", "label", "dst_table", "dst", "triplet_source_id"]
+    start = _first_edges(adjacency, seeds, limit).select(*walk_cols)
+    at = start.withColumns({"start_table": F.col("src_table"), "start": F.col("src"), "path_seq": F.array("src"),
+                            "tables_seq": F.array("src_table"), "hops_arr": F.array().cast(f"array<{_HOP}>"),
+                            "visited": F.array(node_key("src_table", "src"))})
+    found = (at.select("start_table", "start", *[v.alias(k) for k, v in _extended(1).items()])
+             .orderBy(*ORDER).limit(limit))
+    for hop in range(2, depth + 1):
+        found = spark.createDataFrame(found.collect(), found.schema)  # at most ``limit`` rows
+        ends = [r[0] for r in found.filter(F.col("hops") == hop - 1).select(node_key("cur_table", "cur")).distinct().collect()]
+        if not ends:
+            break
+        e = adjacency.edges(limit).filter(F.col("node").isin(ends)).select(*walk_cols)
+        longer = _step(found.filter(F.col("hops") == hop - 1), e, hop, False)
+        found = found.unionByName(longer).orderBy(*ORDER).limit(limit)
+    return _finish(found).orderBy(*ORDER)
+
+
 def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
     """Nodes (of any table) whose id is listed; ``None`` = every node."""
     nodes = graph.entities.select("node_table", "id").unionByName(
@@ -137,22 +185,28 @@ def seed_nodes(graph: PropertyGraph, ids: Keys) -> DataFrame:
 
 
 def rel_map_paths(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
-                  limit: int = REL_MAP_LIMIT, simple: bool = False) -> DataFrame:
+                  limit: int = REL_MAP_LIMIT, simple: bool = False, adjacency: Adjacency | None = None) -> DataFrame:
     """The first ``limit`` walks in (path_seq, tables_seq) order: hop tuples
-    compared left to right, a walk before its extensions."""
+    compared left to right, a walk before its extensions.  With ``adjacency``
+    (of this graph) the edges are read from it; it holds too few of a node's
+    edges for simple paths."""
+    if adjacency is not None:
+        if simple:
+            raise ValueError("simple paths need all edges: not with an adjacency")
+        return stored_walks(adjacency, ids, depth, limit)
     return top_walks(walk_edges(graph), seed_nodes(graph, ids), depth, limit, simple)
 
 
 def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
             limit: int = REL_MAP_LIMIT, ignore_rels: Sequence[str] | None = None,
-            with_source: bool = False) -> DataFrame:
+            with_source: bool = False, adjacency: Adjacency | None = None) -> DataFrame:
     """One triplet per edge of each of the first ``limit`` walks.
 
     Each edge keeps its own endpoints.  ``ignore_rels`` drops edges after the
     limit, as the path limit counts walks, not edges.  Duplicates across walks
     stay.
     """
-    paths = rel_map_paths(graph, ids, depth, limit)
+    paths = rel_map_paths(graph, ids, depth, limit, adjacency=adjacency)
     hops = paths.select("path", F.posexplode("hops_arr").alias("pos", "h")).select(
         "path", (F.col("pos") + 1).alias("hop"), "h.*")
     if ignore_rels:
@@ -164,12 +218,16 @@ def rel_map(graph: PropertyGraph, ids: Keys = None, depth: int = REL_MAP_DEPTH,
 
 
 def triple_rel_map(tg: TripleGraph, subjects: Keys = None, depth: int = REL_MAP_DEPTH,
-                   limit: int = REL_MAP_LIMIT) -> DataFrame:
+                   limit: int = REL_MAP_LIMIT, adjacency: Adjacency | None = None) -> DataFrame:
     """Walks in the triple store as ``subj, hops, path`` where path is
-    ``s|p1|n1|p2|...|o``; an empty subject list gives no rows.
+    ``s|p1|n1|p2|...|o``; an empty subject list gives no rows.  With
+    ``adjacency`` (of this store) the links are read from it.
 
     A walk needs an outgoing link, so the subjects themselves are the seeds
     (no pass over the node table is needed to check they exist)."""
+    if adjacency is not None:
+        paths = stored_walks(adjacency, subjects, depth, limit)
+        return paths.select(F.col("start").alias("subj"), "hops", "path")
     links = tg.links.select(F.lit("n").alias("src_table"), "src",
                             F.col("predicate").alias("label"), F.lit("n").alias("dst_table"), "dst")
     if subjects is None:

@@ -18,6 +18,7 @@ from quiver.model import PropertyGraph
 from quiver.operators import lookup, merge, traverse
 from quiver.plans import graphs
 from quiver.plans import sql_fragments as S
+from quiver.sources import adjacency
 from quiver.sources.tables import read_table, table_state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -407,6 +408,26 @@ def q_rel_map_all(spark, sf):
     return traverse.rel_map(graphs.star_graph(spark, sf), None, 2, 30)
 
 
+def _stored_edges(spark, edges) -> adjacency.Adjacency:
+    """The edges as an adjacency table, written and opened again."""
+    root = scratch_path(spark, "adjacency")
+    adjacency.write_adjacency(edges, root)
+    return adjacency.open_adjacency(spark, root)
+
+
+@register("rel_map_stored", _paths_oracle(_BUILDING_SEEDS, 2, 30) + _hops_sql(2))
+def q_rel_map_stored(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    return traverse.rel_map(g, segment_customer_ids(spark, sf, "BUILDING"), 2, 30,
+                            adjacency=_stored_edges(spark, adjacency.graph_edges(g)))
+
+
+@register("rel_map_all_stored", _paths_oracle(_ALL_SEEDS, 2, 30) + _hops_sql(2))
+def q_rel_map_all_stored(spark, sf):
+    g = graphs.star_graph(spark, sf)
+    return traverse.rel_map(g, None, 2, 30, adjacency=_stored_edges(spark, adjacency.graph_edges(g)))
+
+
 def _triple_paths_oracle(depth: int, limit: int) -> str:
     seeds = """seeds AS (SELECT 'n' AS start_table, id AS start FROM chain_nodes
   WHERE id IN (SELECT 'c:' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'))"""
@@ -426,6 +447,13 @@ def q_triple_rel_map_depth3(spark, sf):
     return traverse.triple_rel_map(graphs.chain_graph(spark, sf), segment_customer_ids(spark, sf, "BUILDING"), 3, 30)
 
 
+@register("triple_rel_map_stored", _triple_paths_oracle(3, 30))
+def q_triple_rel_map_stored(spark, sf):
+    tg = graphs.chain_graph(spark, sf)
+    return traverse.triple_rel_map(tg, segment_customer_ids(spark, sf, "BUILDING"), 3, 30,
+                                   adjacency=_stored_edges(spark, adjacency.triple_edges(tg)))
+
+
 @register("orphan_nodes", S.with_(S.STAR_ENTITIES, S.STAR_EDGES) + """,
 kept AS (SELECT * FROM star_edges WHERE label <> 'IN_REGION')
 SELECT node_table, id, name FROM star_entities n
