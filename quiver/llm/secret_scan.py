@@ -7,11 +7,12 @@ candidates: runs of ``[A-Za-z0-9+/_.=-]`` without the dots at their ends, of
 only the first letter), or of ``LONG_RUN`` characters; a shorter run of letters
 of one case is a word.  Labelled findings train the network: a
 candidate holding a base finding's secret is positive, the others negative
-(account numbers, long words and the like).  Training uses a bounded sample
-(``max_train`` candidates of each label, the smallest by a hash); a disjoint
-sample calibrates the scores (Platt) and fixes the threshold: the largest
-that keeps ``recall`` of the labelled secrets, whatever precision that costs
-(``Network.precision`` tells, on the same sample).  Every candidate of every
+(account numbers, long words and the like).  Three quarters of all candidates,
+chosen by a hash, train: dealt into shards, each shard goes through its own
+candidates once an epoch, and the shards' parameters are averaged between
+epochs.  All others calibrate the scores (Platt) and fix the threshold: the
+largest that keeps ``recall`` of the labelled secrets, whatever precision that
+costs (``Network.precision`` tells, on the same rows).  Every candidate of every
 document is then scored, long ones in overlapping windows, and those above
 the threshold that no base finding covers are added as kind ``cnn``.
 
@@ -23,10 +24,12 @@ an empty result.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -202,35 +205,46 @@ class Network:
         return np.concatenate([self._forward(x[i:i + 512])[-1] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
 
     def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, rate: float = 0.01, batch: int = 128) -> None:
+        state = self.start()
+        for epoch in range(epochs):
+            state = self.epoch(x, y, y.mean(), state, epoch, rate, batch)
+
+    def start(self) -> tuple[dict, dict, int]:
+        """Adam's moments and step."""
+        return {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}, 0
+
+    def epoch(self, x: np.ndarray, y: np.ndarray, share: float, state: tuple[dict, dict, int], epoch: int,
+              rate: float = 0.01, batch: int = 128) -> tuple[dict, dict, int]:
+        """Once through the rows; ``share`` is that of label 1 in all rows."""
         r = np.random.default_rng(11)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(w) for k, w in self.p.items()}
-        weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6))
-        t = 0
-        for _ in range(epochs):
-            for at in np.array_split(r.permutation(len(x)), max(1, len(x) // batch)):
-                cols, a, ib, ir, h, z = self._forward(x[at])
-                d = ((1 / (1 + np.exp(-z)) - y[at]) * weight[at] / len(at)).astype(np.float32)
-                g = {"out": h.T @ d, "b": np.array([d.sum()], np.float32)}
-                dh = d[:, None] * self.p["out"]
-                da = np.zeros_like(a)
-                i, f = np.arange(len(at))[:, None], np.arange(self.FILTERS)[None]
-                np.add.at(da, (i, LEFT + ib, f), dh[:, :self.FILTERS])
-                np.add.at(da, (i, np.where(ir < LEFT, ir, ir + BODY), f), dh[:, self.FILTERS:])
-                da *= a > 0
-                flat = da.reshape(-1, self.FILTERS)
-                g["conv"], g["bias"] = cols.reshape(len(flat), -1).T @ flat, flat.sum(0)
-                dc = (flat @ self.p["conv"].T).reshape(len(at), WIDTH, self.K, self.EMB)
-                de = np.zeros((len(at), WIDTH + 4, self.EMB), np.float32)
-                for k in range(self.K):
-                    de[:, k:k + WIDTH] += dc[:, :, k]
-                g["emb"] = np.zeros_like(self.p["emb"])
-                np.add.at(g["emb"], x[at], de[:, 2:-2])
-                t += 1
-                for k in self.p:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-7)).astype(np.float32)
+        for _ in range(epoch + 1):
+            shuffled = r.permutation(len(x))
+        m, v, t = state
+        weight = np.where(y == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
+        for at in np.array_split(shuffled, max(1, len(x) // batch)):
+            cols, a, ib, ir, h, z = self._forward(x[at])
+            d = ((1 / (1 + np.exp(-z)) - y[at]) * weight[at] / len(at)).astype(np.float32)
+            g = {"out": h.T @ d, "b": np.array([d.sum()], np.float32)}
+            dh = d[:, None] * self.p["out"]
+            da = np.zeros_like(a)
+            i, f = np.arange(len(at))[:, None], np.arange(self.FILTERS)[None]
+            np.add.at(da, (i, LEFT + ib, f), dh[:, :self.FILTERS])
+            np.add.at(da, (i, np.where(ir < LEFT, ir, ir + BODY), f), dh[:, self.FILTERS:])
+            da *= a > 0
+            flat = da.reshape(-1, self.FILTERS)
+            g["conv"], g["bias"] = cols.reshape(len(flat), -1).T @ flat, flat.sum(0)
+            dc = (flat @ self.p["conv"].T).reshape(len(at), WIDTH, self.K, self.EMB)
+            de = np.zeros((len(at), WIDTH + 4, self.EMB), np.float32)
+            for k in range(self.K):
+                de[:, k:k + WIDTH] += dc[:, :, k]
+            g["emb"] = np.zeros_like(self.p["emb"])
+            np.add.at(g["emb"], x[at], de[:, 2:-2])
+            t += 1
+            for k in self.p:
+                m[k] = 0.9 * m[k] + 0.1 * g[k]
+                v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
+                self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-7)).astype(np.float32)
+        return m, v, t
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
         """Platt scaling on a held-out sample; the threshold is the largest
@@ -251,24 +265,89 @@ class Network:
             self.precision = float(np.mean(y[scores >= self.threshold]))
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        return self.calibrated(self.raw(x))
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
         a, c = self.platt
-        return 1 / (1 + np.exp(-np.clip(a * self.raw(x) + c, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(a * raw + c, -30, 30)))
+
+
+def _epoch_of(net: bytes, state: bytes, share: float, epoch: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = Network()
+        own.__dict__.update(pickle.loads(net))
+        pdf = pdf.sort_values(["y", "o", "doc_id", "s"], kind="stable", na_position="first")
+        after = own.epoch(own.codes([bytes(w) for w in pdf["w"]]), pdf["y"].to_numpy(), share, pickle.loads(state), epoch)
+        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "n": [len(pdf)], "state": [pickle.dumps((own.p, after))]})
+    return run
+
+
+def _averaged(rows: list) -> tuple[dict, tuple]:
+    """The shards' parameters and moments, weighted by their rows."""
+    n = np.array([r["n"] for r in rows], float)
+    states = [pickle.loads(r["state"]) for r in rows]
+    mean = lambda ds: {k: (sum(w * d[k].astype(float) for w, d in zip(n, ds, strict=True)) / n.sum()).astype(np.float32) for k in ds[0]}
+    return mean([p for p, _ in states]), (mean([a[0] for _, a in states]), mean([a[1] for _, a in states]), max(a[2] for _, a in states))
+
+
+def _fit(net: Network, rows: DataFrame, n: int, share: float, epochs: int, shard_rows: int, shards: int) -> None:
+    """Every epoch is one job over all rows; the driver gets the shards'
+    parameters (25 kB with Adam's moments, for at most ``shards``)."""
+    count = min(shards, -(-n // shard_rows))
+    dealt = rows.withColumn("shard", F.expr(f"cast(pmod(shiftright(o, 2), {count}) as int)"))
+    state = net.start()
+    for epoch in range(epochs):
+        run = _epoch_of(pickle.dumps({"p": net.p}), pickle.dumps(state), share, epoch)
+        done = dealt.groupBy("shard").applyInPandas(run, "shard int, n long, state binary").collect()
+        net.p, state = _averaged(sorted(done, key=lambda r: r["shard"]))
+
+
+def _raw_task(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network()
+        net.__dict__.update(sent.value)
+        for b in batches:
+            z = net.raw(net.codes(b.column("w").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(z.astype(np.float32)), b.column("y")], names=["z", "y"])
+    return run
 
 
-def train_network(found: DataFrame, max_train: int = 4000, recall: float = 0.99) -> Network:
-    """Fit on at most ``max_train`` candidates of each label; a quarter of
-    them, chosen by the same hash, calibrates."""
+def _calibrate(net: Network, rows: DataFrame, n_secrets: int, recall: float) -> None:
+    """:meth:`Network.calibrate` over all rows: Spark adds up each Newton step
+    and finds the quantile."""
+    sent = rows.sparkSession.sparkContext.broadcast(vars(net))
+    raw = materialize(rows.select("w", "y").mapInArrow(_raw_task(sent), "z float, y int")).withColumn("z", F.col("z").cast("double"))
+    a, c = 1.0, 0.0
+    at = lambda: F.least(F.greatest(F.col("z") * a + c, F.lit(-30.0)), F.lit(30.0))
+    for _ in range(50):
+        p = raw.select("z", "y", (1 / (1 + F.exp(-at()))).alias("p")).selectExpr("z", "p * (1 - p) + 1e-9 w", "p - y e")
+        r = p.selectExpr("sum(w * z * z) wzz", "sum(w * z) wz", "sum(w) w", "sum(e * z) ez", "sum(e) e").first()
+        step = np.linalg.solve(np.array([[r["wzz"] + 1e-2, r["wz"]], [r["wz"], r["w"] + 1e-2]]),
+                               np.array([r["ez"] + 1e-2 * (a - 1), r["e"] + 1e-2 * c]))
+        a, c = float(a - np.clip(step[0], -1, 1)), float(c - np.clip(step[1], -1, 1))
+        if np.abs(step).max() < 1e-9:
+            break
+    net.platt = (a, c)
+    below = int(np.floor((1 - recall) * n_secrets))  # secrets under the threshold: the rest keep the recall
+    least = raw.filter("y = 1").select(at().alias("t"), "z").orderBy("t", "z").limit(below + 1).agg(F.max(F.struct("t", "z")).alias("m")).first()["m"]
+    net.threshold = float(net.calibrated(np.array([least["z"]], np.float32))[0])
+    net.precision = float(raw.filter(at() >= least["t"]).agg(F.avg("y")).first()[0])
+
+
+def train_network(found: DataFrame, recall: float = 0.99, epochs: int = 6, shard_rows: int = 8000, shards: int = 64) -> Network:
+    """Fit on all candidates but a quarter, chosen by a hash, which calibrates.
+    A shard has about ``shard_rows`` candidates, more when ``shards`` do not
+    suffice."""
     net = Network()
     c = found.select("doc_id", F.explode("cands").alias("c")).select("doc_id", "c.s", "c.y", F.col("c.w")[0].alias("w"))
-    rows = [r for y in (0, 1) for r in c.filter(F.col("y") == y).withColumn("o", F.xxhash64("w", "doc_id", "s"))
-            .orderBy("o", "doc_id", "s").limit(max_train).select("o", "y", "w").collect()]
-    y = np.array([r["y"] for r in rows])
-    held = np.array([r["o"] % 4 == 0 for r in rows], bool)
-    if len(rows) == 0 or len(set(y[~held].tolist())) < 2 or len(set(y[held].tolist())) < 2:
+    c = materialize(c.select(F.xxhash64("w", "doc_id", "s").alias("o"), "doc_id", "s", "y", "w"))
+    held = F.col("o") % 4 == 0
+    n = {(r["held"], r["y"]): r["n"] for r in c.groupBy(held.alias("held"), "y").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 4:  # two labels on either side
         return net
-    x = net.codes([bytes(r["w"]) for r in rows])
-    net.train(x[~held], y[~held])
-    net.calibrate(x[held], y[held], recall)
+    rows = n[False, 0] + n[False, 1]
+    _fit(net, c.filter(~held), rows, n[False, 1] / rows, epochs, shard_rows, shards)
+    _calibrate(net, c.filter(held), n[True, 1], recall)
     return net
 
 
@@ -296,11 +375,11 @@ def _add_task(sent):
     return run
 
 
-def secret_spans(docs: DataFrame, max_train: int = 4000, recall: float = 0.99) -> DataFrame:
+def secret_spans(docs: DataFrame, recall: float = 0.99) -> DataFrame:
     """Per document: base counts, base spans and all spans, each span
     ``kind:start:end`` in code points."""
     found = materialize(scan(docs))
-    sent = docs.sparkSession.sparkContext.broadcast(vars(train_network(found, max_train, recall)))
+    sent = docs.sparkSession.sparkContext.broadcast(vars(train_network(found, recall)))
     return found.mapInArrow(_add_task(sent), "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string")
 
 

@@ -135,3 +135,35 @@ def test_long_candidates_are_read_whole():
     got = ss.windows(raw, 2, 202, 0, len(raw))
     assert all(len(w) == ss.WIDTH for w in got)
     assert {2 + i for i in range(200)} <= {a + k for a in range(2, 194, ss.BODY - 8) for k in range(ss.BODY)}
+
+
+def candidates(spark, n):
+    """One document a candidate: an account number, or a labelled secret (a tenth)."""
+    r = random.Random(6)
+    body = lambda i: "token=" + "".join(r.choice("0123456789abcdefXYZ") for _ in range(20)) if i % 10 == 0 else "".join(r.choice("0123456789") for _ in range(16))
+    return ss.materialize(ss.scan(docs(spark, [words(r, 2)[:1] + " " + body(i) + " ok" for i in range(n)])))
+
+
+def test_network_is_fitted_on_every_candidate(spark):
+    """Over 4000 candidates of a label: as if all were trained on in one place."""
+    found = candidates(spark, 6000)
+    rows = found.selectExpr("doc_id", "explode(cands) c").selectExpr("xxhash64(c.w[0], doc_id, c.s) o", "doc_id", "c.s s", "c.y y", "c.w[0] w").orderBy("y", "o").collect()
+    x, y = ss.Network.codes([bytes(r["w"]) for r in rows]), np.array([r["y"] for r in rows])
+    held = np.array([r["o"] % 4 == 0 for r in rows])
+    assert (y[~held] == 0).sum() > 3600 and len(y) - y.sum() > 5000
+    want = ss.Network()
+    want.train(x[~held], y[~held], epochs=2)
+    want.calibrate(x[held], y[held], 0.99)
+    got = ss.train_network(found, epochs=2)
+    for k in want.p:
+        assert np.allclose(got.p[k], want.p[k], atol=1e-3), k
+    assert np.allclose(got.platt, want.platt, atol=1e-2) and got.threshold == pytest.approx(want.threshold, abs=1e-3)
+
+
+def test_shards_learn_one_network(spark):
+    found = candidates(spark, 2000)
+    net = ss.train_network(found, epochs=4, shard_rows=300)
+    rows = found.selectExpr("explode(cands) c").selectExpr("c.y y", "c.w[0] w").collect()
+    p = net.score(ss.Network.codes([bytes(r["w"]) for r in rows])) >= net.threshold
+    y = np.array([r["y"] for r in rows])
+    assert p[y == 1].mean() > 0.95 and p[y == 0].mean() < 0.05
