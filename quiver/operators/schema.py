@@ -110,8 +110,9 @@ def schema_text(graph: PropertyGraph) -> DataFrame:
 
 def typed_triples(triples: DataFrame, types: DataFrame) -> DataFrame:
     """Give (src, predicate, dst) triples their endpoint types from
-    ``types(id, node_table)``."""
-    t = types.select("id", "node_table")
+    ``types(id, node_table)``.  The types, one small row a node, are what a task
+    holds; the triples stream past them and are never sorted or spilled."""
+    t = types.select("id", "node_table").hint("shuffle_hash")
     return (triples.join(t.select(F.col("id").alias("src"), F.col("node_table").alias("head")), "src")
             .join(t.select(F.col("id").alias("dst"), F.col("node_table").alias("tail")), "dst")
             .select("src", "head", "predicate", "dst", "tail"))
