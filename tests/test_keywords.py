@@ -56,3 +56,17 @@ def test_long_names(spark):
     words = {w for _, _, _, w in cut} | {w + "x" for _, _, _, w in cut} | {n + "xy" for n in names}
     got = {(x["keyword"], x["id"], x["distance"]) for x in retrieve.keyword_matches(g, spark.createDataFrame([(w,) for w in words], "w string"), 2).collect()}
     assert got == {(w, str(i), e) for w in words for i, n in enumerate(names) if (e := edits(n, w)) <= 2}
+
+
+def test_nothing_goes_through_the_driver(spark, monkeypatch):
+    """What keywords and names are made into is never broadcast, however small their tables look."""
+    g = PropertyGraph.create(spark, (), structured=False).with_(
+        entities=spark.range(40).selectExpr("'T' node_table", "cast(id as string) id", "format_string('warehouse#%09d', id) name"))
+    words = spark.range(40).selectExpr("format_string('warehouse#%08d', id) w")
+    written, write = [], retrieve.materialize
+    monkeypatch.setattr(retrieve, "materialize", lambda df: (written.append(df), write(df))[1])
+    got = retrieve.keyword_matches(g, words, 2)
+    for df in (*written, got):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert len(written) == 1 and got.count() > 40
